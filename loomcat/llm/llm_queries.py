@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from .chunk_bpe import op9_chunk_bpe
+from .near_dedup import op5_minhash_near_dedup
 from .packing import op7_best_fit_packing
 
 QUERIES = {
+    "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op9_chunk_bpe": op9_chunk_bpe,
 }
