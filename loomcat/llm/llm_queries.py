@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from .chunk_bpe import op9_chunk_bpe
+from .media import op8_media_columns
 from .near_dedup import op5_minhash_near_dedup
 from .packing import op7_best_fit_packing
+from .sharding import op6_sampled_splitters
 
 QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op6_sampled_splitters": op6_sampled_splitters,
+    "op8_media_columns": op8_media_columns,
     "op9_chunk_bpe": op9_chunk_bpe,
 }
 ORACLES: dict[str, str] = {}
