@@ -7,6 +7,7 @@ from .media import op8_media_columns
 from .near_dedup import op5_minhash_near_dedup
 from .packing import op7_best_fit_packing
 from .sharding import op6_sampled_splitters
+from .warc import op10_zip_warc
 
 QUERIES = {
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
@@ -14,5 +15,14 @@ QUERIES = {
     "op6_sampled_splitters": op6_sampled_splitters,
     "op8_media_columns": op8_media_columns,
     "op9_chunk_bpe": op9_chunk_bpe,
+    "op10_zip_warc": op10_zip_warc,
+}
+ORACLES: dict[str, str] = {
+    "op10_zip_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
+        c AS (SELECT page_id, html, n, max(page_id) OVER (PARTITION BY html) AS last FROM p)
+        SELECT page_id, n::BIGINT AS payload_bytes, sha1(html) AS payload_digest,
+               CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
+        FROM c""",
 }
-ORACLES: dict[str, str] = {}
