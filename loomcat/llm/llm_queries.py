@@ -7,9 +7,11 @@ from .media import op8_media_columns
 from .near_dedup import op5_minhash_near_dedup
 from .packing import op7_best_fit_packing
 from .sharding import op6_sampled_splitters
+from .topk import op1_exact_topk
 from .warc import op10_zip_warc
 
 QUERIES = {
+    "op1_exact_topk": op1_exact_topk,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op6_sampled_splitters": op6_sampled_splitters,
@@ -18,6 +20,17 @@ QUERIES = {
     "op10_zip_warc": op10_zip_warc,
 }
 ORACLES: dict[str, str] = {
+    "op1_exact_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, rank::INT AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 5""",
     "op10_zip_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
         c AS (SELECT page_id, html, n, max(page_id) OVER (PARTITION BY html) AS last FROM p)
