@@ -7,6 +7,7 @@ from .media import op8_media_columns
 from .near_dedup import op5_minhash_near_dedup
 from .packing import op7_best_fit_packing
 from .quality import op3_quality_rules
+from .secrets import op4_secret_field
 from .sharding import op6_sampled_splitters
 from .topk import op1_exact_topk
 from .warc import op10_zip_warc
@@ -14,6 +15,7 @@ from .warc import op10_zip_warc
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
     "op3_quality_rules": op3_quality_rules,
+    "op4_secret_field": op4_secret_field,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op6_sampled_splitters": op6_sampled_splitters,
