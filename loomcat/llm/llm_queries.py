@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .chunk_bpe import op9_chunk_bpe
+from .extract import op2_block_labeller
 from .media import op8_media_columns
 from .near_dedup import op5_minhash_near_dedup
 from .packing import op7_best_fit_packing
@@ -14,6 +15,7 @@ from .warc import op10_zip_warc
 
 QUERIES = {
     "op1_exact_topk": op1_exact_topk,
+    "op2_block_labeller": op2_block_labeller,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_field": op4_secret_field,
     "op5_minhash_near_dedup": op5_minhash_near_dedup,
