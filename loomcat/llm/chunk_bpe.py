@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, text_or_empty, tokenizer_file
+from .common import ship, table, text_or_empty, tokenizer_file
 from .tokens import ByteBpe
 
 ODD_SPACE = re.compile(r"[^\S \n]| [ \n]|\n[ \n]")
@@ -120,6 +120,7 @@ def encoder(path: str) -> ChunkEncoder:
 
 def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "byte_bpe_50k.json", with_ids: bool = False) -> DataFrame:
     """``id, n_tokens, ids_sha256, decoded_sha256`` a row, plus ``ids`` and ``decoded`` if asked."""
+    ship(docs.sparkSession)
     more = ", ids array<int>, decoded string" if with_ids else ""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table, text_or_empty
+from .common import materialise, ship, table, text_or_empty
 from .tokens import _Memo
 
 WORDS = 5
@@ -171,6 +171,7 @@ def _labelled(members: DataFrame, components: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, percent: int = PERCENT, bins: int = BINS, bands: int = BANDS, star_rounds: int = 2) -> DataFrame:
     """``id, n_shingles, component_id, kept`` a row of ``docs``."""
+    ship(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     seen = materialise(sketches(source, width, bins, bands), "sketches")
     classes = seen.filter("id is not null and word_digest is not null").groupBy("word_digest").agg(F.min("id").alias("rep"))
@@ -228,5 +229,18 @@ def cross_pairs(members: DataFrame, block: int = BLOCK) -> DataFrame:
     return grouped.select(F.explode(cross("lo", "hi", "rows")).alias("p")).select("p.a", "p.b")
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` without the rows that aren't kept; of rows equal in id and text, one stays."""
+    found = materialise(near_duplicates(docs.select(id_col, text_col), id_col, text_col, **options), "found")
+    ids = found.filter(F.col(id_col).isNotNull())
+    gone = ids.filter("not kept").select(id_col).distinct()
+    kept = docs.join(gone, id_col, "left_anti")
+    repeated = materialise(ids.groupBy(id_col).count().filter("count > 1").select(id_col), "repeated")
+    if not repeated.isEmpty():
+        once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col, text_col])
+        kept = kept.join(repeated, id_col, "left_anti").unionByName(once)
+    return kept.select(*docs.columns)
+
+
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))

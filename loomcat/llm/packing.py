@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, table, text_or_empty, tokenizer_file
+from .common import materialise, ship, table, text_or_empty, tokenizer_file
 from .tokens import WordBpe
 
 CAPACITY = 2048
@@ -50,6 +50,7 @@ def encoder(path: str) -> WordBpe:
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokenizer: str = "word_bpe_49k.json", capacity: int = CAPACITY, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """``id, piece, start, length, ids_crc32`` a piece, plus ``ids`` if asked."""
+    ship(docs.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         bpe, end = encoder(tokenizer_file(tokenizer)), np.array([end_id], "<u4").tobytes()

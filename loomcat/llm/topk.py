@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, shared_folder, table
+from .common import materialise, shared_folder, ship, table
 
 SCALE, K, EVERY = 256, 5, 50
 QUERY_BLOCK, BINS, CELLS = 2048, 512, 1 << 21
@@ -139,6 +139,7 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_col: str = "vec_id", vec_
     """``query_id, rank, vec_id, score`` of the rows for which ``is_query`` (a column over
     the id, named ``id``) holds."""
     spark = vectors.sparkSession
+    ship(spark)
     rows = materialise(quantised(vectors, id_col, vec_col, scale), "vectors")
     queries = materialise(rows.filter(is_query).withColumn("n", F.monotonically_increasing_id()), "queries")
     norm = lambda v: F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))

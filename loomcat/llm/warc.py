@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, table
+from .common import materialise, ship, table
 
 LEAST = 1000
 PACKAGE_BYTES = 8 << 20
@@ -134,6 +134,7 @@ def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int
 
 def packages(pages: DataFrame, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """``package`` rows (ZIP files of about ``package_bytes``) of ``id, url, payload, refers_to, revisit``."""
+    ship(pages.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[bytes] = []
@@ -163,6 +164,7 @@ def packages(pages: DataFrame, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
 def read_packages(packed: DataFrame) -> DataFrame:
     """``id, url, payload_bytes, payload_digest, record_type, refers_to`` a record. The
     digest of a response is taken of the payload as read and held against its head."""
+    ship(packed.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
