@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-FLAGSHIP = None
+from .plans import refresh
+from .plans.registry import ORACLES, QUERIES
+
+FLAGSHIP = refresh.observed_pricing
+
+__all__ = ["FLAGSHIP", "ORACLES", "QUERIES"]
