@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import refresh
+from .plans import catalogue, refresh  # noqa: F401
 from .plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = refresh.observed_pricing
