@@ -1,18 +1,21 @@
 """Near-duplicate groups by fast similarity sketching.
 
 1. One pass over the texts: the set of distinct word shingles (64-bit hashes of the
-   lower-cased words), the sketch, its band keys, and a digest of the word sequence.
-   The sketch throws every shingle into one of ``bins`` bins, round after round, until
-   all bins are filled; round and hash value of the first arrival are the coordinate.
-   Rounds beyond ``bins`` serve one fixed bin each, so every coordinate fills.
+   lower-cased words), the sketch, its band keys, one byte of each coordinate (``marks``)
+   and a digest of the word sequence. The sketch throws every shingle into one of
+   ``bins`` bins, round after round, until all bins are filled; round and hash value of
+   the first arrival are the coordinate. Rounds beyond ``bins`` serve one fixed bin each,
+   so every coordinate fills.
 2. Texts with equal word sequences form a class; one of each goes on.
-3. In each bucket (equal band key) the smallest id is the pivot; pivot and member are
-   compared on their full shingle sets, read from the texts. Links give components.
+3. In each bucket (equal band key) the smallest id is the pivot, paired with every member.
+   Pairs whose set sizes exclude the similarity go, then those whose sketches agree in so
+   few places that the concentration bound excludes it (``SLACK`` deviations); what is
+   left is compared on the full shingle sets, read from the texts: first one pair a
+   member, then those that still join different components.
 4. A bucket whose members are in one component by then is settled: no further link
    there can change a component. Where members are in several, a member of another
-   component becomes the pivot; after ``star_rounds`` such rounds what is still open
-   is compared block by block, all pairs of different components. So no bucket is
-   capped, and its size costs squared work only where nothing links it.
+   component becomes the pivot once; what is still open is compared block by block, all
+   pairs of different components under the same bounds. So no bucket is capped.
 
 A bucket or class of any size is met only by joins that adaptive execution can split
 and by aggregates that are partial on the map side.
@@ -28,21 +31,21 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, ship, table, text_or_empty
 from .tokens import _Memo
 
 WORDS = 5
-BINS, BANDS = 120, 24
+BINS, BANDS = 324, 36
 PERCENT = 85
 BLOCK = 64
+SLACK = 5
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -102,7 +105,7 @@ def band_keys(coordinates: np.ndarray, bands: int = BANDS) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int = WORDS, bins: int = BINS, bands: int = BANDS) -> DataFrame:
-    """``id, n_shingles, word_digest, keys`` a row of ``id, text``."""
+    """``id, n_shingles, word_digest, keys, marks`` a row of ``id, text``."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -110,15 +113,39 @@ def sketches(docs: DataFrame, width: int = WORDS, bins: int = BINS, bands: int =
             for text in batch["text"]:
                 words = words_of(text)
                 if not words:
-                    rows.append((0, None, None))
+                    rows.append((0, None, None, None))
                     continue
                 items = shingles(words, width)
-                rows.append((len(items), hashlib.sha256(b" ".join(words)).digest(), band_keys(sketch(items, bins), bands)))
-            out = pd.DataFrame(rows, columns=["n_shingles", "word_digest", "keys"])
+                coordinates = sketch(items, bins)
+                rows.append((len(items), hashlib.sha256(b" ".join(words)).digest(), band_keys(coordinates, bands), coordinates.astype(np.uint8).tobytes()))
+            out = pd.DataFrame(rows, columns=["n_shingles", "word_digest", "keys", "marks"])
             out.insert(0, "id", batch["id"].array)
             yield out
 
-    return docs.mapInPandas(run, "id long, n_shingles long, word_digest binary, keys array<long>")
+    return docs.mapInPandas(run, "id long, n_shingles long, word_digest binary, keys array<long>, marks binary")
+
+
+def least_agreement(percent: int, bins: int, slack: float = SLACK) -> float:
+    """The share of equal coordinates that alike sets fall below with a chance of ``slack`` deviations."""
+    s = percent / 100
+    return s - slack * (s * (1 - s) / bins) ** 0.5
+
+
+def sizes_allow(a: str, b: str, percent: int) -> Column:
+    return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * percent
+
+
+def plausible(pairs: DataFrame, marks: DataFrame, percent: int, bins: int) -> DataFrame:
+    """The ``a, b`` whose sketches do not exclude that they are alike."""
+    least = least_agreement(percent, bins)
+
+    @F.pandas_udf("boolean")
+    def close(left: pd.Series, right: pd.Series) -> pd.Series:
+        x, y = (np.frombuffer(b"".join(v), np.uint8).reshape(len(v), -1) for v in (left, right))
+        return pd.Series((x == y).mean(axis=1) >= least) if len(left) else pd.Series([], dtype=bool)
+
+    joined = pairs.join(marks.select(F.col("id").alias("b"), F.col("marks").alias("_right")), "b").join(marks.select(F.col("id").alias("a"), F.col("marks").alias("_left")), "a")
+    return joined.filter(close("_left", "_right")).select("a", "b").distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -160,45 +187,62 @@ def connected_components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component")).union(edges.select("v", "v").distinct())
 
 
-def _labelled(members: DataFrame, components: DataFrame) -> DataFrame:
-    """Members of buckets that still span several components, with their component ``c``."""
-    with_c = members.join(components, "id", "left").withColumn("c", F.coalesce("component", "id")).select("key", "id", "c")
-    with_c = materialise(with_c, "labelled")
-    top = F.max(F.struct("c", "id"))
-    open_ = with_c.groupBy("key").agg(F.min("c").alias("_low"), top.alias("_top"), F.count("*").alias("n")).filter("_low < _top.c")
-    return with_c.join(open_.select("key", "n", F.col("_top.c").alias("pivot_c"), F.col("_top.id").alias("pivot")), "key")
+def with_component(rows: DataFrame, id_: str, components: DataFrame, name: str) -> DataFrame:
+    found = components.select(F.col("id").alias(id_), F.col("component").alias("_found"))
+    return rows.join(found, id_, "left").withColumn(name, F.coalesce("_found", id_)).drop("_found")
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, percent: int = PERCENT, bins: int = BINS, bands: int = BANDS, star_rounds: int = 2) -> DataFrame:
+def open_buckets(members: DataFrame, components: DataFrame) -> DataFrame:
+    """Members of buckets that span several components: their component ``c`` and a pivot
+    of the bucket's largest one."""
+    labelled = materialise(with_component(members.select("key", "id", "n_shingles"), "id", components, "c"), "labelled")
+    top = F.max(F.struct("c", "id", "n_shingles"))
+    spans = labelled.groupBy("key").agg(F.min("c").alias("_low"), top.alias("_top"), F.count("*").alias("size")).filter("_low < _top.c and size > 2")
+    return materialise(labelled.join(spans.select("key", "size", F.col("_top.c").alias("pivot_c"), F.col("_top.id").alias("pivot"), F.col("_top.n_shingles").alias("pivot_n")), "key"), "open")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, percent: int = PERCENT, bins: int = BINS, bands: int = BANDS) -> DataFrame:
     """``id, n_shingles, component_id, kept`` a row of ``docs``."""
     ship(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     seen = materialise(sketches(source, width, bins, bands), "sketches")
     classes = seen.filter("id is not null and word_digest is not null").groupBy("word_digest").agg(F.min("id").alias("rep"))
-    rows = materialise(seen.join(classes, "word_digest", "left").select("id", "n_shingles", "rep", F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")), "rows")
-
-    keys = rows.filter("keys is not null").select("id", F.explode("keys").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min("id").alias("pivot"), F.max("id").alias("_last"), F.count("*").alias("n")).filter("pivot < _last")
-    members = materialise(keys.join(buckets.select("key", "pivot", "n"), "key"), "members")
-    texts = materialise(source.join(members.select("id").distinct(), "id", "left_semi"), "texts")
-
-    pairs = members.filter("id <> pivot").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    links = [materialise(confirmed(pairs, texts, width, percent), "links")]
-    tried = members.filter("n > 2").select("key", "id")
-    for turn in range(star_rounds + 1):
-        components = materialise(connected_components(reduce(DataFrame.union, links)), "components")
-        left = materialise(_labelled(tried, components), "open").filter("n > 2")
-        if left.isEmpty():
-            break
-        if turn < star_rounds:
-            pairs = left.filter("c <> pivot_c").select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-            tried = left.select("key", "id")
-        else:
-            pairs = cross_pairs(left).distinct()
-        new = materialise(confirmed(pairs, texts, width, percent), "links")
-        links.append(new)
-        if turn == star_rounds:
-            components = materialise(connected_components(reduce(DataFrame.union, links)), "components")
+    own = lambda c: F.when(F.col("id") == F.col("rep"), F.col(c)).alias(c)
+    rows = materialise(seen.join(classes, "word_digest", "left").select("id", "n_shingles", "rep", own("keys"), own("marks")), "rows")
+
+    keys = rows.filter("keys is not null").select("id", "n_shingles", F.explode("keys").alias("key"))
+    buckets = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("_first"), F.max("id").alias("_last"), F.count("*").alias("size")).filter("_first.id < _last")
+    members = materialise(keys.join(buckets.select("key", "size", F.col("_first.id").alias("pivot"), F.col("_first.n_shingles").alias("pivot_n")), "key"), "members")
+    ids = members.select("id").distinct()
+    marks = materialise(rows.filter("keys is not null").select("id", "marks").join(ids, "id", "left_semi"), "marks")
+    texts = materialise(source.join(ids, "id", "left_semi"), "texts")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return materialise(confirmed(pairs, texts, width, percent), "links")
+
+    def joining(pairs: DataFrame, components: DataFrame) -> DataFrame:
+        """The pairs whose ends are in different components."""
+        return with_component(with_component(pairs, "a", components, "_ca"), "b", components, "_cb").filter("_ca <> _cb").select("a", "b")
+
+    def grown(components: DataFrame, links: DataFrame) -> DataFrame:
+        if links.isEmpty():
+            return components
+        return materialise(connected_components(links.union(components.select("id", "component"))), "components")
+
+    star = members.filter("id <> pivot").filter(sizes_allow("n_shingles", "pivot_n", percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+    pairs = materialise(plausible(star, marks, percent, bins), "pairs")
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    components = materialise(connected_components(linked(first)), "components")
+    rest = joining(pairs.join(first, ["a", "b"], "left_anti"), components)
+    components = grown(components, linked(rest))
+
+    left = open_buckets(members.filter("size > 2"), components)
+    if not left.isEmpty():
+        star = left.filter("c <> pivot_c").filter(sizes_allow("n_shingles", "pivot_n", percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+        components = grown(components, linked(plausible(star, marks, percent, bins)))
+        left = open_buckets(left, components)
+        if not left.isEmpty():
+            components = grown(components, linked(cross_pairs(left, marks, percent, bins)))
     out = rows.join(components.withColumnRenamed("id", "rep"), "rep", "left")
     return out.select(
         F.col("id").alias(id_col),
@@ -208,25 +252,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def cross_pairs(members: DataFrame, block: int = BLOCK) -> DataFrame:
-    """All pairs ``a < b`` of a bucket's members in different components, block by block:
-    a bucket of n members is split into n / block blocks, and each pair of blocks is a
-    group of its own, so a group holds about two blocks whatever the bucket's size."""
-    blocks = members.withColumn("m", F.ceil(F.col("n") / block).cast("int")).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
-    cells = blocks.select("key", "id", "c", "i", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
-    cells = cells.select("key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "id", "c")
-    grouped = cells.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct("i", "id", "c")).alias("rows"))
+def cross_pairs(members: DataFrame, marks: DataFrame, percent: int, bins: int, block: int = BLOCK) -> DataFrame:
+    """The pairs ``a < b`` of a bucket's members in different components that sizes and
+    sketches allow. A bucket of n members is split into n / block blocks, and each pair of
+    blocks is a group of its own, so a group holds about two blocks whatever the bucket's size."""
+    blocks = members.join(marks, "id").withColumn("m", F.ceil(F.col("size") / block).cast("int")).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
+    cells = blocks.select("key", "id", "c", "n_shingles", "marks", "i", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
+    cells = cells.select("key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "id", "c", "n_shingles", "marks")
+    grouped = cells.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct("i", "id", "c", "n_shingles", "marks")).alias("rows"))
+    least = least_agreement(percent, bins)
 
     @F.pandas_udf("array<struct<a: long, b: long>>")
     def cross(lo: pd.Series, hi: pd.Series, rows: pd.Series) -> pd.Series:
         out = []
         for l, h, cell in zip(lo, hi, rows, strict=True):
-            left = [r for r in cell if r["i"] == l]
-            right = [r for r in cell if r["i"] == h]
-            out.append([{"a": min(x["id"], y["id"]), "b": max(x["id"], y["id"])} for x in left for y in right if x["c"] != y["c"] and (l != h or x["id"] < y["id"])])
+            i, ids, c, n = (np.array([r[k] for r in cell], np.int64) for k in ("i", "id", "c", "n_shingles"))
+            seen = np.frombuffer(b"".join(r["marks"] for r in cell), np.uint8).reshape(len(cell), -1)
+            ok = (i[:, None] == l) & (i[None, :] == h) & (c[:, None] != c[None, :])
+            ok &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
+            if l == h:
+                ok &= ids[:, None] < ids[None, :]
+            x, y = np.nonzero(ok)
+            close = np.concatenate([(seen[x[k : k + 4096]] == seen[y[k : k + 4096]]).mean(axis=1) >= least for k in range(0, len(x), 4096)] or [np.empty(0, bool)])
+            out.append([{"a": min(p, q), "b": max(p, q)} for p, q in zip(ids[x[close]].tolist(), ids[y[close]].tolist(), strict=True)])
         return pd.Series(out)
 
-    return grouped.select(F.explode(cross("lo", "hi", "rows")).alias("p")).select("p.a", "p.b")
+    return grouped.select(F.explode(cross("lo", "hi", "rows")).alias("p")).select("p.a", "p.b").distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
