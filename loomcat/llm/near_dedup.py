@@ -73,7 +73,7 @@ def shingles(words: list[bytes], width: int = WORDS) -> np.ndarray:
     k = min(width, len(w))
     h = np.full(len(w) - k + 1, k, np.uint64)
     for i in range(k):
-        h = h * _MIX[0] + mix(w[i : len(w) - k + 1 + i] + np.uint64(i))
+        h = h * _MIX[0] + w[i : len(w) - k + 1 + i]
     return np.unique(mix(h))
 
 
@@ -97,11 +97,9 @@ def sketch(items: np.ndarray, bins: int = BINS) -> np.ndarray:
 
 
 def band_keys(coordinates: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    rows = coordinates.reshape(bands, -1)
-    h = np.arange(1, bands + 1, dtype=np.uint64) * _MIX[4]
-    for i in range(rows.shape[1]):
-        h = h * _MIX[0] + mix(rows[:, i])
-    return mix(h).view(np.int64)
+    rows = mix(coordinates).reshape(bands, -1)
+    powers = np.cumprod(np.full(rows.shape[1], _MIX[0]))
+    return mix((rows * powers).sum(axis=1) + np.arange(1, bands + 1, dtype=np.uint64) * _MIX[4]).view(np.int64)
 
 
 def sketches(docs: DataFrame, width: int = WORDS, bins: int = BINS, bands: int = BANDS) -> DataFrame:
