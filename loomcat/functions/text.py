@@ -15,10 +15,14 @@ def ascii_word(pattern: str) -> str:
     return rf"(?<![A-Za-z0-9_])(?:{pattern})(?![A-Za-z0-9_])"
 
 
-@F.pandas_udf("string")
-def fold_compatible(text: pd.Series) -> pd.Series:
+def fold_compatible(text: Column) -> Column:
     """NFKD without combining marks; Spark has no Unicode normaliser."""
-    return text.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
+
+    @F.pandas_udf("string")
+    def fold(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
+
+    return fold(text)
 
 
 def match_form(text: Column) -> Column:
