@@ -14,7 +14,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loomcat.llm import near_dedup, packing, quality, secrets
 from loomcat.llm.common import materialise, ship, table
@@ -35,10 +34,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked; ``n_chars`` follows a text that changes."""
-    before = docs.withColumn("_before", F.col("text"))
-    clean = secrets.redact(before)
-    changed = ~F.col("text").eqNullSafe(F.col("_before"))
-    return clean.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return secrets.redact(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -206,7 +206,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     seen = materialise(sketches(source, width, bins, bands), "sketches")
     classes = seen.filter("id is not null and word_digest is not null").groupBy("word_digest").agg(F.min("id").alias("rep"))
     own = lambda c: F.when(F.col("id") == F.col("rep"), F.col(c)).alias(c)
-    rows = materialise(seen.join(classes, "word_digest", "left").select("id", "n_shingles", "rep", own("keys"), own("marks")), "rows")
+    rows = materialise(seen.join(classes, "word_digest", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep"), own("keys"), own("marks")), "rows")
 
     keys = rows.filter("keys is not null").select("id", "n_shingles", F.explode("keys").alias("key"))
     buckets = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("_first"), F.max("id").alias("_last"), F.count("*").alias("size")).filter("_first.id < _last")

@@ -394,8 +394,9 @@ def masked(text: str, spans: list[Span]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with secrets masked in the text; other texts and columns, nulls too, as they are."""
+def redact(docs: DataFrame, text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` with secrets masked in the text and the length of texts that change; other
+    texts and columns, nulls too, as they are."""
     import pickle
 
     ship(docs.sparkSession)
@@ -406,7 +407,9 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
         field = _field(packed)
         return texts.map(lambda x: None if x is None else masked(x, all_spans(x, field)[1]))
 
-    return docs.withColumn(text_col, clean(F.col(text_col)))
+    new = clean(F.col(text_col))
+    length = F.when(new.eqNullSafe(F.col(text_col)), F.col(length_col)).otherwise(F.length(new).cast("long")).alias(length_col)
+    return docs.select(*[new.alias(c) if c == text_col else length if c == length_col else F.col(c) for c in docs.columns])
 
 
 def op4_secret_field(spark: SparkSession, sf_dir: str) -> DataFrame:

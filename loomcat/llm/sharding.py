@@ -11,7 +11,8 @@ The key is the id, then a hash of id and text. All work on rows is native; the d
 holds splitters and range totals, whose number is bounded by ``most_ranges``.
 
 Defined results: a null text has no bytes; a null id sorts first; repeated rows are
-rows of their own, next to each other; an empty table gives an empty result.
+rows of their own, next to each other; an empty table gives an empty result; columns of
+the input named like those that are added are replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -96,7 +97,8 @@ def splitters_for(rows: DataFrame, total: int, ranges: int, rounds: int = 3) ->
 def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_col: str = "text", most_ranges: int = MOST_RANGES) -> DataFrame:
     """The rows of ``docs`` with ``size, text_crc32, law, shard, slot, grown_shard``."""
     own = [c for c in docs.columns if c not in ("size", "text_crc32", "law", "shard", "slot", "grown_shard")]
-    rows = keyed(docs.select(*own), id_col, text_col)
+    safe = {c: f"own_{k}" for k, c in enumerate(own)}  # no clash with the names used here
+    rows = keyed(docs.select(*[F.col(c).alias(n) for c, n in safe.items()]), safe[id_col], safe[text_col])
     narrow = materialise(rows.select("_id", "_hash", "_size"), "keys")
     total = narrow.agg(F.sum("_size")).first()[0] or 0
     if not total:
@@ -120,7 +122,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     starts = dict(placed(narrow).groupBy("_shard").agg(F.min("_place")).collect())
     start = F.array(*[F.lit(starts.get(k, 0)).cast("long") for k in range(shards)])
     return placed(rows).select(
-        *own,
+        *[F.col(n).alias(c) for c, n in safe.items()],
         F.col("_size").alias("size"),
         F.col("_crc").alias("text_crc32"),
         F.lit("bytes").alias("law"),
