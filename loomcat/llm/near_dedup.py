@@ -212,8 +212,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("_first"), F.max("id").alias("_last"), F.count("*").alias("size")).filter("_first.id < _last")
     members = materialise(keys.join(buckets.select("key", "size", F.col("_first.id").alias("pivot"), F.col("_first.n_shingles").alias("pivot_n")), "key"), "members")
     ids = members.select("id").distinct()
-    marks = materialise(rows.filter("keys is not null").select("id", "marks").join(ids, "id", "left_semi"), "marks")
-    texts = materialise(source.join(ids, "id", "left_semi"), "texts")
+    marks = materialise(rows.filter("keys is not null").select("id", "marks", "keys").join(ids, "id", "left_semi"), "marks")
+    # the ids grow with the input, so this is a merge join at every size
+    texts = materialise(source.join(ids.hint("merge"), "id", "left_semi"), "texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
         return materialise(confirmed(pairs, texts, width, percent), "links")
@@ -240,7 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         components = grown(components, linked(plausible(star, marks, percent, bins)))
         left = open_buckets(left, components)
         if not left.isEmpty():
-            components = grown(components, linked(cross_pairs(left, marks, percent, bins)))
+            components = grown(components, materialise(cross_links(left, marks, texts, width, percent, bins), "links"))
     out = rows.join(components.withColumnRenamed("id", "rep"), "rep", "left")
     return out.select(
         F.col("id").alias(id_col),
@@ -250,32 +251,49 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def cross_pairs(members: DataFrame, marks: DataFrame, percent: int, bins: int, block: int = BLOCK) -> DataFrame:
-    """The pairs ``a < b`` of a bucket's members in different components that sizes and
-    sketches allow. A bucket of n members is split into n / block blocks, and each pair of
-    blocks is a group of its own, so a group holds about two blocks whatever the bucket's size."""
-    blocks = members.join(marks, "id").withColumn("m", F.ceil(F.col("size") / block).cast("int")).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
-    cells = blocks.select("key", "id", "c", "n_shingles", "marks", "i", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
-    cells = cells.select("key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), "i", "id", "c", "n_shingles", "marks")
-    grouped = cells.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct("i", "id", "c", "n_shingles", "marks")).alias("rows"))
+def cross_links(members: DataFrame, marks: DataFrame, texts: DataFrame, width: int, percent: int, bins: int, block: int = BLOCK) -> DataFrame:
+    """The alike ``a, b`` among a bucket's members in different components.
+
+    A bucket of n members is split into n / block blocks, and each pair of blocks is a
+    group of its own, so a group holds about two blocks whatever the bucket's size. In a
+    group, pairs that sizes and sketches allow are compared on their shingle sets; a pair
+    that shares several buckets is compared in that of its first common key only."""
+    blocks = members.join(marks, "id").join(texts, "id").withColumn("m", F.ceil(F.col("size") / block).cast("int")).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
+    own = ["i", "id", "c", "n_shingles", "marks", "keys", "text"]
+    cells = blocks.select("key", *own, F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
+    cells = cells.select("key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), *own)
+    grouped = cells.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct(*own)).alias("rows"))
     least = least_agreement(percent, bins)
 
     @F.pandas_udf("array<struct<a: long, b: long>>")
-    def cross(lo: pd.Series, hi: pd.Series, rows: pd.Series) -> pd.Series:
+    def cross(key: pd.Series, lo: pd.Series, hi: pd.Series, rows: pd.Series) -> pd.Series:
         out = []
-        for l, h, cell in zip(lo, hi, rows, strict=True):
-            i, ids, c, n = (np.array([r[k] for r in cell], np.int64) for k in ("i", "id", "c", "n_shingles"))
+        for k, l, h, cell in zip(key, lo, hi, rows, strict=True):
+            i, ids, c, n = (np.array([r[f] for r in cell], np.int64) for f in ("i", "id", "c", "n_shingles"))
             seen = np.frombuffer(b"".join(r["marks"] for r in cell), np.uint8).reshape(len(cell), -1)
+            keys = np.array([r["keys"] for r in cell], np.int64)
             ok = (i[:, None] == l) & (i[None, :] == h) & (c[:, None] != c[None, :])
             ok &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
             if l == h:
                 ok &= ids[:, None] < ids[None, :]
-            x, y = np.nonzero(ok)
-            close = np.concatenate([(seen[x[k : k + 4096]] == seen[y[k : k + 4096]]).mean(axis=1) >= least for k in range(0, len(x), 4096)] or [np.empty(0, bool)])
-            out.append([{"a": min(p, q), "b": max(p, q)} for p, q in zip(ids[x[close]].tolist(), ids[y[close]].tolist(), strict=True)])
+            sets: dict[int, np.ndarray] = {}
+            links = []
+            x_all, y_all = np.nonzero(ok)
+            parts = [(x_all[p : p + 4096], y_all[p : p + 4096]) for p in range(0, len(x_all), 4096)]
+            near = [np.stack([x, y], axis=1)[(seen[x] == seen[y]).mean(axis=1) >= least] for x, y in parts]
+            for x, y in (pair for part in near for pair in part.tolist()):
+                if keys[x][np.argmax(keys[x] == keys[y])] != k:
+                    continue
+                for z in (x, y):
+                    if z not in sets:
+                        sets[z] = shingles(words_of(cell[z]["text"]), width)
+                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+                if 100 * both >= percent * (n[x] + n[y] - both):
+                    links.append({"a": min(ids[x], ids[y]), "b": max(ids[x], ids[y])})
+            out.append(links)
         return pd.Series(out)
 
-    return grouped.select(F.explode(cross("lo", "hi", "rows")).alias("p")).select("p.a", "p.b").distinct()
+    return grouped.select(F.explode(cross("key", "lo", "hi", "rows")).alias("p")).select("p.a", "p.b").distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
