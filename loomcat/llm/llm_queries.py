@@ -37,6 +37,26 @@ ORACLES: dict[str, str] = {
         SELECT query_id, rank::INT AS rank, vec_id, score
         FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
         WHERE rank <= 5""",
+    "op2_block_labeller": r"""
+        WITH a AS (SELECT page_id, url, regexp_extract(html, '<article>(.*)</article>', 1, 's') AS h FROM pages),
+        b AS (SELECT page_id, url, list_transform(string_split_regex(replace(h, '<br>', ' '), '</?(?:p|h1)>'), lambda x: regexp_replace(x, '<[^>]*>', '', 'g')) AS parts FROM a),
+        c AS (SELECT page_id, url, list_transform(parts, lambda x: regexp_replace(replace(replace(replace(x, '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g')) AS parts FROM b),
+        d AS (SELECT page_id, url, list_filter(list_transform(parts, lambda x: trim(regexp_replace(x, '\s+', ' ', 'g'))), lambda x: x <> '') AS parts FROM c)
+        SELECT page_id, url, coalesce(array_to_string(parts, chr(10)), '') AS text, length(coalesce(array_to_string(parts, chr(10)), '')) AS n_chars FROM d""",
+    "op5_minhash_near_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n_shingles FROM s GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 85 * (x.n_shingles + y.n_shingles - k)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT reach.doc_id, edges.b FROM reach JOIN edges ON edges.a = reach.other),
+        c AS (SELECT doc_id, min(other) AS least FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n_shingles, 0) AS n_shingles, least(doc_id, coalesce(least, doc_id)) AS component_id, doc_id = least(doc_id, coalesce(least, doc_id)) AS kept
+        FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)""",
     "op10_zip_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n FROM pages),
         c AS (SELECT page_id, html, n, max(page_id) OVER (PARTITION BY html) AS last FROM p)
