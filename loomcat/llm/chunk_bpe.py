@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table, text_or_empty, tokenizer_file
+from .common import map_batches, ship, table, text_or_empty, tokenizer_file
 from .tokens import ByteBpe
 
 ODD_SPACE = re.compile(r"[^\S \n]| [ \n]|\n[ \n]")
@@ -138,8 +138,7 @@ def encode_decode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield out
 
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    out = source.mapInPandas(run, f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
+    out = map_batches(source, run, f"n_tokens long, ids_sha256 string, decoded_sha256 string{more}")
     return out.withColumnRenamed("id", id_col)
 
 

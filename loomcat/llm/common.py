@@ -33,6 +33,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def map_batches(source: DataFrame, run, columns: str) -> DataFrame:
+    """``mapInPandas`` over a frame with a column ``id``, which comes first in the result.
+    Whole-number ids travel as texts: pandas makes numbers with nulls among them inexact."""
+    kind = source.schema["id"].dataType.simpleString()
+    if kind not in ("bigint", "int", "smallint", "tinyint"):
+        return source.mapInPandas(run, f"id {kind}, {columns}")
+    out = source.withColumn("id", F.col("id").cast("string")).mapInPandas(run, f"id string, {columns}")
+    return out.withColumn("id", F.col("id").cast(kind))
+
+
 _shipped: set[str] = set()
 
 

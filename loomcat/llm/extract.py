@@ -34,7 +34,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table, text_or_empty
+from .common import map_batches, ship, table, text_or_empty
 from .tokens import _Memo
 
 # Elements that end a block, that have no end tag, and whose content is no text.
@@ -443,8 +443,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             yield pd.DataFrame({"id": batch["id"].array, "url": batch["url"].array, "text": texts, "n_chars": [len(t) for t in texts]})
 
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text_or_empty(html_col).alias("html"))
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(run, f"id {kind}, url string, text string, n_chars long").withColumnsRenamed({"id": id_col, "url": url_col})
+    return map_batches(source, run, "url string, text string, n_chars long").withColumnsRenamed({"id": id_col, "url": url_col})
 
 
 def op2_block_labeller(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table, text_or_empty
+from .common import map_batches, ship, table, text_or_empty
 
 RATE, BLOCK = 8000, 192
 FRAME, HOP = 256, 128
@@ -119,8 +119,7 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             yield out
 
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    out = source.mapInPandas(run, f"id {kind}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string{more}")
+    out = map_batches(source, run, f"n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string{more}")
     return out.withColumnRenamed("id", id_col)
 
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, ship, table, text_or_empty
+from .common import map_batches, materialise, ship, table, text_or_empty
 from .tokens import _Memo
 
 WORDS = 5
@@ -120,7 +120,7 @@ def sketches(docs: DataFrame, width: int = WORDS, bins: int = BINS, bands: int =
             out.insert(0, "id", batch["id"].array)
             yield out
 
-    return docs.mapInPandas(run, "id long, n_shingles long, word_digest binary, keys array<long>, marks binary")
+    return map_batches(docs, run, "n_shingles long, word_digest binary, keys array<long>, marks binary")
 
 
 def least_agreement(percent: int, bins: int, slack: float = SLACK) -> float:

@@ -33,7 +33,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, ship, table, text_or_empty, tokenizer_file
+from .common import map_batches, materialise, ship, table, text_or_empty, tokenizer_file
 from .tokens import WordBpe
 
 CAPACITY = 2048
@@ -62,11 +62,10 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", toke
                     part = data[at : at + 4 * capacity]
                     row = (i, k, at // 4, len(part) // 4, zlib.crc32(part))
                     rows.append((*row, np.frombuffer(part, "<u4").astype(np.int64)) if with_ids else row)
-            yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]).astype({"id": batch["id"].dtype})
+            yield pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
 
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(run, f"id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
+    return map_batches(source, run, "piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * with_ids)
 
 
 def best_configuration(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:

@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ship, table, text_or_empty
+from .common import map_batches, ship, table, text_or_empty
 from .tokens import _Memo
 
 KINDS = ("assign", "access", "hex", "field")
@@ -377,8 +377,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield out
 
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    kind = source.schema["id"].dataType.simpleString()
-    return source.mapInPandas(run, f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string").withColumnRenamed("id", id_col)
+    return map_batches(source, run, "n_assign long, n_access long, n_hex long, base_sha256 string, spans string").withColumnRenamed("id", id_col)
 
 
 MASK = "[SECRET]"

@@ -51,6 +51,7 @@ def odd_rows():
         (7, same, "en", None, None, *CLASH),
         (7, same, "en", None, None, *CLASH),
         (None, same, "en", "a", len(same), *CLASH),
+        (2**53 + 1, "an id that no double holds", "en", "a", None, *CLASH),
         (8, "ünï çödé 漢字 \U0001f600 &amp; \x00 end", "xx", "b", 25, *CLASH),
     ]
 
