@@ -204,13 +204,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ship(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     seen = materialise(sketches(source, width, bins, bands), "sketches")
-    classes = seen.filter("id is not null and word_digest is not null").groupBy("word_digest").agg(F.min("id").alias("rep"))
+    # written before they are joined, so that adaptive execution can split a hot class or bucket
+    classes = materialise(seen.filter("id is not null and word_digest is not null").groupBy("word_digest").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n"), "classes")
     own = lambda c: F.when(F.col("id") == F.col("rep"), F.col(c)).alias(c)
-    rows = materialise(seen.join(classes, "word_digest", "left").select("id", "n_shingles", F.when(F.col("id").isNotNull(), F.col("rep")).alias("rep"), own("keys"), own("marks")), "rows")
+    rep = F.when(F.col("word_digest").isNotNull(), F.coalesce("rep", "id"))
+    with_rep = seen.join(classes.hint("merge"), "word_digest", "left").withColumn("rep", F.when(F.col("id").isNotNull(), rep))
+    rows = materialise(with_rep.select("id", "n_shingles", "rep", own("keys"), own("marks")), "rows")
 
     keys = rows.filter("keys is not null").select("id", "n_shingles", F.explode("keys").alias("key"))
     buckets = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("_first"), F.max("id").alias("_last"), F.count("*").alias("size")).filter("_first.id < _last")
-    members = materialise(keys.join(buckets.select("key", "size", F.col("_first.id").alias("pivot"), F.col("_first.n_shingles").alias("pivot_n")), "key"), "members")
+    buckets = materialise(buckets.select("key", "size", F.col("_first.id").alias("pivot"), F.col("_first.n_shingles").alias("pivot_n")), "buckets")
+    members = materialise(keys.join(buckets.hint("merge"), "key"), "members")
     ids = members.select("id").distinct()
     marks = materialise(rows.filter("keys is not null").select("id", "marks", "keys").join(ids, "id", "left_semi"), "marks")
     # the ids grow with the input, so this is a merge join at every size
