@@ -9,7 +9,8 @@ from ..functions.urls import product_identity
 
 
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
-    """One row a key: the first in ``order``."""
+    """One row a key: the first in ``order``. The filter on the rank becomes a limit a group
+    before the shuffle, so a key that many rows share sends one row a task."""
     at = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(at)).filter("_rank = 1").drop("_rank")
 

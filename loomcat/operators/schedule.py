@@ -42,10 +42,10 @@ def round_robin(df: DataFrame, group: str, *order: Column) -> DataFrame:
 
 def diverse_top(df: DataFrame, brand: str, category: str, k: int, *order: Column) -> DataFrame:
     """The ``k`` rows of each brand that take turns over its categories, largest first."""
-    sized = df.withColumn("_n", F.count("*").over(Window.partitionBy(brand, category)))
-    turn = sized.withColumn("turn", F.row_number().over(Window.partitionBy(brand, category).orderBy(*order)))
+    turn = df.withColumn("turn", F.row_number().over(Window.partitionBy(brand, category).orderBy(*order))).filter(F.col("turn") <= k)  # no later row can be picked
+    sized = turn.join(df.groupBy(brand, category).agg(F.count("*").alias("_n")), [brand, category])
     pick = Window.partitionBy(brand).orderBy("turn", F.desc("_n"), category)
-    return turn.withColumn("pick", F.row_number().over(pick)).filter(F.col("pick") <= k).drop("_n")
+    return sized.withColumn("pick", F.row_number().over(pick)).filter(F.col("pick") <= k).drop("_n")
 
 
 def worklist(sources: DataFrame, streaks: DataFrame, counts: DataFrame, source: str, least: int) -> DataFrame:
