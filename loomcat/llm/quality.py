@@ -220,8 +220,10 @@ def keep_good(docs: DataFrame, model: RuleModel, text_col: str = "text", thresho
     """The rows of ``docs`` that score at least ``threshold``, their columns unchanged."""
     own = {f"_own{k}": c for k, c in enumerate(docs.columns)}  # no clash with the statistics' names
     text = f"_own{docs.columns.index(text_col)}"
-    scored = with_statistics(docs.toDF(*own), text, keep_text=True).filter(model.column() >= threshold)
-    return scored.select(*[F.col(k).alias(c) for k, c in own.items()])
+    # a predicate isn't pushed below a projection with a row number, so the statistics are
+    # computed once a row and not once for every rule that looks at them
+    scored = with_statistics(docs.toDF(*own), text, keep_text=True).withColumns({"_score": model.column(), "_row": F.monotonically_increasing_id()})
+    return scored.filter((F.col("_score") >= threshold) & (F.col("_row") >= 0)).select(*[F.col(k).alias(c) for k, c in own.items()])
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
