@@ -305,7 +305,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     found = materialise(near_duplicates(docs.select(id_col, text_col), id_col, text_col, **options), "found")
     ids = found.filter(F.col(id_col).isNotNull())
     gone = ids.filter("not kept").select(id_col).distinct()
-    kept = docs.join(gone, id_col, "left_anti")
+    kept = docs.join(gone.hint("merge"), id_col, "left_anti")  # the ids grow with the input
     repeated = materialise(ids.groupBy(id_col).count().filter("count > 1").select(id_col), "repeated")
     if not repeated.isEmpty():
         once = kept.join(repeated, id_col, "left_semi").dropDuplicates([id_col, text_col])
