@@ -14,9 +14,10 @@ pages of similar length share a batch.
 
 Defined results: a null html counts as empty; a page without main blocks has an empty
 text; white space is what ``str.split`` splits at; line breaks inside a block are white
-space; an unclosed script, style or comment reaches to the end of the page; repeated rows
-give repeated results and an empty table an empty one; columns other than id, url and
-html are ignored.
+space; an unclosed comment or element of raw text (``script``, ``style``, ``textarea``,
+``title``, ``iframe``) reaches to the end of the page, and of any other unclosed element
+only the tag is skipped; repeated rows give repeated results and an empty table an empty
+one; columns other than id, url and html are ignored.
 """
 
 from __future__ import annotations
@@ -37,17 +38,20 @@ from pyspark.sql import functions as F
 from .common import map_batches, ship, table, text_or_empty
 from .tokens import _Memo
 
-# Elements that end a block, that have no end tag, and whose content is no text.
+# Elements that end a block, that have no end tag, and whose content is no text
+# (raw text, which only its own end tag ends, and SKIPPED, which can nest).
 BLOCKS = frozenset("address article aside blockquote body button caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|textarea|title|iframe|svg|object|canvas)\b[^>]*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title|iframe)(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
     r"|<(/?)([a-z][^\s/>]*+)([^>]*+)>"
     r"|<[!?/][^>]*+>",
     re.I | re.S,
 )
+SKIPPED = frozenset("noscript template svg object canvas".split())
+FOREIGN = re.compile(r"<!--.*?(?:-->|\Z)|()<(/?)(svg)(?=[\s/>])((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.I | re.S)  # groups as in MARKUP; no raw text inside svg
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PATH, WORDS, NUMBERS, HIDDEN = 256, 64, 6, 20
 
@@ -67,8 +71,35 @@ def elements(tag: str, attributes: str) -> tuple[str, ...]:
     return (tag, *[f".{x}" for x in names])
 
 
+def tag_of(m: re.Match) -> tuple[str, bool, str]:
+    """Name, whether it is an end tag, and attributes; no name for what is no tag."""
+    slash, name, attributes = (m[2], m[3], m[4]) if m[3] or m.re is FOREIGN else (m[5], m[6], m[7])
+    return (name or "").lower(), bool(slash), attributes or ""
+
+
+def ends_of(page: str, skipped: str) -> dict[int, int]:
+    """Where the elements ``skipped`` end, by where they start; none for unclosed ones."""
+    out: dict[int, int] = {}
+    opened: list[int] = []
+    at = 0
+    while m := (FOREIGN if skipped == "svg" and opened else MARKUP).search(page, at):
+        at = m.end()
+        tag, end, attributes = tag_of(m)
+        if tag != skipped:
+            continue
+        if end:
+            if opened:
+                out[opened.pop()] = at
+        elif tag == "svg" and attributes.endswith("/"):
+            out[m.start()] = at
+        else:
+            opened.append(m.start())
+    return out
+
+
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
+    ends: dict[str, dict[int, int]] = {}
     stack: list[tuple[str, tuple[str, ...]]] = []
     held: list[str] = []
     link, linked, at = 0, 0, 0
@@ -94,14 +125,16 @@ def blocks_of(page: str) -> list[Block]:
                 del stack[k:]
                 return
 
-    for m in MARKUP.finditer(page):
+    while m := MARKUP.search(page, at):
         take(page[at : m.start()])
         at = m.end()
-        slash, name, attributes = (m[2], m[3], m[4]) if m[3] else (m[5], m[6], m[7])
-        if name is None:
-            continue
-        tag = name.lower()
-        if tag in BLOCKS:
+        tag, slash, attributes = tag_of(m)
+        if tag in SKIPPED:
+            if not slash:
+                if tag not in ends:
+                    ends[tag] = ends_of(page, tag)
+                at = ends[tag].get(m.start(), at)
+        elif tag in BLOCKS:
             close()
             if slash:
                 leave(tag)

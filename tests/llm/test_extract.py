@@ -19,6 +19,19 @@ def test_blocks_and_references():
     assert extract.blocks_of("<ul><li>a<li>b</ul>")[1].path == ("ul", "li")
 
 
+def test_only_skipped_elements_are_skipped():
+    texts = lambda page: [b.text for b in extract.blocks_of(page)]
+    for icon in ('<svg-icon x="1"></svg-icon>', "<title-bar>", "<object-view/>", '<svg class="i"/>', "<svg/>", '<svg class="i">', '<object data="x">', "<canvas>", "<noscript>", "<template>"):
+        assert texts(f"a{icon}<p>b</p>") == ["a", "b"], icon
+    for tag in ("script", "style", "textarea", "title", "iframe"):
+        assert texts(f"a<{tag}>x<p>b</p>") == ["a"] and texts(f"a<{tag} id=1>x</{tag}><p>b</p>") == ["a", "b"]
+    for tag in ("svg", "object", "canvas", "noscript", "template"):
+        assert texts(f"a<{tag} id=1>x<{tag}>y</{tag}>z</{tag}><p>b</p>") == ["a", "b"]
+        assert texts(f"a<{tag}><p>b</p><{tag}>x</{tag}><p>c</p>") == ["a", "b", "c"]
+    assert texts('a<svg><title/><style>x<path d="M"/></svg><p>b</p>') == ["a", "b"]
+    assert texts('a<object>x<script>"</object>"</script>y</object><p>b</p>') == ["a", "b"]
+
+
 def test_slopes_agree_with_differences():
     import numpy as np
 
