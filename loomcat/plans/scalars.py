@@ -222,8 +222,8 @@ def best_srcset(spark, d):
 @query("s6_shopify_payload", f"WITH {OFFERS}, v AS (SELECT product_id, min(CASE WHEN sale IS NOT NULL THEN sale END) AS cheapest_sale, min(original) AS cheapest, count(*) AS variants, bool_or(in_stock) AS in_stock FROM offers GROUP BY 1) SELECT product_id, coalesce(cheapest_sale, cheapest) AS price, variants, in_stock FROM v")
 def shopify_payload(spark, d):
     variant = F.struct(F.col("original").alias("compare_at_price"), F.coalesce("sale", "original").alias("price"), F.col("in_stock").alias("available"))
-    # the payloads that the parser reads, one a product
-    raw = offers(spark, d).groupBy("product_id").agg(F.to_json(F.struct(F.collect_list(variant).alias("variants"))).alias("payload"))
+    # the payloads that the parser reads, several for a product with many offers
+    raw = payloads.shopify_payloads(offers(spark, d), "product_id", "order_id", "line", variant)
     return payloads.shopify_variants(raw, "product_id", "payload")
 
 

@@ -161,6 +161,15 @@ def test_payloads(spark):
     assert [tuple(r) for r in registry.payload_objects(deep, "k", "p").collect()] == [(1, "1", "x", 2.0)]
 
 
+def test_payloads_of_a_large_product_are_bounded(spark):
+    df = spark.range(5000).select(F.lit(1).alias("p"), F.floor(F.col("id") / 50).alias("o"), (F.col("id") % 50).alias("l"), (F.col("id") + 10.0).alias("x"))
+    df = df.unionByName(spark.createDataFrame([(2, 7, 1, 9.0)], "p int, o long, l long, x double"))
+    variant = F.struct((F.col("x") + (F.col("x") > 2000).cast("double")).alias("compare_at_price"), F.col("x").alias("price"), (F.col("x") == 5009).alias("available"))
+    raw = payloads.shopify_payloads(df, "p", "o", "l", variant)
+    assert raw.select(F.max(F.size(F.from_json("payload", payloads.VARIANTS)["variants"]))).first()[0] <= 1024
+    assert sorted(map(tuple, payloads.shopify_variants(raw, "p", "payload").collect())) == [(1, 2001.0, 5000, True), (2, 9.0, 1, False)]
+
+
 def test_parser_registry():
     r = registry.ParserRegistry()
     r.register("a", lambda df: df)
