@@ -17,6 +17,11 @@ def compatible_fold(spark, d):
     return table(spark, d, "documents").filter("lang = 'fr'").select("doc_id", F.sha2(F.lower(text.fold_compatible(F.substring("text", 1, 200))), 256).alias("folded"))
 
 
+@query("x1_compatible_fold_whole", "SELECT doc_id, sha256(lower(strip_accents(nfc_normalize(text)))) AS folded FROM documents")
+def compatible_fold_whole(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(F.lower(text.fold_compatible(F.col("text"))), 256).alias("folded"))
+
+
 @query("x1_match_form", "SELECT p_partkey, trim(regexp_replace(lower(translate(p_name || '_' || p_type || '-' || p_brand, '_-', '  ')), '\\s+', ' ', 'g')) AS form FROM part")
 def match_form(spark, d):
     return table(spark, d, "part").select("p_partkey", text.match_form(F.concat("p_name", F.lit("_"), "p_type", F.lit("-"), "p_brand")).alias("form"))
@@ -60,6 +65,11 @@ def safe_message(spark, d):
     return table(spark, d, "documents").select("doc_id", text.safe_message(F.col("text"), 300).alias("message"))
 
 
+@query("x7_safe_message_whole", "SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(text, 'https?://[^\\s\"'']+', '[url]', 'g'), '(?i)bearer\\s+[A-Za-z0-9._~+/-]+=*', 'Bearer [hidden]', 'g'), '(?i)(token|password|secret|api_?key)\\s*[=:]\\s*[^\\s,;]+', '\\1=[hidden]', 'g'), 1, 2000) AS message FROM documents")
+def safe_message_whole(spark, d):
+    return table(spark, d, "documents").select("doc_id", text.safe_message(F.col("text")).alias("message"))
+
+
 @query("x8_body_measurements", "SELECT event_id, TRY_CAST(nullif(regexp_extract('height ' || (100 + event_id % 99) || ' cm, ' || (event_id % 120) || 'kg', '(\\d{2,3})\\s*cm', 1), '') AS INT) AS height, TRY_CAST(nullif(regexp_extract('height ' || (100 + event_id % 99) || ' cm, ' || (event_id % 120) || 'kg', '(\\d{2,3})\\s*kg', 1), '') AS INT) AS weight FROM events")
 def body_measurements(spark, d):
     t = F.concat(F.lit("height "), 100 + F.col("event_id") % 99, F.lit(" cm, "), F.col("event_id") % 120, F.lit("kg"))
@@ -144,6 +154,12 @@ def array_cleaning(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(F.array_distinct(w)), ",").alias("words"))
 
 
+@query("x19_array_cleaning_whole", "SELECT doc_id, list_distinct(list_filter(list_transform(string_split(text, ' '), lambda x: lower(x)), lambda x: x IN ('the', 'la', 'de', 'and'))).list_sort().array_to_string(',') AS words FROM documents")
+def array_cleaning_whole(spark, d):
+    w = F.filter(F.transform(F.split("text", " "), lambda x: F.lower(x)), lambda x: x.isin("the", "la", "de", "and"))
+    return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(F.array_distinct(w)), ",").alias("words"))
+
+
 GENDER = [Rule("kids", text.ascii_word("kids|junior|baby")), Rule("women", text.ascii_word("women|ring")), Rule("men", text.ascii_word("men|bolt"))]
 
 
