@@ -1,7 +1,9 @@
-"""Running totals over a whole table without one task that sees all rows."""
+"""Running totals and places over a whole table without one task that sees all rows."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,3 +22,18 @@ def running_total(df: DataFrame, key: str, value: Column, name: str, ranges: int
     sums = cut.groupBy("_range").agg(F.sum("_value").alias("_sum")).select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     within = F.sum("_value").over(Window.partitionBy("_range").orderBy(key))
     return cut.join(F.broadcast(sums), "_range").withColumn(name, F.col("_before") + within).drop("_range", "_value", "_before")  # at most `ranges` sums
+
+
+def placed(df: DataFrame, *order: Column, name: str = "place", ranges: int = 64) -> DataFrame:
+    """``df`` with ``name``: each row's place, from 1 on, among all rows by ``order``, which has no ties.
+
+    The rows are sorted by ranges into the shared folder, so that their ranges cannot
+    change; only the ``ranges`` counts are ordered in one place."""
+    spark = df.sparkSession
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    path = f"{folder.rstrip('/')}/placed-{uuid.uuid4().hex}"
+    df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_range", F.shiftright("_at", 33)).withColumn("_row", F.col("_at").bitwiseAND(2**33 - 1))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return rows.join(F.broadcast(counts), "_range").withColumn(name, F.col("_before") + F.col("_row") + 1).drop("_at", "_range", "_row", "_before")  # at most `ranges` counts

@@ -393,6 +393,13 @@ def image_ranking(spark, d):
     return table(spark, d, "events").withColumn("place", F.row_number().over(w)).filter("place <= 3").select("user_id", "event_id", "place")
 
 
+@query("o5_image_ranking_whole", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, value DESC, event_id)::INT AS place FROM events")
+def image_ranking_whole(spark, d):
+    tier = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "click", 1).otherwise(2)
+    w = Window.partitionBy("user_id").orderBy(tier, F.desc("value"), "event_id")
+    return table(spark, d, "events").withColumn("place", F.row_number().over(w)).select("user_id", "event_id", "place")
+
+
 # ---- composites ----
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import money
 from ..operators import listing as L
 from ..operators import schedule
+from ..operators.ordering import placed
 from .frames import CUTOFF, LISTING, OFFERS, RUNS, STORED, listing, offers, runs, stored
 from .registry import query, table
 
@@ -262,6 +263,11 @@ def round_robin(spark, d):
     return schedule.round_robin(stored(spark, d), "brand", F.col("last_seen_at"), F.col("id")).filter("turn <= 10").select("id", "turn")
 
 
+@query("o3_round_robin_whole", f"WITH {STORED} SELECT id, row_number() OVER (PARTITION BY brand ORDER BY last_seen_at, id)::INT AS turn FROM stored")
+def round_robin_whole(spark, d):
+    return schedule.round_robin(stored(spark, d), "brand", F.col("last_seen_at"), F.col("id")).select("id", "turn")
+
+
 @query(
     "o4_diverse_top",
     f"""WITH {STORED}, t AS (SELECT *, count(*) OVER (PARTITION BY brand, category) AS n, row_number() OVER (PARTITION BY brand, category ORDER BY in_stock DESC, last_seen_at DESC, id) AS turn FROM stored)
@@ -285,6 +291,18 @@ def oldest_order(spark, d):
     return stored(spark, d).orderBy(F.when(F.col("in_stock"), 0).otherwise(1), F.desc("last_seen_at"), "id").select("id").limit(50)
 
 
+@query("o1_worklist_order_whole", f"WITH {RUNS}, a AS (SELECT s_suppkey AS source, max(started_at) AS last FROM supplier LEFT JOIN runs ON source = s_suppkey GROUP BY 1) SELECT source, row_number() OVER (ORDER BY last NULLS FIRST, source) AS place FROM a")
+def worklist_order_whole(spark, d):
+    last = runs(spark, d).groupBy("source").agg(F.max("started_at").alias("last"))
+    sources = table(spark, d, "supplier").select(F.col("s_suppkey").alias("source")).join(last, "source", "left")
+    return placed(sources, F.asc_nulls_first("last"), F.asc("source")).select("source", "place")
+
+
+@query("o2_oldest_order_whole", f"WITH {STORED} SELECT id, row_number() OVER (ORDER BY CASE WHEN in_stock THEN 0 ELSE 1 END, last_seen_at DESC, id) AS place FROM stored")
+def oldest_order_whole(spark, d):
+    return placed(stored(spark, d), F.when(F.col("in_stock"), 0).otherwise(1).asc(), F.desc("last_seen_at"), F.asc("id")).select("id", "place")
+
+
 @query("o6_claim_limit", f"WITH {RUNS} SELECT run_id FROM runs WHERE status = 'running' ORDER BY started_at, run_id LIMIT 10")
 def claim_limit(spark, d):
     return runs(spark, d).filter("status = 'running'").orderBy("started_at", "run_id").limit(10).select("run_id")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import money, numbers, text, urls
 from ..operators import matching as M
+from ..operators.ordering import placed
 from ..rules import Rule, first_match
 from ..sources import payloads
 from .frames import OFFERS, offers
@@ -268,6 +270,14 @@ def keyset_scan(spark, d):
     return table(spark, d, "orders").filter("o_orderkey > 100").orderBy("o_orderkey").limit(500).select("o_orderkey", "o_totalprice")
 
 
+@query("s3_keyset_scan_whole", "SELECT o_orderkey, o_totalprice, row_number() OVER w AS place, coalesce(o_orderkey > lag(o_orderkey) OVER w, true) AS increasing FROM orders WINDOW w AS (ORDER BY o_orderkey, o_totalprice)")
+def keyset_scan_whole(spark, d):
+    """All pages in order; ids increase strictly where no row before has the same one."""
+    o = placed(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), F.asc("o_orderkey"), F.asc("o_totalprice"))
+    first = F.row_number().over(Window.partitionBy("o_orderkey").orderBy("place")) == 1
+    return o.withColumn("increasing", first)
+
+
 @query("s4_batched_lookup", "SELECT p_partkey, label FROM part LEFT JOIN embeddings ON vec_id = p_partkey WHERE p_size < 10")
 def batched_lookup(spark, d):
     return table(spark, d, "part").filter("p_size < 10").join(table(spark, d, "embeddings").select(F.col("vec_id").alias("p_partkey"), "label"), "p_partkey", "left").select("p_partkey", "label")

@@ -3,6 +3,8 @@
 import hashlib
 
 from loomcat.catalogue_queries import QUERIES
+from loomcat.operators.ordering import placed
+from pyspark.sql import functions as F
 
 
 def rows(spark, folder, name):
@@ -16,3 +18,17 @@ def test_whole_texts(spark, tmp_path):
     assert rows(spark, tmp_path, "x1_compatible_fold_whole") == [(k, hashlib.sha256(folded[k].encode()).hexdigest() if k in folded else None) for k in texts]
     assert rows(spark, tmp_path, "x19_array_cleaning_whole") == [(1, "de,the"), (2, ""), (3, None), (4, "")]
     assert rows(spark, tmp_path, "x7_safe_message_whole") == [(1, texts[1][1].replace("abc", "[hidden]")), (2, ""), (3, None), (4, "y" * 2000)]
+
+
+def test_places_over_all_rows(spark, tmp_path):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 != 0, F.col("id") % 7).alias("a"), "id")
+    order = sorted(range(3000), key=lambda k: (k % 3 != 0, k % 7 if k % 3 else 0, -k))
+    got = {r.id: r.place for r in placed(df, F.asc_nulls_first("a"), F.desc("id")).collect()}
+    assert got == {k: n for n, k in enumerate(order, 1)}
+    assert placed(df.limit(0), F.asc("id")).count() == 0
+
+
+def test_scan_says_where_ids_do_not_increase(spark, tmp_path):
+    spark.createDataFrame([(k, float(k)) for k in range(1, 801)] + [(50, 60.0)], "o_orderkey long, o_totalprice double").write.parquet(f"file://{tmp_path}/orders.parquet")
+    got = rows(spark, tmp_path, "s3_keyset_scan_whole")
+    assert len(got) == 801 and [r for r in got if not r[3]] == [(50, 60.0, 51, False)]
