@@ -59,6 +59,17 @@ def unique_match_lookup(spark, d):
     return M.unique_lookup(p, s, [F.lower("p_brand"), F.lower("p_name")], [F.col("k1"), F.col("k2")], "id", "supplier_id")
 
 
+@query(
+    "j8_unique_match_whole",
+    """WITH k AS (SELECT p_partkey AS id, unnest([lower(p_brand), lower(p_name)]) AS k FROM part), dim AS (SELECT s_suppkey AS dim, unnest(['brand#' || (s_suppkey % 30), 'red widget-' || s_suppkey]) AS k FROM supplier),
+    f AS (SELECT id, min(dim) AS lo, max(dim) AS hi FROM k JOIN dim USING (k) GROUP BY id) SELECT p_partkey AS id, CASE WHEN lo = hi THEN lo END AS supplier_id FROM part LEFT JOIN f ON f.id = p_partkey""",
+)
+def unique_match_whole(spark, d):
+    s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier_id"), F.concat(F.lit("brand#"), F.col("s_suppkey") % 30).alias("k1"), F.concat(F.lit("red widget-"), "s_suppkey").alias("k2"))
+    p = table(spark, d, "part").withColumnRenamed("p_partkey", "id")
+    return M.unique_lookup(p, s, [F.lower("p_brand"), F.lower("p_name")], [F.col("k1"), F.col("k2")], "id", "supplier_id")
+
+
 @query(
     "j9_fuzzy_best",
     """WITH a AS (SELECT DISTINCT p_name || ' ' || lower(p_type) AS t FROM part), l AS (SELECT t AS left_id, t FROM a), r AS (SELECT t AS right_id, replace(t, 'widget', 'widgets') AS t FROM a),
@@ -115,6 +126,14 @@ def audit_joins(spark, d):
     return p.join(e, "p_partkey", "left").join(r, "p_partkey", "left").join(b, "p_brand", "left").select("p_partkey", F.coalesce("e", F.lit(False)).alias("embedded"), F.coalesce("n", F.lit(0)).alias("reviews"), F.coalesce("brands", F.lit("")).alias("brands"))
 
 
+@query("j16_audit_joins_whole", "SELECT p_partkey, e.label IS NOT NULL AS embedded, coalesce(r.n, 0) AS reviews, coalesce(b.n, 0) AS suppliers, b.lo AS supplier FROM part LEFT JOIN embeddings e ON e.vec_id = p_partkey LEFT JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1) r ON r.conv_id = p_partkey LEFT JOIN (SELECT 'Brand#' || (s_suppkey % 25) AS b, count(*) AS n, min(s_suppkey) AS lo FROM supplier GROUP BY 1) b ON b.b = p_brand")
+def audit_joins_whole(spark, d):
+    p, e = table(spark, d, "part"), table(spark, d, "embeddings").select(F.col("vec_id").alias("p_partkey"), F.col("label").isNotNull().alias("e"))
+    r = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("p_partkey")).agg(F.count("*").alias("n"))
+    b = table(spark, d, "supplier").groupBy(F.concat(F.lit("Brand#"), F.col("s_suppkey") % 25).alias("p_brand")).agg(F.count("*").alias("m"), F.min("s_suppkey").alias("supplier"))
+    return p.join(e, "p_partkey", "left").join(r, "p_partkey", "left").join(b, "p_brand", "left").select("p_partkey", F.coalesce("e", F.lit(False)).alias("embedded"), F.coalesce("n", F.lit(0)).alias("reviews"), F.coalesce("m", F.lit(0)).alias("suppliers"), "supplier")
+
+
 @query("j17_two_key_lookup", "SELECT p_partkey, coalesce(a.s_suppkey, b.s_suppkey) AS supplier FROM part LEFT JOIN supplier a ON a.s_suppkey = p_partkey * 3 LEFT JOIN supplier b ON b.s_suppkey = p_partkey")
 def two_key_lookup(spark, d):
     p, s = table(spark, d, "part"), table(spark, d, "supplier")

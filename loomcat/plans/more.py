@@ -226,6 +226,13 @@ def brand_nodes(spark, d):
     return b.join(nodes, "p_brand", "left").select("p_brand", F.when(F.col("node"), "node").when(F.length("p_brand") > 7, "create").otherwise("quarantine").alias("outcome"))
 
 
+@query("c7_brand_nodes_whole", "WITH b AS (SELECT DISTINCT p_brand FROM part) SELECT p_brand, CASE WHEN s_suppkey IS NOT NULL THEN 'node' WHEN length(p_brand) > 7 THEN 'create' ELSE 'quarantine' END AS outcome FROM b LEFT JOIN supplier ON 'Brand#' || s_suppkey = p_brand")
+def brand_nodes_whole(spark, d):
+    b = table(spark, d, "part").select("p_brand").distinct()
+    nodes = table(spark, d, "supplier").select(F.concat(F.lit("Brand#"), "s_suppkey").alias("p_brand"), F.lit(True).alias("node"))
+    return b.join(nodes, "p_brand", "left").select("p_brand", F.when(F.col("node"), "node").when(F.length("p_brand") > 7, "create").otherwise("quarantine").alias("outcome"))
+
+
 HOST = "regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '')"
 
 

@@ -32,3 +32,14 @@ def test_scan_says_where_ids_do_not_increase(spark, tmp_path):
     spark.createDataFrame([(k, float(k)) for k in range(1, 801)] + [(50, 60.0)], "o_orderkey long, o_totalprice double").write.parquet(f"file://{tmp_path}/orders.parquet")
     got = rows(spark, tmp_path, "s3_keyset_scan_whole")
     assert len(got) == 801 and [r for r in got if not r[3]] == [(50, 60.0, 51, False)]
+
+
+def test_all_suppliers(spark, tmp_path):
+    write = lambda name, data, kinds: spark.createDataFrame(data, kinds).write.parquet(f"file://{tmp_path}/{name}.parquet")
+    write("supplier", [(k,) for k in range(1, 62) if k != 29], "s_suppkey long")
+    write("part", [(1, "Brand#1", "a"), (2, "Brand#28", "Red Widget-58"), (3, "Brand#29", "b"), (4, "Brand#60", "Red Widget-61"), (5, "Brand#99", "c")], "p_partkey long, p_brand string, p_name string")
+    write("embeddings", [(1, "x")], "vec_id long, label string")
+    write("conversations", [(1, 0), (1, 1)], "conv_id long, turn int")
+    assert rows(spark, tmp_path, "j8_unique_match_whole") == [(1, None), (2, None), (3, 59), (4, 61), (5, None)]
+    assert rows(spark, tmp_path, "j16_audit_joins_whole") == [(1, True, 2, 3, 1), (2, False, 0, 0, None), (3, False, 0, 0, None), (4, False, 0, 0, None), (5, False, 0, 0, None)]
+    assert rows(spark, tmp_path, "c7_brand_nodes_whole") == [("Brand#1", "node"), ("Brand#28", "node"), ("Brand#29", "create"), ("Brand#60", "node"), ("Brand#99", "create")]
