@@ -49,11 +49,16 @@ def from_wav(data: bytes) -> bytes:
         return w.readframes(w.getnframes())
 
 
+def frame_count(samples: int, frame: int = FRAME, hop: int = HOP) -> int:
+    """Frames that hold all samples, one at least."""
+    return max(1, -(-(samples - frame) // hop) + 1)
+
+
 def spectrum(samples: np.ndarray, frame: int = FRAME, hop: int = HOP) -> np.ndarray:
-    """Magnitudes by frame and frequency of the windowed samples without their mean."""
+    """Magnitudes by frame and frequency of the windowed samples without their mean; silence
+    fills the last frame."""
     x = samples.astype(np.float32) - samples.mean(dtype=np.float64).astype(np.float32)
-    if len(x) < frame:
-        x = np.pad(x, (0, frame - len(x)))
+    x = np.pad(x, (0, (frame_count(len(x), frame, hop) - 1) * hop + frame - len(x)))
     frames = np.lib.stride_tricks.sliding_window_view(x, frame)[::hop]
     return np.abs(np.fft.rfft(frames * np.hanning(frame).astype(np.float32), axis=1))
 
@@ -73,7 +78,7 @@ def fingerprint(samples: np.ndarray, fan: int = FAN, reach: int = REACH) -> tupl
     """Times and hashes of the peak pairs, by time; long inputs go strip by strip,
     each strip with the frames after it that its pairs reach."""
     times, hashes = [], []
-    frames = max(1, (len(samples) - FRAME) // HOP + 1)
+    frames = frame_count(len(samples))
     for begin in range(0, frames, STRIP):
         part = samples[begin * HOP : (begin + STRIP + reach) * HOP + FRAME]
         t, f = peaks(spectrum(part))
@@ -111,7 +116,7 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 samples = np.frombuffer(payload, np.uint8)
                 t, h = fingerprint(samples)
                 pairs = np.stack([t, h], axis=1).astype("<i8")
-                frames = max(1, (len(samples) - FRAME) // HOP + 1)
+                frames = frame_count(len(samples))
                 row = [len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), f"{frames}:{len(t)}:{hashlib.sha1(pairs.tobytes()).hexdigest()}"]
                 rows.append([*row, media, [{"t": a, "hash": b} for a, b in pairs.tolist()]] if with_media else row)
             out = pd.DataFrame(rows, columns=names + ["media", "fingerprint"] * with_media)

@@ -34,3 +34,13 @@ def test_strips_change_nothing(monkeypatch):
     parts = media.fingerprint(x)
     assert len(whole[0]) > 100
     assert abs(len(whole[0]) - len(parts[0])) <= 0.02 * len(whole[0])  # the mean that is taken off differs by strip
+
+
+def test_the_last_samples_are_in_a_frame():
+    r = np.random.default_rng(3)
+    for n in (576, 960, 256 + 128 * 37 + 64):
+        a = r.integers(0, 256, n).astype(np.uint8)
+        b = np.concatenate([a[:-64], a[-64:][::-1]])  # of the same mean
+        assert not all(np.array_equal(x, y) for x, y in zip(media.fingerprint(a), media.fingerprint(b), strict=True))
+        assert len(media.spectrum(a)) == media.frame_count(n) == (n - 256) // 128 + 2
+    assert [media.frame_count(n) for n in (1, 192, 256, 257, 384, 385)] == [1, 1, 1, 2, 2, 3]
