@@ -3,8 +3,13 @@
 A text becomes a mono 8-bit WAV file through the ``wave`` module, one byte a sample.
 The stored bytes are read back the same way; a short-time Fourier transform of the
 samples gives frames, the strongest local maxima of a frame its peaks, and pairs of
-peaks within a few frames the fingerprint: an array of (frame of the first peak,
-hash of both frequencies and the distance).
+peaks within a few frames the fingerprint: a time-coded array, each number of which is
+the frame of the first peak, shifted by ``TIME_BITS``, and a hash of both frequencies
+and the distance.
+
+Long texts are transformed strip by strip. The mean that is taken off is that of all
+samples, and a strip ends where the pairs that begin in it end, so strips give the same
+array as the whole.
 
 Defined results: a null text counts as empty; an empty text is one block of spaces;
 constant samples have no peaks and an empty fingerprint; rows are independent, so
@@ -29,6 +34,7 @@ from .common import map_batches, ship, table, text_or_empty
 RATE, BLOCK = 8000, 192
 FRAME, HOP = 256, 128
 PEAKS, FAN, REACH = 3, 3, 8
+TIME_BITS = 20
 STRIP = 4096
 
 
@@ -54,13 +60,13 @@ def frame_count(samples: int, frame: int = FRAME, hop: int = HOP) -> int:
     return max(1, -(-(samples - frame) // hop) + 1)
 
 
-def spectrum(samples: np.ndarray, frame: int = FRAME, hop: int = HOP) -> np.ndarray:
+def spectrum(samples: np.ndarray, mean: float | None = None, frame: int = FRAME, hop: int = HOP) -> np.ndarray:
     """Magnitudes by frame and frequency of the windowed samples without their mean; silence
     fills the last frame."""
-    x = samples.astype(np.float32) - samples.mean(dtype=np.float64).astype(np.float32)
+    x = samples.astype(np.float64) - (samples.mean(dtype=np.float64) if mean is None else mean)
     x = np.pad(x, (0, (frame_count(len(x), frame, hop) - 1) * hop + frame - len(x)))
     frames = np.lib.stride_tricks.sliding_window_view(x, frame)[::hop]
-    return np.abs(np.fft.rfft(frames * np.hanning(frame).astype(np.float32), axis=1))
+    return np.abs(np.fft.rfft(frames * np.hanning(frame), axis=1))
 
 
 def peaks(magnitude: np.ndarray, most: int = PEAKS) -> tuple[np.ndarray, np.ndarray]:
@@ -74,36 +80,26 @@ def peaks(magnitude: np.ndarray, most: int = PEAKS) -> tuple[np.ndarray, np.ndar
     return t, order[t, k] + 1
 
 
-def fingerprint(samples: np.ndarray, fan: int = FAN, reach: int = REACH) -> tuple[np.ndarray, np.ndarray]:
-    """Times and hashes of the peak pairs, by time; long inputs go strip by strip,
-    each strip with the frames after it that its pairs reach."""
-    times, hashes = [], []
-    frames = frame_count(len(samples))
-    for begin in range(0, frames, STRIP):
-        part = samples[begin * HOP : (begin + STRIP + reach) * HOP + FRAME]
-        t, f = peaks(spectrum(part))
-        for k in range(1, fan + 1):
-            if len(t) <= k:
-                break
+def fingerprint(samples: np.ndarray, fan: int = FAN, reach: int = REACH) -> np.ndarray:
+    """The time-coded peak pairs, sorted; long inputs go strip by strip, each strip with
+    the frames after it that its pairs reach."""
+    codes, mean = [], samples.mean(dtype=np.float64)
+    for begin in range(0, frame_count(len(samples)), STRIP):
+        t, f = peaks(spectrum(samples[begin * HOP : (begin + STRIP + reach) * HOP + FRAME], mean))
+        for k in range(1, min(fan, len(t) - 1) + 1):
             gap = t[k:] - t[:-k]
             use = (gap <= reach) & (t[:-k] < STRIP)
-            times.append(t[:-k][use] + begin)
-            hashes.append((f[:-k][use] << 12) | (f[k:][use] << 4) | gap[use])
-    if not times:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    t, h = np.concatenate(times), np.concatenate(hashes)
-    order = np.lexsort((h, t))
-    return t[order], h[order]
+            codes.append((t[:-k][use] + begin) << TIME_BITS | f[:-k][use] << 12 | f[k:][use] << 4 | gap[use])
+    return np.sort(np.concatenate(codes)) if codes else np.empty(0, np.int64)
 
 
 def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_media: bool = False) -> DataFrame:
-    """A row's sizes, digests and feature, plus ``media`` (the WAV file) and
-    ``fingerprint`` (array of ``t, hash``) if asked.
+    """A row's sizes, digests, feature and ``fingerprint``, plus ``media`` (the WAV file) if asked.
 
     ``feature`` is ``frames:pairs:`` and the SHA-1 of the fingerprint's numbers."""
     ship(docs.sparkSession)
-    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-    more = ", media binary, fingerprint array<struct<t: long, hash: long>>" if with_media else ""
+    names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "fingerprint"]
+    more = ", media binary" if with_media else ""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -114,17 +110,16 @@ def media_columns(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 media = to_wav(padded)
                 payload = from_wav(media)
                 samples = np.frombuffer(payload, np.uint8)
-                t, h = fingerprint(samples)
-                pairs = np.stack([t, h], axis=1).astype("<i8")
-                frames = frame_count(len(samples))
-                row = [len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), f"{frames}:{len(t)}:{hashlib.sha1(pairs.tobytes()).hexdigest()}"]
-                rows.append([*row, media, [{"t": a, "hash": b} for a, b in pairs.tolist()]] if with_media else row)
-            out = pd.DataFrame(rows, columns=names + ["media", "fingerprint"] * with_media)
+                pairs = fingerprint(samples).astype("<i8", copy=False)
+                feature = f"{frame_count(len(samples))}:{len(pairs)}:{hashlib.sha1(pairs.tobytes()).hexdigest()}"
+                row = [len(data), len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(media), hashlib.sha256(media).hexdigest(), feature, pairs]
+                rows.append([*row, media] if with_media else row)
+            out = pd.DataFrame(rows, columns=names + ["media"] * with_media)
             out.insert(0, "id", batch["id"].array)
             yield out
 
     source = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    out = map_batches(source, run, f"n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string{more}")
+    out = map_batches(source, run, f"n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, fingerprint array<long>{more}")
     return out.withColumnRenamed("id", id_col)
 
 
