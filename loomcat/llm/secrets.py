@@ -353,8 +353,19 @@ def _field(packed: bytes) -> Field:
 def all_spans(text: str, field: Field) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), by start and kind."""
     base = base_spans(text)
-    more = [s for s in field.spans(text) if not any(a <= s[0] and s[2] <= b for a, _, b in base)]
-    return base, sorted([*base, *more])
+    return base, sorted([*base, *uncovered(field.spans(text), base)])
+
+
+def uncovered(spans: list[Span], base: list[Span]) -> list[Span]:
+    """The spans that no base span covers; both lists are sorted, so one walk over them will do."""
+    out, k, reach = [], 0, -1
+    for s in spans:
+        while k < len(base) and base[k][0] <= s[0]:
+            reach = max(reach, base[k][2])
+            k += 1
+        if reach < s[2]:
+            out.append(s)
+    return out
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -67,3 +67,12 @@ def test_scan_and_redact(spark):
         assert after.n_chars == (len(after.text) if spans else before.n_chars) and after[5:] == before[5:]
         assert not after.text or not plain_spans(after.text)
     assert secrets.scan(empty(spark)).count() == 0 and secrets.redact(empty(spark)).count() == 0
+
+
+def test_covered_spans_are_left_out():
+    r = np.random.default_rng(4)
+    for _ in range(300):
+        spans, base = (sorted((int(a), k, int(a + n)) for a, n in zip(r.integers(0, 60, 12), r.integers(1, 9, 12), strict=True)) for k in (3, 0))
+        assert secrets.uncovered(spans, base) == [s for s in spans if not any(a <= s[0] and s[2] <= b for a, _, b in base)]
+    many = [(4 * k, 0, 4 * k + 2) for k in range(200_000)]
+    assert len(secrets.uncovered([(a + 1, 3, b + 1) for a, _, b in many], many)) == 200_000
