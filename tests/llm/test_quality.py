@@ -1,3 +1,6 @@
+import re
+import string
+import unicodedata
 import zlib
 
 import numpy as np
@@ -52,3 +55,27 @@ def test_odd_rows_and_missing_labels(spark):
     assert kept.schema == docs.schema and sorted(map(str, kept.collect())) == sorted(map(str, docs.collect()))
     assert quality.keep_good(docs, quality.RuleModel(-9.0, [])).count() == 0
     assert quality.score(empty(spark), quality.fit(empty(spark), labels)).count() == 0
+
+
+def recounted(text):
+    """The statistics as their description reads, without Spark."""
+    text = text or ""
+    words = [] if not text.strip(" ") else re.split(r"[ \t\n\x0b\f\r]+", text.lower())
+    lines = re.split(r"\n+", text)
+    upper = sum(c in string.ascii_uppercase or "À" <= c <= "Þ" and c != "×" for c in text)
+    digits = sum(c in string.digits for c in text)
+    plain = set(".,;:'\"()- \t\n\x0b\f\r")
+    symbols = sum(not (unicodedata.category(c)[0] in "LN" or c in plain) for c in text)
+    stops = sum(c in ".?!" and (k + 1 == len(text) or text[k + 1] in " \t\n\x0b\f\r") for k, c in enumerate(text))
+    share = lambda a, b: a / b if b else 0.0
+    repeated = lambda x: 1 - len(set(x)) / len(x) if x else 0.0
+    return [len(words), repeated(words), repeated(lines), share(len(text), len(words)), share(upper, len(text)), share(digits, len(text)), share(symbols, len(words)), share(stops, len(words))]
+
+
+def test_statistics_recounted(spark):
+    extra = spark.createDataFrame([(901, "A! b? c.d\n\nA! b?\n"), (902, " lead  and tail "), (903, "ÀÉ×ÞΩ 12½ #@~ 漢字. \t end!"), (904, "...\n...\n")], "doc_id long, text string")
+    docs = documents(spark, seed=7).unionByName(odd(spark)).select("doc_id", "text").unionByName(extra)
+    got = quality.with_statistics(docs, keep_text=True).collect()
+    assert len(got) == docs.count()
+    for r in got:
+        assert np.allclose([r[c] for c in quality.STATISTICS], recounted(r.text)), r.text
