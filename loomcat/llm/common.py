@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 import zipfile
 from pathlib import Path
 
@@ -13,12 +14,17 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir`` of the
-    session; where that is unset, a folder inside the (shared) warehouse."""
+    """Folder that driver and executors share, one an application: inside
+    ``spark.checkpoint.dir`` of the session; where that is unset, inside the warehouse
+    (which must then be shared; a warning says so outside local mode).
+
+    ``clean_scratch`` removes what an application has written here."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    return folder.rstrip("/")
+        if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
+            warnings.warn(f"spark.checkpoint.dir is unset; {folder} must be a folder that all executors share", stacklevel=2)
+    return f"{folder.rstrip('/')}/loomcat-{spark.sparkContext.applicationId}"
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -33,6 +39,25 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, *frames: DataFrame) -> None:
+    """Remove written tables that ``materialise`` gave and that nothing will read any more."""
+    own = shared_folder(spark)
+    for folder in {file.rsplit("/", 1)[0] for df in frames for file in df.inputFiles()}:
+        if f"{own.removeprefix('file:').lstrip('/')}/" in folder:
+            _remove(spark, folder)
+
+
+def clean_scratch(spark: SparkSession) -> None:
+    """Remove all that the operators of this application have written into the shared
+    folder. Their results read from there: write or collect these first."""
+    _remove(spark, shared_folder(spark))
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def map_batches(source: DataFrame, run, columns: str) -> DataFrame:
     """``mapInPandas`` over a frame with a column ``id``, which comes first in the result.
     Whole-number ids travel as texts: pandas makes numbers with nulls among them inexact."""
