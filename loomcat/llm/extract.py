@@ -10,7 +10,12 @@
 
 The network is trained on the driver, from a fixed seed, with synthetic pages of many
 layouts (``training_pages``) whose blocks are known. Work on rows is one narrow pass;
-pages of similar length share a batch.
+pages of similar length share a batch. A page with a block so near the limit that the
+shape of a batch could decide it is labelled once more by itself, so a page's text never
+depends on its neighbours.
+
+Markup is read in one forward walk: where no ``>`` or end of a quotation is left, that is
+remembered, so broken pages take no longer than sound ones.
 
 Defined results: a null html counts as empty; a page without main blocks has an empty
 text; white space is what ``str.split`` splits at; line breaks inside a block are white
@@ -27,6 +32,7 @@ import html as html_module
 import pickle
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -42,18 +48,16 @@ from .tokens import _Memo
 # (raw text, which only its own end tag ends, and SKIPPED, which can nest).
 BLOCKS = frozenset("address article aside blockquote body button caption dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html label legend li main menu nav ol optgroup option p pre section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea|title|iframe)(?=[\s/>])[^>]*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
-    r"|<(/?)([a-z][^\s/>]*+)([^>]*+)>"
-    r"|<[!?/][^>]*+>",
-    re.I | re.S,
-)
+RAW = frozenset("script style textarea title iframe".split())
+START = re.compile(r"<(?:(!--)|[!?]|(/?)([a-z][^\s/>]*+)|/)", re.I)
+FOREIGN = re.compile(r"<(?:(!--)|(/?)(svg)(?=[\s/>]))", re.I)  # groups as in START; no raw text inside svg
+TAG_REST = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
+RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
 SKIPPED = frozenset("noscript template svg object canvas".split())
-FOREIGN = re.compile(r"<!--.*?(?:-->|\Z)|()<(/?)(svg)(?=[\s/>])((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.I | re.S)  # groups as in MARKUP; no raw text inside svg
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PATH, WORDS, NUMBERS, HIDDEN = 256, 64, 6, 20
+#: Far more than the shape of a batch changes in a probability.
+NEAR_LIMIT = 1e-3
 
 
 @dataclass
@@ -71,29 +75,88 @@ def elements(tag: str, attributes: str) -> tuple[str, ...]:
     return (tag, *[f".{x}" for x in names])
 
 
-def tag_of(m: re.Match) -> tuple[str, bool, str]:
-    """Name, whether it is an end tag, and attributes; no name for what is no tag."""
-    slash, name, attributes = (m[2], m[3], m[4]) if m[3] or m.re is FOREIGN else (m[5], m[6], m[7])
-    return (name or "").lower(), bool(slash), attributes or ""
-
-
-def ends_of(page: str, skipped: str) -> dict[int, int]:
+Markup = tuple[int, int, str, bool, str]  # start, end, name (none for what is no tag), is it an end tag, attributes
+
+
+class Walk:
+    """The markup of a page, in order, in time linear in its length.
+
+    A tag ends at the first ``>`` outside quotations, if there is one, else at the first
+    of all. ``TAG_REST`` finds it; once it has failed, quotations are followed through the
+    sorted places of quotes and ``>``, and places outside quotations from which no ``>``
+    can be reached are remembered."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.last = page.rfind(">")
+        self.marks: dict[str, list[int]] | None = None
+        self.dead: set[int] = set()
+
+    def _tag_end(self, at: int) -> int:
+        """Where the ``>`` is that ends a tag whose attributes begin at ``at``."""
+        if self.marks is None:
+            if m := TAG_REST.match(self.page, at):
+                return m.end() - 1
+            self.marks = {c: [m.start() for m in re.finditer(c, self.page)] for c in (">", '"', "'", "[>\"']")}
+        path, p = [], at
+        while p not in self.dead:
+            path.append(p)
+            every = self.marks["[>\"']"]
+            k = bisect_left(every, p)
+            if k == len(every):
+                break
+            c = self.page[every[k]]
+            if c == ">":
+                return every[k]
+            own = self.marks[c]
+            j = bisect_right(own, every[k])
+            if j == len(own):
+                break
+            p = own[j] + 1
+        self.dead.update(path)
+        return self.page.index(">", at)
+
+    def next(self, at: int, foreign: bool = False) -> Markup | None:
+        """The first markup from ``at`` on; in foreign content (``svg``) its own tags and comments only."""
+        page, pattern = self.page, FOREIGN if foreign else START
+        while m := pattern.search(page, at):
+            at = m.start()
+            if m[1]:
+                end = page.find("-->", m.end())
+                return at, len(page) if end < 0 else end + 3, "", False, ""
+            if m.end() > self.last:  # no tag can end any more; a comment may still begin
+                at = page.find("<!--", at)
+                if at < 0:
+                    return None
+                continue
+            name = (m[3] or "").lower()
+            if not name:
+                return at, page.index(">", m.end()) + 1, "", False, ""
+            if name in RAW and not m[2]:
+                inside = page.index(">", m.end()) + 1
+                end = RAW_END[name].search(page, inside)
+                return at, end.end() if end else len(page), "", False, ""
+            end = self._tag_end(m.end())
+            return at, end + 1, name, bool(m[2]), page[m.end() : end]
+        return None
+
+
+def ends_of(walk: Walk, skipped: str) -> dict[int, int]:
     """Where the elements ``skipped`` end, by where they start; none for unclosed ones."""
     out: dict[int, int] = {}
     opened: list[int] = []
     at = 0
-    while m := (FOREIGN if skipped == "svg" and opened else MARKUP).search(page, at):
-        at = m.end()
-        tag, end, attributes = tag_of(m)
+    while found := walk.next(at, foreign=skipped == "svg" and bool(opened)):
+        start, at, tag, end, attributes = found
         if tag != skipped:
             continue
         if end:
             if opened:
                 out[opened.pop()] = at
         elif tag == "svg" and attributes.endswith("/"):
-            out[m.start()] = at
+            out[start] = at
         else:
-            opened.append(m.start())
+            opened.append(start)
     return out
 
 
@@ -125,15 +188,15 @@ def blocks_of(page: str) -> list[Block]:
                 del stack[k:]
                 return
 
-    while m := MARKUP.search(page, at):
-        take(page[at : m.start()])
-        at = m.end()
-        tag, slash, attributes = tag_of(m)
+    walk = Walk(page)
+    while found := walk.next(at):
+        take(page[at : found[0]])
+        start, at, tag, slash, attributes = found
         if tag in SKIPPED:
             if not slash:
                 if tag not in ends:
-                    ends[tag] = ends_of(page, tag)
-                at = ends[tag].get(m.start(), at)
+                    ends[tag] = ends_of(walk, tag)
+                at = ends[tag].get(start, at)
         elif tag in BLOCKS:
             close()
             if slash:
@@ -453,9 +516,17 @@ class Labeller:
             real = np.arange(steps)[:, None] < sizes[own]
             chance = self.net.probabilities({d: x[at] for d, x in z.items()}, real[..., None])
             main[at[real]] = chance[real] >= 0.5
+            if len(own) > 1:
+                for j in np.flatnonzero(((np.abs(chance - 0.5) < NEAR_LIMIT) & real).any(axis=0)):
+                    main[first[own[j]] + np.arange(sizes[own[j]])] = self._alone(pages[own[j]])
         return [[b.text for b, yes in zip(blocks, main[k : k + len(blocks)].tolist(), strict=True) if yes] for blocks, k in zip(pages, first.tolist(), strict=True)]
 
 
+    def _alone(self, blocks: list[Block]) -> np.ndarray:
+        z = self.net.project(self.vectors.rows(blocks))
+        return self.net.probabilities({d: x[:, None] for d, x in z.items()}, np.ones((len(blocks), 1, 1), bool))[:, 0] >= 0.5
+
+
 @functools.lru_cache(1)
 def _labeller(packed: bytes) -> Labeller:
     """One a worker process, so that its memos outlive a task."""

@@ -70,3 +70,61 @@ def test_pages_of_every_kind(spark):
         by.setdefault(i, []).append(text)
     assert by[1] == [f"Title\n{body}"] * 2 and by[2] == [""] and by[3] == [""] and len(by[4][0].split("\n")) == 3002 and len(by[None]) == 1
     assert extract.main_text(df.limit(0)).count() == 0
+
+
+def test_broken_markup_takes_linear_time():
+    import time
+
+    for piece in ('<a "', "<script", "<svg ", '<a ">"', "<a ''\"'>'\"", "</script", "<svg '", "<!-", "<script>x</script ", "<a"):
+        start = time.time()
+        extract.blocks_of("<p>one</p>" + piece * 60_000)
+        extract.blocks_of("<p>one</p><svg>" + (piece + "<") * 60_000 + ">")
+        assert time.time() - start < 5, piece
+
+
+def reference_end(page, at):
+    """The end of a tag as it is defined: the first ``>`` outside quotations, else the first of all."""
+    quote = ""
+    for k in range(at, len(page)):
+        c = page[k]
+        if quote:
+            quote = "" if c == quote else quote
+        elif c == ">":
+            return k
+        elif c in "\"'":
+            quote = c
+    return page.index(">", at)
+
+
+def test_tags_end_where_they_should():
+    import random
+
+    r = random.Random(6)
+    for _ in range(3000):
+        page = "<a" + "".join(r.choice("<> \"'a") for _ in range(r.randint(0, 14))) + ">"
+        walk, at = extract.Walk(page), 0
+        while found := walk.next(at):
+            start, at, name, _, attributes = found
+            if name:
+                assert at - 1 == reference_end(page, at - 1 - len(attributes)), page
+
+
+def test_neighbours_do_not_matter(monkeypatch):
+    lab = extract.Labeller(extract.trained())
+    pages = [b for b, _ in extract.training_pages(60, 99)]
+    alone = [lab.main_blocks([p])[0] for p in pages]
+    assert lab.main_blocks(pages) == alone and lab.main_blocks(pages[::-1]) == alone[::-1]
+    monkeypatch.setattr(extract, "NEAR_LIMIT", 1.0)
+    assert lab.main_blocks(pages) == alone
+
+
+def test_layouts_that_the_generator_does_not_make():
+    article = ["The committee met on Tuesday to discuss the harbour.", "Nobody expected the vote to be so close, the chair said afterwards.", "A second reading is planned for the autumn."]
+    inner = "".join(f"<p>{x}</p>" for x in article)
+    pages = [
+        f'<body><div id="masthead"><a href="/">Daily</a> <a href="/x">World</a></div><main role="main"><div class="post-content">{inner}</div></main><div id="footer-links"><a href="/a">About</a><a href="/c">Contact</a></div></body>',
+        f'<div class="navbar"><ul><li><a href="/">Home</a></li><li><a href="/n">News</a></li></ul></div><section><article class="entry">{inner}</article></section><section class="comments"><h3>Comments</h3><div class="comment"><p>I do not agree at all.</p></div></section><footer><p>All rights reserved</p></footer>',
+        f'<header><nav><a href="/">Start</a></nav></header><article>{inner}<script>var x = "<p>no</p>";</script></article><aside><h4>Most read</h4><ul><li><a href="/1">One</a></li></ul></aside>',
+    ]
+    lab = extract.Labeller(extract.trained())
+    assert lab.main_blocks([extract.blocks_of(p) for p in pages]) == [article] * 3
