@@ -1,6 +1,8 @@
 import zlib
 from collections import defaultdict
 
+from loomcat.llm import sharding
+from loomcat.llm.common import materialise
 from loomcat.llm.sharding import shard
 from pyspark.sql import functions as F
 
@@ -40,5 +42,23 @@ def test_one_key_holds_a_third(spark):
     check(hot, 5)
 
 
+def test_one_row_repeated_makes_a_third(spark):
+    """Rows equal in id and text are cut as well: their range is subdivided by row numbers."""
+    docs = documents(spark, count=200).select("doc_id", "text")
+    same = spark.range(100).select(F.lit(7).cast("long").alias("doc_id"), F.lit("equal rows " * 40).alias("text"))
+    both = docs.union(same)
+    check(both, 9, most_ranges=144)
+    rows = materialise(sharding.keyed(both, "doc_id", "text", []), "keys")
+    total = rows.agg(F.sum("_size")).first()[0]
+    _, _, totals = sharding.splitters_for(rows, total, 60)
+    assert all(r.bytes <= 2 * total / 60 or r.n == 1 for r in totals.collect())
+
+
+def test_only_columns_asked_for(spark):
+    docs = documents(spark, count=30)
+    assert shard(docs, 3, columns=["doc_id"]).columns == ["doc_id", *sharding.ADDED]
+    assert sorted(r.doc_id for r in shard(docs, 3, columns=["doc_id"]).collect()) == sorted(r.doc_id for r in docs.collect())
+
+
 def test_empty(spark):
     assert shard(empty(spark)).count() == 0
