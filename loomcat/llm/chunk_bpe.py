@@ -1,11 +1,18 @@
 """BPE encoding and decoding by content-defined chunk reuse.
 
-A rolling hash over the bytes cuts each text into chunks, so passages that
-documents share give the same chunks wherever they stand. A task encodes each
-distinct chunk once (bounded memo); where two chunks meet, the text around the
-join is encoded again, from the last place in the left chunk to the first place
-in the right one at which both sides must cut. If they don't agree on that
-place, the window grows by the next chunk.
+1. A rolling hash over the bytes cuts each text into chunks, so passages that documents
+   share give the same chunks wherever they stand.
+2. Each distinct chunk is encoded once by itself and kept with the cuts between its
+   pre-tokens; its ids are right for any text but near its ends.
+3. Where two chunks meet, a window over the join is encoded again, from a cut in the left
+   chunk to one in the right. It must give the left chunk's ids at its beginning, and at
+   its end, from some cut on, those of the right chunk. If the right side doesn't agree,
+   the window grows within the chunk, then over the next one; if the left one doesn't, it
+   grows to the whole text.
+
+What a worker process has encoded it keeps for later tasks, in a bounded memo that
+forgets what isn't used; processes share no chunks, as a join of all chunks with a table
+of them would shuffle the texts several times over to save less than that costs.
 
 Defined results: a null text counts as empty; an empty text has no ids; rows
 are independent, so repeated rows give repeated results and an empty table an
@@ -16,8 +23,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
-import re
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -25,10 +35,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import map_batches, ship, table, text_or_empty, tokenizer_file
-from .tokens import ByteBpe
+from .tokens import ByteBpe, _Memo
 
-ODD_SPACE = re.compile(r"[^\S \n]| [ \n]|\n[ \n]")
 WINDOW = 8
+REACH = 32
 
 
 def gear_table(seed: int = 11) -> np.ndarray:
@@ -62,55 +72,87 @@ def chunks(data: bytes, gear: np.ndarray, mask: int, most: int = 4096) -> Iterat
             begin = end
 
 
+class Chunk(NamedTuple):
+    text: str
+    cuts: array  # where its pre-tokens begin, and its length
+    at: array  # how many bytes of ids come before each cut
+    ids: bytes
+    last: int  # number of the last cut that holds whatever follows
+
+
 class ChunkEncoder:
-    def __init__(self, path: str, mask: int = 0xFF, limit: int = 30_000):
+    def __init__(self, path: str, mask: int = 0xFF, limit: int = 60_000):
         self.bpe = ByteBpe(path)
-        self.gear, self.mask, self.limit = gear_table(), mask, limit
-        self.memo: dict[bytes, tuple] = {}
+        self.gear, self.mask = gear_table(), mask
+        self.memo = _Memo(self._chunk, limit)
+        self.seen = self.encoded = self.joined = 0  # characters in chunks, in those encoded, in windows
 
-    def _chunk(self, data: bytes) -> tuple:
-        """(text, head, next, ids of the middle, tail); head is None if the chunk has
-        no two places at which every context cuts."""
+    def _chunk(self, data: bytes) -> Chunk:
         text = data.decode()
-        parts = text.split(" ")
-        if len(parts) < 4 or ODD_SPACE.search(text):
-            record = (text, None, "", b"", "")
-        else:
-            record = (text, parts[0], " " + parts[1], b"".join(map(self.bpe.spaced.__getitem__, parts[1:-1])), " " + parts[-1])
-        if len(self.memo) >= self.limit:
-            self.memo.clear()
-        self.memo[data] = record
-        return record
+        self.encoded += len(text)
+        parts, ids = self.bpe.split(text)
+        cuts = array("I", accumulate(map(len, parts), initial=0))
+        return Chunk(text, cuts, array("I", accumulate(map(len, ids), initial=0)), b"".join(ids), bisect_right(cuts, max(0, self.bpe.settled(text))) - 1)
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        out, carry = [], ""
-        for data in chunks(text.encode(), self.gear, self.mask):
-            whole, head, after, middle, tail = self.memo.get(data) or self._chunk(data)
-            if head is not None and self._agrees(carry + head, after):
-                out += [self._window(carry + head), middle]
-                carry = tail
-            else:
-                carry += whole
-        out.append(self._window(carry))
+        out: list[bytes] = []
+        held: list[str] = []  # text from a cut on, whose ids are not settled yet
+        size = patience = 0
+        known = None  # ids of the left chunk that the next window must give again
+        for k, data in enumerate(chunks(text.encode(), self.gear, self.mask)):
+            chunk = self.memo[data]
+            self.seen += len(chunk.text)
+            begin: int | None = 0
+            if k:  # a long window that found no agreement is tried again when it has doubled
+                begin = self._join("".join(held), known, chunk, out) if size <= 16 * REACH or size >= patience else None
+                if begin == -1:
+                    return self._plain(text)
+            if begin is None or begin >= chunk.last:
+                held.append(chunk.text)
+                size += len(chunk.text)
+                patience = patience if size < patience else 2 * size
+                continue
+            stop = chunk.last - 1
+            out.append(chunk.ids[chunk.at[begin] : chunk.at[stop]])
+            held, known = [chunk.text[chunk.cuts[stop] :]], chunk.ids[chunk.at[stop] : chunk.at[chunk.last]]
+            size, patience = len(held[0]), 0
+        out.append(self._plain("".join(held)))
         return b"".join(out)
 
-    @staticmethod
-    def _agrees(left: str, right: str) -> bool:
-        """Does the cut before ``right``, a space and more, hold after ``left``?"""
-        return bool(left) and not left[-1].isspace() and not right[1:2].isspace()
-
-    def _window(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if ODD_SPACE.search(text):
-            return self.bpe.library(text)
-        first, *rest = text.split(" ") if text[0] != " " else ["", *text[1:].split(" ")]
-        return self.bpe.window(first) + b"".join(map(self.bpe.spaced.__getitem__, rest))
+    def _plain(self, text: str) -> bytes:
+        return b"".join(self.bpe.split(text)[1])
 
     def decode(self, ids: list[int]) -> str:
         return self.bpe.decode(ids)
 
+    def _join(self, left: str, known: bytes | None, chunk: Chunk, out: list[bytes]) -> int | None:
+        """Encode windows over a join, growing until both sides agree; their ids go to
+        ``out``. The number of the chunk's cut from which its own ids hold, None if there
+        is none in this chunk, -1 if the left side does not agree."""
+        reach, n = REACH, len(left)
+        while True:
+            end = chunk.cuts[min(bisect_left(chunk.cuts, reach), len(chunk.cuts) - 1)]
+            window = left + chunk.text[:end]
+            self.joined += len(window)
+            parts, ids = self.bpe.split(window)
+            if known is not None and ids[:1] != [known]:
+                return -1
+            settled, at = self.bpe.settled(window), 0
+            for j, part in enumerate(parts):
+                after = at + len(part)
+                if after > settled:
+                    break
+                if at >= n:
+                    i = bisect_left(chunk.cuts, at - n)
+                    if i < chunk.last and chunk.cuts[i] == at - n and chunk.ids[chunk.at[i] : chunk.at[i + 1]] == ids[j]:
+                        out += ids[:j]
+                        return i
+                at = after
+            if end == len(chunk.text):
+                return None
+            reach *= 4
+
 
 @functools.lru_cache(1)
 def encoder(path: str) -> ChunkEncoder:

@@ -1,8 +1,8 @@
 """Byte-level BPE through bounded memos of short units.
 
 The ``tokenizers`` library stays the authority: units outside a plain
-character set are encoded by its whole pipeline. Plain units (ASCII and Latin-1
-letters, digits, ASCII punctuation) are split as the pipeline's own
+character set go through its pipeline or its own pre-tokenizer. Plain texts (ASCII and
+Latin-1 letters, digits, ASCII punctuation) are split as the pipeline's own
 pre-tokenizer splits them, and each distinct pre-token goes through the
 library's BPE model once. ``tests/llm`` compares the ids with the library's.
 """
@@ -16,9 +16,11 @@ import numpy as np
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 #: Printable ASCII without apostrophe (contractions) and "<" (special tokens).
 PLAIN = re.compile(rf"[!-&(-;=-~{LETTERS}]+")
-PLAIN_LINES = re.compile(rf"[!-&(-;=-~{LETTERS}]+(?:\n[!-&(-;=-~{LETTERS}]+)*")
+#: All of ASCII that is printable or white space; what ``\\s`` means is the same here in both.
+PLAIN_BYTES = re.compile(rf"[\t-\r -~{LETTERS}]*")
 WORD_PARTS = re.compile(rf"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+")
-BYTE_PARTS = re.compile(rf"\n| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+")
+#: The pre-tokenizer's own classes, over plain texts.
+BYTE_PARTS = re.compile(rf"'(?:[stmd]|re|ve|ll)| ?[{LETTERS}]+| ?[0-9]+| ?[^\s{LETTERS}0-9]+|\s+(?!\S)|\s+")
 
 
 def byte_alphabet() -> list[str]:
@@ -33,16 +35,21 @@ def byte_alphabet() -> list[str]:
 
 
 class _Memo(dict):
-    """A dict that computes what it lacks and forgets all when it grows too large."""
+    """A dict that computes what it lacks. When it is full it becomes the old half, from
+    which entries in use come back; what isn't used is forgotten with the next change."""
 
     def __init__(self, make, limit: int):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.old = make, limit // 2, {}
 
     def __missing__(self, key):
         if len(self) >= self.limit:
+            self.old = dict(self)
             self.clear()
-        value = self[key] = self.make(key)
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
 
@@ -56,12 +63,12 @@ class _Bpe:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
-        self.alphabet = byte_alphabet()
+        self.alphabet = dict(enumerate(byte_alphabet()))
         self.parts = _Memo(self._part, limit)
 
     def _part(self, part: str) -> bytes:
-        mapped = "".join([self.alphabet[b] for b in part.encode()])
-        return np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        mapped = part.encode().decode("latin-1").translate(self.alphabet)
+        return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
 
     def library(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -71,7 +78,7 @@ class WordBpe(_Bpe):
     """A lower-casing BPE that drops white space: every space and line end
     separates units, so a text's ids are the ids of its units in order."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    def __init__(self, path: str, limit: int = 400_000):
         super().__init__(path, limit)
         self.units = _Memo(self._unit, limit)
 
@@ -87,29 +94,43 @@ class WordBpe(_Bpe):
 
 
 class ByteBpe(_Bpe):
-    """A lossless byte-level BPE. Its pre-tokenizer always cuts before a single
-    space that has other characters on both sides, whatever surrounds them."""
+    """A lossless byte-level BPE, by pre-tokens. A pre-token depends on no text before it,
+    and where it ends is settled ``LOOKAHEAD`` characters later, unless an added token begins there."""
 
-    def __init__(self, path: str, limit: int = 250_000):
+    LOOKAHEAD = 2
+
+    def __init__(self, path: str, limit: int = 400_000):
         super().__init__(path, limit)
-        self.spaced = _Memo(lambda part: self._unit(" " + part, part), limit)
         self.byte_of = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
-        back = {c: b for b, c in enumerate(self.alphabet)}
+        back = {c: b for b, c in self.alphabet.items()}
         for token, i in self.tokenizer.get_vocab(with_added_tokens=True).items():
             self.byte_of[i] = bytes([back[c] for c in token]) if all(c in back for c in token) else token.encode()
         self.digits = [str(i) for i in range(len(self.byte_of))]
-
-    def _unit(self, unit: str, part: str) -> bytes:
-        if PLAIN_LINES.fullmatch(part):
-            return b"".join([self.parts[p] for p in BYTE_PARTS.findall(unit)])
-        return self.library(unit)
-
-    def window(self, text: str) -> bytes:
-        """The ids of a text between two places where the pre-tokenizer cuts."""
-        if not text:
-            return b""
-        part = text[1:] if text[0] == " " else text
-        return self._unit(text, part)
+        self.added = {t.content: np.array([i], "<u4").tobytes() for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.any_added = re.compile("(" + "|".join(map(re.escape, self.added)) + ")") if self.added else None
+
+    def split(self, text: str) -> tuple[list[str], list[bytes]]:
+        """The pre-tokens of a text, added tokens as well, and the ids of each."""
+        if not (self.any_added and self.any_added.search(text)):
+            parts = self._split(text)
+            return parts, list(map(self.parts.__getitem__, parts))
+        parts = [p for k, x in enumerate(self.any_added.split(text)) for p in ([x] if k % 2 else self._split(x))]
+        return parts, [self.added.get(p) or self.parts[p] for p in parts]
+
+    def _split(self, text: str) -> list[str]:
+        if PLAIN_BYTES.fullmatch(text):
+            return BYTE_PARTS.findall(text)
+        return [text[a:b] for _, (a, b) in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)] if text else []
+
+    def settled(self, text: str) -> int:
+        """Up to where the cuts between pre-tokens hold whatever follows the text."""
+        end = len(text)
+        for token in self.added:
+            k = text.find(token[0], max(0, len(text) - len(token) + 1))
+            while k >= 0 and not token.startswith(text[k:]):
+                k = text.find(token[0], k + 1)
+            end = min(end, k) if k >= 0 else end
+        return end - self.LOOKAHEAD
 
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.byte_of.__getitem__, ids)).decode("utf-8", "replace")
