@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 import warnings
+import weakref
 import zipfile
 from pathlib import Path
 
@@ -36,14 +37,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _folders[out] = path
+    return out
+
+
+_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def discard(spark: SparkSession, *frames: DataFrame) -> None:
     """Remove written tables that ``materialise`` gave and that nothing will read any more."""
-    own = shared_folder(spark)
-    for folder in {file.rsplit("/", 1)[0] for df in frames for file in df.inputFiles()}:
-        if f"{own.removeprefix('file:').lstrip('/')}/" in folder:
+    for df in frames:
+        if folder := _folders.pop(df, None):
             _remove(spark, folder)
 
 
