@@ -15,10 +15,12 @@
 4. A bucket whose members are in one component by then is settled: no further link
    there can change a component. Where members are in several, a member of another
    component becomes the pivot once; what is still open is compared block by block, all
-   pairs of different components under the same bounds. So no bucket is capped.
+   pairs of different components: sizes and sketches first, and only the members of pairs
+   that these allow go on with their texts. So no bucket is capped.
 
 A bucket or class of any size is met only by joins that adaptive execution can split
-and by aggregates that are partial on the map side.
+and by aggregates that are partial on the map side. With ``slack=None`` no pair that
+shares a band is left to the sketch bound: all that sizes allow are compared in full.
 
 Defined results: a null or blank text has no shingles and links with nothing; fewer
 words than ``words`` make one shingle; repeated rows link with each other; rows that share an id
@@ -38,13 +40,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_batches, materialise, ship, table, text_or_empty
+from .common import discard, map_batches, materialise, ship, table, text_or_empty
 from .tokens import _Memo
 
 WORDS = 5
 BINS, BANDS = 324, 36
 PERCENT = 85
-BLOCK = 64
+BLOCK, TEXT_BLOCK = 256, 64
 SLACK = 5
 
 _MIX = np.array([0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -123,19 +125,18 @@ def sketches(docs: DataFrame, width: int = WORDS, bins: int = BINS, bands: int =
     return map_batches(docs, run, "n_shingles long, word_digest binary, keys array<long>, marks binary")
 
 
-def least_agreement(percent: int, bins: int, slack: float = SLACK) -> float:
+def least_agreement(percent: int, bins: int, slack: float | None = SLACK) -> float:
     """The share of equal coordinates that alike sets fall below with a chance of ``slack`` deviations."""
     s = percent / 100
-    return s - slack * (s * (1 - s) / bins) ** 0.5
+    return 0.0 if slack is None else s - slack * (s * (1 - s) / bins) ** 0.5
 
 
 def sizes_allow(a: str, b: str, percent: int) -> Column:
     return F.least(F.col(a), F.col(b)) * 100 >= F.greatest(F.col(a), F.col(b)) * percent
 
 
-def plausible(pairs: DataFrame, marks: DataFrame, percent: int, bins: int) -> DataFrame:
+def plausible(pairs: DataFrame, marks: DataFrame, least: float) -> DataFrame:
     """The ``a, b`` whose sketches do not exclude that they are alike."""
-    least = least_agreement(percent, bins)
 
     @F.pandas_udf("boolean")
     def close(left: pd.Series, right: pd.Series) -> pd.Series:
@@ -177,7 +178,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = materialise(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        last, edges = edges, materialise(small.union(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(links.sparkSession, last)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -196,12 +198,18 @@ def open_buckets(members: DataFrame, components: DataFrame) -> DataFrame:
     labelled = materialise(with_component(members.select("key", "id", "n_shingles"), "id", components, "c"), "labelled")
     top = F.max(F.struct("c", "id", "n_shingles"))
     spans = labelled.groupBy("key").agg(F.min("c").alias("_low"), top.alias("_top"), F.count("*").alias("size")).filter("_low < _top.c and size > 2")
-    return materialise(labelled.join(spans.select("key", "size", F.col("_top.c").alias("pivot_c"), F.col("_top.id").alias("pivot"), F.col("_top.n_shingles").alias("pivot_n")), "key"), "open")
+    spans = materialise(spans.select("key", "size", F.col("_top.c").alias("pivot_c"), F.col("_top.id").alias("pivot"), F.col("_top.n_shingles").alias("pivot_n")), "spans")
+    # both sides are written tables and the join is a merge at every size, so a hot bucket can be split
+    found = materialise(labelled.join(spans.hint("merge"), "key"), "open")
+    discard(members.sparkSession, labelled, spans)
+    return found
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, percent: int = PERCENT, bins: int = BINS, bands: int = BANDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WORDS, percent: int = PERCENT, bins: int = BINS, bands: int = BANDS, slack: float | None = SLACK) -> DataFrame:
     """``id, n_shingles, component_id, kept`` a row of ``docs``."""
-    ship(docs.sparkSession)
+    spark = docs.sparkSession
+    ship(spark)
+    least = least_agreement(percent, bins, slack)
     source = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     seen = materialise(sketches(source, width, bins, bands), "sketches")
     # written before they are joined, so that adaptive execution can split a hot class or bucket
@@ -233,7 +241,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         return materialise(connected_components(links.union(components.select("id", "component"))), "components")
 
     star = members.filter("id <> pivot").filter(sizes_allow("n_shingles", "pivot_n", percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = materialise(plausible(star, marks, percent, bins), "pairs")
+    pairs = materialise(plausible(star, marks, least), "pairs")
     first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     components = materialise(connected_components(linked(first)), "components")
     rest = joining(pairs.join(first, ["a", "b"], "left_anti"), components)
@@ -242,10 +250,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     left = open_buckets(members.filter("size > 2"), components)
     if not left.isEmpty():
         star = left.filter("c <> pivot_c").filter(sizes_allow("n_shingles", "pivot_n", percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-        components = grown(components, linked(plausible(star, marks, percent, bins)))
+        components = grown(components, linked(plausible(star, marks, least)))
         left = open_buckets(left, components)
         if not left.isEmpty():
-            components = grown(components, materialise(cross_links(left, marks, texts, width, percent, bins), "links"))
+            components = grown(components, materialise(cross_links(left, marks, texts, width, percent, least), "links"))
+    discard(spark, seen, classes, buckets, members, marks, texts, pairs)
     out = rows.join(components.withColumnRenamed("id", "rep"), "rep", "left")
     return out.select(
         F.col("id").alias(id_col),
@@ -255,49 +264,76 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def cross_links(members: DataFrame, marks: DataFrame, texts: DataFrame, width: int, percent: int, bins: int, block: int = BLOCK) -> DataFrame:
+def cross_links(members: DataFrame, marks: DataFrame, texts: DataFrame, width: int, percent: int, least: float, block: int = BLOCK, text_block: int = TEXT_BLOCK) -> DataFrame:
     """The alike ``a, b`` among a bucket's members in different components.
 
     A bucket of n members is split into n / block blocks, and each pair of blocks is a
-    group of its own, so a group holds about two blocks whatever the bucket's size. In a
-    group, pairs that sizes and sketches allow are compared on their shingle sets; a pair
-    that shares several buckets is compared in that of its first common key only."""
-    blocks = members.join(marks, "id").join(texts, "id").withColumn("m", F.ceil(F.col("size") / block).cast("int")).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
-    own = ["i", "id", "c", "n_shingles", "marks", "keys", "text"]
+    group of its own, so a group holds about two blocks whatever the bucket's size. Groups
+    hold sizes and sketches; the pairs that these allow make up cells of at most
+    two text blocks of ids, to which the texts are then joined. A pair that shares several
+    buckets is compared in that of its first common key only."""
+    return compared(candidate_cells(members, marks, percent, least, block, text_block), texts, width, percent)
+
+
+def candidate_cells(members: DataFrame, marks: DataFrame, percent: int, least: float, block: int = BLOCK, text_block: int = TEXT_BLOCK) -> DataFrame:
+    """``cell, ids, x, y``: ids of a cell and, as places among them, its pairs that sizes and sketches allow."""
+    own = ["i", "id", "c", "n_shingles", "marks", "keys"]
+    blocks = members.join(marks, "id").withColumn("m", F.ceil(F.col("size") / block).cast("int")).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
     cells = blocks.select("key", *own, F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
     cells = cells.select("key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), *own)
     grouped = cells.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct(*own)).alias("rows"))
-    least = least_agreement(percent, bins)
 
-    @F.pandas_udf("array<struct<a: long, b: long>>")
-    def cross(key: pd.Series, lo: pd.Series, hi: pd.Series, rows: pd.Series) -> pd.Series:
+    @F.pandas_udf("array<struct<ids: array<long>, x: array<int>, y: array<int>>>")
+    def allowed(key: pd.Series, lo: pd.Series, hi: pd.Series, rows: pd.Series) -> pd.Series:
         out = []
         for k, l, h, cell in zip(key, lo, hi, rows, strict=True):
             i, ids, c, n = (np.array([r[f] for r in cell], np.int64) for f in ("i", "id", "c", "n_shingles"))
             seen = np.frombuffer(b"".join(r["marks"] for r in cell), np.uint8).reshape(len(cell), -1)
             keys = np.array([r["keys"] for r in cell], np.int64)
-            ok = (i[:, None] == l) & (i[None, :] == h) & (c[:, None] != c[None, :])
-            ok &= 100 * np.minimum(n[:, None], n[None, :]) >= percent * np.maximum(n[:, None], n[None, :])
-            if l == h:
-                ok &= ids[:, None] < ids[None, :]
-            sets: dict[int, np.ndarray] = {}
+            found = [np.empty((0, 2), np.int64)]
+            for x in np.flatnonzero(i == l):
+                ok = (i == h) & (c != c[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+                y = np.flatnonzero(ok & (ids > ids[x]) if l == h else ok)
+                y = y[(seen[y] == seen[x]).mean(axis=1) >= least]
+                same = keys[y] == keys[x]
+                y = y[keys[x][same.argmax(axis=1)] == k]  # the first key that both have
+                found.append(np.stack([np.full(len(y), x), y], axis=1))
+            pairs = np.concatenate(found)
+            parts = []
+            if len(pairs):
+                tile = pairs // text_block
+                _, which = np.unique(tile[:, 0] * len(cell) + tile[:, 1], return_inverse=True)
+                for t in range(which.max() + 1):
+                    own_pairs = pairs[which == t]
+                    rows_, at = np.unique(own_pairs, return_inverse=True)
+                    at = at.reshape(own_pairs.shape)
+                    parts.append({"ids": ids[rows_].tolist(), "x": at[:, 0].tolist(), "y": at[:, 1].tolist()})
+            out.append(parts)
+        return pd.Series(out)
+
+    found = grouped.select("key", "lo", "hi", F.posexplode(allowed("key", "lo", "hi", "rows")).alias("t", "p"))
+    return materialise(found.select(F.struct("key", "lo", "hi", "t").alias("cell"), "p.ids", "p.x", "p.y"), "cells")
+
+
+def compared(cells: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The alike ``a, b`` of the cells' pairs, on their full shingle sets."""
+
+    @F.pandas_udf("array<struct<a: long, b: long>>")
+    def alike(ids: pd.Series, x: pd.Series, y: pd.Series, rows: pd.Series) -> pd.Series:
+        out = []
+        for own, left, right, texts_ in zip(ids, x, y, rows, strict=True):
+            sets = {r["id"]: shingles(words_of(r["text"]), width) for r in texts_}
             links = []
-            x_all, y_all = np.nonzero(ok)
-            parts = [(x_all[p : p + 4096], y_all[p : p + 4096]) for p in range(0, len(x_all), 4096)]
-            near = [np.stack([x, y], axis=1)[(seen[x] == seen[y]).mean(axis=1) >= least] for x, y in parts]
-            for x, y in (pair for part in near for pair in part.tolist()):
-                if keys[x][np.argmax(keys[x] == keys[y])] != k:
-                    continue
-                for z in (x, y):
-                    if z not in sets:
-                        sets[z] = shingles(words_of(cell[z]["text"]), width)
-                both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
-                if 100 * both >= percent * (n[x] + n[y] - both):
-                    links.append({"a": min(ids[x], ids[y]), "b": max(ids[x], ids[y])})
+            for a, b in zip(own[left].tolist(), own[right].tolist(), strict=True):
+                both = len(np.intersect1d(sets[a], sets[b], assume_unique=True))
+                if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both):
+                    links.append({"a": min(a, b), "b": max(a, b)})
             out.append(links)
         return pd.Series(out)
 
-    return grouped.select(F.explode(cross("key", "lo", "hi", "rows")).alias("p")).select("p.a", "p.b").distinct()
+    wanted = cells.select("cell", F.explode("ids").alias("id")).join(texts.hint("merge"), "id").groupBy("cell").agg(F.collect_list(F.struct("id", "text")).alias("rows"))
+    found = cells.join(wanted, "cell").select(F.explode(alike("ids", "x", "y", "rows")).alias("p"))
+    return found.select("p.a", "p.b").distinct()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -73,6 +73,51 @@ def test_few_bands_leave_open_buckets(spark):
             rows.append((g * 100 + k, " ".join(words)))
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     check(docs, bins=240, bands=120)
+    check(docs, bins=240, bands=120, slack=None)
+
+
+def test_block_pairs_lose_nothing(spark, monkeypatch):
+    """One bucket, many members of their own components, blocks smaller than it."""
+    import random
+
+    r = random.Random(7)
+    base = prose(r, 200).split(" ")
+    texts = {}
+    for k in range(150):
+        words = list(base)
+        for at in r.sample(range(0, 200, 7), r.choice([1, 2, 4, 6])):
+            words[at] = f"w{r.randrange(40)}x{at}"
+        texts[k] = " ".join(words)
+    docs = spark.createDataFrame(sorted(texts.items()), "id long, text string")
+    seen = nd.sketches(docs, bins=60, bands=60)
+    members = docs.select(F.lit(None).cast("long").alias("key"), "id", F.col("id").alias("c"), F.lit(150).alias("size"))
+    first = seen.select("id", "n_shingles", "marks", F.expr("array(7L)").alias("keys"))
+    members = members.drop("key").join(first.select("id", "n_shingles"), "id").withColumn("key", F.lit(7).cast("long"))
+    found = nd.cross_links(members, first.select("id", "marks", "keys"), docs, 5, 85, 0.0, block=20, text_block=4)
+    sets = {k: shingle_set(t) for k, t in texts.items()}
+    wanted = sorted((a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b]))
+    assert len(wanted) > 100 and sorted(map(tuple, found.collect())) == wanted
+
+
+def test_recall_just_above_the_threshold(spark):
+    """Of pairs between 0.85 and 0.87, at most one in a thousand may be lost; none of these is."""
+    import random
+
+    r = random.Random(11)
+    rows, wanted = [], set()
+    while len(wanted) < 400:
+        base = prose(r, 150).split(" ")
+        other = list(base)
+        for at in r.sample(range(150), 3):
+            other[at] = f"new{r.randrange(10**9)}"
+        x, y = shingle_set(" ".join(base)), shingle_set(" ".join(other))
+        if 0.85 <= len(x & y) / len(x | y) <= 0.87 or 0.8 < len(x & y) / len(x | y) < 0.85 and r.random() < 0.2:
+            k = len(rows)
+            rows += [(k, " ".join(base)), (k + 1, " ".join(other))]
+            if len(x & y) / len(x | y) >= 0.85:
+                wanted.add(k)
+    got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).filter("not kept").collect()
+    assert {r.component_id for r in got} == wanted and len(got) == len(wanted)
 
 
 def test_sketch_estimates_similarity_and_fills():
