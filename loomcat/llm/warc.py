@@ -1,15 +1,21 @@
 """WARC archives in ZIP packages, written and read back without extraction.
 
-Each package is a ZIP whose members are stored (not deflated): ``archive/data.warc``
-and ``indexes/index.cdx`` (one line a record: id, offset, length). Packages are rows
-of a table in the shared folder, since executors share no local files; any other
-``read(offset, length)`` source works the same way. The reader finds the end record,
-follows the ZIP64 one where the 32-bit fields are full, parses the central directory,
-locates the members through their local headers, and reads only the ranges it needs.
+Each package is a ZIP file in the shared folder whose members are stored (not deflated):
+``archive/data.warc`` and ``indexes/index.cdx`` (one line a record: id, offset, length).
+A task writes its packages through ``pyarrow.fs``, so the folder may be any that this
+reaches, under names of their own; the list of packages is a written table, so files of a
+task that was lost and run again are simply not listed. The reader opens a package, reads
+its end record, follows the ZIP64 one where the 32-bit fields are full, parses the central
+directory, locates the members through their local headers, and reads only the ranges it
+needs: the index and, by its lines, one record after the other.
 
 Of pages with equal payloads of ``least`` bytes or more, the one with the largest id
 is a response and the others revisit it. Groups of copies are met by a partial
-aggregate and a join that adaptive execution can split, never gathered.
+aggregate and a join that adaptive execution can split, never gathered; smaller payloads
+don't take part in the join.
+
+Every record has an id of its own. A revisit names the response's id, address and date; if
+rows repeat the response (equal id and payload), it names address and date only.
 
 Defined results: a null html is an empty payload; repeated rows (equal id and payload)
 are records of their own, all responses if their id is the largest; a row without an id
@@ -19,17 +25,20 @@ gives an empty result.
 
 from __future__ import annotations
 
+import datetime
 import hashlib
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from typing import NamedTuple
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, ship, table
+from .common import materialise, shared_folder, ship, table
 
 LEAST = 1000
 PACKAGE_BYTES = 8 << 20
@@ -113,94 +122,154 @@ def zip_members(read: Read, size: int) -> dict[str, tuple[int, int]]:
     return out
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, revisit: bool) -> bytes:
+class Record(NamedTuple):
+    """A page as it is archived: ``refers_to``, ``to_url`` and ``to_record`` are those of the response that it revisits."""
+
+    page_id: int | None
+    url: str | None
+    payload: bytes
+    revisit: bool
+    refers_to: int | None = None
+    to_url: str | None = None
+    to_record: str | None = None
+
+
+def record(page: Record, record_id: str, date: str) -> bytes:
     """A WARC/1.1 record; a revisit keeps size and digest of the payload in its head, not the payload."""
-    name = "" if page_id is None else str(page_id)
-    body = b"" if revisit else payload
+    body = b"" if page.revisit else page.payload
+    address = lambda url: " ".join((url or "").split())
     head = [
         "WARC/1.1",
-        f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'page:{name}')}>",
-        "WARC-Date: 1970-01-01T00:00:00Z",
-        f"WARC-Target-URI: {' '.join((url or '').split())}",
-        f"WARC-Payload-Digest: sha1:{hashlib.sha1(payload).hexdigest()}",
-        f"X-Page-Id: {name}",
-        f"X-Payload-Length: {len(payload)}",
-        *([f"X-Refers-To: {refers_to}", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"] if revisit else []),
-        f"Content-Length: {len(body)}",
+        f"WARC-Type: {'revisit' if page.revisit else 'response'}",
+        f"WARC-Record-ID: {record_id}",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {address(page.url)}",
+        f"WARC-Payload-Digest: sha1:{hashlib.sha1(page.payload).hexdigest()}",
+        f"X-Page-Id: {'' if page.page_id is None else page.page_id}",
+        f"X-Payload-Length: {len(page.payload)}",
     ]
+    if page.revisit:
+        head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To: {page.refers_to}", f"WARC-Refers-To-Target-URI: {address(page.to_url)}", f"WARC-Refers-To-Date: {date}"]
+        head += [f"WARC-Refers-To: {page.to_record}"] if page.to_record else []
+    else:
+        head.append("Content-Type: text/html; charset=utf-8")
+    head.append(f"Content-Length: {len(body)}")
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
-def packages(pages: DataFrame, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
-    """``package`` rows (ZIP files of about ``package_bytes``) of ``id, url, payload, refers_to, revisit``."""
+def urn(name: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
+
+
+def filesystem(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder's address, and its path there."""
+    if folder.startswith("file:"):
+        folder = "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder)
+
+
+def packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES, date: datetime.datetime | None = None) -> DataFrame:
+    """``path, bytes`` of ZIP files of about ``package_bytes`` each, written into ``folder``
+    when the result is read (write that result, to have each file once), from the rows of
+    ``with_revisits``. ``date`` is that of all records, by default now."""
     ship(pages.sparkSession)
+    when = (date or datetime.datetime.now(datetime.UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[bytes] = []
-        lines: list[str] = []
-        at = 0
+        store, path = filesystem(folder)
+        store.create_dir(path, recursive=True)
+        name, held, lines, at = uuid.uuid4().hex, [], [], 0
 
         def close() -> pd.DataFrame:
-            return pd.DataFrame({"package": [zip_stored([(WARC, b"".join(held)), (INDEX, "\n".join(lines).encode())])]})
+            data = zip_stored([(WARC, b"".join(held)), (INDEX, "\n".join(lines).encode())])
+            with store.open_output_stream(f"{path}/{name}.zip") as out:
+                out.write(data)
+            return pd.DataFrame({"path": [f"{name}.zip"], "bytes": [len(data)]})
 
         for batch in batches:
-            for i, url, payload, to, again in zip(*(batch[c] for c in ("id", "url", "payload", "refers_to", "revisit")), strict=True):
-                data = record(None if pd.isna(i) else int(i), url, bytes(payload), None if pd.isna(to) else int(to), bool(again))
-                lines.append(f"{'' if pd.isna(i) else int(i)} {at} {len(data)}")
+            for i, url, payload, again, to, to_url, key, single in zip(*(batch[c] for c in ("id", "url", "payload", "revisit", "refers_to", "to_url", "copy_key", "single")), strict=True):
+                i, to = (None if pd.isna(x) else int(x) for x in (i, to))
+                # the one response of a group of copies has an id that its revisits know
+                shared = urn(f"payload:{key}") if key and single else None
+                page = Record(i, url, bytes(payload), bool(again), to, to_url, shared)
+                data = record(page, shared if shared and not again else urn(f"{name}:{len(lines)}"), when)
+                lines.append(f"{'' if i is None else i} {at} {len(data)}")
                 held.append(data)
                 at += len(data)
                 if at >= package_bytes:
                     yield close()
-                    held.clear()
-                    lines.clear()
-                    at = 0
+                    name, held, lines, at = uuid.uuid4().hex, [], [], 0
         if held:
             yield close()
 
-    return pages.select(F.col("id").cast("decimal(20,0)").alias("id"), "url", "payload", F.col("refers_to").cast("decimal(20,0)").alias("refers_to"), "revisit").mapInPandas(run, "package binary")
+    whole = lambda c: F.col(c).cast("decimal(20,0)").alias(c)  # noqa: E731  exact among nulls
+    source = pages.select(whole("id"), "url", "payload", "revisit", whole("refers_to"), "to_url", "copy_key", F.coalesce("single", F.lit(False)).alias("single"))
+    return source.mapInPandas(run, "path string, bytes long")
+
+
+def read_package(store: fs.FileSystem, path: str) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Head fields and body of every record that the index of a package names, read range by range."""
+    with store.open_input_file(path) as file:
+
+        def read(at: int, n: int) -> bytes:
+            file.seek(at)
+            return file.read(n)
 
+        members = zip_members(read, file.size())
+        begin, _ = members[WARC]
+        for line in read(*members[INDEX]).decode().splitlines():
+            _, at, length = line.rsplit(" ", 2)
+            head, _, body = read(begin + int(at), int(length)).partition(b"\r\n\r\n")
+            field = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+            yield field, body[: int(field["Content-Length"])]
 
-def read_packages(packed: DataFrame) -> DataFrame:
-    """``id, url, payload_bytes, payload_digest, record_type, refers_to`` a record. The
-    digest of a response is taken of the payload as read and held against its head."""
+
+def read_packages(packed: DataFrame, folder: str) -> DataFrame:
+    """``id, url, payload_bytes, payload_digest, record_type, refers_to`` a record of the
+    packages of ``folder`` that ``packed`` lists. The digest of a response is taken of the
+    payload as read and held against its head."""
     ship(packed.sparkSession)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        store, root = filesystem(folder)
         for batch in batches:
-            for package in batch["package"]:
-                view = memoryview(package)
-                read = lambda at, n, view=view: bytes(view[at : at + n])
-                members = zip_members(read, len(view))
-                begin, _ = members[WARC]
+            for name in batch["path"]:
                 rows = []
-                for line in read(*members[INDEX]).decode().splitlines():
-                    _, at, length = line.rsplit(" ", 2)
-                    head, _, body = read(begin + int(at), int(length)).partition(b"\r\n\r\n")
-                    field = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
-                    body = body[: int(field["Content-Length"])]
+                for field, body in read_package(store, f"{root}/{name}"):
                     kind, digest, size = field["WARC-Type"], field["WARC-Payload-Digest"].removeprefix("sha1:"), int(field["X-Payload-Length"])
                     if kind == "response" and (len(body), hashlib.sha1(body).hexdigest()) != (size, digest):
-                        raise ValueError(f"record {field['X-Page-Id']} does not match its digest")
+                        raise ValueError(f"record {field['WARC-Record-ID']} does not match its digest")
                     rows.append((field["X-Page-Id"] or None, field["WARC-Target-URI"], size, digest, kind, field.get("X-Refers-To")))
-                out = pd.DataFrame(rows, columns=["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
-                yield out
+                yield pd.DataFrame(rows, columns=["id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to"])
 
-    got = packed.mapInPandas(run, "id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string")
+    # a listed package is a few bytes and much work: deal them out, a few to a task
+    number = packed.count()
+    dealt = packed.select("path").repartition(max(1, min(number, max(packed.sparkSession.sparkContext.defaultParallelism, number // 16))))
+    got = dealt.mapInPandas(run, "id string, url string, payload_bytes long, payload_digest string, record_type string, refers_to string")
     return got.withColumns({"id": F.col("id").cast("long"), "refers_to": F.col("refers_to").cast("long")})
 
 
 def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST) -> DataFrame:
-    """``id, url, payload, refers_to, revisit`` a page."""
+    """``id, url, payload, revisit`` a page, with ``refers_to, to_url, copy_key, single`` where it has copies."""
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col).cast("binary"), F.lit(b"")).alias("payload"))
-    rows = rows.withColumn("_key", F.when(F.length("payload") >= least, F.sha2("payload", 256)))
+    large = rows.filter(F.length("payload") >= least).withColumn("copy_key", F.sha2("payload", 256))
     # only groups of copies go on: a payload of its own needs no partner
-    copies = rows.filter("_key is not null").groupBy("_key").agg(F.max("id").alias("_last"), F.count("*").alias("_n")).filter("_n > 1 and _last is not null").drop("_n")
-    joined = rows.join(copies, "_key", "left")
-    revisit = F.col("_last").isNotNull() & ~F.col("id").eqNullSafe(F.col("_last"))
-    return joined.select("id", "url", "payload", F.when(revisit, F.col("_last")).alias("refers_to"), revisit.alias("revisit"))
+    ids = large.groupBy("copy_key", "id").agg(F.count("*").alias("times"), F.min("url").alias("url"))
+    last = F.max(F.when(F.col("id").isNotNull(), F.struct("id", "times", "url")))
+    copies = ids.groupBy("copy_key").agg(last.alias("last"), F.sum("times").alias("n")).filter("n > 1 and last is not null")
+    joined = large.withColumnRenamed("copy_key", "_key").join(copies.withColumnRenamed("copy_key", "_key"), "_key", "left")
+    revisit = F.col("last").isNotNull() & ~F.col("id").eqNullSafe(F.col("last.id"))
+    again = lambda c: F.when(revisit, F.col(f"last.{c}"))
+    found = joined.select("id", "url", "payload", revisit.alias("revisit"), again("id").alias("refers_to"), again("url").alias("to_url"), F.when(F.col("last").isNotNull(), F.col("_key")).alias("copy_key"), (F.col("last.times") == 1).alias("single"))
+    return found.unionByName(rows.filter(F.length("payload") < least).withColumn("revisit", F.lit(False)), allowMissingColumns=True)
+
+
+def archive(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES, **columns) -> DataFrame:
+    """Write ``pages`` as packages into ``folder``; their list, ``path, bytes``."""
+    return materialise(packages(with_revisits(pages, **columns), folder, package_bytes), "packages")
 
 
 def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = materialise(packages(with_revisits(table(spark, sf_dir, "pages"))), "packages")
-    return read_packages(packed).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+    folder = f"{shared_folder(spark)}/archive-{uuid.uuid4().hex}"
+    packed = archive(table(spark, sf_dir, "pages"), folder)
+    return read_packages(packed, folder).select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")

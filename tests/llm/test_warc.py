@@ -30,12 +30,13 @@ def test_reads_what_zipfile_writes_and_skips_packed_members():
         warc.zip_members(lambda at, n: b"junk"[at : at + n], 4)
 
 
-def test_round_trip_and_revisits(spark):
+def test_round_trip_and_revisits(spark, tmp_path):
     large, other = "a" * 1000, "é" * 600
     pages = [(1, "u 1", large), (5, None, large), (3, "u\r\n3", large), (2, "u", other), (9, "u", other), (4, "u", "small"), (6, "u", "small"), (7, "u", None), (8, "u", ""), (10, "u", "z" * 999), (11, "u", "z" * 999), (None, "u", large), (12, "u", "\r\n\r\n" * 400), (5, "v", large)]
     df = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, _key string")
-    packed = warc.packages(warc.with_revisits(df), package_bytes=1500)
-    got = sorted(map(tuple, warc.read_packages(packed).select("id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
+    folder = f"file://{tmp_path}/archive"
+    packed = warc.archive(df, folder, package_bytes=1500)
+    got = sorted(map(tuple, warc.read_packages(packed, folder).select("id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()), key=str)
     last = {}
     for i, _, h in pages:
         if h and len(h.encode()) >= 1000 and i is not None:
@@ -47,4 +48,46 @@ def test_round_trip_and_revisits(spark):
         wanted.append((i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if again else "response", last[h] if again else None))
     assert got == sorted(wanted, key=str)
     assert packed.agg(F.count("*")).first()[0] > 1
-    assert warc.read_packages(warc.packages(warc.with_revisits(df.limit(0)))).count() == 0
+    none = f"file://{tmp_path}/none"
+    assert warc.read_packages(warc.archive(df.limit(0), none), none).count() == 0
+
+    # the files by themselves, as another reader sees them
+    heads = []
+    for r in packed.collect():
+        with zipfile.ZipFile(tmp_path / "archive" / r.path) as z:
+            assert z.testzip() is None and r.bytes == (tmp_path / "archive" / r.path).stat().st_size
+            data = z.read(warc.WARC)
+            for line in z.read(warc.INDEX).decode().splitlines():
+                _, at, n = line.rsplit(" ", 2)
+                head = data[int(at) : int(at) + int(n)].split(b"\r\n\r\n")[0].decode()
+                heads.append(dict(x.split(": ", 1) for x in head.split("\r\n")[1:]))
+    assert len(heads) == len(pages) == len({h["WARC-Record-ID"] for h in heads})
+    responses = {h["WARC-Record-ID"]: h for h in heads if h["WARC-Type"] == "response"}
+    revisits = [h for h in heads if h["WARC-Type"] == "revisit"]
+    known = [h for h in revisits if "WARC-Refers-To" in h]
+    for h in known:
+        to = responses[h["WARC-Refers-To"]]
+        assert (to["WARC-Payload-Digest"], to["WARC-Target-URI"], to["WARC-Date"]) == (h["WARC-Payload-Digest"], h["WARC-Refers-To-Target-URI"], h["WARC-Refers-To-Date"])
+    assert len(revisits) == 4 and len(known) == 1  # the rows of id 5 repeat, so none of them is "the" response
+
+
+def test_only_ranges_are_read():
+    """A record is found without reading the others."""
+    import tempfile
+    from pathlib import Path
+
+    from pyarrow import fs
+
+    records = [warc.record(warc.Record(k, "u", b"x" * 100_000, False), warc.urn(str(k)), "2020-01-01T00:00:00Z") for k in range(50)]
+    lines, at = [], 0
+    for k, r in enumerate(records):
+        lines.append(f"{k} {at} {len(r)}")
+        at += len(r)
+    raw = warc.zip_stored([(warc.WARC, b"".join(records)), (warc.INDEX, lines[7].encode())], zip64=True)
+    with tempfile.TemporaryDirectory() as folder:
+        (Path(folder) / "a.zip").write_bytes(raw)
+        got = list(warc.read_package(fs.LocalFileSystem(), f"{folder}/a.zip"))
+    assert [(h["X-Page-Id"], len(b)) for h, b in got] == [("7", 100_000)]
+    read = []
+    warc.zip_members(lambda a, n: (read.append(n), raw[a : a + n])[1], len(raw))
+    assert sum(read) < 70_000
