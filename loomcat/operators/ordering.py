@@ -1,39 +1,56 @@
-"""Running totals and places over a whole table without one task that sees all rows."""
+"""Running totals, places and chunks over a whole table without one task that sees all rows."""
 
 from __future__ import annotations
 
-import uuid
-
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..scratch import materialise
+
+
+def _ranged(df: DataFrame, ranges: int, *order: Column) -> DataFrame:
+    """``df`` with ``_range`` and ``_row``. Ranges are cut at sampled rows, so sparse or
+    clustered keys fill them evenly, and are written, so that they cannot change."""
+    rows = materialise(df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), "ranged")
+    return rows.withColumn("_range", F.shiftright("_at", 33)).withColumn("_row", F.col("_at").bitwiseAND(2**33 - 1)).drop("_at")
 
-def running_total(df: DataFrame, key: str, value: Column, name: str, ranges: int = 1024) -> DataFrame:
-    """``df`` with ``name``: the sum of ``value`` over all rows up to this one by ``key``.
 
-    The keys (whole numbers, unique) are cut into ``ranges`` equal stretches; each is summed
-    by itself, and only the ``ranges`` sums are ordered in one place."""
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        return df.withColumn(name, F.lit(0).cast("long"))
-    width = max(1, -(-(high - low + 1) // ranges))
-    cut = df.withColumn("_range", F.floor((F.col(key) - low) / width)).withColumn("_value", value.cast("long"))
+def _sums_before(rows: DataFrame, value: Column) -> DataFrame:
+    """``_range, _before``: a row a range, so one window over them is small."""
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    sums = cut.groupBy("_range").agg(F.sum("_value").alias("_sum")).select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
-    within = F.sum("_value").over(Window.partitionBy("_range").orderBy(key))
-    return cut.join(F.broadcast(sums), "_range").withColumn(name, F.col("_before") + within).drop("_range", "_value", "_before")  # at most `ranges` sums
+    return rows.groupBy("_range").agg(value.alias("_sum")).select("_range", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
+
+
+def running_total(df: DataFrame, key: str, value: Column, name: str, ranges: int = 256) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over all rows up to this one by ``key``, which is unique."""
+    rows = _ranged(df.withColumn("_value", value.cast("long")), ranges, F.col(key).asc())
+    within = F.sum("_value").over(Window.partitionBy("_range").orderBy("_row"))
+    return rows.join(F.broadcast(_sums_before(rows, F.sum("_value"))), "_range").withColumn(name, F.col("_before") + within).drop("_range", "_row", "_value", "_before")  # at most `ranges` sums
 
 
 def placed(df: DataFrame, *order: Column, name: str = "place", ranges: int = 64) -> DataFrame:
-    """``df`` with ``name``: each row's place, from 1 on, among all rows by ``order``, which has no ties.
-
-    The rows are sorted by ranges into the shared folder, so that their ranges cannot
-    change; only the ``ranges`` counts are ordered in one place."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-    path = f"{folder.rstrip('/')}/placed-{uuid.uuid4().hex}"
-    df.repartitionByRange(ranges, *order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
-    rows = spark.read.parquet(path).withColumn("_range", F.shiftright("_at", 33)).withColumn("_row", F.col("_at").bitwiseAND(2**33 - 1))
-    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    return rows.join(F.broadcast(counts), "_range").withColumn(name, F.col("_before") + F.col("_row") + 1).drop("_at", "_range", "_row", "_before")  # at most `ranges` counts
+    """``df`` with ``name``: each row's place, from 1 on, among all rows by ``order``, which has no ties."""
+    rows = _ranged(df, ranges, *order)
+    return rows.join(F.broadcast(_sums_before(rows, F.count("*"))), "_range").withColumn(name, F.col("_before") + F.col("_row") + 1).drop("_range", "_row", "_before")  # at most `ranges` counts
+
+
+def greedy_chunks(df: DataFrame, key: str, size: Column, budget: int, block: int = 10_000) -> DataFrame:
+    """``key, block, chunk`` of every row: consecutive rows by ``key`` (unique) share a chunk
+    while their sizes fit ``budget``; a row larger than that is a chunk of its own.
+
+    Blocks of ``block`` consecutive rows are packed independently, so a chunk never crosses
+    their border and no task sees more than one block at a time."""
+    at = placed(df.select(key, size.cast("long").alias("_size")), F.col(key).asc()).withColumn("block", F.floor((F.col("place") - 1) / block))
+
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("place")
+        chunk, held, out = 0, None, []
+        for n in rows["_size"].tolist():
+            if held is not None and held + n > budget:
+                chunk, held = chunk + 1, 0
+            held = (held or 0) + n
+            out.append(chunk)
+        return pd.DataFrame({key: rows[key], "block": rows["block"], "chunk": out})
+
+    return at.groupBy("block").applyInPandas(pack, f"{key} {df.schema[key].dataType.simpleString()}, block long, chunk long")
