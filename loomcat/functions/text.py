@@ -20,19 +20,29 @@ def fold_compatible(text: Column) -> Column:
 
     @F.pandas_udf("string")
     def fold(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
+        return texts.map(lambda x: x if x is None or x.isascii() else "".join(c for c in unicodedata.normalize("NFKD", x) if not unicodedata.combining(c)))
 
     return fold(text)
 
 
+def composed(text: Column) -> Column:
+    """NFKC."""
+
+    @F.pandas_udf("string")
+    def compose(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda x: x if x is None or x.isascii() else unicodedata.normalize("NFKC", x))
+
+    return compose(text)
+
+
 def match_form(text: Column) -> Column:
-    """Lower case, ``_`` and ``-`` and runs of space as one space, trimmed."""
-    return F.trim(F.regexp_replace(F.lower(F.translate(text, "_-", "  ")), r"\s+", " "))
+    """Decomposed without marks, lower case, ``_`` and ``-`` and runs of space as one space, trimmed."""
+    return F.trim(F.regexp_replace(F.lower(F.translate(fold_compatible(text), "_-", "  ")), r"\s+", " "))
 
 
 def entity_form(text: Column) -> Column:
-    """Lower case, every run that is neither letter nor digit as one space."""
-    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
+    """NFKC, lower case, every run that is neither letter nor digit as one space."""
+    return F.trim(F.regexp_replace(F.lower(composed(text)), r"[^\p{L}\p{N}]+", " "))
 
 
 def identifier_form(text: Column) -> Column:
@@ -75,9 +85,9 @@ def html_attribute(html: Column, tag: str, attribute: str) -> Column:
 
 def safe_message(text: Column, most: int = 2000) -> Column:
     """Addresses, bearer tokens and credential pairs hidden, then cut."""
-    out = F.regexp_replace(text, r"https?://[^\s\"']+", "[url]")
+    out = F.regexp_replace(text, r"(?i)\b(?:https?|postgres(?:ql)?)://[^\s<>\"']+", "[url]")
     out = F.regexp_replace(out, r"(?i)bearer\s+[A-Za-z0-9._~+/-]+=*", "Bearer [hidden]")
-    out = F.regexp_replace(out, r"(?i)(token|password|secret|api_?key)\s*[=:]\s*[^\s,;]+", "$1=[hidden]")
+    out = F.regexp_replace(out, r"(?i)([\w-]*(?:token|password|secret|api[_-]?key))\s*[=:]\s*[^\s,;]+", "$1=[hidden]")
     return F.substring(out, 1, most)
 
 

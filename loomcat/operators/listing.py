@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.urls import product_identity
+from ..functions.money import refreshed_price
+from ..functions.urls import identity_of, parts_of
+
+PRICES = ("price", "original_price", "sale_price")
 
 
 def first_by(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
@@ -22,36 +25,47 @@ def latest_observation(df: DataFrame, key: str, ts: str, ord_: str) -> DataFrame
 
 def match_listing(crawled: DataFrame, stored: DataFrame) -> DataFrame:
     """Every crawled address once (first by ``ord``) with the stored rows it stands for:
-    those of its product identity, else that of its address. Unmatched ones have a null id."""
-    seen = first_by(crawled.filter("product_url is not null"), ["product_url"], F.col("ord"))
-    seen = seen.withColumn("_key", product_identity(F.col("product_url")))
-    old = stored.withColumn("_key", product_identity(F.col("product_url")))
+    those of its product identity, or of its address if it has none. Unmatched ones have a null id.
+
+    Equal addresses have equal identities, so one join on whichever key there is will do;
+    a row without an address has no key and matches nothing."""
+
+    def keyed(df: DataFrame) -> DataFrame:
+        cut = df.withColumn("_parts", parts_of(F.col("product_url")))
+        return cut.withColumn("_key", F.coalesce(identity_of(F.col("_parts")), F.concat(F.lit("address:"), "product_url"))).drop("_parts")
+
+    seen = keyed(first_by(crawled.filter("product_url is not null"), ["product_url"], F.col("ord")))
     left = seen.select(*[F.col(c).alias(f"new_{c}") for c in crawled.columns], "_key")
-    by_identity = left.join(old, "_key", "left").drop("_key")
-    # an address whose identity finds nothing may still be stored as it is
-    lost = by_identity.filter("id is null").select(*[f"new_{c}" for c in crawled.columns])
-    by_url = lost.join(stored, F.col("new_product_url") == F.col("product_url"), "left")
-    return by_identity.filter("id is not null").unionByName(by_url)
+    return left.join(keyed(stored.filter("product_url is not null")), "_key", "left").drop("_key")
 
 
 def diff_listing(crawled: DataFrame, stored: DataFrame) -> DataFrame:
-    """A row an update: ``id, outcome, price, original_price, sale_price, in_stock``.
+    """A row a matched stored row: ``id, outcome, price, original_price, sale_price, in_stock``
+    as they are to be after it.
 
-    Late observations write nothing. A price below the stored baseline is a sale."""
+    An observation without a time, or older than the newest stored one (``last_seen_at``,
+    ``crawled_at`` if there is one), writes nothing. One without a price leaves the prices as
+    they are; a price below the stored baseline is a sale (``refreshed_price``, or confirmed
+    ``new_fields``). A row in quarantine (``quarantined``) doesn't come back into stock."""
     m = match_listing(crawled, stored).filter("id is not null")
     newest = first_by(m, ["id"], F.col("new_ord"))
-    baseline = F.when(F.col("original_price") > 0, F.col("original_price")).when(F.col("price") > 0, F.col("price")).otherwise(F.col("new_price"))
-    on_sale = F.col("new_price") < baseline
-    late = F.col("new_observed_at") < F.col("last_seen_at")
-    out = newest.select(
-        "id",
-        F.when(late, "stale").when(F.col("new_in_stock") != F.col("in_stock"), F.when(F.col("new_in_stock"), "restocked").otherwise("sold_out")).when(F.col("new_price") != F.col("price"), "price").otherwise("unchanged").alias("outcome"),
-        F.when(late, F.col("price")).otherwise(F.col("new_price")).alias("price"),
-        F.when(late | on_sale, baseline).otherwise(F.col("new_price")).alias("original_price"),
-        F.when(~late & on_sale, F.col("new_price")).alias("sale_price"),
-        F.when(late, F.col("in_stock")).otherwise(F.col("new_in_stock")).alias("in_stock"),
-    )
-    return out
+    has = lambda c, otherwise: F.coalesce(F.col(c), otherwise) if c in m.columns else otherwise
+    none = F.lit(None)
+    known = F.greatest("last_seen_at", F.col("crawled_at").cast(m.schema["last_seen_at"].dataType)) if "crawled_at" in m.columns else F.col("last_seen_at")
+    late = F.col("new_observed_at").isNull() | F.coalesce(F.col("new_observed_at") < known, F.lit(False))
+    held = has("quarantined", F.lit(False)) & F.col("new_in_stock")
+    fields = F.struct(*[none.cast("double").alias(c) for c in PRICES])
+    fresh = refreshed_price(F.col("new_price"), F.lit(False), fields, F.col("original_price"), F.col("price"))
+    if "new_fields" in m.columns:
+        fresh = refreshed_price(F.col("new_price"), F.col("new_fields").isNotNull(), F.col("new_fields"), F.col("original_price"), F.col("price"))
+    old_sale = F.col("sale_price") if "sale_price" in m.columns else none.cast("double")
+    now = newest.withColumns({"_late": late, "_held": held, "_price": F.when(~late, fresh), "_stock": F.when(late, F.col("in_stock")).when(held, False).otherwise(F.col("new_in_stock"))})
+    priced = F.col("_price").isNotNull()
+    changed = ~F.col("_stock").eqNullSafe(F.col("in_stock"))
+    outcome = F.when(F.col("_late"), "stale").when(changed & F.col("_stock"), "restocked").when(changed & ~F.col("_held"), "sold_out").when(F.col("_held") & F.coalesce("in_stock", F.lit(True)), "blocked")
+    outcome = outcome.when(priced & ~F.col("_price.price").eqNullSafe(F.col("price")), "price").otherwise("unchanged")
+    keep = {"price": F.col("price"), "original_price": F.col("original_price"), "sale_price": old_sale}
+    return now.select("id", outcome.alias("outcome"), *[F.when(priced, F.col(f"_price.{c}")).otherwise(keep[c]).alias(c) for c in PRICES], F.col("_stock").alias("in_stock"))
 
 
 def missing_rows(crawled: DataFrame, stored: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +15,12 @@ def failure_streaks(runs: DataFrame, source: str = "source") -> DataFrame:
     """``source, failures, last_failed_at`` of sources whose newest decided runs failed.
 
     A success or partial run ends the streak; running and skipped ones neither count nor
-    end it, nor do failures of our own network. A run without a time is the oldest."""
+    end it, nor do failures of our own network or store (``unreachable_only``, and
+    ``db_partial_only`` if the log has it). A run without a time is the oldest."""
     ended = F.col("status").isin("success", "partial")
     since = runs.groupBy(source).agg(F.max(F.when(ended, F.coalesce("started_at", F.lit("0001-01-01").cast("timestamp")))).alias("_ended"))
-    failed = runs.filter((F.col("status") == "failed") & ~F.coalesce("unreachable_only", F.lit(False)))
+    own = [F.coalesce(F.col(c), F.lit(False)) for c in ("unreachable_only", "db_partial_only") if c in runs.columns]
+    failed = runs.filter(functools.reduce(lambda a, x: a & ~x, own, F.col("status") == "failed"))
     after = failed.join(since, source).filter(F.col("_ended").isNull() | (F.col("started_at") > F.col("_ended")))
     return after.groupBy(source).agg(F.count("*").alias("failures"), F.max("started_at").alias("last_failed_at"))
 

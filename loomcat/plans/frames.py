@@ -90,11 +90,11 @@ def runs(spark: SparkSession, d: str) -> DataFrame:
     """The run log: one row a run of a source."""
     e = table(spark, d, "events")
     status = F.expr("case event_type when 'error' then 'failed' when 'purchase' then 'success' when 'signup' then 'partial' when 'view' then 'skipped' else 'running' end")
-    return e.select(F.col("event_id").alias("run_id"), F.col("user_id").alias("source"), F.col("ts").alias("started_at"), status.alias("status"), (F.col("event_id") % 7 == 0).alias("unreachable_only"), F.col("value"))
+    return e.select(F.col("event_id").alias("run_id"), F.col("user_id").alias("source"), F.col("ts").alias("started_at"), status.alias("status"), (F.col("event_id") % 7 == 0).alias("unreachable_only"), (F.col("event_id") % 5 == 0).alias("db_partial_only"), F.col("value"))
 
 
 RUNS = """runs AS (
     SELECT event_id AS run_id, user_id AS source, ts AS started_at,
            CASE event_type WHEN 'error' THEN 'failed' WHEN 'purchase' THEN 'success' WHEN 'signup' THEN 'partial' WHEN 'view' THEN 'skipped' ELSE 'running' END AS status,
-           event_id % 7 = 0 AS unreachable_only, value
+           event_id % 7 = 0 AS unreachable_only, event_id % 5 = 0 AS db_partial_only, value
     FROM events)"""
