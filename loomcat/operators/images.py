@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import discard, materialise
+
 
 def overlap(a: Column, b: Column) -> Column:
     """Intersection over union of boxes ``x0, y0, x1, y1``."""
@@ -19,31 +17,37 @@ def overlap(a: Column, b: Column) -> Column:
     return F.when(total > 0, both / total).otherwise(F.lit(0.0))
 
 
-def suppress(boxes: DataFrame, image: str, limit: float) -> DataFrame:
-    """Greedy suppression: of boxes of an image that overlap by more than ``limit`` the one
-    with the higher score stays (ties: the first ``box``). An image holds few boxes; they
-    come as one array a row, so no group is gathered in Python."""
-    rows = boxes.groupBy(image).agg(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("order"), "box", "x0", "y0", "x1", "y1"))).alias("b"))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            out = []
-            for i, found in zip(batch[image], batch["b"], strict=True):
-                kept: list = []
-                for b in found:
-                    box = np.array([b["x0"], b["y0"], b["x1"], b["y1"]])
-                    clear = True
-                    for k in kept:
-                        w = max(0.0, min(box[2], k[2]) - max(box[0], k[0])) * max(0.0, min(box[3], k[3]) - max(box[1], k[1]))
-                        total = (box[2] - box[0]) * (box[3] - box[1]) + (k[2] - k[0]) * (k[3] - k[1]) - w
-                        clear &= not (total > 0 and w / total > limit)
-                    if clear:
-                        kept.append(box)
-                        out.append((i, b["box"]))
-            yield pd.DataFrame(out, columns=[image, "box"])
-
-    kinds = {f.name: f.dataType.simpleString() for f in boxes.schema.fields}
-    return rows.mapInPandas(run, f"{image} {kinds[image]}, box {kinds['box']}")
+def suppress(boxes: DataFrame, image: str, limit: float, cell: float = 64.0) -> DataFrame:
+    """``image, box`` of greedy suppression: of boxes of an image that overlap by more than
+    ``limit`` (above 0) the one with the higher score stays (ties: the first ``box``).
+
+    Of equal boxes the best goes on alone. The others meet by the grid cell in which their
+    intersection begins, so an image of any size is dealt out by its cells. Then rounds: boxes
+    that no better one overlaps stay, those that they overlap go. Each round settles at
+    least the best box that is open, so they end."""
+    side = ["x0", "y0", "x1", "y1"]
+    best = F.min(F.struct((-F.col("score")).alias("order"), "box"))
+    has_area = (F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))
+    flat = boxes.filter(~has_area).select(image, "box")  # these overlap nothing, not even equal ones
+    # a node is unique: its place in the order, and the place that no other node of the image has
+    nodes = boxes.filter(has_area).groupBy(image, *side).agg(best.alias("best")).select(image, F.struct("best.order", "best.box", *side).alias("node"))
+    nodes = materialise(nodes, "boxes")
+    span = lambda lo, hi: F.sequence(F.floor(F.col(f"node.{lo}") / cell), F.floor(F.col(f"node.{hi}") / cell))
+    dealt = nodes.withColumn("cx", F.explode(span("x0", "x1"))).withColumn("cy", F.explode(span("y0", "y1")))
+    a, b = (dealt.withColumnRenamed("node", name) for name in ("win", "lose"))
+    begins = lambda c, lo: F.col(c) == F.floor(F.greatest(F.col(f"win.{lo}"), F.col(f"lose.{lo}")) / cell)
+    over = a.join(b, [image, "cx", "cy"]).filter((F.col("win") < F.col("lose")) & begins("cx", "x0") & begins("cy", "y0") & (overlap(F.col("win"), F.col("lose")) > limit))
+    edges = materialise(over.select(image, "win", "lose"), "overlaps")
+    out = nodes
+    while not edges.isEmpty():
+        beaten = edges.select(image, F.col("lose").alias("win")).distinct()
+        gone = materialise(edges.join(beaten, [image, "win"], "left_anti").select(image, F.col("lose").alias("node")).distinct(), "suppressed")
+        out = out.join(gone, [image, "node"], "left_anti")
+        # a box that is gone beats none, and needs no further judgement
+        left = edges.join(gone.withColumnRenamed("node", "win"), [image, "win"], "left_anti").join(gone.withColumnRenamed("node", "lose"), [image, "lose"], "left_anti")
+        last, edges = edges, materialise(left, "overlaps")
+        discard(boxes.sparkSession, last)
+    return out.select(image, F.col("node.box").alias("box")).union(flat)
 
 
 def needs_new_image(current: Column, width: Column, utility: Column, least: int = 400) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import numbers, text, urls
+from ..operators import classify as C
 from ..operators import listing as L
 from ..operators import matching as M
 from ..operators import quality_gates as G
@@ -50,21 +51,10 @@ def dimension_lookup(spark, d):
 
 @query(
     "j8_unique_match",
-    """WITH k AS (SELECT p_partkey AS id, unnest([lower(p_brand), lower(p_name)]) AS k FROM part), dim AS (SELECT s_suppkey AS dim, unnest(['brand#' || (s_suppkey % 30), 'red widget-' || s_suppkey]) AS k FROM supplier WHERE s_suppkey < 25 OR s_suppkey % 10 = 0),
-    f AS (SELECT id, min(dim) AS lo, max(dim) AS hi FROM k JOIN dim USING (k) GROUP BY id) SELECT p_partkey AS id, CASE WHEN lo = hi THEN lo END AS supplier_id FROM part LEFT JOIN f ON f.id = p_partkey""",
-)
-def unique_match_lookup(spark, d):
-    s = table(spark, d, "supplier").filter("s_suppkey < 25 or s_suppkey % 10 = 0").select(F.col("s_suppkey").alias("supplier_id"), F.concat(F.lit("brand#"), F.col("s_suppkey") % 30).alias("k1"), F.concat(F.lit("red widget-"), "s_suppkey").alias("k2"))
-    p = table(spark, d, "part").withColumnRenamed("p_partkey", "id")
-    return M.unique_lookup(p, s, [F.lower("p_brand"), F.lower("p_name")], [F.col("k1"), F.col("k2")], "id", "supplier_id")
-
-
-@query(
-    "j8_unique_match_whole",
     """WITH k AS (SELECT p_partkey AS id, unnest([lower(p_brand), lower(p_name)]) AS k FROM part), dim AS (SELECT s_suppkey AS dim, unnest(['brand#' || (s_suppkey % 30), 'red widget-' || s_suppkey]) AS k FROM supplier),
     f AS (SELECT id, min(dim) AS lo, max(dim) AS hi FROM k JOIN dim USING (k) GROUP BY id) SELECT p_partkey AS id, CASE WHEN lo = hi THEN lo END AS supplier_id FROM part LEFT JOIN f ON f.id = p_partkey""",
 )
-def unique_match_whole(spark, d):
+def unique_match_lookup(spark, d):
     s = table(spark, d, "supplier").select(F.col("s_suppkey").alias("supplier_id"), F.concat(F.lit("brand#"), F.col("s_suppkey") % 30).alias("k1"), F.concat(F.lit("red widget-"), "s_suppkey").alias("k2"))
     p = table(spark, d, "part").withColumnRenamed("p_partkey", "id")
     return M.unique_lookup(p, s, [F.lower("p_brand"), F.lower("p_name")], [F.col("k1"), F.col("k2")], "id", "supplier_id")
@@ -118,16 +108,8 @@ def cohort_suppress(spark, d):
     return s.join(cohort, "s_suppkey", "left").join(spared, "s_nationkey", "left").select("s_suppkey", F.when(F.col("_in") & F.col("_spared").isNull(), "suppressed").otherwise("active").alias("status"))
 
 
-@query("j16_audit_joins", "SELECT p_partkey, e.label IS NOT NULL AS embedded, coalesce(r.n, 0) AS reviews, coalesce(b.brands, '') AS brands FROM part LEFT JOIN embeddings e ON e.vec_id = p_partkey LEFT JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1) r ON r.conv_id = p_partkey LEFT JOIN (SELECT 'Brand#' || (s_suppkey % 25) AS b, string_agg(s_suppkey::VARCHAR, ',' ORDER BY s_suppkey) AS brands FROM supplier WHERE s_suppkey < 60 GROUP BY 1) b ON b.b = p_brand")
+@query("j16_audit_joins", "SELECT p_partkey, e.label IS NOT NULL AS embedded, coalesce(r.n, 0) AS reviews, coalesce(b.n, 0) AS suppliers, b.lo AS supplier FROM part LEFT JOIN embeddings e ON e.vec_id = p_partkey LEFT JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1) r ON r.conv_id = p_partkey LEFT JOIN (SELECT 'Brand#' || (s_suppkey % 25) AS b, count(*) AS n, min(s_suppkey) AS lo FROM supplier GROUP BY 1) b ON b.b = p_brand")
 def audit_joins(spark, d):
-    p, e = table(spark, d, "part"), table(spark, d, "embeddings").select(F.col("vec_id").alias("p_partkey"), F.lit(True).alias("e"))
-    r = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("p_partkey")).agg(F.count("*").alias("n"))
-    b = table(spark, d, "supplier").filter("s_suppkey < 60").groupBy(F.concat(F.lit("Brand#"), F.col("s_suppkey") % 25).alias("p_brand")).agg(F.array_join(F.transform(F.array_sort(F.collect_list("s_suppkey")), lambda x: x.cast("string")), ",").alias("brands"))
-    return p.join(e, "p_partkey", "left").join(r, "p_partkey", "left").join(b, "p_brand", "left").select("p_partkey", F.coalesce("e", F.lit(False)).alias("embedded"), F.coalesce("n", F.lit(0)).alias("reviews"), F.coalesce("brands", F.lit("")).alias("brands"))
-
-
-@query("j16_audit_joins_whole", "SELECT p_partkey, e.label IS NOT NULL AS embedded, coalesce(r.n, 0) AS reviews, coalesce(b.n, 0) AS suppliers, b.lo AS supplier FROM part LEFT JOIN embeddings e ON e.vec_id = p_partkey LEFT JOIN (SELECT conv_id, count(*) AS n FROM conversations GROUP BY 1) r ON r.conv_id = p_partkey LEFT JOIN (SELECT 'Brand#' || (s_suppkey % 25) AS b, count(*) AS n, min(s_suppkey) AS lo FROM supplier GROUP BY 1) b ON b.b = p_brand")
-def audit_joins_whole(spark, d):
     p, e = table(spark, d, "part"), table(spark, d, "embeddings").select(F.col("vec_id").alias("p_partkey"), F.col("label").isNotNull().alias("e"))
     r = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("p_partkey")).agg(F.count("*").alias("n"))
     b = table(spark, d, "supplier").groupBy(F.concat(F.lit("Brand#"), F.col("s_suppkey") % 25).alias("p_brand")).agg(F.count("*").alias("m"), F.min("s_suppkey").alias("supplier"))
@@ -342,10 +324,16 @@ def usable_image(spark, d):
     return table(spark, d, "pages").filter(urls.usable_image(u) & ~F.rlike(F.lower(u), F.lit("blog|th"))).select("page_id")
 
 
-@query("f9_unverified_unisex", "SELECT conv_id FROM conversations GROUP BY 1 HAVING count(DISTINCT role) = 1 AND max(role) = 'user'")
+GENDERS = "g AS (SELECT p_partkey, CASE p_size % 4 WHEN 0 THEN ['unisex'] WHEN 1 THEN ['women', 'unisex'] WHEN 2 THEN ['men'] END AS gender, ['engine', 'url', 'text', 'config_default', 'legacy', 'unverified', NULL][1 + p_partkey % 7] AS source FROM part)"
+
+
+@query("f9_unverified_unisex", f"WITH {GENDERS} SELECT p_partkey FROM g WHERE gender = ['unisex'] AND (source IS NULL OR source NOT IN ('engine', 'url', 'text', 'config_default'))")
 def unverified_unisex(spark, d):
-    g = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_distinct(F.collect_set("role")).alias("roles"))
-    return g.filter((F.size("roles") == 1) & (F.get("roles", 0) == "user")).select("conv_id")
+    words = lambda *x: F.array(*map(F.lit, x))
+    n = F.col("p_size") % 4
+    gender = F.when(n == 0, words("unisex")).when(n == 1, words("women", "unisex")).when(n == 2, words("men"))
+    source = F.get(F.array(*map(F.lit, ["engine", "url", "text", "config_default", "legacy", "unverified", None])), (F.col("p_partkey") % 7).cast("int"))
+    return table(spark, d, "part").filter(C.is_unverified_unisex(gender, source)).select("p_partkey")
 
 
 @query("f11_resumable_targets", "SELECT doc_id FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL OR substr(sha256(text), 1, 1) < '4'")
@@ -405,15 +393,8 @@ def conflict_check(spark, d):
     return table(spark, d, "part").groupBy("p_name").agg(t.alias("types"), F.count_distinct("p_brand").alias("brands"), (t > 1).alias("conflict"))
 
 
-@query("o5_image_ranking", "SELECT user_id, event_id, place::INT AS place FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, value DESC, event_id) AS place FROM events) WHERE place <= 3")
+@query("o5_image_ranking", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, value DESC, event_id)::INT AS place FROM events")
 def image_ranking(spark, d):
-    tier = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "click", 1).otherwise(2)
-    w = Window.partitionBy("user_id").orderBy(tier, F.desc("value"), "event_id")
-    return table(spark, d, "events").withColumn("place", F.row_number().over(w)).filter("place <= 3").select("user_id", "event_id", "place")
-
-
-@query("o5_image_ranking_whole", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, value DESC, event_id)::INT AS place FROM events")
-def image_ranking_whole(spark, d):
     tier = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "click", 1).otherwise(2)
     w = Window.partitionBy("user_id").orderBy(tier, F.desc("value"), "event_id")
     return table(spark, d, "events").withColumn("place", F.row_number().over(w)).select("user_id", "event_id", "place")
@@ -437,9 +418,9 @@ def rule_ab(spark, d):
     return v.groupBy(F.when(F.col("a").eqNullSafe(F.col("b")), "same").when(F.col("a").isNull(), "gained").when(F.col("b").isNull(), "lost").otherwise("flipped").alias("change")).agg(F.count("*").alias("n"))
 
 
-@query("c16_category_transitions", "WITH v AS (SELECT p_type AS a, CASE WHEN contains(p_name, 'bolt') THEN 'SMALL' ELSE p_type END AS b FROM part WHERE p_size < 20) SELECT a AS before, b AS after, count(*) AS n FROM v WHERE a <> b GROUP BY ALL")
+@query("c16_category_transitions", "WITH v AS (SELECT p_type AS a, CASE WHEN contains(p_name, 'bolt') THEN 'SMALL' ELSE p_type END AS b FROM part) SELECT a AS before, b AS after, count(*) AS n FROM v WHERE a <> b GROUP BY ALL")
 def category_transitions(spark, d):
-    p = table(spark, d, "part").filter("p_size < 20")
+    p = table(spark, d, "part")
     return p.select(F.col("p_type").alias("before"), F.when(F.contains("p_name", F.lit("bolt")), "SMALL").otherwise(F.col("p_type")).alias("after")).filter("before <> after").groupBy("before", "after").agg(F.count("*").alias("n"))
 
 

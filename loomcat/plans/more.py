@@ -9,7 +9,7 @@ from ..functions import text, urls
 from ..operators import images, schedule
 from ..operators import listing as L
 from ..operators import matching as M
-from ..operators.ordering import running_total
+from ..operators.ordering import greedy_chunks, running_total
 from ..rules import Rule, all_matches, first_match
 from ..sources import registry
 from .catalogue import ISSUES, audit_manifest
@@ -24,10 +24,16 @@ def paged_scan(spark, d):
     return c.select("c_custkey", F.floor((F.col("row") - 1) / 1000).alias("page"))
 
 
-@query("s5_byte_budget", "WITH s AS (SELECT page_id, sum(strlen(html)) OVER (ORDER BY page_id) AS upto FROM pages) SELECT ((upto - 1) // 100000)::BIGINT AS chunk, count(*) AS pages FROM s GROUP BY 1")
+@query(
+    "s5_byte_budget",
+    """WITH RECURSIVE n AS (SELECT page_id, coalesce(strlen(html), 0) AS n, row_number() OVER (ORDER BY page_id) AS pos FROM pages),
+    f AS (SELECT pos, page_id, 0 AS chunk, n AS held FROM n WHERE pos = 1
+        UNION ALL SELECT n.pos, n.page_id, CASE WHEN (n.pos - 1) % 10000 = 0 THEN 0 WHEN f.held + n.n > 100000 THEN f.chunk + 1 ELSE f.chunk END,
+            CASE WHEN (n.pos - 1) % 10000 = 0 OR f.held + n.n > 100000 THEN n.n ELSE f.held + n.n END FROM f JOIN n ON n.pos = f.pos + 1)
+    SELECT page_id, ((pos - 1) // 10000)::BIGINT AS block, chunk::BIGINT AS chunk FROM f""",
+)
 def byte_budget(spark, d):
-    p = running_total(table(spark, d, "pages").select("page_id", F.octet_length("html").alias("n")), "page_id", F.col("n"), "upto")
-    return p.groupBy(F.floor((F.col("upto") - 1) / 100000).alias("chunk")).agg(F.count("*").alias("pages"))
+    return greedy_chunks(table(spark, d, "pages"), "page_id", F.coalesce(F.octet_length("html"), F.lit(0)), 100_000)
 
 
 @query("s7_promotion_payload", f"WITH {OFFERS} SELECT order_id, line, original AS base, sale AS promo, coalesce(sale < original, false) AS on_sale FROM offers")
@@ -155,11 +161,33 @@ def repair_decision(spark, d):
     return table(spark, d, "part").select("p_partkey", F.when(g == "none", "keep").when(g == cur, "same").when(F.col("p_size") > 25, "review").otherwise("repair").alias("decision"))
 
 
-@query("x31_image_overlap", "WITH b AS (SELECT l_orderkey AS image, l_linenumber AS box, l_quantity AS x0, l_quantity + 10 AS x1, 0.0::DOUBLE AS y0, 10.0::DOUBLE AS y1 FROM lineitem WHERE l_orderkey % 10 = 0), o AS (SELECT greatest(least(a.x1, b.x1) - greatest(a.x0, b.x0), 0) * 10 AS i FROM b a JOIN b ON a.image = b.image AND a.box < b.box) SELECT count(*) AS pairs, count(*) FILTER (WHERE i / (200 - i) > 0.5) AS heavy FROM o")
+BOXES = "b AS (SELECT l_orderkey AS image, l_linenumber AS box, l_quantity AS x0, l_quantity + 10 AS x1, l_extendedprice AS score FROM lineitem)"
+SHARED = "greatest(least({0}.x1, {1}.x1) - greatest({0}.x0, {1}.x0), 0)"
+
+
+def boxes(spark, d):
+    q = F.col("l_quantity").cast("double")
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("box"), F.col("l_extendedprice").alias("score"), q.alias("x0"), F.lit(0.0).alias("y0"), (q + 10).alias("x1"), F.lit(10.0).alias("y1"))
+
+
+@query("x31_image_overlap", f"WITH {BOXES}, o AS (SELECT a.image, {SHARED.format('a', 'b')} AS i FROM b a JOIN b ON a.image = b.image AND a.box < b.box) SELECT image, count(*) AS heavy FROM o WHERE i / (20 - i) > 0.5 GROUP BY 1")
 def image_overlap(spark, d):
-    b = table(spark, d, "lineitem").filter("l_orderkey % 10 = 0").select(F.col("l_orderkey").alias("image"), F.col("l_linenumber").alias("box"), F.struct(F.col("l_quantity").alias("x0"), (F.col("l_quantity") + 10).alias("x1"), F.lit(0.0).alias("y0"), F.lit(10.0).alias("y1")).alias("at"))
+    b = boxes(spark, d).select("image", "box", F.struct("x0", "y0", "x1", "y1").alias("at"))
     pairs = b.alias("a").join(b.alias("b"), (F.col("a.image") == F.col("b.image")) & (F.col("a.box") < F.col("b.box")))
-    return pairs.select(images.overlap(F.col("a.at"), F.col("b.at")).alias("o")).agg(F.count("*").alias("pairs"), F.count_if(F.col("o") > 0.5).alias("heavy"))
+    return pairs.filter(images.overlap(F.col("a.at"), F.col("b.at")) > 0.5).groupBy(F.col("a.image").alias("image")).agg(F.count("*").alias("heavy"))
+
+
+@query(
+    "x31_suppression",
+    f"""WITH RECURSIVE {BOXES}, r AS (SELECT *, row_number() OVER (PARTITION BY image ORDER BY score DESC, box) AS k FROM b),
+    f AS (SELECT image, k, [{{'box': box, 'x0': x0, 'x1': x1}}] AS kept FROM r WHERE k = 1
+        UNION ALL SELECT r.image, r.k, CASE WHEN len(list_filter(f.kept, lambda p: {SHARED.format('p', 'r')} / (20 - {SHARED.format('p', 'r')}) > 0.5)) = 0 THEN list_append(f.kept, {{'box': r.box, 'x0': r.x0, 'x1': r.x1}}) ELSE f.kept END
+        FROM f JOIN r ON r.image = f.image AND r.k = f.k + 1),
+    l AS (SELECT image, kept FROM f QUALIFY row_number() OVER (PARTITION BY image ORDER BY k DESC) = 1), e AS (SELECT image, unnest(kept) AS b FROM l)
+    SELECT image, b.box AS box FROM e""",
+)
+def suppression(spark, d):
+    return images.suppress(boxes(spark, d), "image", 0.5)
 
 
 @query("x31_reselection", "SELECT p_partkey, p_size < 25 OR p_partkey % 6 = 0 OR p_partkey % 5 = 0 AS renew FROM part")
@@ -219,15 +247,8 @@ def cross_shop_job(spark, d):
     return pairs(spark, d).join(a, "left_id").join(b, "right_id").groupBy(decision["status"].alias("status")).agg(F.count("*").alias("n"))
 
 
-@query("c7_brand_nodes", "WITH b AS (SELECT DISTINCT p_brand FROM part) SELECT p_brand, CASE WHEN s_suppkey IS NOT NULL THEN 'node' WHEN length(p_brand) > 7 THEN 'create' ELSE 'quarantine' END AS outcome FROM b LEFT JOIN supplier ON 'Brand#' || s_suppkey = p_brand AND s_suppkey < 8")
+@query("c7_brand_nodes", "WITH b AS (SELECT DISTINCT p_brand FROM part) SELECT p_brand, CASE WHEN s_suppkey IS NOT NULL THEN 'node' WHEN length(p_brand) > 7 THEN 'create' ELSE 'quarantine' END AS outcome FROM b LEFT JOIN supplier ON 'Brand#' || s_suppkey = p_brand")
 def brand_nodes(spark, d):
-    b = table(spark, d, "part").select("p_brand").distinct()
-    nodes = table(spark, d, "supplier").filter("s_suppkey < 8").select(F.concat(F.lit("Brand#"), "s_suppkey").alias("p_brand"), F.lit(True).alias("node"))
-    return b.join(nodes, "p_brand", "left").select("p_brand", F.when(F.col("node"), "node").when(F.length("p_brand") > 7, "create").otherwise("quarantine").alias("outcome"))
-
-
-@query("c7_brand_nodes_whole", "WITH b AS (SELECT DISTINCT p_brand FROM part) SELECT p_brand, CASE WHEN s_suppkey IS NOT NULL THEN 'node' WHEN length(p_brand) > 7 THEN 'create' ELSE 'quarantine' END AS outcome FROM b LEFT JOIN supplier ON 'Brand#' || s_suppkey = p_brand")
-def brand_nodes_whole(spark, d):
     b = table(spark, d, "part").select("p_brand").distinct()
     nodes = table(spark, d, "supplier").select(F.concat(F.lit("Brand#"), "s_suppkey").alias("p_brand"), F.lit(True).alias("node"))
     return b.join(nodes, "p_brand", "left").select("p_brand", F.when(F.col("node"), "node").when(F.length("p_brand") > 7, "create").otherwise("quarantine").alias("outcome"))

@@ -65,15 +65,29 @@ MATCHED = f"""{STORED}, {LISTING},
               QUALIFY row_number() OVER (PARTITION BY s.id ORDER BY n.ord) = 1)"""
 
 
+# observations without a price or a time, rows crawled after they were last seen, and rows in quarantine
+GAPS = f"""{MATCHED}, gaps AS (SELECT *, CASE WHEN new_ord % 13 <> 0 THEN new_price END AS np, CASE WHEN new_ord % 17 <> 0 THEN new_observed_at END AS nt, CASE WHEN id % 4 <> 3 THEN price END AS p,
+      greatest(last_seen_at, CASE WHEN id % 3 = 0 THEN last_seen_at + INTERVAL 2 DAYS END) AS known, id % 22 = 0 AS quarantined FROM matched),
+  b AS (SELECT *, nt IS NULL OR nt < known AS late, CASE WHEN original_price > 0 THEN original_price WHEN p > 0 THEN p ELSE np END AS base, CASE WHEN quarantined AND new_in_stock THEN false ELSE new_in_stock END AS stock FROM gaps)"""
+
+
+def with_gaps(spark, d):
+    new, old = listing(spark, d), stored(spark, d)
+    # matched rows keep the first observation of an address, whose gaps these are
+    new = new.withColumns({"price": F.when(F.col("ord") % 13 != 0, F.col("price")), "observed_at": F.when(F.col("ord") % 17 != 0, F.col("observed_at"))})
+    old = old.withColumns({"price": F.when(F.col("id") % 4 != 3, F.col("price")), "crawled_at": F.when(F.col("id") % 3 == 0, F.expr("last_seen_at + interval 2 days")), "quarantined": F.col("id") % 22 == 0})
+    return new, old
+
+
 @query(
     "j1_listing_diff",
-    f"""WITH {MATCHED}, b AS (SELECT *, CASE WHEN original_price > 0 THEN original_price ELSE new_price END AS base, new_observed_at < last_seen_at AS late FROM matched)
-    SELECT id, CASE WHEN late THEN 'stale' WHEN new_in_stock <> in_stock THEN CASE WHEN new_in_stock THEN 'restocked' ELSE 'sold_out' END WHEN new_price <> price THEN 'price' ELSE 'unchanged' END AS outcome,
-           CASE WHEN late THEN price ELSE new_price END AS price, CASE WHEN late OR new_price < base THEN base ELSE new_price END AS original_price,
-           CASE WHEN NOT late AND new_price < base THEN new_price END AS sale_price, CASE WHEN late THEN in_stock ELSE new_in_stock END AS in_stock FROM b""",
+    f"""WITH {GAPS} SELECT id, CASE WHEN late THEN 'stale' WHEN stock <> in_stock AND stock THEN 'restocked' WHEN stock <> in_stock AND NOT (quarantined AND new_in_stock) THEN 'sold_out' WHEN quarantined AND new_in_stock AND in_stock THEN 'blocked'
+      WHEN np IS NOT NULL AND np IS DISTINCT FROM p THEN 'price' ELSE 'unchanged' END AS outcome,
+      CASE WHEN late OR np IS NULL THEN p ELSE np END AS price, CASE WHEN late OR np IS NULL THEN original_price WHEN np < base THEN base ELSE np END AS original_price,
+      CASE WHEN NOT late AND np < base THEN np END AS sale_price, CASE WHEN late THEN in_stock ELSE stock END AS in_stock FROM b""",
 )
 def listing_diff(spark, d):
-    return L.diff_listing(listing(spark, d), stored(spark, d))
+    return L.diff_listing(*with_gaps(spark, d))
 
 
 @query("j2_missing_rows", f"WITH {MATCHED} SELECT id, product_url FROM stored WHERE id NOT IN (SELECT id FROM matched)")
@@ -191,7 +205,7 @@ def guarded_update(spark, d):
 
 
 STREAKS = f"""{RUNS}, ended AS (SELECT source, max(started_at) FILTER (WHERE status IN ('success', 'partial')) AS e FROM runs GROUP BY source),
-  streaks AS (SELECT r.source, count(*) AS failures, max(started_at) AS last_failed_at FROM runs r JOIN ended USING (source) WHERE status = 'failed' AND NOT unreachable_only AND (e IS NULL OR started_at > e) GROUP BY r.source)"""
+  streaks AS (SELECT r.source, count(*) AS failures, max(started_at) AS last_failed_at FROM runs r JOIN ended USING (source) WHERE status = 'failed' AND NOT unreachable_only AND NOT db_partial_only AND (e IS NULL OR started_at > e) GROUP BY r.source)"""
 
 
 @query("n1_failure_streak", f"WITH {STREAKS} SELECT * FROM streaks")
@@ -258,13 +272,8 @@ def run_health(spark, d):
     return health(runs(spark, d), "source")
 
 
-@query("o3_round_robin", f"WITH {STORED} SELECT id, turn::INT AS turn FROM (SELECT id, row_number() OVER (PARTITION BY brand ORDER BY last_seen_at, id) AS turn FROM stored) WHERE turn <= 10")
+@query("o3_round_robin", f"WITH {STORED} SELECT id, row_number() OVER (PARTITION BY brand ORDER BY last_seen_at, id)::INT AS turn FROM stored")
 def round_robin(spark, d):
-    return schedule.round_robin(stored(spark, d), "brand", F.col("last_seen_at"), F.col("id")).filter("turn <= 10").select("id", "turn")
-
-
-@query("o3_round_robin_whole", f"WITH {STORED} SELECT id, row_number() OVER (PARTITION BY brand ORDER BY last_seen_at, id)::INT AS turn FROM stored")
-def round_robin_whole(spark, d):
     return schedule.round_robin(stored(spark, d), "brand", F.col("last_seen_at"), F.col("id")).select("id", "turn")
 
 
@@ -277,29 +286,15 @@ def diverse_top(spark, d):
     return schedule.diverse_top(stored(spark, d), "brand", "category", 5, F.desc("in_stock"), F.desc("last_seen_at"), F.col("id")).select("id", "brand", "pick")
 
 
-@query("o1_worklist_order", f"WITH {RUNS}, a AS (SELECT s_suppkey AS source, max(started_at) AS last FROM supplier LEFT JOIN runs ON source = s_suppkey GROUP BY 1) SELECT source, place::INT AS place FROM (SELECT source, row_number() OVER (ORDER BY last NULLS FIRST, source) AS place FROM a) WHERE place <= 20")
+@query("o1_worklist_order", f"WITH {RUNS}, a AS (SELECT s_suppkey AS source, max(started_at) AS last FROM supplier LEFT JOIN runs ON source = s_suppkey GROUP BY 1) SELECT source, row_number() OVER (ORDER BY last NULLS FIRST, source) AS place FROM a")
 def worklist_order(spark, d):
-    last = runs(spark, d).groupBy("source").agg(F.max("started_at").alias("last"))
-    first = table(spark, d, "supplier").select(F.col("s_suppkey").alias("source")).join(last, "source", "left").orderBy(F.asc_nulls_first("last"), "source").limit(20)
-    from pyspark.sql import Window
-
-    return first.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_first("last"), "source"))).select("source", "place")  # over the 20 rows of the limit
-
-
-@query("o2_oldest_order", f"WITH {STORED} SELECT id FROM stored ORDER BY CASE WHEN in_stock THEN 0 ELSE 1 END, last_seen_at DESC, id LIMIT 50")
-def oldest_order(spark, d):
-    return stored(spark, d).orderBy(F.when(F.col("in_stock"), 0).otherwise(1), F.desc("last_seen_at"), "id").select("id").limit(50)
-
-
-@query("o1_worklist_order_whole", f"WITH {RUNS}, a AS (SELECT s_suppkey AS source, max(started_at) AS last FROM supplier LEFT JOIN runs ON source = s_suppkey GROUP BY 1) SELECT source, row_number() OVER (ORDER BY last NULLS FIRST, source) AS place FROM a")
-def worklist_order_whole(spark, d):
     last = runs(spark, d).groupBy("source").agg(F.max("started_at").alias("last"))
     sources = table(spark, d, "supplier").select(F.col("s_suppkey").alias("source")).join(last, "source", "left")
     return placed(sources, F.asc_nulls_first("last"), F.asc("source")).select("source", "place")
 
 
-@query("o2_oldest_order_whole", f"WITH {STORED} SELECT id, row_number() OVER (ORDER BY CASE WHEN in_stock THEN 0 ELSE 1 END, last_seen_at DESC, id) AS place FROM stored")
-def oldest_order_whole(spark, d):
+@query("o2_oldest_order", f"WITH {STORED} SELECT id, row_number() OVER (ORDER BY CASE WHEN in_stock THEN 0 ELSE 1 END, last_seen_at DESC, id) AS place FROM stored")
+def oldest_order(spark, d):
     return placed(stored(spark, d), F.when(F.col("in_stock"), 0).otherwise(1).asc(), F.desc("last_seen_at"), F.asc("id")).select("id", "place")
 
 
@@ -326,11 +321,11 @@ def late_data(spark, d):
     return m.groupBy((F.col("new_observed_at") < F.col("last_seen_at")).alias("late")).agg(F.count("*").alias("n"))
 
 
-@query("t10_quarantine", f"WITH {MATCHED} SELECT id, CASE WHEN id % 5 = 0 AND new_in_stock THEN false ELSE new_in_stock END AS in_stock FROM matched")
+@query("t10_quarantine", f"WITH {GAPS} SELECT id, CASE WHEN late THEN in_stock ELSE stock END AS in_stock, NOT late AND new_in_stock AND in_stock AS blocked FROM b WHERE quarantined")
 def quarantine(spark, d):
-    m = L.first_by(L.match_listing(listing(spark, d), stored(spark, d)).filter("id is not null"), ["id"], F.col("new_ord"))
-    blocked = (F.col("id") % 5 == 0) & F.col("new_in_stock")
-    return m.select("id", F.when(blocked, False).otherwise(F.col("new_in_stock")).alias("in_stock"))
+    new, old = with_gaps(spark, d)
+    held = L.diff_listing(new, old).join(old.filter("quarantined").select("id"), "id", "left_semi")
+    return held.select("id", "in_stock", (F.col("outcome") == "blocked").alias("blocked"))
 
 
 @query("a22_latest_observation", f"WITH {LISTING} SELECT product_url, ord, price FROM listing QUALIFY row_number() OVER (PARTITION BY product_url ORDER BY observed_at DESC, ord DESC) = 1")

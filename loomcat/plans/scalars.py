@@ -14,22 +14,17 @@ from .frames import OFFERS, offers
 from .registry import query, table
 
 
-@query("x1_compatible_fold", "SELECT doc_id, sha256(lower(strip_accents(nfc_normalize(substr(text, 1, 200))))) AS folded FROM documents WHERE lang = 'fr'")
+@query("x1_compatible_fold", "SELECT doc_id, sha256(lower(strip_accents(nfc_normalize(text)))) AS folded FROM documents")
 def compatible_fold(spark, d):
-    return table(spark, d, "documents").filter("lang = 'fr'").select("doc_id", F.sha2(F.lower(text.fold_compatible(F.substring("text", 1, 200))), 256).alias("folded"))
-
-
-@query("x1_compatible_fold_whole", "SELECT doc_id, sha256(lower(strip_accents(nfc_normalize(text)))) AS folded FROM documents")
-def compatible_fold_whole(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(F.lower(text.fold_compatible(F.col("text"))), 256).alias("folded"))
 
 
-@query("x1_match_form", "SELECT p_partkey, trim(regexp_replace(lower(translate(p_name || '_' || p_type || '-' || p_brand, '_-', '  ')), '\\s+', ' ', 'g')) AS form FROM part")
+@query("x1_match_form", "SELECT p_partkey, trim(regexp_replace(lower(strip_accents(translate(p_name || '_' || p_type || '-Caf' || chr(233) || ' ' || p_brand, '_-', '  '))), '\\s+', ' ', 'g')) AS form FROM part")
 def match_form(spark, d):
-    return table(spark, d, "part").select("p_partkey", text.match_form(F.concat("p_name", F.lit("_"), "p_type", F.lit("-"), "p_brand")).alias("form"))
+    return table(spark, d, "part").select("p_partkey", text.match_form(F.concat("p_name", F.lit("_"), "p_type", F.lit("-Cafe\u0301 "), "p_brand")).alias("form"))
 
 
-@query("x2_entity_form", "SELECT doc_id, sha256(trim(regexp_replace(lower(text), '[^\\p{L}\\p{N}]+', ' ', 'g'))) AS form FROM documents")
+@query("x2_entity_form", "SELECT doc_id, sha256(trim(regexp_replace(lower(nfc_normalize(text)), '[^\\p{L}\\p{N}]+', ' ', 'g'))) AS form FROM documents")
 def entity_form(spark, d):
     return table(spark, d, "documents").select("doc_id", F.sha2(text.entity_form(F.col("text")), 256).alias("form"))
 
@@ -62,13 +57,8 @@ def strip_html(spark, d):
     return table(spark, d, "pages").select("page_id", F.sha2(text.strip_html(h), 256).alias("text"), text.html_attribute(h, "html", "lang").alias("lang"))
 
 
-@query("x7_safe_message", "SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(text, 'https?://[^\\s\"'']+', '[url]', 'g'), '(?i)bearer\\s+[A-Za-z0-9._~+/-]+=*', 'Bearer [hidden]', 'g'), '(?i)(token|password|secret|api_?key)\\s*[=:]\\s*[^\\s,;]+', '\\1=[hidden]', 'g'), 1, 300) AS message FROM documents")
+@query("x7_safe_message", "SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(text, '(?i)\\b(?:https?|postgres(?:ql)?)://[^\\s<>\"'']+', '[url]', 'g'), '(?i)bearer\\s+[A-Za-z0-9._~+/-]+=*', 'Bearer [hidden]', 'g'), '(?i)([\\w-]*(?:token|password|secret|api[_-]?key))\\s*[=:]\\s*[^\\s,;]+', '\\1=[hidden]', 'g'), 1, 2000) AS message FROM documents")
 def safe_message(spark, d):
-    return table(spark, d, "documents").select("doc_id", text.safe_message(F.col("text"), 300).alias("message"))
-
-
-@query("x7_safe_message_whole", "SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(text, 'https?://[^\\s\"'']+', '[url]', 'g'), '(?i)bearer\\s+[A-Za-z0-9._~+/-]+=*', 'Bearer [hidden]', 'g'), '(?i)(token|password|secret|api_?key)\\s*[=:]\\s*[^\\s,;]+', '\\1=[hidden]', 'g'), 1, 2000) AS message FROM documents")
-def safe_message_whole(spark, d):
     return table(spark, d, "documents").select("doc_id", text.safe_message(F.col("text")).alias("message"))
 
 
@@ -150,14 +140,8 @@ def stable_hash(spark, d):
     return table(spark, d, "customer").select("c_custkey", numbers.stable_hash(F.col("c_name"), segment).alias("hash"))
 
 
-@query("x19_array_cleaning", "SELECT doc_id, list_distinct(list_filter(list_transform(list_slice(string_split(text, ' '), 1, 30), lambda x: lower(x)), lambda x: x IN ('the', 'la', 'de', 'and'))).list_sort().array_to_string(',') AS words FROM documents")
+@query("x19_array_cleaning", "SELECT doc_id, list_distinct(list_filter(list_transform(string_split(text, ' '), lambda x: lower(x)), lambda x: x IN ('the', 'la', 'de', 'and'))).list_sort().array_to_string(',') AS words FROM documents")
 def array_cleaning(spark, d):
-    w = F.filter(F.transform(F.slice(F.split("text", " "), 1, 30), lambda x: F.lower(x)), lambda x: x.isin("the", "la", "de", "and"))
-    return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(F.array_distinct(w)), ",").alias("words"))
-
-
-@query("x19_array_cleaning_whole", "SELECT doc_id, list_distinct(list_filter(list_transform(string_split(text, ' '), lambda x: lower(x)), lambda x: x IN ('the', 'la', 'de', 'and'))).list_sort().array_to_string(',') AS words FROM documents")
-def array_cleaning_whole(spark, d):
     w = F.filter(F.transform(F.split("text", " "), lambda x: F.lower(x)), lambda x: x.isin("the", "la", "de", "and"))
     return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(F.array_distinct(w)), ",").alias("words"))
 
@@ -265,22 +249,17 @@ def review_status(spark, d):
     return table(spark, d, "conversations").groupBy("conv_id").agg(n.alias("reviews"), F.when(n == 0, "failed").when(n < F.count("*"), "partial").otherwise("succeeded").alias("status"))
 
 
-@query("s3_keyset_scan", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey > 100 ORDER BY o_orderkey LIMIT 500")
+@query("s3_keyset_scan", "SELECT o_orderkey, o_totalprice, row_number() OVER w AS place, coalesce(o_orderkey > lag(o_orderkey) OVER w, true) AS increasing FROM orders WINDOW w AS (ORDER BY o_orderkey, o_totalprice)")
 def keyset_scan(spark, d):
-    return table(spark, d, "orders").filter("o_orderkey > 100").orderBy("o_orderkey").limit(500).select("o_orderkey", "o_totalprice")
-
-
-@query("s3_keyset_scan_whole", "SELECT o_orderkey, o_totalprice, row_number() OVER w AS place, coalesce(o_orderkey > lag(o_orderkey) OVER w, true) AS increasing FROM orders WINDOW w AS (ORDER BY o_orderkey, o_totalprice)")
-def keyset_scan_whole(spark, d):
     """All pages in order; ids increase strictly where no row before has the same one."""
     o = placed(table(spark, d, "orders").select("o_orderkey", "o_totalprice"), F.asc("o_orderkey"), F.asc("o_totalprice"))
     first = F.row_number().over(Window.partitionBy("o_orderkey").orderBy("place")) == 1
     return o.withColumn("increasing", first)
 
 
-@query("s4_batched_lookup", "SELECT p_partkey, label FROM part LEFT JOIN embeddings ON vec_id = p_partkey WHERE p_size < 10")
+@query("s4_batched_lookup", "SELECT p_partkey, label FROM part LEFT JOIN embeddings ON vec_id = p_partkey")
 def batched_lookup(spark, d):
-    return table(spark, d, "part").filter("p_size < 10").join(table(spark, d, "embeddings").select(F.col("vec_id").alias("p_partkey"), "label"), "p_partkey", "left").select("p_partkey", "label")
+    return table(spark, d, "part").join(table(spark, d, "embeddings").select(F.col("vec_id").alias("p_partkey"), "label"), "p_partkey", "left").select("p_partkey", "label")
 
 
 @query("w8_csv_guard", "SELECT s_suppkey, CASE WHEN regexp_matches(v, '^[=+@-]') THEN '''' || v ELSE v END AS cell FROM (SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN '=' WHEN 1 THEN '-' WHEN 2 THEN '' ELSE '@' END || s_name AS v FROM supplier)")

@@ -65,9 +65,10 @@ def rates_per_unit(payload: Column, needed: tuple[str, ...] = ("KRW", "USD", "EU
     return F.when(whole, F.transform_values(rates, lambda _, v: krw / v))
 
 
-def payload_objects(df: DataFrame, id_: str, payload: str, most_depth: int = 12) -> DataFrame:
+def payload_objects(df: DataFrame, id_: str, payload: str) -> DataFrame:
     """Every object of a JSON payload, however deep, that has id, name and price:
-    ``id_, object_id, name, price``. The shape is unknown, so a Pandas function descends."""
+    ``id_, object_id, name, price``. The shape is unknown, so a Pandas function descends. A
+    payload that is no JSON, or nested deeper than a JSON reader can follow, is broken and has no objects."""
     import json
     from collections.abc import Iterator
 
@@ -76,25 +77,24 @@ def payload_objects(df: DataFrame, id_: str, payload: str, most_depth: int = 12)
     kind = df.schema[id_].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def found(node, depth):
-            if depth > most_depth:
-                return
-            if isinstance(node, dict):
-                if {"id", "name", "price"} <= node.keys() and isinstance(node["price"], int | float):
-                    yield str(node["id"]), str(node["name"]), float(node["price"])
-                for child in node.values():
-                    yield from found(child, depth + 1)
-            elif isinstance(node, list):
-                for child in node:
-                    yield from found(child, depth + 1)
+        def found(root):
+            waiting = [root]
+            while waiting:
+                node = waiting.pop()
+                if isinstance(node, dict):
+                    if {"id", "name", "price"} <= node.keys() and isinstance(node["price"], int | float):
+                        yield str(node["id"]), str(node["name"]), float(node["price"])
+                    waiting += reversed(node.values())
+                elif isinstance(node, list):
+                    waiting += reversed(node)
 
         for batch in batches:
             rows = []
             for i, text in zip(batch["_i"], batch["_p"], strict=True):
                 try:
-                    rows += [(i, *x) for x in found(json.loads(text), 0)] if text else []
-                except ValueError:
-                    continue  # a broken payload has no objects
+                    rows += [(i, *x) for x in found(json.loads(text))] if text else []
+                except (ValueError, RecursionError):
+                    continue
             yield pd.DataFrame(rows, columns=[id_, "object_id", "name", "price"])
 
     return df.select(F.col(id_).alias("_i"), F.col(payload).alias("_p")).mapInPandas(run, f"{id_} {kind}, object_id string, name string, price double")

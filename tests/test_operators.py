@@ -69,6 +69,47 @@ def test_listing_diff(spark):
     assert L.diff_listing(new.limit(0), old).count() == 0 and L.missing_rows(new.limit(0), old).count() == 5
 
 
+def test_observations_with_gaps_write_no_more_than_they_say(spark):
+    kinds = f"{STORED}, crawled_at timestamp, quarantined boolean"
+    at = lambda k: f"https://a.example/plain/{k}"
+    old = spark.createDataFrame([
+        (1, at(1), 100.0, 120.0, True, day(3), None, False), (2, at(2), 100.0, 120.0, True, day(3), day(9), None), (3, at(3), 100.0, 100.0, True, None, None, False),
+        (4, at(4), 100.0, 100.0, False, day(1), None, True), (5, at(5), 100.0, 100.0, True, day(1), None, True), (6, at(6), None, None, True, day(1), None, False), (7, at(7), 100.0, 100.0, True, day(1), None, True),
+    ], kinds)
+    new = spark.createDataFrame([(1, at(1), None, True, day(5)), (2, at(2), 1.0, False, day(5)), (3, at(3), 90.0, True, None), (4, at(4), 90.0, True, day(5)), (5, at(5), 100.0, True, day(5)), (6, at(6), 70.0, True, day(5)), (7, at(7), None, False, day(5))], CRAWLED)
+    got = {r.id: tuple(r)[1:] for r in L.diff_listing(new, old).collect()}
+    assert got == {
+        1: ("unchanged", 100.0, 120.0, None, True), 2: ("stale", 100.0, 120.0, None, True), 3: ("stale", 100.0, 100.0, None, True), 4: ("price", 90.0, 100.0, 90.0, False),
+        5: ("blocked", 100.0, 100.0, None, False), 6: ("price", 70.0, 70.0, None, True), 7: ("sold_out", 100.0, 100.0, None, False),
+    }
+    confirmed = new.withColumn("fields", F.when(F.col("ord") == 6, F.struct(F.lit(60.0).alias("price"), F.lit(80.0).alias("original_price"), F.lit(60.0).alias("sale_price"))))
+    assert {r.id: tuple(r)[1:] for r in L.diff_listing(confirmed, old).collect()}[6] == ("price", 60.0, 80.0, 60.0, True)
+
+
+def test_failures_of_our_own_store_do_not_count(spark):
+    rows = [("a", day(1), "failed", False, True), ("a", day(2), "failed", False, None), ("b", day(1), "failed", None, True)]
+    runs = spark.createDataFrame(rows, "source string, started_at timestamp, status string, unreachable_only boolean, db_partial_only boolean")
+    assert [tuple(r) for r in schedule.failure_streaks(runs).collect()] == [("a", 1, day(2))]
+
+
+def test_chunks_are_packed_greedily(spark):
+    sizes = [60, 60, 70, 10, 20, 200, 5, 95, 1]
+    df = spark.createDataFrame(list(enumerate(sizes)), "k long, n long")
+    got = {r.k: (r.block, r.chunk) for r in ordering.greedy_chunks(df, "k", F.col("n"), 100).collect()}
+    assert got == dict(enumerate([(0, 0), (0, 1), (0, 2), (0, 2), (0, 2), (0, 3), (0, 4), (0, 4), (0, 5)]))
+    assert {r.k: (r.block, r.chunk) for r in ordering.greedy_chunks(df, "k", F.col("n"), 100, block=4).collect()}[4] == (1, 0)
+    assert ordering.greedy_chunks(df.limit(0), "k", F.col("n"), 100).count() == 0
+
+
+def test_forms_of_texts(spark):
+    df = spark.createDataFrame([("Cafe\u0301_Noir-\uff21 ",), ("Café Noir A",), (None,)], "t string")
+    assert [r[0] for r in df.select(text.match_form(F.col("t"))).collect()] == ["cafe noir a", "cafe noir a", None]
+    assert [r[0] for r in df.select(text.entity_form(F.col("t"))).collect()] == ["café noir a", "café noir a", None]
+    messages = {"at postgres://u:p@h/db now": "at [url] now", "x-api-key: abc, next": "x-api-key=[hidden], next", "MY_TOKEN=1;x": "MY_TOKEN=[hidden];x", "Bearer a.b-c d": "Bearer [hidden] d", "HTTPS://x.example/?a": "[url]"}
+    df = spark.createDataFrame([(m,) for m in messages], "t string")
+    assert [r[0] for r in df.select(text.safe_message(F.col("t"))).collect()] == list(messages.values())
+
+
 def test_streaks(spark):
     rows = [
         ("a", day(1), "success", False), ("a", day(2), "failed", False), ("a", day(3), "running", False), ("a", day(4), "failed", True), ("a", day(5), "failed", None),
@@ -86,6 +127,8 @@ def test_identity_of_addresses(spark):
         "https://www.Shop.example/p?x=1&idx=5#a": "shop.example#idx=5", "https://shop.example/product/슬러그/123/category/4/": "shop.example#product_no=123",
         "https://zara.com/KR/ko/shirt-p0123.html": "zara.com#zara_product=0123&locale=kr/ko", "https://zara.com/shirt-p9.html": "zara.com#zara_product=9&locale=unknown",
         "https://s.example/en-kr/products/Blue-1.json?variant=2&currency=EUR": "s.example#shopify_handle=blue-1&variant=2&currency=EUR",
+        "https://s.example/products/a?variant=1&variant=2%203&x=&locale=": "s.example#shopify_handle=a&variant=1&variant=2%203&locale=", "https://s.example/item?idx=&product_no=%41+b": "s.example#product_no=A b",
+        "https://s.example/a/b/products/x": None, "https://s.example/product//12": None, "https://s.example/product/x/12a": None, "https://other.example/kr/ko/a-p1.html": None,
         "not an address": None, "": None, None: None, "https://s.example/about": None,
     }
     df = spark.createDataFrame([(u,) for u in wanted], "u string")
@@ -129,6 +172,10 @@ def test_running_total(spark):
     got = [r.t for r in ordering.running_total(df, "k", F.col("v"), "t", ranges=7).orderBy("k").collect()]
     assert got == [sum(range(k + 1)) for k in range(50)]
     assert ordering.running_total(df.limit(0), "k", F.col("v"), "t").count() == 0
+    clustered = spark.range(4000).select(F.when(F.col("id") < 10, F.col("id") * 10**15).otherwise(9 * 10**15 + F.col("id")).alias("k"), F.lit(1).alias("v"))
+    assert sorted(r.t for r in ordering.running_total(clustered, "k", F.col("v"), "t", ranges=8).collect()) == list(range(1, 4001))
+    ranges = ordering._ranged(clustered, 8, F.col("k").asc()).groupBy("_range").count().collect()
+    assert max(r["count"] for r in ranges) < 1500
 
 
 def test_gates(spark):
@@ -153,12 +200,36 @@ def test_box_suppression(spark):
     assert sorted(map(tuple, images.suppress(boxes, "image", 0.5).collect())) == [("i", 1), ("i", 3), ("j", 1)]
 
 
+def test_suppression_against_one_by_one(spark):
+    import random
+
+    r = random.Random(8)
+    rows = [(k % 3, k, r.choice([0.1, 0.5, 0.9]), x := r.uniform(-50, 200), y := r.uniform(0, 60), x + r.choice([0, 20, 30]), y + 25) for k in range(240)]
+    rows += [(9, k, 0.5, 0.0, 0.0, 10.0, 10.0) for k in range(50)]
+
+    def iou(a, b):
+        w, h = (max(0.0, min(a[k + 2], b[k + 2]) - max(a[k], b[k])) for k in (3, 4))
+        area = [(c[5] - c[3]) * (c[6] - c[4]) for c in (a, b)]
+        return w * h / (sum(area) - w * h) if sum(area) > w * h else 0.0
+
+    kept = []
+    for b in sorted(rows, key=lambda b: (-b[2], b[1])):
+        if all(k[0] != b[0] or iou(k, b) <= 0.4 for k in kept):
+            kept.append(b)
+    df = spark.createDataFrame(rows, "image long, box long, score double, x0 double, y0 double, x1 double, y1 double")
+    assert sorted(map(tuple, images.suppress(df, "image", 0.4).collect())) == sorted(b[:2] for b in kept)
+    assert images.suppress(df.limit(0), "image", 0.4).count() == 0
+
+
 def test_payloads(spark):
     page = '<script type="application/ld+json">{bad</script><script type="application/ld+json">{"@type":"Product","name":"N","offers":{"price":"12.5","availability":"https://schema.org/OutOfStock"}}</script>'
     df = spark.createDataFrame([(1, page), (2, "<p>"), (3, None)], "k long, html string")
     assert sorted(((r.k, r.name, r.price, r.in_stock) for r in payloads.structured_products(df, "k", "html").collect()), key=str) == [(1, "N", 12.5, False), (2, None, None, None), (3, None, None, None)]
     deep = spark.createDataFrame([(1, '{"a":[{"id":1,"name":"x","price":2}]}'), (2, "{"), (3, None)], "k long, p string")
     assert [tuple(r) for r in registry.payload_objects(deep, "k", "p").collect()] == [(1, "1", "x", 2.0)]
+    item = '{"id":1,"name":"x","price":2}'
+    deep = spark.createDataFrame([(4, '[{"a":' * 20 + item + "}]" * 20), (5, f"[{item},{item}]")], "k long, p string")
+    assert sorted(r.k for r in registry.payload_objects(deep, "k", "p").collect()) == [4, 5, 5]
 
 
 def test_payloads_of_a_large_product_are_bounded(spark):
