@@ -4,63 +4,15 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
-import warnings
-import weakref
 import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import clean_scratch, discard, materialise, shared_folder
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that driver and executors share, one an application: inside
-    ``spark.checkpoint.dir`` of the session; where that is unset, inside the warehouse
-    (which must then be shared; a warning says so outside local mode).
-
-    ``clean_scratch`` removes what an application has written here."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
-        if folder.startswith(("file:", "/")) and not spark.sparkContext.master.startswith("local"):
-            warnings.warn(f"spark.checkpoint.dir is unset; {folder} must be a folder that all executors share", stacklevel=2)
-    return f"{folder.rstrip('/')}/loomcat-{spark.sparkContext.applicationId}"
-
-
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    This cuts the lineage, so a lost executor costs no recomputation, and a
-    result that several later steps read is computed once.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    _folders[out] = path
-    return out
-
-
-_folders: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
-
-
-def discard(spark: SparkSession, *frames: DataFrame) -> None:
-    """Remove written tables that ``materialise`` gave and that nothing will read any more."""
-    for df in frames:
-        if folder := _folders.pop(df, None):
-            _remove(spark, folder)
-
-
-def clean_scratch(spark: SparkSession) -> None:
-    """Remove all that the operators of this application have written into the shared
-    folder. Their results read from there: write or collect these first."""
-    _remove(spark, shared_folder(spark))
-
-
-def _remove(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+__all__ = ["clean_scratch", "discard", "map_batches", "materialise", "shared_folder", "ship", "table", "text_or_empty", "tokenizer_file"]
 
 
 def map_batches(source: DataFrame, run, columns: str) -> DataFrame:
