@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..scratch import remove
+
 MOVES = ("click", "purchase", "error")
 
 
@@ -55,17 +58,41 @@ def windowed(stream: DataFrame, size: str = "6 hours", late: str = "1 day") -> D
     return stream.withWatermark("ts", late).groupBy(F.window("ts", size).alias("w"), "event_type").agg(F.count("*").alias("n")).select("w.start", "event_type", "n")
 
 
-def merge_batch(path: str, keys: list[str]):
-    """A ``foreachBatch`` writer that upserts each batch into a table of versions, one
-    folder a batch, so that a batch that is retried writes the same folder again."""
+def merge_batch(path: str, keys: list[str], every: int = 16):
+    """A ``foreachBatch`` writer that upserts each batch into a table under ``path``.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        from ..operators.listing import upsert
+    A batch costs what it holds: its rows become a folder of their own, named by the batch,
+    so that one that is retried writes the same folder again. Each ``every`` batches the
+    folders are merged into a new base, and what only the base before it needed is removed."""
 
+    def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = batch.select(*[F.col(c) for c in batch.columns])
-        if batch_id > 0:
-            new = upsert(spark.read.schema(batch.schema).parquet(f"{path}/{batch_id - 1}"), new, keys)
-        new.write.mode("overwrite").parquet(f"{path}/{batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/delta/{batch_id}")
+        if (batch_id + 1) % every:
+            return
+        merged_table(spark, path, keys, batch.schema, batch_id).write.mode("overwrite").parquet(f"{path}/base/{batch_id}")
+        before = batch_id - every  # a reader may still use the base before, so the one before that goes
+        for k in range(max(0, before - every + 1), before + 1):
+            remove(spark, f"{path}/delta/{k}")
+        if before - every >= 0:
+            remove(spark, f"{path}/base/{before - every}")
 
     return write
+
+
+def merged_table(spark: SparkSession, path: str, keys: list[str], schema, upto: int) -> DataFrame:
+    """The table after batch ``upto``: of each key the row of the newest batch; of one batch,
+    the last by all columns. Reads the newest base before ``upto`` and the batches since."""
+    exists = lambda p: _exists(spark, p)
+    base = next((k for k in range(upto - 1, -1, -1) if exists(f"{path}/base/{k}")), -1)
+    parts = [spark.read.schema(schema).parquet(f"{path}/base/{base}").withColumn("_batch", F.lit(-1))] if base >= 0 else []
+    parts += [spark.read.schema(schema).parquet(f"{path}/delta/{k}").withColumn("_batch", F.lit(k)) for k in range(base + 1, upto + 1) if exists(f"{path}/delta/{k}")]
+    values = [c for c in (f.name for f in schema.fields) if c not in keys]
+    rows = functools.reduce(DataFrame.unionByName, parts)
+    newest = rows.groupBy(*keys).agg(F.max(F.struct("_batch", *values)).alias("_row"))  # partial on the map side, so a hot key is one row a task
+    return newest.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in (f.name for f in schema.fields)])
+
+
+def _exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from loomcat.streaming import candidates
+from loomcat.streaming import candidates, queue
 from pyspark.sql import functions as F
 
 SCHEMA = "user_id long, ts timestamp, event_id long, event_type string"
@@ -56,8 +56,57 @@ def test_windows_drop_late_rows(spark, tmp_path):
 
 def test_merged_batches(spark, tmp_path):
     folder = f"file://{tmp_path}"
-    stream = feed(spark, folder, [[(1, at(0), 1, "a"), (2, at(0), 2, "b")], [(1, at(1), 3, "c")]])
-    write = candidates.merge_batch(f"{folder}/table", ["user_id"])
-    run(stream, folder, "append", write)
-    got = sorted((r.user_id, r.event_type) for r in spark.read.parquet(f"{folder}/table/1").collect())
-    assert got == [(1, "c"), (2, "b")] and spark.read.parquet(f"{folder}/table/0").agg(F.count("*")).first()[0] == 2
+    batches = [[(1, at(0), 1, "a"), (2, at(0), 2, "b")], [(1, at(1), 3, "c")], [(3, at(1), 4, "d")], [(2, at(2), 5, "e")], [(1, at(2), 6, "f")]]
+    stream = feed(spark, folder, batches)
+    run(stream, folder, "append", candidates.merge_batch(f"{folder}/table", ["user_id"], every=2))
+    schema = stream.schema
+    table = lambda k: sorted((r.user_id, r.event_type) for r in candidates.merged_table(spark, f"{folder}/table", ["user_id"], schema, k).collect())
+    assert table(4) == [(1, "f"), (2, "e"), (3, "d")] and table(3) == [(1, "c"), (2, "e"), (3, "d")]
+    kept = {p.name for p in (tmp_path / "table" / "delta").iterdir()}
+    assert kept == {"2", "3", "4"} and {p.name for p in (tmp_path / "table" / "base").iterdir()} == {"1", "3"}
+    spark.read.parquet(f"{folder}/table/delta/4").write.mode("overwrite").parquet(f"{folder}/again")
+    candidates.merge_batch(f"{folder}/table", ["user_id"], every=2)(spark.read.parquet(f"{folder}/again"), 4)  # a batch that is retried
+    assert table(4) == [(1, "f"), (2, "e"), (3, "d")]
+
+
+COMMANDS = [  # id, hour, kind, revision, token, outcome, matched, what comes of it, status after it
+    (1, 0, "claim", 1, "a", None, None, "unknown", ""), (1, 1, "observe", 1, None, None, True, "observed", "discovered"), (1, 2, "claim", None, "a", None, None, "claimed", "enriching"),
+    (1, 2, "claim", None, "b", None, None, "not_open", "enriching"), (1, 3, "heartbeat", None, "b", None, None, "lost_claim", "enriching"), (1, 5, "heartbeat", None, "a", None, None, "alive", "enriching"),
+    (1, 8, "checkpoint", 1, "a", None, None, "kept", "ready"), (1, 8, "publish", 1, "a", None, None, "imported", "imported"), (1, 8, "publish", 1, "a", None, None, "lost_claim", "imported"),
+    (2, 0, "observe", 5, None, None, False, "observed", "brand_unmatched"), (2, 1, "claim", None, "a", None, None, "not_open", "brand_unmatched"), (2, 2, "observe", 4, None, None, True, "stale", "brand_unmatched"),
+    (2, 3, "observe", 6, None, None, True, "observed", "discovered"), (2, 4, "claim", None, "a", None, None, "claimed", "enriching"), (2, 4, "checkpoint", 5, "a", None, None, "stale", "enriching"),
+    (2, 5, "finish", None, "a", "stale", None, "stale", "awaiting_observation"), (3, 0, "observe", 1, None, None, True, "observed", "discovered"), (3, 1, "claim", None, "a", None, None, "claimed", "enriching"),
+    (3, 1, "finish", None, "a", "retry", None, "retry", "failed"), (3, 2, "claim", None, "b", None, None, "claimed", "enriching"), (3, 2, "finish", None, "b", "retry", None, "retry", "blocked"),
+    (4, 0, "observe", 1, None, None, True, "observed", "discovered"), (4, 1, "claim", None, "a", None, None, "claimed", "enriching"), (4, 2, "finish", None, "a", "release", None, "release", "discovered"),
+    (4, 3, "claim", None, "a", None, None, "claimed", "enriching"), (4, 9, "publish", 1, "a", None, None, "lost_claim", "enriching"), (4, 10, "claim", None, "b", None, None, "claimed", "enriching"),
+    (4, 10, "finish", None, "b", "rejected", None, "rejected", "rejected"),
+]
+
+
+def commands(spark):
+    rows = [(i, at(h), k, kind, rev, token, out, ok) for k, (i, h, kind, rev, token, out, ok, _, _) in enumerate(COMMANDS)]
+    return spark.createDataFrame(rows, queue.COMMANDS)
+
+
+def test_queue_replay(spark):
+    got = sorted((r.seq, r.outcome, r.status) for r in queue.replay(commands(spark).repartition(3), 4 * 3600, most=2).collect())
+    assert got == [(k, c[7], c[8]) for k, c in enumerate(COMMANDS)]
+    assert queue.replay(commands(spark).limit(0)).count() == 0
+    last = {r.id: (r.status, r.attempts) for r in queue.final_status(queue.replay(commands(spark), 4 * 3600, most=2)).collect()}
+    assert last == {1: ("imported", 1), 2: ("awaiting_observation", 1), 3: ("blocked", 2), 4: ("rejected", 2)}
+
+
+def test_queue_stream_agrees_and_releases(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    out, rows = [], commands(spark).collect()
+    late = [r for r in rows if r.at >= at(5)]
+    batches = [[r for r in rows if r.at < at(5)], late, [(8, at(20), 90, "observe", 1, None, None, True), (8, at(20), 91, "claim", None, "a", None, None)], [(9, at(90), 92, "observe", 1, None, None, True)], [(9, at(95), 93, "observe", 2, None, None, True)]]
+    for k, b in enumerate(batches):
+        spark.createDataFrame(b, queue.COMMANDS).coalesce(1).write.parquet(f"file://{tmp_path}/in/{k}")
+    stream = spark.readStream.schema(queue.COMMANDS).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(f"file://{tmp_path}/in")
+    try:
+        run(queue.serve(stream, 4 * 3600, most=2), f"file://{tmp_path}", "update", lambda df, _: out.extend((r.seq, r.outcome, r.status, r.id) for r in df.collect()))
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+    assert sorted(r[:3] for r in out if 0 <= r[0] < 90) == [(k, c[7], c[8]) for k, c in enumerate(COMMANDS)]
+    assert (-1, "expired", "discovered", 8) in out
