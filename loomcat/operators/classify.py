@@ -6,16 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def resolve_gender(kids: Column, from_url: Column, from_text: Column, default: Column) -> Column:
-    """``gender, source, conflict``: address before text before default; a disagreement of
-    address and text decides nothing."""
-    definite = F.coalesce(from_url != "unisex", F.lit(False))
-    conflict = F.coalesce(definite & (from_text != from_url), F.lit(False))
-    answer = lambda g, s: F.struct(g.cast("string").alias("gender"), F.lit(s).alias("source"), (F.lit(s) == "conflict").alias("conflict"))
-    none = F.lit(None)
-    return F.when(kids, answer(none, "kids")).when(conflict, answer(none, "conflict")).when(definite, answer(from_url, "url")).when(from_text.isNotNull(), answer(from_text, "text")).when(from_url == "unisex", answer(from_url, "url")).when(default.isNotNull(), answer(default, "config_default")).otherwise(answer(none, "unknown"))
-
-
 def resolve_brand(brand: Column, aliases: dict[str, str], trusted: Column) -> Column:
     """The alias of a brand, else the brand if it is trusted, else ``unknown``."""
     out = None

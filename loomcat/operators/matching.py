@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import trigrams
+from ..scratch import materialise
+from .ordering import placed
 
 
 def unique_lookup(rows: DataFrame, dimension: DataFrame, row_keys: list[Column], dim_keys: list[Column], row_id: str, dim_id: str) -> DataFrame:
@@ -43,6 +45,26 @@ def candidate_pairs(df: DataFrame, keys: list[str], id_: str, host: str) -> Data
     return a.join(b, keys).filter("left_id < right_id and _h1 <> _h2").select("left_id", "right_id")
 
 
+def candidate_partners(df: DataFrame, keys: list[str], id_: str, host: str) -> DataFrame:
+    """``left_id, partners, last`` of ``candidate_pairs``, without making the pairs: how many rows
+    of other hosts with a larger id agree on ``keys``, and the largest such id.
+
+    Places in two sorted orders count the rows after one; the largest id of another host
+    comes from the two best hosts of a group. So no group meets in one task."""
+    rows = df.filter(" and ".join(f"{k} is not null" for k in [*keys, host])).select(*keys, F.col(id_).alias("_id"), F.col(host).alias("_host"))
+    order = [F.asc(k) for k in keys]
+    a = placed(placed(rows, *order, F.asc("_id"), name="_all"), *order, F.asc("_host"), F.asc("_id"), name="_same")
+    a = materialise(a, "partners")
+    hosts = a.groupBy(*keys, "_host").agg(F.max("_same").alias("_same_end"), F.max("_id").alias("_host_last"))
+    top = hosts.groupBy(*keys).agg(F.max(F.struct("_host_last", "_host")).alias("_top"))
+    second = hosts.join(top, keys).filter("_host <> _top._host").groupBy(*keys).agg(F.max("_host_last").alias("_second"))
+    groups = a.groupBy(*keys).agg(F.max("_all").alias("_all_end")).join(top, keys).join(second, keys)
+    j = a.join(hosts.drop("_host_last"), [*keys, "_host"]).join(groups, keys)
+    partners = (F.col("_all_end") - F.col("_all")) - (F.col("_same_end") - F.col("_same"))
+    last = F.when(F.col("_host") == F.col("_top._host"), F.col("_second")).otherwise(F.col("_top._host_last"))
+    return j.select(F.col("_id").alias("left_id"), partners.alias("partners"), last.alias("last")).filter("partners > 0")
+
+
 def match_decision(same_identifier: Column, similarity: Column, same_category: Column) -> Column:
     return F.when(same_identifier, F.struct(F.lit("auto").alias("status"), F.lit(1.0).alias("confidence"), F.lit("identifier").alias("reason"))).when((similarity >= 0.8) & same_category, F.struct(F.lit("review").alias("status"), similarity.alias("confidence"), F.lit("similar-name").alias("reason"))).otherwise(F.struct(F.lit("reject").alias("status"), similarity.alias("confidence"), F.lit("different").alias("reason")))
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ..functions import numbers, text, urls
+from ..functions import money, text, urls
+from ..operators import audit as A
 from ..operators import classify as C
+from ..operators import imports as I
 from ..operators import listing as L
 from ..operators import matching as M
 from ..operators import quality_gates as G
@@ -20,14 +22,17 @@ PAIRS = """p AS (SELECT p_partkey AS id, lower(p_name) AS name, p_type AS catego
   pairs AS (SELECT a.id AS left_id, b.id AS right_id FROM p a JOIN p b ON a.name = b.name AND a.category = b.category AND a.id < b.id AND a.host <> b.host)"""
 
 
+def offered(spark, d):
+    return table(spark, d, "part").select(F.col("p_partkey").alias("id"), text.entity_form(F.col("p_name")).alias("name"), F.col("p_type").alias("category"), (F.col("p_size") % 3).alias("host"))
+
+
 def pairs(spark, d):
-    p = table(spark, d, "part").select(F.col("p_partkey").alias("id"), text.entity_form(F.col("p_name")).alias("name"), F.col("p_type").alias("category"), (F.col("p_size") % 3).alias("host"))
-    return M.candidate_pairs(p, ["name", "category"], "id", "host")
+    return M.candidate_pairs(offered(spark, d), ["name", "category"], "id", "host")
 
 
 @query("j5_candidate_pairs", f"WITH {PAIRS} SELECT left_id, count(*) AS partners, max(right_id) AS last FROM pairs GROUP BY 1")
 def candidate_pairs(spark, d):
-    return pairs(spark, d).groupBy("left_id").agg(F.count("*").alias("partners"), F.max("right_id").alias("last"))
+    return M.candidate_partners(offered(spark, d), ["name", "category"], "id", "host")
 
 
 STAGED = f"""{PAIRS}, j AS (SELECT a.p_brand = b.p_brand AS colour, a.p_size > 5 AND b.p_size > 5 AS ready, abs(a.p_retailprice - b.p_retailprice) < 50 AS near FROM pairs JOIN part a ON a.p_partkey = left_id JOIN part b ON b.p_partkey = right_id)"""
@@ -435,37 +440,100 @@ def ranked_list_import(spark, d):
     return table(spark, d, "conversations").groupBy("conv_id").agg(n.alias("items"), ((F.count_distinct("turn") == n) & (F.min("turn") == 0) & (F.max("turn") == n - 1)).alias("complete"))
 
 
-@query(
-    "c1_import_preparation",
-    f"""WITH {OFFERS} SELECT CASE WHEN original IS NULL OR original <= 0 THEN 'failed:price' WHEN category = 'ECONOMY' THEN 'policy_excluded' WHEN contains(name, 'red') THEN 'quarantined' WHEN observed_at < TIMESTAMP '1997-01-01' THEN 'failed:stale_observation' WHEN product_id % 10 = 7 THEN 'would_create' ELSE 'prepared' END AS outcome, count(*) AS n FROM offers GROUP BY 1""",
-)
-def import_preparation(spark, d):
-    o = offers(spark, d)
-    outcome = F.when(F.col("original").isNull() | (F.col("original") <= 0), "failed:price").when(F.col("category") == "ECONOMY", "policy_excluded").when(F.contains("name", F.lit("red")), "quarantined").when(F.col("observed_at") < F.lit("1997-01-01").cast("timestamp_ntz"), "failed:stale_observation").when(F.col("product_id") % 10 == 7, "would_create").otherwise("prepared")
-    return o.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("n"))
+# offers as products to import, one or another thing amiss with each
+IMPORTS = f"""{OFFERS}, i AS (SELECT *, lpad(order_id::VARCHAR, 10, '0') || '-' || line || '-' || lpad(product_id::VARCHAR, 8, '0') || '-' || platform AS ord, CASE WHEN order_id % 31 = 0 THEN 'soon' ELSE '2024-01-05T00:00:00' END AS seen, order_id % 37 = 0 AS bad_expected, state = 'unknown' OR (state = 'sale' AND NOT (sale > 0 AND sale < original)) AS unsure, platform % 2 = 0 AS needs_detail,
+      product_id % 4 = 0 AS no_detail, CASE WHEN platform % 10 = 9 THEN 'quarantined' WHEN product_id % 10 = 7 THEN 'would_create' WHEN product_id % 23 <> 0 THEN 'existing' END AS resolution FROM offers),
+  o AS (SELECT *, CASE WHEN seen = 'soon' THEN 'failed:observed_at_invalid' WHEN bad_expected THEN 'failed:expected_updated_at_invalid' WHEN unsure AND needs_detail AND no_detail THEN 'failed:detail_pricing_required' WHEN unsure AND NOT needs_detail THEN 'failed:pricing_unverified'
+      WHEN category = 'ECONOMY' THEN 'policy_excluded:product_out_of_scope' WHEN product_id % 29 = 0 THEN 'failed:brand_missing' WHEN resolution IS NULL THEN 'failed:brand_resolution_failed' WHEN resolution = 'quarantined' THEN 'quarantined' WHEN resolution = 'existing' AND platform % 8 = 0 THEN 'failed:brand_node_id_invalid'
+      WHEN product_id % 19 = 0 THEN 'failed:product_validation_failed' WHEN line = 6 THEN 'failed:timeout' WHEN product_id % 3 = 0 THEN 'failed:gender_unverified' WHEN product_id % 17 = 0 THEN 'failed:image_missing'
+      WHEN resolution = 'would_create' THEN 'would_create' ELSE 'prepared' END AS outcome FROM i)"""
 
 
-ISSUES = """i AS (SELECT 'missing_embedding' AS issue, p_partkey AS id, 'certain' AS certainty FROM part WHERE p_partkey NOT IN (SELECT vec_id FROM embeddings)
-  UNION ALL SELECT 'no_offer', p_partkey, 'likely' FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem)
-  UNION ALL SELECT 'duplicate_name', p_partkey, 'review' FROM part JOIN (SELECT p_name AS n, p_brand AS b FROM part GROUP BY 1, 2 HAVING count(*) > 1) ON n = p_name AND b = p_brand)"""
+def prepared(spark, d):
+    o = offers(spark, d)
+    k, platform = F.col("product_id"), F.col("platform")
+    whole = lambda c: F.floor(F.col(c)).cast("double")
+    pricing = lambda state: money.observed_pricing(whole("original"), whole("original"), whole("sale"), state, F.lit("listing"))
+    status = F.when(platform % 10 == 9, "quarantined").when(k % 10 == 7, "would_create").when(k % 23 != 0, "existing")
+    i = o.select(
+        F.concat_ws("-", F.lpad(F.col("order_id").cast("string"), 10, "0"), "line", F.lpad(k.cast("string"), 8, "0"), platform).alias("ord"), F.concat(F.lit("https://shop.example/p/"), k, F.lit("/"), platform).alias("product_url"), F.when(F.col("order_id") % 31 == 0, "soon").otherwise("2024-01-05T00:00:00").alias("observed_at"), F.col("observed_at").cast("timestamp").alias("seen_at"),
+        F.when(F.col("order_id") % 37 == 0, "then").alias("expected_updated_at"), F.lit(None).cast("string").alias("detail_at"), pricing(F.col("state")).alias("pricing"), F.when(k % 4 != 0, pricing(F.lit("regular"))).alias("detail_pricing"), (platform % 2 == 0).alias("needs_detail"),
+        (F.col("category") != "ECONOMY").alias("in_scope"), F.when(k % 29 != 0, F.col("brand")).otherwise(" ").alias("brand"), F.struct(status.alias("status"), F.col("brand").alias("brand"), F.when(platform % 8 == 0, "0").otherwise(platform.cast("string")).alias("node_id")).alias("resolution"),
+        (k % 19 != 0).alias("valid_category"), F.struct(F.when(F.col("line") == 6, "failed").otherwise("unchanged").alias("status"), F.lit("timeout").alias("code"), F.lit(True).alias("retryable")).alias("normalisation"),
+        F.when(k % 3 == 0, F.array(F.lit("men"), F.lit("women"))).otherwise(F.array(F.lit("men"))).alias("genders"), F.when(k % 17 != 0, "i.jpg").alias("image_url"),
+    )
+    return I.prepare(i, F.lit(1.0), F.lit(False))
+
+
+@query("c1_import_preparation", f"WITH {IMPORTS} SELECT ord, outcome FROM o")
+def import_preparation(spark, d):
+    return prepared(spark, d).select("ord", F.concat_ws(":", "prepared.status", "prepared.code").alias("outcome"))
+
+
+# the audited catalogue: parts as products, customers as candidates, suppliers as brands
+AUDITED = """ap AS (SELECT p_partkey AS id, p_brand AS brand, CASE WHEN p_partkey % 7 <> 0 THEN p_partkey % 25 END AS brand_node_id, p_retailprice AS price, CASE p_partkey % 9 WHEN 0 THEN p_retailprice - 1 WHEN 1 THEN p_retailprice + 10 ELSE p_retailprice END AS original_price,
+      CASE p_partkey % 9 WHEN 1 THEN p_retailprice WHEN 2 THEN p_retailprice END AS sale_price, p_size % 3 <> 0 AS in_stock, CASE WHEN p_partkey % 11 <> 0 THEN p_name || '.jpg' END AS image_url, p_partkey % 2 AS image_revision, CASE WHEN p_size % 4 <> 0 THEN p_size % 6 END AS review_count FROM part),
+  ae AS (SELECT vec_id AS id, CASE WHEN vec_id % 5 <> 0 THEN CASE WHEN vec_id % 4 = 0 THEN p_type ELSE p_name END || '.jpg' END AS url, vec_id % 2 AS revision FROM embeddings JOIN part ON p_partkey = vec_id),
+  ab AS (SELECT lower(regexp_replace(name, '[^A-Za-z0-9]', '', 'g')) AS form, min(id) AS lo, max(id) AS hi FROM (SELECT s_suppkey AS id, 'BRAND ' || (s_suppkey % 30) AS name FROM supplier) GROUP BY 1),
+  ar AS (SELECT conv_id AS id, count(*) AS n FROM conversations GROUP BY 1),
+  ac AS (SELECT c_custkey AS id, ['discovered', 'failed', 'imported', 'blocked', 'rejected', 'ready'][1 + c_custkey % 6] AS status, CASE WHEN c_custkey % 8 <> 0 THEN TIMESTAMP '2024-01-01' + to_days((c_custkey % 30)::INT) END AS observed_at, c_custkey % 10 = 0 AS leased,
+      CASE WHEN c_custkey % 9 <> 0 THEN c_nationkey END AS node, ['sale', 'regular', 'unknown'][1 + c_custkey % 3] AS price_state, c_custkey % 5 <> 0 AS has_product, ['succeeded', 'failed', NULL][1 + c_custkey % 3] AS normalisation, c_custkey % 4 <> 3 AS prepared FROM customer),
+  ad AS (SELECT *, observed_at IS NULL OR observed_at < TIMESTAMP '2024-01-18' AS old, status = 'imported' AND NOT (has_product AND coalesce(normalisation = 'succeeded', false) AND prepared) AS unproven,
+      CASE WHEN leased THEN 'manual_review' WHEN observed_at IS NULL OR observed_at < TIMESTAMP '2024-01-18' THEN 'reobserve_candidate' ELSE 'resume_candidate' END AS resume FROM ac),
+  f AS (SELECT 'product' AS entity, ap.id, 'product_brand_missing' AS issue, 'confirmed' AS certainty, CASE WHEN lo = hi THEN 'repair_brand' ELSE 'manual_review' END AS action, CASE WHEN lo = hi THEN '{"brand_node_id":"' || lo || '"}' ELSE '{}' END AS proposed FROM ap LEFT JOIN ab ON form = regexp_replace(lower(brand), '[^a-z0-9]', '', 'g') WHERE brand_node_id IS NULL
+    UNION ALL SELECT 'product', id, 'product_price_invalid', 'confirmed', 'manual_review', '{}' FROM ap WHERE price <= 0 OR original_price < price OR (sale_price IS NOT NULL AND NOT (sale_price = price AND sale_price < original_price))
+    UNION ALL SELECT 'product', ap.id, 'review_count_mismatch', 'confirmed', 'repair_review_count', '{"review_count":"' || coalesce(n, 0) || '"}' FROM ap LEFT JOIN ar USING (id) WHERE coalesce(n, 0) <> coalesce(review_count, 0)
+    UNION ALL SELECT 'embedding', ap.id, CASE WHEN url IS NULL THEN 'embedding_provenance_unknown' ELSE 'embedding_source_mismatch' END, CASE WHEN url IS NULL THEN 'unverified' ELSE 'confirmed' END, CASE WHEN in_stock AND image_url IS NOT NULL THEN 'regenerate_embedding' ELSE 'manual_review' END,
+      '{' || CASE WHEN image_url IS NULL THEN '' ELSE '"source_image_url":"' || image_url || '",' END || '"source_image_revision":"' || image_revision || '"}' FROM ap JOIN ae USING (id) WHERE url IS NULL OR url IS DISTINCT FROM image_url
+    UNION ALL SELECT 'candidate', id, 'candidate_price_unconfirmed', 'unverified', CASE WHEN status = 'imported' THEN 'manual_review' ELSE resume END, '{}' FROM ad WHERE price_state = 'unknown'
+    UNION ALL SELECT 'candidate', id, 'candidate_observation_stale', CASE WHEN observed_at IS NULL THEN 'unverified' ELSE 'confirmed' END, CASE WHEN leased THEN 'manual_review' ELSE 'reobserve_candidate' END, '{}' FROM ad WHERE old AND status NOT IN ('imported', 'rejected')
+    UNION ALL SELECT 'candidate', id, 'candidate_brand_unmatched', 'confirmed', 'manual_review', '{}' FROM ad WHERE node IS NULL
+    UNION ALL SELECT 'candidate', id, 'candidate_import_completion_unverified', CASE WHEN NOT has_product OR coalesce(normalisation = 'failed', false) THEN 'confirmed' ELSE 'unverified' END, CASE WHEN node IS NULL THEN 'manual_review' ELSE resume END, '{}' FROM ad WHERE unproven
+    UNION ALL SELECT 'candidate', id, 'candidate_retry_incomplete', 'confirmed', resume, '{}' FROM ad WHERE status IN ('failed', 'blocked') AND node IS NOT NULL),
+  m AS (SELECT *, substr(sha256('=' || entity || chr(31) || '=' || id || chr(31) || '=' || issue), 1, 24) AS finding_id FROM f)"""
+
+
+def audited_products(spark, d):
+    k, n, price = F.col("p_partkey"), F.col("p_size"), F.col("p_retailprice")
+    return table(spark, d, "part").select(
+        k.alias("id"), F.col("p_brand").alias("brand"), F.when(k % 7 != 0, k % 25).alias("brand_node_id"), F.lit("2024-01-01").alias("updated_at"), price.alias("price"), F.when(k % 9 == 0, price - 1).when(k % 9 == 1, price + 10).otherwise(price).alias("original_price"),
+        F.when((k % 9).isin(1, 2), price).alias("sale_price"), (n % 3 != 0).alias("in_stock"), F.when(k % 11 != 0, F.concat("p_name", F.lit(".jpg"))).alias("image_url"), (k % 2).alias("image_revision"), F.when(n % 4 != 0, n % 6).alias("review_count"),
+    )
 
 
-@query("c3_audit_manifest", f"WITH {ISSUES} SELECT issue, id, certainty, sha256('=' || issue || chr(31) || '=' || id || chr(31) || '=' || certainty) AS hash FROM i")
 def audit_manifest(spark, d):
-    p = table(spark, d, "part").withColumnRenamed("p_partkey", "id")
-    one = lambda df, issue, certainty: df.select(F.lit(issue).alias("issue"), "id", F.lit(certainty).alias("certainty"))
-    twice = p.groupBy("p_name", "p_brand").count().filter("count > 1")
-    found = one(p.join(table(spark, d, "embeddings").withColumnRenamed("vec_id", "id"), "id", "left_anti"), "missing_embedding", "certain")
-    found = found.union(one(p.join(table(spark, d, "lineitem").withColumnRenamed("l_partkey", "id"), "id", "left_anti"), "no_offer", "likely"))
-    found = found.union(one(p.join(twice, ["p_name", "p_brand"], "left_semi"), "duplicate_name", "review"))
-    return found.withColumn("hash", numbers.stable_hash(F.col("issue"), F.col("id"), F.col("certainty")))
+    p = table(spark, d, "part").select(F.col("p_partkey").alias("product_id"), "p_name", "p_type")
+    v = F.col("product_id")
+    embeddings = table(spark, d, "embeddings").select(F.col("vec_id").alias("product_id")).join(p, "product_id").select(v, F.when(v % 5 != 0, F.concat(F.when(v % 4 == 0, F.col("p_type")).otherwise(F.col("p_name")), F.lit(".jpg"))).alias("source_image_url"), (v % 2).alias("source_image_revision"))
+    brands = table(spark, d, "supplier").select(F.col("s_suppkey").alias("id"), F.concat(F.lit("BRAND "), F.col("s_suppkey") % 30).alias("name"))
+    counts = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("product_id")).agg(F.count("*").alias("n"))
+    c = F.col("c_custkey")
+    one_of = lambda *x: F.get(F.array(*map(F.lit, x)), (c % len(x)).cast("int"))
+    now = F.lit("2024-01-20").cast("timestamp")
+    candidates = table(spark, d, "customer").select(
+        c.alias("id"), F.lit("u").alias("updated_at"), one_of("discovered", "failed", "imported", "blocked", "rejected", "ready").alias("status"), F.when(c % 8 != 0, F.timestamp_seconds(F.unix_timestamp(F.lit("2024-01-01").cast("timestamp")) + (c % 30) * 86400)).alias("observed_at"),
+        F.when(c % 10 == 0, "t").alias("token"), F.lit("2024-02-01").cast("timestamp").alias("lease_until"), F.when(c % 9 != 0, F.col("c_nationkey")).alias("brand_node_id"), one_of("sale", "regular", "unknown").alias("price_state"),
+        F.when(c % 5 != 0, c).alias("imported_product_id"), one_of("succeeded", "failed", None).alias("normalisation"), F.lit(2).alias("revision"), F.when(c % 4 != 3, 2).otherwise(1).alias("prepared_revision"),
+    )
+    return A.product_findings(audited_products(spark, d), embeddings, brands, counts).unionByName(A.candidate_findings(candidates, now, 48))
+
+
+@query("c3_audit_manifest", f"WITH {AUDITED} SELECT finding_id, entity, id, issue, certainty, action, proposed FROM m")
+def audit_findings(spark, d):
+    return audit_manifest(spark, d).drop("expected")
+
 
+# after the audit, every fifth product changes
+RECOVERED = f"{AUDITED}, r AS (SELECT *, CASE WHEN action NOT IN ('repair_brand', 'repair_review_count') THEN 'deferred' WHEN id % 5 = 0 THEN 'conflicted' ELSE 'applied' END AS outcome FROM m WHERE entity <> 'candidate' QUALIFY row_number() OVER (PARTITION BY id, action ORDER BY finding_id) = 1)"
 
-@query("c4_recovery", f"WITH {ISSUES}, f AS (SELECT id, issue FROM i QUALIFY row_number() OVER (PARTITION BY id ORDER BY issue) = 1) SELECT CASE WHEN p_size % 2 = 0 THEN 'applied' ELSE 'deferred' END AS outcome, issue, count(*) AS n FROM f JOIN part ON p_partkey = id GROUP BY ALL")
+
+def later_products(spark, d):
+    return audited_products(spark, d).withColumn("updated_at", F.when(F.col("id") % 5 == 0, "2024-01-02").otherwise(F.col("updated_at")))
+
+
+@query("c4_recovery", f"WITH {RECOVERED} SELECT finding_id, id, action, outcome FROM r")
 def recovery(spark, d):
-    first = L.first_by(audit_manifest(spark, d), ["id"], F.col("issue")).select("id", "issue")
-    p = table(spark, d, "part")
-    return first.join(p, first.id == p.p_partkey).groupBy(F.when(F.col("p_size") % 2 == 0, "applied").otherwise("deferred").alias("outcome"), "issue").agg(F.count("*").alias("n"))
+    return A.recover(audit_manifest(spark, d), later_products(spark, d))
 
 
 @query("c5_identity_sync", "SELECT lower(p_brand) || '|' || p_name AS identity, min(p_partkey) AS target, count(*) AS members, CASE WHEN count(*) = 1 THEN 'singleton' ELSE 'merged' END AS kind FROM part GROUP BY 1")

@@ -9,10 +9,12 @@ from ..functions import text, urls
 from ..operators import images, schedule
 from ..operators import listing as L
 from ..operators import matching as M
+from ..operators.imports import run_import
 from ..operators.ordering import greedy_chunks, running_total
 from ..rules import Rule, all_matches, first_match
 from ..sources import registry
-from .catalogue import ISSUES, audit_manifest
+from ..sources.scans import scan_slice
+from .catalogue import IMPORTS, RECOVERED, audit_manifest, later_products, prepared
 from .frames import LISTING, OFFERS, STORED, listing, offers, runs, stored
 from .refresh import MATCHED, STREAKS
 from .registry import query, table
@@ -231,10 +233,27 @@ def generation_queue(spark, d):
     return e.filter("event_type = 'purchase'").join(g, "user_id").select("event_id", F.when(F.col("event_id") == F.col("generation"), "completed").otherwise("superseded").alias("outcome"))
 
 
-@query("c2_import_run", f"WITH {LISTING}, o AS (SELECT *, row_number() OVER (PARTITION BY product_url ORDER BY ord) AS k FROM listing) SELECT CASE WHEN k > 1 THEN 'duplicate_url' WHEN price < 905 THEN 'rejected' WHEN in_stock THEN 'written' ELSE 'skipped' END AS outcome, count(*) AS n FROM o GROUP BY 1")
+@query(
+    "c2_import_run",
+    f"""WITH {IMPORTS}, k AS (SELECT o.*, row_number() OVER (PARTITION BY product_id, platform ORDER BY ord) AS k, p_partkey IS NOT NULL AS stored, floor(p_retailprice)::BIGINT AS old FROM o LEFT JOIN part ON p_partkey = product_id AND p_size % 2 = 0)
+    SELECT ord, CASE WHEN k > 1 THEN 'duplicate_url' WHEN stored AND observed_at < TIMESTAMP '1994-01-01' THEN 'stale_observation' WHEN outcome <> 'prepared' THEN outcome WHEN NOT stored THEN 'inserted' ELSE 'updated' END AS outcome FROM k""",
+)
 def import_run(spark, d):
-    o = listing(spark, d).withColumn("k", F.row_number().over(Window.partitionBy("product_url").orderBy("ord")))
-    return o.groupBy(F.when(F.col("k") > 1, "duplicate_url").when(F.col("price") < 905, "rejected").when(F.col("in_stock"), "written").otherwise("skipped").alias("outcome")).agg(F.count("*").alias("n"))
+    p = table(spark, d, "part").filter("p_size % 2 = 0")
+    li = table(spark, d, "lineitem").select(F.col("l_partkey").alias("p_partkey"), F.col("l_suppkey").alias("platform")).distinct()
+    stored_rows = p.join(li, "p_partkey").select(F.concat(F.lit("https://shop.example/p/"), "p_partkey", F.lit("/"), "platform").alias("product_url"), F.lit("1994-01-01").cast("timestamp").alias("seen_at"), F.lit(-1).cast("long").alias("price"))
+    return run_import(prepared(spark, d), stored_rows)
+
+
+@query(
+    "s12_scan_slices",
+    """WITH p AS (SELECT c_nationkey AS site, c_custkey % 4 AS category_index, c_custkey AS page FROM customer), c AS (SELECT n_nationkey AS site, 1 AS ci, 100 AS pg, n_nationkey % 3 <> 0 AS valid FROM nation),
+    n AS (SELECT p.*, row_number() OVER (PARTITION BY p.site ORDER BY category_index, page) AS k FROM p JOIN c USING (site) WHERE NOT valid OR category_index > ci OR (category_index = ci AND page > pg)) SELECT site, category_index, page FROM n WHERE k <= 7""",
+)
+def scan_slices(spark, d):
+    pages = table(spark, d, "customer").select(F.col("c_nationkey").alias("site"), (F.col("c_custkey") % 4).alias("category_index"), F.col("c_custkey").alias("page"), F.lit("now").alias("fingerprint"))
+    cursors = table(spark, d, "nation").select(F.col("n_nationkey").alias("site"), F.lit(1).cast("long").alias("category_index"), F.lit(100).cast("long").alias("page"), F.when(F.col("n_nationkey") % 3 != 0, "now").otherwise("before").alias("fingerprint"), F.lit(False).alias("complete"))
+    return scan_slice(pages, cursors, 7)[0].select("site", "category_index", "page")
 
 
 @query("c6_cross_shop_job", f"WITH p AS (SELECT p_partkey AS id, p_name, p_type, p_brand, p_size % 3 AS host FROM part) SELECT CASE WHEN a.p_brand = b.p_brand THEN 'auto' ELSE 'review' END AS status, count(*) AS n FROM p a JOIN p b ON a.p_name = b.p_name AND a.p_type = b.p_type AND a.id < b.id AND a.host <> b.host GROUP BY 1")
@@ -278,10 +297,15 @@ def enrichment_tiers(spark, d):
     return table(spark, d, "customer").withColumn("m", m).filter(F.size("m") > 0).select("c_custkey", F.when(F.size("m") == 3, "demote").when((F.size("m") == 1) & (F.get("m", 0) == "founder"), "promote").otherwise("queue").alias("action"))
 
 
-@query("c11_recovery_actions", f"WITH {ISSUES} SELECT CASE WHEN issue = 'duplicate_name' AND p_size % 3 = 0 THEN 'deferred' WHEN issue = 'no_offer' THEN 'planned' ELSE 'applied' END AS outcome, count(*) AS n FROM i JOIN part ON p_partkey = id GROUP BY 1")
+@query(
+    "c11_recovery_actions",
+    f"""WITH {RECOVERED}, b AS (SELECT id, max(CASE WHEN action = 'repair_brand' THEN regexp_extract(proposed, '[0-9]+') END)::BIGINT AS node, max(CASE WHEN action = 'repair_review_count' THEN regexp_extract(proposed, '[0-9]+') END)::BIGINT AS n FROM r WHERE outcome = 'applied' GROUP BY 1)
+    SELECT id, coalesce(node, brand_node_id) AS brand_node_id, coalesce(n, review_count) AS review_count FROM ap LEFT JOIN b USING (id)""",
+)
 def recovery_actions(spark, d):
-    m, p = audit_manifest(spark, d).select("issue", "id"), table(spark, d, "part")
-    return m.join(p, m.id == p.p_partkey).groupBy(F.when((F.col("issue") == "duplicate_name") & (F.col("p_size") % 3 == 0), "deferred").when(F.col("issue") == "no_offer", "planned").otherwise("applied").alias("outcome")).agg(F.count("*").alias("n"))
+    from ..operators.audit import recovered
+
+    return recovered(audit_manifest(spark, d), later_products(spark, d)).select("id", "brand_node_id", F.col("review_count").cast("long").alias("review_count"))
 
 
 @query("c14_legacy_reclassification", "SELECT p_partkey, CASE WHEN p_partkey % 13 = 0 THEN 'kids' WHEN p_type = 'SMALL' THEN 'category:women' WHEN contains(p_name, 'bolt') THEN 'text:men' WHEN contains(p_name, 'ring') THEN 'text:women' WHEN p_brand = 'Brand#5' THEN 'brand:men' ELSE 'unresolved' END AS decision FROM part")

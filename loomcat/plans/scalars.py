@@ -10,6 +10,7 @@ from ..operators import matching as M
 from ..operators.ordering import placed
 from ..rules import Rule, first_match
 from ..sources import payloads
+from ..sources import price_text as price_texts
 from .frames import OFFERS, offers
 from .registry import query, table
 
@@ -115,10 +116,17 @@ def currency_conversion(spark, d):
     return o.join(F.broadcast(rates), "currency", "left").select("o_orderkey", money.convert(F.col("o_totalprice"), F.col("rate")).alias("krw"))  # four rates
 
 
-@query("x15_price_text", "SELECT s_suppkey, TRY_CAST(replace(regexp_extract('Now ' || printf('%,.2f', s_acctbal) || ' EUR', '(-?[0-9][0-9,]*\\.[0-9]{2})', 1), ',', '') AS DOUBLE) AS price, regexp_extract('Now ' || printf('%,.2f', s_acctbal) || ' EUR', '([A-Z]{3})$', 1) AS currency FROM supplier".replace("printf('%,.2f', s_acctbal)", "format('{:,.2f}', s_acctbal)"))
+@query(
+    "x15_price_text",
+    """WITH v AS (SELECT s_suppkey, floor(abs(s_acctbal))::BIGINT AS v FROM supplier)
+    SELECT s_suppkey, (CASE s_suppkey % 5 WHEN 0 THEN CASE WHEN v >= 1000 THEN v END WHEN 1 THEN CASE WHEN v > 0 THEN v END WHEN 3 THEN CASE WHEN v > 0 THEN v END WHEN 4 THEN CASE WHEN v >= 1000 THEN v ELSE v + 5000 END END)::DOUBLE AS price,
+      CASE s_suppkey % 5 WHEN 0 THEN 'KRW' WHEN 1 THEN 'USD' WHEN 3 THEN 'EUR' END AS currency, (CASE WHEN s_suppkey % 5 = 4 THEN v + 5000 WHEN s_suppkey % 5 = 0 AND v >= 1000 THEN v END)::DOUBLE AS original FROM v""",
+)
 def price_text(spark, d):
-    t = F.concat(F.lit("Now "), F.format_number("s_acctbal", 2), F.lit(" EUR"))
-    return table(spark, d, "supplier").select("s_suppkey", payloads.price_in(t).alias("price"), payloads.currency_in(t).alias("currency"))
+    v = F.floor(F.abs("s_acctbal"))
+    number = F.format_number(v, 0)
+    t = F.when(F.col("s_suppkey") % 5 == 0, F.concat(F.lit("판매가 : ₩"), number)).when(F.col("s_suppkey") % 5 == 1, F.concat(F.lit("Now $"), number)).when(F.col("s_suppkey") % 5 == 2, number).when(F.col("s_suppkey") % 5 == 3, F.concat(F.lit("EUR "), number)).otherwise(F.concat(F.lit("할인판매가 "), number, F.lit("원 판매가 "), F.format_number(v + 5000, 0)))
+    return table(spark, d, "supplier").select("s_suppkey", price_texts.price_candidate(t, None).alias("price"), price_texts.infer_currency(t).alias("currency"), price_texts.labelled_price(t, "original", None).alias("original"))
 
 
 @query("x16_cosine_distance", "SELECT a.vec_id, round(1 - list_dot_product(a.embedding::DOUBLE[], b.embedding::DOUBLE[]) / (sqrt(list_dot_product(a.embedding::DOUBLE[], a.embedding::DOUBLE[])) * sqrt(list_dot_product(b.embedding::DOUBLE[], b.embedding::DOUBLE[]))), 6) AS distance FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1")
@@ -146,22 +154,30 @@ def array_cleaning(spark, d):
     return table(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(F.array_distinct(w)), ",").alias("words"))
 
 
-GENDER = [Rule("kids", text.ascii_word("kids|junior|baby")), Rule("women", text.ascii_word("women|ring")), Rule("men", text.ascii_word("men|bolt"))]
-
-
 @query(
     "x21_gender_resolution",
-    """WITH e AS (SELECT p_partkey, CASE WHEN regexp_matches(p_name, '\\b(women|ring)\\b') THEN 'women' WHEN regexp_matches(p_name, '\\b(men|bolt)\\b') THEN 'men' END AS text_g, CASE p_size % 5 WHEN 0 THEN 'women' WHEN 1 THEN 'men' WHEN 2 THEN 'unisex' END AS url_g, CASE WHEN p_partkey % 3 = 0 THEN 'unisex' END AS conf_g, p_partkey % 11 = 0 AS kids FROM part)
-    SELECT p_partkey, CASE WHEN kids THEN NULL WHEN url_g <> 'unisex' AND text_g <> url_g THEN NULL WHEN url_g <> 'unisex' THEN url_g WHEN text_g IS NOT NULL THEN text_g WHEN url_g = 'unisex' THEN 'unisex' ELSE conf_g END AS gender,
-      CASE WHEN kids THEN 'kids' WHEN url_g <> 'unisex' AND text_g <> url_g THEN 'conflict' WHEN url_g <> 'unisex' THEN 'url' WHEN text_g IS NOT NULL THEN 'text' WHEN url_g = 'unisex' THEN 'url' WHEN conf_g IS NOT NULL THEN 'config_default' ELSE 'unknown' END AS source FROM e""",
+    """WITH e AS (SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'men' WHEN 1 THEN 'women' WHEN 2 THEN 'unisex' WHEN 3 THEN 'men' END AS t, p_size % 6 IN (0, 3) AS label, p_size % 6 = 4 AS kids, CASE p_partkey % 4 WHEN 0 THEN 'women' WHEN 1 THEN 'men' WHEN 2 THEN 'unisex' END AS u,
+        CASE p_partkey % 7 WHEN 0 THEN 'men' WHEN 1 THEN 'women' WHEN 2 THEN 'unisex' END AS stated, CASE p_partkey % 7 WHEN 3 THEN 'men' WHEN 4 THEN 'unisex' END AS def, p_partkey % 3 = 0 AS scoped FROM part),
+    s AS (SELECT *, CASE WHEN t IS NULL AND u IS NULL AND kids THEN 'none' WHEN stated IN ('men', 'women') THEN CASE WHEN label AND stated = 'women' THEN CASE WHEN u = 'women' THEN 'conflict' ELSE 'label' END ELSE 'engine' END
+        WHEN u <> t THEN CASE WHEN u = 'unisex' THEN 'text' WHEN t = 'unisex' THEN 'url' WHEN stated IS NOT NULL THEN 'engine' ELSE 'conflict' END WHEN u IN ('men', 'women') THEN 'url' WHEN t IN ('men', 'women') THEN 'text' WHEN stated IS NOT NULL THEN 'engine' WHEN u IS NOT NULL THEN 'url' WHEN t IS NOT NULL THEN 'text'
+        WHEN def = 'men' THEN 'config_default' WHEN def IS NOT NULL THEN 'none' WHEN scoped THEN 'brand_scope' ELSE 'none' END AS step FROM e)
+    SELECT p_partkey, CASE step WHEN 'label' THEN 'men' WHEN 'engine' THEN stated WHEN 'text' THEN t WHEN 'url' THEN u WHEN 'config_default' THEN def WHEN 'brand_scope' THEN 'women' END AS gender,
+        CASE WHEN step = 'label' THEN 'text' WHEN step NOT IN ('none', 'conflict') THEN step END AS source, step = 'conflict' AS conflict FROM s""",
 )
 def gender_resolution(spark, d):
-    from ..operators.classify import resolve_gender
+    from ..operators.gender import resolve_gender
 
-    p = table(spark, d, "part")
-    from_url = F.when(F.col("p_size") % 5 == 0, "women").when(F.col("p_size") % 5 == 1, "men").when(F.col("p_size") % 5 == 2, "unisex")
-    r = resolve_gender(F.col("p_partkey") % 11 == 0, from_url, first_match(GENDER[1:], F.col("p_name")), F.when(F.col("p_partkey") % 3 == 0, "unisex"))
-    return p.select("p_partkey", r.alias("r")).select("p_partkey", "r.gender", "r.source")
+    k, n = F.col("p_partkey"), F.col("p_size") % 6
+    array = lambda g: F.array(F.lit(g))
+    suffix = F.when(n == 0, " for men").when(n == 1, " women").when(n == 2, " unisex").when(n == 3, " (Men's)").when(n == 4, " kids").otherwise("")
+    p = table(spark, d, "part").select(
+        k, F.concat("p_name", suffix).alias("name"), F.col("p_type").alias("category"), F.lit(None).cast("string").alias("subcategory"), F.lit(None).cast("array<string>").alias("tags"),
+        F.concat(F.lit("https://www.shop.example/"), F.when(k % 4 == 0, "women/").when(k % 4 == 1, "men/").when(k % 4 == 2, "unisex/").otherwise(""), k).alias("product_url"),
+        F.when(k % 7 == 0, array("men")).when(k % 7 == 1, array("women")).when(k % 7 == 2, array("unisex")).when(k % 7 == 3, array("men")).when(k % 7 == 4, array("unisex")).alias("gender"),
+        F.when((k % 7).isin(3, 4), "config_default").otherwise("engine").alias("gender_source"), F.when(k % 3 == 0, array("women")).alias("scope"),
+    )
+    r = resolve_gender(p, brand_scope="scope")
+    return r.select("p_partkey", F.col("resolved_gender").alias("gender"), F.col("resolved_source").alias("source"), F.col("gender_conflict").alias("conflict"))
 
 
 @query("x23_source_precedence", "SELECT p_partkey, CASE WHEN p_type IN ('SMALL', 'LARGE') THEN lower(p_type) WHEN contains(p_name, 'bolt') THEN 'hardware' WHEN contains(p_name, 'ring') THEN 'jewelry' ELSE 'other' END AS category FROM part")
@@ -292,3 +308,15 @@ def state_machine(spark, d):
     from ..streaming.candidates import replay
 
     return replay(table(spark, d, "events").select(F.col("user_id"), "ts", "event_id", "event_type"), most=5)
+
+
+@query("t3_claim_queue")
+def claim_queue(spark, d):
+    """Users as candidates, their events as commands; the state machine has no SQL, tests replay it by hand."""
+    from ..streaming import queue
+
+    e = table(spark, d, "events")
+    kind = F.when(F.col("event_type") == "signup", "observe").when(F.col("event_type") == "click", "claim").when(F.col("event_type") == "view", "heartbeat").when(F.col("event_type") == "purchase", F.when(F.col("event_id") % 2 == 0, "checkpoint").otherwise("publish")).otherwise("finish")
+    ended = F.get(F.array(*map(F.lit, ["retry", "rejected", "release", "stale"])), (F.col("event_id") % 4).cast("int"))
+    c = e.select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("at"), F.col("event_id").alias("seq"), kind.alias("kind"), F.when(kind == "observe", F.col("event_id")).alias("revision"), F.lit("worker").alias("token"), ended.alias("outcome"), (F.col("event_id") % 9 != 0).alias("matched"))
+    return queue.final_status(queue.replay(c, lease_seconds=14 * 86_400))

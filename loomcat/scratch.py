@@ -53,6 +53,10 @@ def clean_scratch(spark: SparkSession) -> None:
     remove(spark, shared_folder(spark))
 
 
+def file_path(spark: SparkSession, folder: str):
+    return spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+
+
 def remove(spark: SparkSession, folder: str) -> None:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path = file_path(spark, folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..scratch import remove
+from ..scratch import file_path, remove
 
 MOVES = ("click", "purchase", "error")
 
@@ -94,5 +94,5 @@ def merged_table(spark: SparkSession, path: str, keys: list[str], schema, upto:
 
 
 def _exists(spark: SparkSession, folder: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path = file_path(spark, folder)
     return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)

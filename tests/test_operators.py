@@ -5,7 +5,7 @@ from loomcat.functions import money, numbers, text, urls
 from loomcat.operators import images, matching, ordering, quality_gates, repair, schedule
 from loomcat.operators import listing as L
 from loomcat.rules import Rule, all_matches, first_match, unique_match
-from loomcat.sources import payloads, registry
+from loomcat.sources import payloads, registry, scans
 from pyspark.sql import functions as F
 
 
@@ -263,3 +263,44 @@ def test_product_files(spark, tmp_path):
 def test_cosine_distance(spark):
     arrays = spark.createDataFrame([([1.0, 0.0], [1.0, 0.0]), ([1.0], [-2.0]), ([1.0], [1.0, 2.0]), ([0.0], [1.0]), (None, [1.0])], "a array<double>, b array<double>")
     assert [r[0] for r in arrays.select(numbers.cosine_distance(F.col("a"), F.col("b"))).collect()] == [0.0, 2.0, None, None, None]
+
+
+def test_scans_go_on_where_they_stopped(spark):
+    pages = spark.createDataFrame([(s, c, p, f) for s, f in (("a", "x"), ("b", "y")) for c in (0, 1) for p in (1, 2, 3)], "site string, category_index int, page int, fingerprint string")
+    cursors = spark.createDataFrame([("b", 0, 2, "old", False)], "site string, category_index int, page int, fingerprint string, complete boolean")
+    seen = {"a": [], "b": []}
+    for turn in range(3):
+        taken, cursors = scans.scan_slice(pages, cursors, 4)
+        for r in taken.collect():
+            seen[r.site].append((turn, r.category_index, r.page))
+        cursors = spark.createDataFrame(cursors.collect(), cursors.schema)
+        if turn == 0:
+            assert {r.site: (r.category_index, r.page, r.complete) for r in cursors.collect()} == {"a": (1, 1, False), "b": (1, 1, False)}
+        if turn == 1:
+            assert {r.site: r.complete for r in cursors.collect()} == {"a": True, "b": True}
+    every = [(c, p) for c in (0, 1) for p in (1, 2, 3)]
+    for own in seen.values():
+        assert sorted((c, p) for t, c, p in own if t < 2) == every and sorted((c, p) for t, c, p in own if t == 2) == every[:4]
+
+
+def test_gated_files_appear_whole(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "k long, price double")
+    gates = {"price": F.col("price") > 0, "key": F.col("k") < 3}
+    path = f"file://{tmp_path}/out"
+    assert [tuple(r) for r in scans.write_gated(df, path, gates).collect()] == [("price", 2)]
+    assert [r.k for r in spark.read.json(path).collect()] == [1]
+    scans.write_gated(df.withColumn("price", F.lit(-1.0)), path, gates)
+    assert [r.k for r in spark.read.json(path).collect()] == [1]  # nothing passed, so the old file stays
+    scans.write_gated(df.withColumn("k", F.col("k") + 1), path, {"price": F.col("price") > 0})
+    assert [r.k for r in spark.read.json(path).collect()] == [2] and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["out"]
+
+
+def test_partners_without_pairs(spark):
+    import random
+
+    r = random.Random(4)
+    rows = [(k, r.choice("ab"), r.choice(["x", "y", None]), r.randrange(3)) for k in range(150)]
+    df = spark.createDataFrame(rows, "id long, name string, category string, host int")
+    pairs = matching.candidate_pairs(df, ["name", "category"], "id", "host").groupBy("left_id").agg(F.count("*").alias("partners"), F.max("right_id").alias("last"))
+    assert sorted(map(tuple, matching.candidate_partners(df, ["name", "category"], "id", "host").collect())) == sorted(map(tuple, pairs.collect()))
+    assert matching.candidate_partners(df.limit(0), ["name", "category"], "id", "host").count() == 0
