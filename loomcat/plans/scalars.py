@@ -9,7 +9,7 @@ from ..functions import money, numbers, text, urls
 from ..operators import matching as M
 from ..operators.ordering import placed
 from ..rules import Rule, first_match
-from ..sources import payloads
+from ..sources import payloads, shopify
 from ..sources import price_text as price_texts
 from .frames import OFFERS, offers
 from .registry import query, table
@@ -245,6 +245,28 @@ def shopify_payload(spark, d):
     return payloads.shopify_variants(raw, "product_id", "payload")
 
 
+@query(
+    "s6_shopify_products",
+    """WITH p AS (SELECT p_partkey, p_name, p_size, p_brand, floor(p_retailprice) AS price FROM part)
+    SELECT p_partkey AS page, 'item-' || p_partkey AS handle, CASE WHEN p_size % 3 = 0 THEN price - 5 ELSE price END AS price, CASE WHEN p_size % 3 = 0 THEN price END AS before, CASE WHEN p_size % 2 = 0 THEN 'S, M' END AS size_info,
+      CASE WHEN p_partkey % 6 = 5 THEN '' ELSE 'https://cdn.shopify.com/' || p_partkey || '.jpg' END AS image_url FROM p WHERE p_partkey % 13 <> 0 AND p_partkey % 11 <> 0 AND p_partkey % 17 <> 0""",
+)
+def shopify_products(spark, d):
+    """A page a part: a product, whose second variant is sold out, and a gift card."""
+    k, n, v = F.col("p_partkey"), F.col("p_size"), F.floor("p_retailprice").cast("string")
+    variant = lambda price, before, size, there: F.struct(price.alias("price"), before.cast("string").alias("compare_at_price"), there.alias("available"), F.lit("x").alias("option1"), F.lit(size).alias("option2"))
+    sale = n % 3 == 0
+    product = F.struct(
+        F.concat("p_name", F.when(k % 13 == 0, " Gift Card").otherwise("")).alias("title"), F.concat(F.when(k % 17 == 0, "../").otherwise(""), F.lit("item-"), k).alias("handle"), F.col("p_brand").alias("vendor"), F.array(F.lit("a"), F.when(k % 11 == 0, " Wholesale ").otherwise("b")).alias("tags"),
+        F.array(F.struct(F.lit("Colour").alias("name"), F.lit(1).alias("position")), F.struct(F.when(n % 2 == 0, "Shoe Size").otherwise("Fit").alias("name"), F.lit(2).alias("position"))).alias("options"),
+        F.array(F.struct(F.when(k % 6 == 5, "https://elsewhere.example/a.jpg").otherwise(F.concat(F.lit("https://cdn.shopify.com/"), k, F.lit(".jpg"))).alias("src"))).alias("images"),
+        F.array(variant(v, F.lit(None), "S", F.lit(True)), variant(F.lit("1.00"), F.lit(None), "M", F.lit(False)), variant(F.when(sale, (v.cast("long") - 5).cast("string")).otherwise("999999"), F.when(sale, v), "S", F.lit(True))).alias("variants"),
+    )
+    pages = table(spark, d, "part").select(k.alias("page"), F.to_json(F.struct(F.array(product).alias("products"))).alias("payload"))
+    r = shopify.parse_products(pages, "page", "payload", "https://shop.example", excluded_tags=["wholesale"])
+    return r.select("page", "handle", F.col("pricing.price").alias("price"), F.when(F.col("pricing.state") == "sale", F.col("pricing.original_price")).alias("before"), "size_info", "image_url")
+
+
 @query("s9_card_prices", "SELECT o_orderkey, floor(o_totalprice * 0.9)::BIGINT AS price, floor(o_totalprice)::BIGINT AS original FROM orders")
 def card_prices(spark, d):
     t = F.concat(F.lit("₩"), F.floor("o_totalprice"), F.lit(" → ₩"), F.floor(F.col("o_totalprice") * 0.9))

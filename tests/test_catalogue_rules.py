@@ -1,8 +1,10 @@
 """Ladders and price texts against cases worked out by hand."""
 
+import json
+
 import pytest
 from loomcat.operators.gender import SiteRules, clean_genders, resolve_gender
-from loomcat.sources import price_text
+from loomcat.sources import price_text, shopify
 from pyspark.sql import functions as F
 
 KINDS = "k long, gender array<string>, gender_source string, name string, category string, subcategory string, tags array<string>, product_url string, scope array<string>"
@@ -94,3 +96,28 @@ def test_other_price_texts(spark):
     like = ["₩140,000", "140,000원", "KRW 140,000", "$9.12", "판매가 : ₩140,000", "할인판매가 : 98,000원", "9800", "10%"]
     unlike = ["HOMME PLUS 1997 Pants", "1997 Pants", "26SS Wool Coat", "", "   ", None, "1" * 81]
     assert values(spark, like + unlike, price_text.is_price_like) == [True] * len(like) + [False] * len(unlike)
+
+
+def test_shopify_pages(spark):
+    page = {
+        "products": [
+            {"title": "Shirt", "handle": "shirt", "vendor": "Acme", "product_type": "Tops", "tags": ["Womens", "t" * 120], "options": [{"name": "Colour", "position": 1}, {"name": "EU Size", "position": 2}],
+             "images": [{"src": "https://cdn.shopify.com/a.jpg"}, {"src": "http://cdn.shopify.com/b.jpg"}, {"src": "https://shop.example/c.jpg"}, {"src": "https://evil.example/d.jpg"}, {"src": None}, {"src": "https://x.myshopify.com/e.jpg"}],
+             "variants": [{"price": "59.90", "compare_at_price": "80.00", "available": True, "option1": "Red", "option2": "S"}, {"price": "49.90", "compare_at_price": None, "available": True, "option1": "Red", "option2": "M"}, {"price": "9.90", "compare_at_price": "80", "available": False, "option1": "Blue", "option2": "M"}]},
+            {"title": "Plain", "handle": "plain", "vendor": "", "tags": [], "images": [], "variants": [{"price": "19.99", "compare_at_price": "19.99", "available": True, "option1": "Default Title"}], "options": [{"name": "Size", "position": 1}]},
+            {"title": "Sold", "handle": "sold", "vendor": "A", "variants": [{"price": "5", "available": False}]},
+            {"title": "Lookbook SS", "handle": "l", "vendor": "A", "variants": [{"price": "5", "available": True}]}, {"title": "Big Gift Card", "handle": "g", "vendor": "A", "variants": [{"price": "5", "available": True}]},
+            {"title": "Card", "handle": "c", "vendor": "Rise.ai", "variants": [{"price": "5", "available": True}]}, {"title": "Bad", "handle": "../x", "vendor": "A", "variants": [{"price": "5", "available": True}]},
+            {"title": "Free", "handle": "free", "vendor": "A", "variants": [{"price": "0.00", "available": True}]}, {"title": "Tagged", "handle": "tagged", "vendor": "A", "tags": [" HIDE "], "variants": [{"price": "5", "available": True}]},
+        ]
+    }
+    df = spark.createDataFrame([(1, json.dumps(page)), (2, "{"), (3, None), (4, '{"products": []}')], "k long, p string")
+    got = {r.handle: r for r in shopify.parse_products(df, "k", "p", "https://shop.example", excluded_tags=["hide"], brand_fallback="House").collect()}
+    assert set(got) == {"shirt", "plain"}
+    r = got["shirt"]
+    assert (r.product_url, r.brand, r.in_stock, r.size_info) == ("https://shop.example/products/shirt", "Acme", True, "S, M")
+    assert (r.pricing.price, r.pricing.original_price, r.pricing.sale_price, r.pricing.state) == (59.9, 80.0, 59.9, "sale")
+    assert r.images == ["https://cdn.shopify.com/a.jpg", "https://shop.example/c.jpg", "https://x.myshopify.com/e.jpg"] and r.image_url == r.images[0] and r.tags == ["Womens", "t" * 100]
+    r = got["plain"]
+    assert (r.brand, r.size_info, r.image_url, r.pricing.price, r.pricing.sale_price, r.pricing.state) == ("House", None, "", 19.99, None, "regular")
+    assert "sold" in {r.handle for r in shopify.parse_products(df, "k", "p", "https://shop.example", keep_sold_out=True).collect()}
