@@ -69,6 +69,25 @@ def match_decision(same_identifier: Column, similarity: Column, same_category: C
     return F.when(same_identifier, F.struct(F.lit("auto").alias("status"), F.lit(1.0).alias("confidence"), F.lit("identifier").alias("reason"))).when((similarity >= 0.8) & same_category, F.struct(F.lit("review").alias("status"), similarity.alias("confidence"), F.lit("similar-name").alias("reason"))).otherwise(F.struct(F.lit("reject").alias("status"), similarity.alias("confidence"), F.lit("different").alias("reason")))
 
 
+def catalogue_decision(brands: tuple[Column, Column], colours: tuple[Column, Column], identifier: Column, similarity: Column, same_category: Column) -> Column:
+    """``status, confidence, reason`` of two rows of the catalogue.
+
+    Other brands and other colours are never one product; without both colours a person
+    decides. A shared ``identifier`` (``gtin`` or another kind, null if there is none) is
+    proof; much the same name in the same category is for a person again."""
+    out = lambda status, confidence, reason: F.struct(F.lit(status).alias("status"), confidence.cast("double").alias("confidence"), F.lit(reason).alias("reason"))
+    a, b = colours
+    alike = F.coalesce(same_category & (similarity >= 0.8), F.lit(False))
+    return (
+        F.when(~brands[0].eqNullSafe(brands[1]), out("reject", F.lit(1), "brand_conflict"))
+        .when(a.isNull() | b.isNull(), out("review", F.lit(0), "color_evidence_missing"))
+        .when(a != b, out("reject", F.lit(1), "color_conflict"))
+        .when(identifier.isNotNull(), out("auto", F.when(identifier == "gtin", 1.0).otherwise(0.995), "trusted_identifier_exact"))
+        .when(alike, out("review", F.least(F.lit(0.94), 0.55 + similarity * 0.35), "composite_candidate_requires_review"))
+        .otherwise(out("reject", similarity, "insufficient_evidence"))
+    )
+
+
 def ready(df: DataFrame, id_: str, *sets: DataFrame) -> DataFrame:
     """Rows whose id is in every set."""
     for s in sets:

@@ -63,3 +63,31 @@ def retry_at(reason: Column, now: Column, requested: Column) -> Column:
     """The later of the reason's delay and what was asked for."""
     minutes = F.when(reason == "rate_limited", 60).when(reason == "blocked", 1440).otherwise(30)
     return F.greatest(F.timestamp_seconds(F.unix_timestamp(now) + minutes * 60), F.coalesce(requested, now))
+
+
+def exception_code(status: Column, errors: Column, read_failed: Column, write_failed: Column, guarded: Column) -> Column:
+    """Why a run of a source failed, from its messages and flags; null if it didn't."""
+    says = lambda pattern: F.coalesce(F.exists(errors, lambda e: F.rlike(e, F.lit(f"(?i){pattern}"))), F.lit(False))
+    return (
+        F.when(status.isin("success", "partial"), F.lit(None).cast("string"))
+        .when(says(r"robots\.txt (?:fetch|body read) failed"), "transient_exhausted")
+        .when(says("HTTP 403|robots|disallow"), "external_block")
+        .when(says("HTTP (?:404|410)"), "endpoint_removed")
+        .when(says(r"timeout|fetch failed|HTTP (?:429|5\d\d)"), "transient_exhausted")
+        .when(read_failed, "db_read_failed")
+        .when(write_failed, "db_write_failed")
+        .when(guarded | (status == "skipped"), "coverage_guard")
+        .when(says("category|catalog"), "config_drift")
+        .otherwise("source_failed")
+    )
+
+
+def retry_from(errors: Column) -> Column:
+    """The first usable ``retry_at=`` time of some messages."""
+    times = F.transform(errors, lambda e: F.nullif(F.regexp_extract(e, r"(?i)\bretry_at=([^\s|]+)", 1), F.lit("")).try_cast("timestamp"))
+    return F.get(F.filter(times, lambda t: t.isNotNull()), 0)
+
+
+def http_class(status: Column) -> Column:
+    gone, barred = status.isin(404, 410), status.isin(401, 403)
+    return F.when(gone, "removed").when(barred, "blocked").when((status == 429) | (status >= 500), "transient").when(status.between(200, 399), "confirmed").otherwise("unreadable")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import money, numbers, text, urls
 from ..operators import matching as M
+from ..operators import schedule
 from ..operators.ordering import placed
 from ..rules import Rule, first_match
 from ..sources import payloads, shopify
@@ -40,13 +41,12 @@ def any_match(spark, d):
     return table(spark, d, "documents").select("doc_id", text.contains_any(F.col("text"), ["token", "idiot", "|"]).alias("hit"))
 
 
-CLEAN = "trim(regexp_replace({}, '^(?i)(?:\\[?(?:new|sale|best)\\]?)[\\s:-]+', ''))"
-
-
-@query("x5_clean_name", f"SELECT p_partkey, {CLEAN.format(CLEAN.format(CLEAN.format('x')))} AS name FROM (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN '[NEW] SALE: ' WHEN 1 THEN 'best - ' ELSE '' END || p_name AS x FROM part)".replace("'^(?i)", "'(?i)^"))
+@query("x5_clean_name", "SELECT p_partkey, CASE p_partkey % 4 WHEN 3 THEN 'name: ' || p_name ELSE p_name END AS name FROM part")
 def clean_name(spark, d):
-    prefix = F.when(F.col("p_partkey") % 3 == 0, "[NEW] SALE: ").when(F.col("p_partkey") % 3 == 1, "best - ").otherwise("")
-    return table(spark, d, "part").select("p_partkey", text.clean_name(F.concat(prefix, "p_name")).alias("name"))
+    """At most three labels go; the fourth stays."""
+    k = F.col("p_partkey") % 4
+    prefix = F.when(k == 0, " 상품명 :  Product  Name： ").when(k == 1, "브랜드:").when(k == 3, "name: name: name: name: ").otherwise("")
+    return table(spark, d, "part").select("p_partkey", text.clean_name(F.concat(prefix, F.replace("p_name", F.lit(" "), F.lit("  ")))).alias("name"))
 
 
 STRIP = "regexp_replace(regexp_replace(html, '<(script|style)[^>]*>.*?</(script|style)>', ' ', 'gs'), '<[^>]*>', ' ', 'g')"
@@ -63,10 +63,12 @@ def safe_message(spark, d):
     return table(spark, d, "documents").select("doc_id", text.safe_message(F.col("text")).alias("message"))
 
 
-@query("x8_body_measurements", "SELECT event_id, TRY_CAST(nullif(regexp_extract('height ' || (100 + event_id % 99) || ' cm, ' || (event_id % 120) || 'kg', '(\\d{2,3})\\s*cm', 1), '') AS INT) AS height, TRY_CAST(nullif(regexp_extract('height ' || (100 + event_id % 99) || ' cm, ' || (event_id % 120) || 'kg', '(\\d{2,3})\\s*kg', 1), '') AS INT) AS weight FROM events")
+@query("x8_body_measurements", "SELECT event_id, CASE WHEN event_id % 2 = 0 THEN (100 + event_id % 99) || ' cm' END AS height, CASE WHEN event_id % 3 = 0 THEN (10 + event_id % 90) || 'kg' END AS weight, CASE WHEN event_id % 5 = 0 THEN 'M' END AS usual_size, CASE WHEN event_id % 7 = 0 THEN 'L slim' END AS purchased_size, CASE WHEN event_id % 11 = 0 THEN 'tall' END AS body_type FROM events WHERE event_id % 2 = 0 OR event_id % 3 = 0 OR event_id % 5 = 0 OR event_id % 7 = 0 OR event_id % 11 = 0")
 def body_measurements(spark, d):
-    t = F.concat(F.lit("height "), 100 + F.col("event_id") % 99, F.lit(" cm, "), F.col("event_id") % 120, F.lit("kg"))
-    return table(spark, d, "events").select("event_id", text.body_measurement(t, "cm").alias("height"), text.body_measurement(t, "kg").alias("weight"))
+    k = F.col("event_id")
+    said = [(2, "height: ", 100 + k % 99, " cm"), (3, "몸무게 ", 10 + k % 90, "kg"), (5, "Usual size : ", F.lit("M"), ""), (7, "구매 사이즈: ", F.lit("L slim"), ""), (11, "Body type ", F.lit("tall"), "")]
+    t = F.concat_ws(", ", *[F.when(k % n == 0, F.concat(F.lit(before), v, F.lit(after))) for n, before, v, after in said])
+    return table(spark, d, "events").select("event_id", text.body_info(t).alias("b")).filter("b is not null").select("event_id", "b.*")
 
 
 GRAMS = "list_distinct([substr({0}, i, 3) FOR i IN range(1, greatest(length({0}) - 1, 2))])"
@@ -187,12 +189,21 @@ def source_precedence(spark, d):
     return table(spark, d, "part").select("p_partkey", F.coalesce(by_type, by_title, F.lit("other")).alias("category"))
 
 
-@query("x26_error_class", "SELECT event_id, CASE WHEN v = 429 THEN 'rate_limited' WHEN v IN (401, 403) THEN 'blocked' WHEN v = 404 THEN 'gone' WHEN v >= 500 THEN 'transient' ELSE 'other' END AS class FROM (SELECT event_id, [429, 401, 403, 404, 500, 503, 200][1 + (event_id % 7)::INT] AS v FROM events)")
+@query(
+    "x26_error_class",
+    """SELECT event_id, CASE WHEN event_id % 13 = 0 THEN NULL ELSE ['transient_exhausted', 'external_block', 'external_block', 'endpoint_removed', 'transient_exhausted', 'transient_exhausted', 'config_drift',
+        CASE WHEN event_id % 3 = 0 THEN 'db_read_failed' WHEN event_id % 5 = 0 THEN 'db_write_failed' WHEN event_id % 7 = 0 THEN 'coverage_guard' ELSE 'source_failed' END][1 + (event_id % 8)::INT] END AS code,
+        CASE WHEN event_id % 8 = 4 THEN TIMESTAMP '2024-02-03 04:05:06' END AS retry, ['transient', 'blocked', 'blocked', 'removed', 'transient', 'confirmed', 'unreadable'][1 + (event_id % 7)::INT] AS class FROM events""",
+)
 def error_class(spark, d):
-    v = F.get(F.lit([429, 401, 403, 404, 500, 503, 200]), (F.col("event_id") % 7).cast("int"))
-    message = F.concat(F.lit("HTTP "), v)
-    rules = [Rule("rate_limited", r"HTTP 429"), Rule("blocked", r"HTTP 40[13]"), Rule("gone", r"HTTP 404"), Rule("transient", r"HTTP 5\d\d")]
-    return table(spark, d, "events").select("event_id", first_match(rules, message, F.lit("other")).alias("class"))
+    k = F.col("event_id")
+    messages = ["robots.txt fetch failed", "HTTP 403", "disallowed by robots", "http 410 gone", "HTTP 429 retry_at=never|retry_at=x retry", "Timeout", "no category found", "odd"]
+    said = F.get(F.array(*map(F.lit, messages)), (k % 8).cast("int"))
+    errors = F.array(F.lit("first"), said, F.when(k % 8 == 4, "again RETRY_AT=2024-02-03T04:05:06Z|x").otherwise("last"))
+    only = k % 8 == 7  # flags count where no message decides before
+    code = schedule.exception_code(F.when(k % 13 == 0, "success").otherwise("failed"), errors, only & (k % 3 == 0), only & (k % 5 == 0), only & (k % 7 == 0))
+    status = F.get(F.lit([429, 401, 403, 404, 500, 302, 100]), (k % 7).cast("int"))
+    return table(spark, d, "events").select("event_id", code.alias("code"), schedule.retry_from(errors).alias("retry"), schedule.http_class(status).alias("class"))
 
 
 @query("x27_brand_resolution", "SELECT p_partkey, CASE WHEN p_brand = 'Brand#1' THEN 'house' WHEN p_brand IN ('Brand#2', 'Brand#3') THEN 'Brand#23' WHEN length(p_brand) > 7 THEN p_brand ELSE 'unknown' END AS brand FROM part")
@@ -202,14 +213,25 @@ def brand_resolution(spark, d):
     return table(spark, d, "part").select("p_partkey", resolve_brand(F.col("p_brand"), {"Brand#1": "house", "Brand#2": "Brand#23", "Brand#3": "Brand#23"}, F.length("p_brand") > 7).alias("brand"))
 
 
-@query("x28_match_decision", f"WITH p AS (SELECT a.p_partkey AS a, b.p_partkey AS b, a.p_size = b.p_size AS same_id, {GRAMS.format('a.p_name')} AS ga, {GRAMS.format('b.p_name')} AS gb, a.p_type = b.p_type AS same_cat FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 10), s AS (SELECT *, len(list_intersect(ga, gb)) / (len(ga) + len(gb) - len(list_intersect(ga, gb)))::DOUBLE AS sim FROM p) SELECT a, CASE WHEN same_id THEN 'auto' WHEN sim >= 0.8 AND same_cat THEN 'review' ELSE 'reject' END AS status, round(CASE WHEN same_id THEN 1 ELSE sim END, 9) AS confidence FROM s")
+@query(
+    "x28_match_decision",
+    """WITH p AS (SELECT a.p_partkey AS a, a.p_brand <> b.p_brand AND a.p_partkey % 2 = 0 AS brand, CASE WHEN a.p_partkey % 11 <> 0 THEN a.p_size % 2 END AS c1, b.p_size % 2 AS c2, CASE WHEN a.p_partkey % 7 = 0 THEN 'gtin' WHEN a.p_partkey % 5 = 0 THEN 'sku' END AS id,
+        list_distinct(string_split(lower(replace(a.p_name, '-', ' ')), ' ')) AS ga, list_distinct(string_split(lower(replace(b.p_name, '-', ' ')), ' ')) AS gb, a.p_type = b.p_type OR a.p_partkey % 3 = 0 AS same_cat FROM part a JOIN part b ON b.p_partkey = a.p_partkey + 10),
+    s AS (SELECT *, len(list_intersect(ga, gb)) / (len(ga) + len(gb) - len(list_intersect(ga, gb)))::DOUBLE AS sim FROM p)
+    SELECT a, CASE WHEN brand THEN 'reject' WHEN c1 IS NULL THEN 'review' WHEN c1 <> c2 THEN 'reject' WHEN id IS NOT NULL THEN 'auto' WHEN sim >= 0.8 AND same_cat THEN 'review' ELSE 'reject' END AS status,
+      round(CASE WHEN brand THEN 1 WHEN c1 IS NULL THEN 0 WHEN c1 <> c2 THEN 1 WHEN id = 'gtin' THEN 1 WHEN id = 'sku' THEN 0.995 WHEN sim >= 0.8 AND same_cat THEN least(0.94, 0.55 + sim * 0.35) ELSE sim END, 9)::DOUBLE AS confidence,
+      CASE WHEN brand THEN 'brand_conflict' WHEN c1 IS NULL THEN 'color_evidence_missing' WHEN c1 <> c2 THEN 'color_conflict' WHEN id IS NOT NULL THEN 'trusted_identifier_exact' WHEN sim >= 0.8 AND same_cat THEN 'composite_candidate_requires_review' ELSE 'insufficient_evidence' END AS reason FROM s""",
+)
 def match_decision(spark, d):
-    p = table(spark, d, "part")
-    a = p.select(F.col("p_partkey").alias("a"), F.col("p_size").alias("s1"), F.col("p_name").alias("n1"), F.col("p_type").alias("t1"))
-    b = p.select((F.col("p_partkey") - 10).alias("a"), F.col("p_size").alias("s2"), F.col("p_name").alias("n2"), F.col("p_type").alias("t2"))
-    sim = text.jaccard(text.trigrams(F.col("n1")), text.trigrams(F.col("n2")))
-    m = a.join(b, "a").select("a", M.match_decision(F.col("s1") == F.col("s2"), sim, F.col("t1") == F.col("t2")).alias("m"))
-    return m.select("a", "m.status", F.round("m.confidence", 9).alias("confidence"))
+    p = table(spark, d, "part").withColumn("form", text.entity_form(F.col("p_name")))
+    side = lambda key, n: p.select(key.alias("a"), F.col("p_size").alias(f"s{n}"), F.col("form").alias(f"n{n}"), F.col("p_type").alias(f"t{n}"), F.col("p_brand").alias(f"b{n}"))
+    k = F.col("a")
+    m = side(F.col("p_partkey"), 1).join(side(F.col("p_partkey") - 10, 2), "a")
+    brands = (F.when(k % 2 == 0, F.col("b1")).otherwise("one"), F.when(k % 2 == 0, F.col("b2")).otherwise("one"))
+    colours = (F.when(k % 11 != 0, F.col("s1") % 2), F.col("s2") % 2)
+    similarity = text.jaccard(text.tokens(F.col("n1")), text.tokens(F.col("n2")))
+    decided = M.catalogue_decision(brands, colours, F.when(k % 7 == 0, "gtin").when(k % 5 == 0, "sku"), similarity, (F.col("t1") == F.col("t2")) | (k % 3 == 0))
+    return m.select("a", decided.alias("m")).select("a", "m.status", F.round("m.confidence", 9).alias("confidence"), "m.reason")
 
 
 @query("x29_json_access", "SELECT event_id, (props->>'$.k')::INT AS k, '{\"id\":' || event_id || ',\"type\":\"' || event_type || '\"}' AS envelope FROM events")
@@ -222,9 +244,27 @@ def enum_membership(spark, d):
     return table(spark, d, "events").groupBy(F.col("event_type").isin("click", "view", "purchase").alias("known")).agg(F.count("*").alias("n"))
 
 
-@query("x33_locale", f"SELECT page_id, nullif(regexp_extract({PATH_}, '^/([a-z]{{2}})/', 1), '') AS locale FROM pages")
+@query("x33_locale", f"SELECT page_id, nullif(regexp_extract({PATH_}, '^/([a-z]{{2}})/', 1), '') AS locale, CASE page_id % 3 WHEN 0 THEN 'US,KR,JP' WHEN 1 THEN 'DE' ELSE '' END AS countries FROM pages")
 def locale(spark, d):
-    return table(spark, d, "pages").select("page_id", F.nullif(F.regexp_extract(urls.path(F.col("url")), "^/([a-z]{2})/", 1), F.lit("")).alias("locale"))
+    k = F.col("page_id")
+    form = F.when(k % 3 == 0, '<form class="localization"><option value="US"><option selected value="KR"><option value="xx"><input name="country_code" value="jp"></form>').when(k % 3 == 1, '{"country_code": "DE", "iso_code": \'DE\'}').otherwise('<option value="FR">')
+    return table(spark, d, "pages").select("page_id", F.nullif(F.regexp_extract(urls.path(F.col("url")), "^/([a-z]{2})/", 1), F.lit("")).alias("locale"), F.array_join(urls.country_codes(form), ",").alias("countries"))
+
+
+@query("x11_same_page", "SELECT page_id, page_id % 6 IN (0, 1, 4) AS same FROM pages")
+def same_page(spark, d):
+    k = F.col("page_id")
+    a = F.concat(F.lit("https://www.shop.example/product/x/"), k, F.when(k % 6 == 3, "?variant=2").otherwise("?utm=1"))
+    b = F.when(k % 6 == 0, F.concat(F.lit("http://shop.example/detail?product_no="), k)).when(k % 6 == 1, F.concat(F.lit("/product/"), k, F.lit("/"))).when(k % 6 == 2, F.concat(F.lit("https://other.example/product/x/"), k)).when(k % 6 == 4, F.concat(F.lit("https://shop.example/product/renamed/"), k, F.lit("/category/3"))).when(k % 6 == 5, F.lit("https://shop.example/product/x/0")).otherwise(a)
+    b = F.when(k % 6 == 3, F.regexp_replace(a, "variant=2", "variant=3")).otherwise(b)
+    return table(spark, d, "pages").select("page_id", urls.same_page(b, a).alias("same"))
+
+
+@query("x12_small_variants", "SELECT p_partkey, CASE WHEN p_partkey % 2 = 0 THEN 'https://s.example/web/product/big/a.jpg,https://s.example/b.jpg' ELSE 'https://s.example/web/product/small/a.jpg,https://s.example/web/product/medium/c.jpg,https://s.example/b.jpg' END AS images FROM part")
+def small_variants(spark, d):
+    at = lambda x: F.lit(f"https://s.example/{x}.jpg")
+    images = F.array_compact(F.array(F.when(F.col("p_partkey") % 2 == 0, at("web/product/big/a")), at("web/product/small/a"), F.when(F.col("p_partkey") % 2 == 1, at("web/product/medium/c")), at("b")))
+    return table(spark, d, "part").select("p_partkey", F.array_join(urls.drop_small_variants(images), ",").alias("images"))
 
 
 @query("o9_best_srcset", "SELECT p_partkey, 'c.jpg' AS best, 300 + p_partkey % 7 AS width FROM part")
