@@ -12,6 +12,7 @@ from ..operators import imports as I
 from ..operators import listing as L
 from ..operators import matching as M
 from ..operators import quality_gates as G
+from ..operators.category import Taxonomy, resolve_category, resolve_subcategory
 from ..rules import Rule, first_match, unique_match
 from .frames import LISTING, OFFERS, RUNS, STORED, listing, offers, runs, stored
 from .registry import query, table
@@ -282,6 +283,38 @@ def unique_match_rules(spark, d):
     return table(spark, d, "part").select("p_partkey", F.coalesce(unique_match(rules, F.col("p_name")), F.lit("other")).alias("label"))
 
 
+NOUNS = Taxonomy(
+    canonical={"rings": ("ring", "red ring"), "bolts": ("bolt",), "widgets": (), "dresses": (), "other": ()},
+    spellings={"small": "rings", "large": "bolts"},
+    priority=(Rule("widgets", text.ascii_word("red widget-[0-9]*7")),),
+    aliases=(Rule("rings", "ring"), Rule("bolts", "bolt"), Rule("widgets", "widget")),
+    subcategories={"rings": (Rule("red ring", "red ring"), Rule("ring", "ring")), "bolts": (Rule("bolt", "bolt"),)},
+)
+
+
+@query(
+    "x22_category_ladder",
+    """WITH p AS (SELECT p_partkey, p_name, p_type AS raw, CASE p_type WHEN 'SMALL' THEN 'rings' WHEN 'LARGE' THEN 'bolts' END AS cur, p_partkey % 3 = 0 AS trusted, regexp_matches(p_name, '\\bred widget-[0-9]*7\\b') AS pr,
+        CASE WHEN contains(p_name, 'ring')::INT + contains(p_name, 'bolt')::INT + contains(p_name, 'widget')::INT = 1 THEN CASE WHEN contains(p_name, 'ring') THEN 'rings' WHEN contains(p_name, 'bolt') THEN 'bolts' ELSE 'widgets' END END AS alias FROM part),
+    q AS (SELECT *, CASE WHEN pr THEN 'widgets' ELSE alias END AS inf FROM p)
+    SELECT p_partkey, CASE WHEN cur IS NULL THEN coalesce(inf, 'other') WHEN pr AND NOT trusted THEN 'widgets' WHEN inf <> cur AND NOT trusted THEN inf ELSE cur END AS value,
+      CASE WHEN cur IS NULL THEN CASE WHEN inf IS NULL THEN 'category_unresolved_other_fallback' ELSE 'category_noise_text_fallback' END WHEN pr AND NOT trusted THEN 'category_priority_text_override' WHEN inf <> cur AND NOT trusted THEN 'category_text_conflict' ELSE 'category_canonicalized' END AS reason FROM q""",
+)
+def category_ladder(spark, d):
+    p = table(spark, d, "part")
+    return p.select("p_partkey", resolve_category(NOUNS, F.col("p_type"), F.col("p_name"), F.col("p_partkey") % 3 == 0).alias("r")).select("p_partkey", "r.value", "r.reason")
+
+
+@query(
+    "x24_subcategories",
+    """SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'ring' WHEN contains(p_name, 'red ring') THEN 'red ring' WHEN contains(p_name, 'ring') THEN 'ring' END AS value,
+      CASE WHEN p_size % 4 = 0 THEN NULL WHEN contains(p_name, 'ring') THEN CASE WHEN p_size % 4 = 1 THEN 'canonicalized' ELSE 'text_fallback' END WHEN p_size % 4 = 1 THEN 'noncanonical_dropped' END AS reason FROM part""",
+)
+def subcategories(spark, d):
+    given = F.when(F.col("p_size") % 4 == 0, "ring").when(F.col("p_size") % 4 == 1, "junk")
+    return table(spark, d, "part").select("p_partkey", resolve_subcategory(NOUNS, F.lit("rings"), given, F.col("p_name")).alias("r")).select("p_partkey", "r.value", "r.reason")
+
+
 @query("f2_qc_gate", "WITH q AS (SELECT doc_id, CASE WHEN n_chars < 60 THEN 'reject' WHEN contains(text, '!!') THEN 'review' WHEN contains(text, '|') THEN 'auto_fix' WHEN lang NOT IN ('en', 'de') THEN 'out_of_scope' ELSE 'keep' END AS action FROM documents) SELECT doc_id, action FROM q WHERE action IN ('keep', 'auto_fix', 'out_of_scope')")
 def qc_gate(spark, d):
     action = F.when(F.col("n_chars") < 60, "reject").when(F.contains("text", F.lit("!!")), "review").when(F.contains("text", F.lit("|")), "auto_fix").when(~F.col("lang").isin("en", "de"), "out_of_scope").otherwise("keep")

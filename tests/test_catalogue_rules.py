@@ -3,7 +3,9 @@
 import json
 
 import pytest
+from loomcat.operators.category import Taxonomy, by_source, resolve_category, resolve_subcategory
 from loomcat.operators.gender import SiteRules, clean_genders, resolve_gender
+from loomcat.rules import Rule
 from loomcat.sources import price_text, shopify
 from pyspark.sql import functions as F
 
@@ -121,3 +123,38 @@ def test_shopify_pages(spark):
     r = got["plain"]
     assert (r.brand, r.size_info, r.image_url, r.pricing.price, r.pricing.sale_price, r.pricing.state) == ("House", None, "", 19.99, None, "regular")
     assert "sold" in {r.handle for r in shopify.parse_products(df, "k", "p", "https://shop.example", keep_sold_out=True).collect()}
+
+
+WORD = lambda *w: r"(?i)\b(?:" + "|".join(w) + r")s?\b"
+TAXONOMY = Taxonomy(
+    canonical={"tops": ("t-shirt", "shirt"), "dresses": ("midi",), "swimwear": (), "underwear": (), "jewelry": ("ring",), "other": ()},
+    spellings={"top": "tops", "t shirts": "tops", "one piece": "dresses"},
+    priority=(Rule("swimwear", WORD("swim", "bikini")),),
+    aliases=(Rule("tops", WORD("shirt", "tee")), Rule("dresses", WORD("dress", "dresses")), Rule("underwear", WORD("brief")), Rule("jewelry", WORD("ring"))),
+    subcategories={"tops": (Rule("t-shirt", WORD("tee", "t shirt")), Rule("shirt", WORD("shirt"))), "jewelry": (Rule("ring", WORD("ring")),)},
+    noise=(r"\bdress[\s_-]+blues?\b",),
+    foreign="(?i)shipping",
+    stronger=(("swimwear", "underwear"),),
+)
+
+
+def test_category_ladder(spark):
+    cases = [
+        ("tops", "Shirt", False, ("tops", None, 0.9, False)), ("T-Shirts", "Shirt", False, ("tops", "category_canonicalized", 0.9, False)), ("", "Blue shirt", False, ("tops", "category_missing_text_fallback", 0.84, False)), (None, "Thing", False, (None, "category_missing", 0.0, True)),
+        ("SALE 30%", "Ring", False, ("jewelry", "category_noise_text_fallback", 0.8, False)), ("SALE", "Ring shirt", False, ("other", "category_unresolved_other_fallback", 0.2, False)), ("tops", "Bikini top", False, ("swimwear", "category_priority_text_override", 0.9, False)), ("tops", "Bikini top", True, ("tops", None, 0.9, False)),
+        ("tops", "Ring", False, ("jewelry", "category_text_conflict", 0.5, True)), ("tops", "Ring", True, ("tops", None, 0.9, False)), ("other", "Ring", True, ("jewelry", "category_other_text_fallback", 0.8, False)), ("swimwear", "Swimless brief", False, ("swimwear", None, 0.9, False)),
+        ("dresses", "Dress blues shirt", False, ("tops", "category_keyword_noise_override", 0.95, False)), ("dresses", "Dress blues", True, ("other", "category_keyword_noise_override", 0.95, False)), ("tops", "Shipping ring", False, ("other", "category_non_fashion_name", 0.99, False)), ("tops", "Dress", True, ("dresses", "category_trusted_title_override", 0.9, False)),
+    ]
+    df = spark.createDataFrame([(k, *c[:3]) for k, c in enumerate(cases)], "k long, category string, name string, trusted boolean")
+    got = df.select("k", resolve_category(TAXONOMY, F.col("category"), F.col("name"), F.col("trusted"), ("dresses",)).alias("r")).orderBy("k").collect()
+    assert [tuple(r.r) for r in got] == [c[3] for c in cases]
+
+
+def test_subcategories_and_sources(spark):
+    cases = [("tops", "shirt", "", ("shirt", None)), ("tops", "Tees!", "", ("t-shirt", "canonicalized")), ("tops", None, "S/S SHIRT_IVORY", ("shirt", "text_fallback")), ("tops", "junk", "", (None, "noncanonical_dropped")), ("tops", "", "", (None, None)), (None, "shirt", "", (None, "no_category")), ("other", "", "shirt", (None, None)), ("dresses", "ring", "ring", (None, "noncanonical_dropped"))]
+    df = spark.createDataFrame([(k, *c[:3]) for k, c in enumerate(cases)], "k long, category string, sub string, t string")
+    assert [tuple(r.r) for r in df.select("k", resolve_subcategory(TAXONOMY, F.col("category"), F.col("sub"), F.col("t")).alias("r")).orderBy("k").collect()] == [c[3] for c in cases]
+    sources = [("Shirts", [], "Ring", "tops"), ("All", ["ring"], "Shirt", "jewelry"), ("", [], "CARDIGAN_shirt", "tops"), ("other", ["ring"], "x", "other"), ("Dress", [], "Shirt dress", "tops"), ("", [], "Icon chain", "jewelry"), ("", [], "Chain thing", None), ("", ["dress blues"], "x", None)]
+    df = spark.createDataFrame([(k, *c[:3]) for k, c in enumerate(sources)], "k long, kind string, tags array<string>, title string")
+    column = by_source(TAXONOMY.aliases, TAXONOMY, F.col("kind"), F.col("tags"), F.col("title"), ("all",), {"dresses": (Rule("tops", "shirt"),)}, (Rule("jewelry", "chain$"),))
+    assert [r.c for r in df.select("k", column.alias("c")).orderBy("k").collect()] == [c[3] for c in sources]
