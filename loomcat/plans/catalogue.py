@@ -589,6 +589,12 @@ def cascade_purge(spark, d):
     return o.filter("o_custkey % 5 <> 0").agg(F.count("*").alias("orders")).crossJoin(lines)  # one row each
 
 
+@query("c23_lines_left", "SELECT l_orderkey, count(*) AS lines FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE o_custkey % 5 <> 0 GROUP BY 1")
+def lines_left(spark, d):
+    gone = table(spark, d, "orders").filter("o_custkey % 5 = 0").select(F.col("o_orderkey").alias("l_orderkey"))
+    return table(spark, d, "lineitem").join(gone, "l_orderkey", "left_anti").groupBy("l_orderkey").agg(F.count("*").alias("lines"))
+
+
 @query("c24_rename_collision", "WITH n AS (SELECT s_suppkey, CASE WHEN s_suppkey % 4 = 0 THEN 'Supplier#000000001' ELSE s_name END AS name FROM supplier) SELECT name, count(*) AS n, count(*) > 1 AS collision FROM n GROUP BY 1")
 def rename_collision(spark, d):
     name = F.when(F.col("s_suppkey") % 4 == 0, "Supplier#000000001").otherwise(F.col("s_name"))

@@ -6,12 +6,12 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text, urls
-from ..operators import images, schedule
+from ..operators import gender, images, schedule
 from ..operators import listing as L
 from ..operators import matching as M
 from ..operators.imports import run_import
 from ..operators.ordering import greedy_chunks, running_total
-from ..rules import Rule, all_matches, first_match
+from ..rules import Rule, first_match
 from ..sources import registry
 from ..sources.scans import scan_slice
 from .catalogue import IMPORTS, RECOVERED, audit_manifest, later_products, prepared
@@ -150,10 +150,18 @@ def round_trip(spark, d):
 TOKENS = [Rule("men", text.ascii_word("bolt|men")), Rule("women", text.ascii_word("ring|women"))]
 
 
-@query("x20_gender_tokens", "SELECT p_partkey, CASE WHEN regexp_matches(p_name, '\\bbolt\\b') THEN 'men' WHEN regexp_matches(p_name, '\\bring\\b') THEN 'women' ELSE 'none' END AS gender FROM part")
+@query(
+    "x20_gender_tokens",
+    """SELECT p_partkey, CASE p_size % 7 WHEN 0 THEN 'men' WHEN 1 THEN 'women' WHEN 2 THEN 'unisex' WHEN 3 THEN NULL WHEN 4 THEN 'unisex' WHEN 5 THEN 'women' END AS from_text, p_partkey % 3 = 0 AS kids,
+      CASE WHEN p_size % 7 = 5 THEN 'women' WHEN p_size % 7 = 0 THEN 'men' END AS from_label FROM part""",
+)
 def gender_tokens(spark, d):
-    found = all_matches(TOKENS, F.col("p_name"))
-    return table(spark, d, "part").select("p_partkey", F.when(F.size(found) > 1, "unisex").otherwise(F.coalesce(F.get(found, 0), F.lit("none"))).alias("gender"))
+    """What a name says by its words and by an explicit label."""
+    n = F.col("p_size") % 7
+    said = F.when(n == 0, " for men").when(n == 1, " Femme").when(n == 2, " 남녀공용").when(n == 3, " men and women").when(n == 4, " unisex men women").when(n == 5, " (Women's)").otherwise(" womenswear mention")
+    name = F.concat("p_name", said, F.when(F.col("p_partkey") % 3 == 0, " Girl's").otherwise(""))
+    p = table(spark, d, "part").select("p_partkey", name.alias("name")).withColumn("found", gender.audience_of(F.col("name")))
+    return p.select("p_partkey", gender.from_words(F.col("found")).alias("from_text"), F.col("found.kids").alias("kids"), gender.by_label(F.col("name")).alias("from_label"))
 
 
 @query("x25_repair_decision", "SELECT p_partkey, CASE WHEN g = 'none' THEN 'keep' WHEN g = cur THEN 'same' WHEN p_size > 25 THEN 'review' ELSE 'repair' END AS decision FROM (SELECT p_partkey, p_size, CASE WHEN contains(p_name, 'bolt') THEN 'men' WHEN contains(p_name, 'ring') THEN 'women' ELSE 'none' END AS g, CASE WHEN p_partkey % 2 = 0 THEN 'men' ELSE 'women' END AS cur FROM part)")

@@ -140,13 +140,22 @@ def image_changes(spark, d):
     SELECT count(*) AS total, count(*) FILTER (WHERE x IS DISTINCT FROM y) AS invalidated, round(count(*) FILTER (WHERE x IS DISTINCT FROM y) / count(*)::DOUBLE, 9) AS ratio, count(*) FILTER (WHERE x IS DISTINCT FROM y) / count(*)::DOUBLE >= 0.2 AS alert FROM j""",
 )
 def embedding_invalidation(spark, d):
+    n = changed_images(spark, d).agg(F.count("*").alias("total"), F.count_if("invalidated").alias("invalidated"))
+    return n.withColumn("ratio", F.round(F.col("invalidated") / F.col("total"), 9)).withColumn("alert", F.col("invalidated") / F.col("total") >= 0.2)
+
+
+def changed_images(spark, d):
     from ..functions.urls import plain_image
 
     p = table(spark, d, "part")
     old = plain_image(F.concat("p_name", F.lit("_"), "p_size", F.lit("x"), "p_size", F.lit(".jpg")))
     new = F.when(F.col("p_partkey") % 9 == 0, None).when(F.col("p_partkey") % 4 == 0, F.concat("p_type", F.lit(".jpg"))).otherwise(F.concat("p_name", F.lit(".jpg")))
-    n = p.select((~old.eqNullSafe(new)).alias("changed")).agg(F.count("*").alias("total"), F.count_if("changed").alias("invalidated"))
-    return n.withColumn("ratio", F.round(F.col("invalidated") / F.col("total"), 9)).withColumn("alert", F.col("invalidated") / F.col("total") >= 0.2)
+    return p.select(F.col("p_partkey").alias("id"), (~old.eqNullSafe(new)).alias("invalidated"))
+
+
+@query("t9_invalidated_rows", "SELECT p_partkey AS id, p_partkey % 9 = 0 OR (p_partkey % 4 = 0 AND p_type <> p_name) AS invalidated FROM part")
+def invalidated_rows(spark, d):
+    return changed_images(spark, d)
 
 
 @query(

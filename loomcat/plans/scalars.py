@@ -80,6 +80,12 @@ def similarity(spark, d):
     return table(spark, d, "supplier").select("s_suppkey", F.round(text.jaccard(a, b), 9).alias("similarity"))
 
 
+@query("x9_token_similarity", "WITH g AS (SELECT p_partkey, list_distinct(string_split(lower(replace(p_name, '-', ' ')), ' ')) AS ga, list_distinct([lower(p_type), 'red', 'ring']) AS gb FROM part) SELECT p_partkey, round(len(list_intersect(ga, gb)) / (len(ga) + len(gb) - len(list_intersect(ga, gb)))::DOUBLE, 9) AS similarity FROM g")
+def token_similarity(spark, d):
+    a, b = (text.tokens(text.entity_form(x)) for x in (F.col("p_name"), F.concat_ws(", ", "p_type", F.lit("Red RING"))))
+    return table(spark, d, "part").select("p_partkey", F.round(text.jaccard(a, b), 9).alias("similarity"))
+
+
 HOST = "regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\\.', '')"
 PATH_ = "regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1)"
 SHOP_URL = "CASE page_id % 5 WHEN 0 THEN 'https://www.Shop.example/item?idx=' || page_id WHEN 1 THEN 'http://shop.example/detail.html?a=1&product_no=' || page_id || '#x' WHEN 2 THEN 'https://zara.com/kr/ko/shirt-p0' || page_id || '.html' WHEN 3 THEN 'https://shop.example/en-kr/products/Shirt-' || page_id || '?variant=' || page_id ELSE url END"
