@@ -67,7 +67,7 @@ class _Bpe:
         self.parts = _Memo(self._part, limit)
 
     def _part(self, part: str) -> bytes:
-        mapped = part.encode().decode("latin-1").translate(self.alphabet)
+        mapped = part if part.isascii() and part.isalnum() else part.encode().decode("latin-1").translate(self.alphabet)
         return b"".join([t.id.to_bytes(4, "little") for t in self.model.tokenize(mapped)])
 
     def library(self, text: str) -> bytes:
@@ -78,13 +78,15 @@ class WordBpe(_Bpe):
     """A lower-casing BPE that drops white space: every space and line end
     separates units, so a text's ids are the ids of its units in order."""
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         super().__init__(path, limit)
         self.units = _Memo(self._unit, limit)
 
     def _unit(self, unit: str) -> bytes:
         if not unit:
             return b""
+        if unit.isascii() and unit.isalpha():  # most units are one pre-token
+            return self.parts[unit.lower()]
         if PLAIN.fullmatch(unit):
             return b"".join([self.parts[p] for p in WORD_PARTS.findall(unit.lower())])
         return self.library(unit)
@@ -99,7 +101,7 @@ class ByteBpe(_Bpe):
 
     LOOKAHEAD = 2
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         super().__init__(path, limit)
         self.byte_of = [b""] * self.tokenizer.get_vocab_size(with_added_tokens=True)
         back = {c: b for b, c in self.alphabet.items()}
