@@ -1,7 +1,8 @@
 """WARC archives in ZIP packages, written and read back without extraction.
 
 Each package is a ZIP file in the shared folder whose members are stored (not deflated):
-``archive/data.warc`` and ``indexes/index.cdx`` (one line a record: id, offset, length).
+``archive/data.warc.gz``, in which every record is a gzip member of its own, and
+``indexes/index.cdx`` (one line a record: id, offset, length).
 A task writes its packages through ``pyarrow.fs``, so the folder may be any that this
 reaches, under names of their own; the list of packages is a written table, so files of a
 task that was lost and run again are simply not listed. The reader opens a package, reads
@@ -26,6 +27,7 @@ gives an empty result.
 from __future__ import annotations
 
 import datetime
+import gzip
 import hashlib
 import struct
 import uuid
@@ -42,7 +44,8 @@ from .common import materialise, shared_folder, ship, table
 
 LEAST = 1000
 PACKAGE_BYTES = 8 << 20
-WARC, INDEX = "archive/data.warc", "indexes/index.cdx"
+WARC, INDEX = "archive/data.warc.gz", "indexes/index.cdx"
+PACKING = 3  # of gzip
 
 # Fixed values of the ZIP format: signatures and full 16- and 32-bit fields.
 LOCAL, CENTRAL, END, END64, LOCATOR64 = b"PK\x03\x04", b"PK\x01\x02", b"PK\x05\x06", b"PK\x06\x06", b"PK\x06\x07"
@@ -192,7 +195,7 @@ def packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES,
                 # the one response of a group of copies has an id that its revisits know
                 shared = urn(f"payload:{key}") if key and single else None
                 page = Record(i, url, bytes(payload), bool(again), to, to_url, shared)
-                data = record(page, shared if shared and not again else urn(f"{name}:{len(lines)}"), when)
+                data = gzip.compress(record(page, shared if shared and not again else urn(f"{name}:{len(lines)}"), when), PACKING, mtime=0)
                 lines.append(f"{'' if i is None else i} {at} {len(data)}")
                 held.append(data)
                 at += len(data)
@@ -219,7 +222,7 @@ def read_package(store: fs.FileSystem, path: str) -> Iterator[tuple[dict[str, st
         begin, _ = members[WARC]
         for line in read(*members[INDEX]).decode().splitlines():
             _, at, length = line.rsplit(" ", 2)
-            head, _, body = read(begin + int(at), int(length)).partition(b"\r\n\r\n")
+            head, _, body = gzip.decompress(read(begin + int(at), int(length))).partition(b"\r\n\r\n")
             field = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
             yield field, body[: int(field["Content-Length"])]
 
