@@ -65,21 +65,22 @@ def retry_at(reason: Column, now: Column, requested: Column) -> Column:
     return F.greatest(F.timestamp_seconds(F.unix_timestamp(now) + minutes * 60), F.coalesce(requested, now))
 
 
+# What the messages of a failed run mean, the most telling first.
+MESSAGES = (
+    (r"robots\.txt (?:fetch|body read) failed", "transient_exhausted"),
+    ("HTTP 403|robots|disallow", "external_block"),
+    ("HTTP (?:404|410)", "endpoint_removed"),
+    (r"timeout|fetch failed|HTTP (?:429|5\d\d)", "transient_exhausted"),
+)
+VAGUE_MESSAGES = (("category|catalog", "config_drift"),)
+
+
 def exception_code(status: Column, errors: Column, read_failed: Column, write_failed: Column, guarded: Column) -> Column:
-    """Why a run of a source failed, from its messages and flags; null if it didn't."""
-    says = lambda pattern: F.coalesce(F.exists(errors, lambda e: F.rlike(e, F.lit(f"(?i){pattern}"))), F.lit(False))
-    return (
-        F.when(status.isin("success", "partial"), F.lit(None).cast("string"))
-        .when(says(r"robots\.txt (?:fetch|body read) failed"), "transient_exhausted")
-        .when(says("HTTP 403|robots|disallow"), "external_block")
-        .when(says("HTTP (?:404|410)"), "endpoint_removed")
-        .when(says(r"timeout|fetch failed|HTTP (?:429|5\d\d)"), "transient_exhausted")
-        .when(read_failed, "db_read_failed")
-        .when(write_failed, "db_write_failed")
-        .when(guarded | (status == "skipped"), "coverage_guard")
-        .when(says("category|catalog"), "config_drift")
-        .otherwise("source_failed")
-    )
+    """Why a run of a source failed; null if it didn't. Clear messages come first, then what
+    the run knows of itself, then vague messages."""
+    meant = lambda table: [F.when(F.exists(errors, lambda e: F.rlike(e, F.lit(f"(?i){pattern}"))), code) for pattern, code in table]
+    flags = [F.when(read_failed, "db_read_failed"), F.when(write_failed, "db_write_failed"), F.when(guarded | (status == "skipped"), "coverage_guard")]
+    return F.when(~status.isin("success", "partial"), F.coalesce(*meant(MESSAGES), *flags, *meant(VAGUE_MESSAGES), F.lit("source_failed")))
 
 
 def retry_from(errors: Column) -> Column:
