@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,22 +38,65 @@ def placed(df: DataFrame, *order: Column, name: str = "place", ranges: int = 64)
     return rows.join(F.broadcast(_sums_before(rows, F.count("*"))), "_range").withColumn(name, F.col("_before") + F.col("_row") + 1).drop("_range", "_row", "_before")  # at most `ranges` counts
 
 
-def greedy_chunks(df: DataFrame, key: str, size: Column, budget: int, block: int = 10_000) -> DataFrame:
-    """``key, block, chunk`` of every row: consecutive rows by ``key`` (unique) share a chunk
-    while their sizes fit ``budget``; a row larger than that is a chunk of its own.
-
-    Blocks of ``block`` consecutive rows are packed independently, so a chunk never crosses
-    their border and no task sees more than one block at a time."""
-    at = placed(df.select(key, size.cast("long").alias("_size")), F.col(key).asc()).withColumn("block", F.floor((F.col("place") - 1) / block))
-
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place")
-        chunk, held, out = 0, None, []
-        for n in rows["_size"].tolist():
-            if held is not None and held + n > budget:
-                chunk, held = chunk + 1, 0
-            held = (held or 0) + n
-            out.append(chunk)
-        return pd.DataFrame({key: rows[key], "block": rows["block"], "chunk": out})
-
-    return at.groupBy("block").applyInPandas(pack, f"{key} {df.schema[key].dataType.simpleString()}, block long, chunk long")
+def range_numbers(df: DataFrame, *order: Column, name: str = "range", ranges: int = 64) -> DataFrame:
+    """``df`` with ``name``: the number of the range by ``order`` in which a row lies. Ranges are about
+    even, rows that ``order`` does not tell apart lie in one."""
+    return _ranged(df, ranges, *order).withColumnRenamed("_range", name).drop("_row")
+
+
+def _next_starts(sizes: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sums of sizes up to each row, and for a chunk that starts at a row, where the next one starts."""
+    upto = np.cumsum(sizes)
+    fits = np.searchsorted(upto, upto - sizes + budget, side="right")
+    return upto, np.maximum(fits, np.arange(1, len(sizes) + 1))
+
+
+def greedy_chunks(df: DataFrame, key: str, size: Column, budget: int, rows_a_range: int = 1_000_000) -> DataFrame:
+    """``key, chunk`` of every row: consecutive rows by ``key`` (unique) share a chunk while their
+    sizes fit ``budget``; a row larger than that is a chunk of its own. Sizes are 0 or more, a missing one is 0.
+
+    The law is one over all rows. Every range of rows works out what it does to a chunk that is
+    open at its beginning: only the first break depends on how full that chunk is, so the answer
+    is a table over the rows of one chunk. The driver walks these tables range by range,
+    holding one at a time, and gives every range the chunk it begins with."""
+    spark, kind = df.sparkSession, df.schema[key].dataType.simpleString()
+    slim = df.select(F.col(key), F.greatest(F.coalesce(size.cast("long"), F.lit(0)), F.lit(0)).alias("_size"))
+    rows = _ranged(slim, slim.count() // rows_a_range + 1, F.col(key).asc())
+
+    def effect(part: pd.DataFrame) -> pd.DataFrame:
+        sizes = part.sort_values("_row")["_size"].to_numpy()
+        upto, nxt = _next_starts(sizes, budget)
+        m, after = len(sizes), nxt.tolist()
+        last, breaks = list(range(m)), [1] * m  # of the chunks that begin at a row: where the last one starts, how many there are
+        for i in range(m - 1, -1, -1):
+            if after[i] < m:
+                last[i], breaks[i] = last[after[i]], 1 + breaks[after[i]]
+        first = min(m, int(np.searchsorted(upto, budget, side="right")) + 1)  # no later row can be the first break
+        before = upto - sizes
+        return pd.DataFrame({"_range": part["_range"].iloc[:1], "upto": [upto[:first]], "held": [(upto[-1] - before)[last[:first]]], "breaks": [breaks[:first]], "total": [upto[-1]]})
+
+    entries, held, chunk = [], None, 0
+    effects = rows.groupBy("_range").applyInPandas(effect, "_range long, upto array<long>, held array<long>, breaks array<long>, total long")
+    for r in materialise(effects, "chunk-effects").orderBy("_range").toLocalIterator():
+        entries.append((r["_range"], held, chunk))
+        if held is None:
+            held, chunk = r["held"][0], r["breaks"][0] - 1
+            continue
+        k = bisect_right(r["upto"], budget - held)
+        if k < len(r["upto"]):
+            held, chunk = r["held"][k], chunk + r["breaks"][k]
+        else:
+            held += r["total"]
+
+    def cut(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("_row")
+        upto, nxt = _next_starts(part["_size"].to_numpy(), budget)
+        held = part["_held"].iloc[0]
+        at, starts = 0 if pd.isna(held) else int(np.searchsorted(upto, budget - int(held), side="right")), np.zeros(len(part), np.int64)
+        begin = int(pd.isna(held))
+        while at < len(part):
+            starts[at], at = 1, int(nxt[at])
+        return pd.DataFrame({key: part[key], "chunk": part["_chunk"].iloc[0] - begin + np.cumsum(starts)})
+
+    known = spark.createDataFrame(entries, "_range long, _held long, _chunk long")  # one row a range
+    return rows.join(F.broadcast(known), "_range").groupBy("_range").applyInPandas(cut, f"{key} {kind}, chunk long")

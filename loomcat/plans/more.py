@@ -30,9 +30,8 @@ def paged_scan(spark, d):
     "s5_byte_budget",
     """WITH RECURSIVE n AS (SELECT page_id, coalesce(strlen(html), 0) AS n, row_number() OVER (ORDER BY page_id) AS pos FROM pages),
     f AS (SELECT pos, page_id, 0 AS chunk, n AS held FROM n WHERE pos = 1
-        UNION ALL SELECT n.pos, n.page_id, CASE WHEN (n.pos - 1) % 10000 = 0 THEN 0 WHEN f.held + n.n > 100000 THEN f.chunk + 1 ELSE f.chunk END,
-            CASE WHEN (n.pos - 1) % 10000 = 0 OR f.held + n.n > 100000 THEN n.n ELSE f.held + n.n END FROM f JOIN n ON n.pos = f.pos + 1)
-    SELECT page_id, ((pos - 1) // 10000)::BIGINT AS block, chunk::BIGINT AS chunk FROM f""",
+        UNION ALL SELECT n.pos, n.page_id, CASE WHEN f.held + n.n > 100000 THEN f.chunk + 1 ELSE f.chunk END, CASE WHEN f.held + n.n > 100000 THEN n.n ELSE f.held + n.n END FROM f JOIN n ON n.pos = f.pos + 1)
+    SELECT page_id, chunk::BIGINT AS chunk FROM f""",
 )
 def byte_budget(spark, d):
     return greedy_chunks(table(spark, d, "pages"), "page_id", F.coalesce(F.octet_length("html"), F.lit(0)), 100_000)

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 import pytest
 from loomcat.functions import money, numbers, text, urls
@@ -95,12 +96,27 @@ def test_failures_of_our_own_store_do_not_count(spark):
 def test_chunks_are_packed_greedily(spark):
     sizes = [60, 60, 70, 10, 20, 200, 5, 95, 1]
     df = spark.createDataFrame(list(enumerate(sizes)), "k long, n long")
-    got = {r.k: (r.block, r.chunk) for r in ordering.greedy_chunks(df, "k", F.col("n"), 100).collect()}
-    assert got == dict(enumerate([(0, 0), (0, 1), (0, 2), (0, 2), (0, 2), (0, 3), (0, 4), (0, 4), (0, 5)]))
-    assert {r.k: (r.block, r.chunk) for r in ordering.greedy_chunks(df, "k", F.col("n"), 100, block=4).collect()}[4] == (1, 0)
+    for rows_a_range in (1_000_000, 4, 1):
+        got = {r.k: r.chunk for r in ordering.greedy_chunks(df, "k", F.col("n"), 100, rows_a_range).collect()}
+        assert got == dict(enumerate([0, 1, 2, 2, 2, 3, 4, 4, 5]))
     assert ordering.greedy_chunks(df.limit(0), "k", F.col("n"), 100).count() == 0
 
 
+def test_chunks_know_no_borders(spark):
+    """One law over all rows, whatever the ranges: sizes of 0, missing ones, large ones, a chunk that spans ranges."""
+    r = random.Random(5)
+    sizes = [r.choice([0, 0, None, 1, 2, 3, 3, 40, 99, 120]) if k % 700 < 400 else 0 for k in range(12_000)]
+    df = spark.createDataFrame([(3 * k, n) for k, n in enumerate(sizes)], "k long, n long").repartition(5)
+    held, chunk, wanted = None, 0, {}
+    for k, n in enumerate(sizes):
+        if held is not None and held + (n or 0) > 100:
+            held, chunk = 0, chunk + 1
+        held = (held or 0) + (n or 0)
+        wanted[3 * k] = chunk
+    for rows_a_range in (1_000_000, 900):
+        assert {x.k: x.chunk for x in ordering.greedy_chunks(df, "k", F.col("n"), 100, rows_a_range).collect()} == wanted
+
+
 def test_forms_of_texts(spark):
     df = spark.createDataFrame([("Cafe\u0301_Noir-\uff21 ",), ("Café Noir A",), (None,)], "t string")
     assert [r[0] for r in df.select(text.match_form(F.col("t"))).collect()] == ["cafe noir a", "cafe noir a", None]
