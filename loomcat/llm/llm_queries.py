@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from . import fill_middle, importance
 from .chunk_bpe import op9_chunk_bpe
 from .extract import op2_block_labeller
+from .fill_middle import op12_fill_middle
+from .importance import op11_importance_resampling
 from .media import op8_media_columns
 from .near_dedup import op5_minhash_near_dedup
 from .packing import op7_best_fit_packing
+from .piece_bpe import op13_piece_bpe
 from .quality import op3_quality_rules
 from .secrets import op4_secret_field
 from .sharding import op6_sampled_splitters
@@ -24,6 +28,9 @@ QUERIES = {
     "op8_media_columns": op8_media_columns,
     "op9_chunk_bpe": op9_chunk_bpe,
     "op10_zip_warc": op10_zip_warc,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_fill_middle": op12_fill_middle,
+    "op13_piece_bpe": op13_piece_bpe,
 }
 ORACLES: dict[str, str] = {
     "op1_exact_topk": """
@@ -64,4 +71,6 @@ ORACLES: dict[str, str] = {
                CASE WHEN n >= 1000 AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN n >= 1000 AND page_id <> last THEN last END AS refers_to
         FROM c""",
+    "op11_importance_resampling": importance.ORACLE_SQL,
+    "op12_fill_middle": fill_middle.ORACLE_SQL,
 }
