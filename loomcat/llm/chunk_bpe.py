@@ -16,7 +16,8 @@ of them would shuffle the texts several times over to save less than that costs.
 
 Defined results: a null text counts as empty; an empty text has no ids; rows
 are independent, so repeated rows give repeated results and an empty table an
-empty one; columns other than the id and the text are ignored.
+empty one; very long texts are encoded whole; columns other than the id and the text are
+ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -3,16 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..scratch import clean_scratch, discard, materialise, shared_folder
+from ..scratch import clean_scratch, discard, discarding, materialise, shared_folder
+from ..shipping import ship
 
-__all__ = ["clean_scratch", "discard", "map_batches", "materialise", "shared_folder", "ship", "table", "text_or_empty", "tokenizer_file"]
+__all__ = ["clean_scratch", "discard", "discarding", "map_batches", "materialise", "shared_folder", "ship", "table", "text_or_empty", "tokenizer_file"]
 
 
 def map_batches(source: DataFrame, run, columns: str) -> DataFrame:
@@ -25,23 +23,6 @@ def map_batches(source: DataFrame, run, columns: str) -> DataFrame:
     return out.withColumn("id", F.col("id").cast(kind))
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors' Python workers this package, once an application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    package = Path(__file__).resolve().parents[1]
-    path = f"{tempfile.mkdtemp()}/{package.name}.zip"  # the driver's file server hands it out
-    with zipfile.ZipFile(path, "w") as archive:
-        for source in sorted(package.rglob("*.py")):
-            archive.write(source, source.relative_to(package.parent))
-    context.addPyFile(path)
-    _shipped.add(context.applicationId)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

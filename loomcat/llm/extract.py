@@ -15,7 +15,9 @@ shape of a batch could decide it is labelled once more by itself, so a page's te
 depends on its neighbours.
 
 Markup is read in one forward walk: where no ``>`` or end of a quotation is left, that is
-remembered, so broken pages take no longer than sound ones.
+remembered, so broken pages take no longer than sound ones. The names of the open elements
+are counted by bucket as elements open and close, so a block costs the same at any depth. A
+page of very many blocks is labelled slice by slice, its states carried on.
 
 Defined results: a null html counts as empty; a page without main blocks has an empty
 text; white space is what ``str.split`` splits at; line breaks inside a block are white
@@ -33,8 +35,10 @@ import pickle
 import re
 import zlib
 from bisect import bisect_left, bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -53,6 +57,7 @@ START = re.compile(r"<(?:(!--)|[!?]|(/?)([a-z][^\s/>]*+)|/)", re.I)
 FOREIGN = re.compile(r"<(?:(!--)|(/?)(svg)(?=[\s/>]))", re.I)  # groups as in START; no raw text inside svg
 TAG_REST = re.compile(r"((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>")
 RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+REPEATED = frozenset("p li option dd dt tr td th".split())  # a second one ends the first
 SKIPPED = frozenset("noscript template svg object canvas".split())
 NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 PATH, WORDS, NUMBERS, HIDDEN = 256, 64, 6, 20
@@ -60,12 +65,77 @@ PATH, WORDS, NUMBERS, HIDDEN = 256, 64, 6, 20
 NEAR_LIMIT = 1e-3
 
 
-@dataclass
+class Open(NamedTuple):
+    """An open block element; those around it are shared by all blocks below."""
+
+    tag: str
+    names: tuple[str, ...]
+    around: Open | None
+
+
+@dataclass(slots=True)
 class Block:
     text: str
-    path: tuple[str, ...]
+    element: Open | None
+    marks: bytes  # 1 at the buckets of the path's names
+    depth: int  # how many names the path has
     linked: float
 
+    @property
+    def path(self) -> tuple[str, ...]:
+        parts, at = [], self.element
+        while at:
+            parts.append(at.names)
+            at = at.around
+        return tuple(x for names in reversed(parts) for x in names)
+
+
+class Stack:
+    """The open block elements with a count of their names by bucket, so that a block costs
+    one row of marks however deep it lies."""
+
+    def __init__(self) -> None:
+        self.opened: list[Open] = []
+        self.tags: Counter[str] = Counter()
+        self.counts, self.marks, self.depth = [0] * PATH, bytearray(PATH), 0
+        self.rows: dict[bytes, bytes] = {}
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        self.opened.append(Open(tag, names, self.opened[-1] if self.opened else None))
+        self.tags[tag] += 1
+        self.depth += len(names)
+        for b in map(path_bucket, names):
+            self.counts[b] += 1
+            self.marks[b] = 1
+
+    def pop(self) -> None:
+        tag, names, _ = self.opened.pop()
+        self.tags[tag] -= 1
+        self.depth -= len(names)
+        for b in map(path_bucket, names):
+            self.counts[b] -= 1
+            self.marks[b] = self.counts[b] > 0
+
+    def leave(self, tag: str) -> None:
+        """Close the innermost element ``tag`` and all inside it; none if it isn't open."""
+        while self.tags[tag] and self.opened[-1].tag != tag:
+            self.pop()
+        if self.tags[tag]:
+            self.pop()
+
+    def block(self, text: str, linked: float) -> Block:
+        row = bytes(self.marks)
+        return Block(text, self.opened[-1] if self.opened else None, self.rows.setdefault(row, row), self.depth, linked)
+
+
+def bucket(text: str, size: int) -> int:
+    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % size
+
+
+@functools.lru_cache(50_000)
+def path_bucket(name: str) -> int:
+    return bucket(name, PATH)
+
 
 def elements(tag: str, attributes: str) -> tuple[str, ...]:
     """A tag and the words of its class, id and role."""
@@ -163,7 +233,7 @@ def ends_of(walk: Walk, skipped: str) -> dict[int, int]:
 def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
     ends: dict[str, dict[int, int]] = {}
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    stack = Stack()
     held: list[str] = []
     link, linked, at = 0, 0, 0
 
@@ -171,7 +241,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal link, linked
         text = " ".join("".join(held).split())
         if text:
-            out.append(Block(text, tuple(x for _, names in stack for x in names), min(1.0, linked / len(text))))
+            out.append(stack.block(text, min(1.0, linked / len(text))))
         held.clear()
         link = linked = 0
 
@@ -182,12 +252,6 @@ def blocks_of(page: str) -> list[Block]:
             held.append(text)
             linked += len(text) if link else 0
 
-    def leave(tag: str) -> None:
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] == tag:
-                del stack[k:]
-                return
-
     walk = Walk(page)
     while found := walk.next(at):
         take(page[at : found[0]])
@@ -200,11 +264,11 @@ def blocks_of(page: str) -> list[Block]:
         elif tag in BLOCKS:
             close()
             if slash:
-                leave(tag)
+                stack.leave(tag)
             elif tag not in VOID:
-                if stack and (tag == "p" or tag == stack[-1][0] and tag in ("li", "option", "dd", "dt", "tr", "td", "th")) and stack[-1][0] == tag:
+                if tag in REPEATED and stack.opened and stack.opened[-1].tag == tag:
                     stack.pop()
-                stack.append((tag, elements(tag, attributes)))
+                stack.push(tag, elements(tag, attributes))
         elif tag == "a":
             link = 0 if slash else 1
         elif tag == "br":
@@ -217,23 +281,11 @@ def blocks_of(page: str) -> list[Block]:
 # ---- vectors ----
 
 
-def bucket(text: str, size: int) -> int:
-    return zlib.crc32(text.encode("utf-8", "surrogatepass")) % size
-
-
 class Vectors:
-    """Blocks as rows; memos of bounded size hold hashed paths and words."""
+    """Blocks as rows; a memo of bounded size holds hashed words."""
 
     def __init__(self) -> None:
         self.words = _Memo(lambda w: bucket(w, WORDS), 200_000)
-        self.paths = _Memo(self._path, 20_000)
-
-    @staticmethod
-    def _path(path: tuple[str, ...]) -> np.ndarray:
-        out = np.zeros(PATH, np.float32)
-        for x in path:
-            out[bucket(x, PATH)] = 1
-        return out
 
     def rows(self, blocks: list[Block]) -> np.ndarray:
         out = np.zeros((len(blocks), PATH + WORDS + NUMBERS), np.float32)
@@ -242,9 +294,8 @@ class Vectors:
         at = np.fromiter((self.words[w] for x in lists for w in x), np.int64, int(sizes.sum()))
         counts = np.bincount(np.repeat(np.arange(len(lists)) * WORDS, sizes) + at, minlength=len(lists) * WORDS).reshape(-1, WORDS)
         out[:, PATH : PATH + WORDS] = counts / np.sqrt((counts**2).sum(axis=1, keepdims=True))
-        for row, b in zip(out, blocks, strict=True):
-            row[:PATH] = self.paths[b.path]
-        out[:, PATH + WORDS :] = np.array([(b.linked, b.text[-1] in ".!?", "©" in b.text, len(b.path) / 10, min(1, n / 8), min(1, n / 60)) for b, n in zip(blocks, sizes.tolist(), strict=True)])
+        out[:, :PATH] = np.frombuffer(b"".join([b.marks for b in blocks]), np.uint8).reshape(-1, PATH)
+        out[:, PATH + WORDS :] = np.array([(b.linked, b.text[-1] in ".!?", "©" in b.text, b.depth / 10, min(1, n / 8), min(1, n / 60)) for b, n in zip(blocks, sizes.tolist(), strict=True)])
         return out
 
 
@@ -271,10 +322,11 @@ class BiLstm:
         """What the inputs add to the gates of both directions."""
         return {d: x @ self.p[f"x{d}"] + self.p[f"c{d}"] for d in "fb"}
 
-    def _run(self, d: str, z_all: np.ndarray, real: np.ndarray, keep: bool) -> tuple[np.ndarray, list]:
-        """States by step of (steps, pages, 4 * hidden) gate inputs; padding leaves the state as it is."""
+    def _run(self, d: str, z_all: np.ndarray, real: np.ndarray, keep: bool, begin: list[np.ndarray] | None = None) -> tuple[np.ndarray, list]:
+        """States by step of (steps, pages, 4 * hidden) gate inputs; padding leaves the state as it is.
+        ``begin`` holds the state and cell before the first step, and then those after the last."""
         steps, n, h = z_all.shape[0], z_all.shape[1], self.h
-        state, cell = np.zeros((n, h), np.float32), np.zeros((n, h), np.float32)
+        state, cell = begin or (np.zeros((n, h), np.float32), np.zeros((n, h), np.float32))
         states, trace = np.zeros((steps, n, h), np.float32), []
         for t in range(steps) if d == "f" else range(steps - 1, -1, -1):
             z = z_all[t] + state @ self.p[f"h{d}"]
@@ -287,12 +339,25 @@ class BiLstm:
                 trace.append((t, state, cell, i, f, o, g, top))
             state, cell = np.where(real[t], o * top, state), np.where(real[t], new, cell)
             states[t] = state
+        if begin is not None:
+            begin[:] = state, cell
         return states, trace
 
     def probabilities(self, z: dict[str, np.ndarray], real: np.ndarray) -> np.ndarray:
         both = np.concatenate([self._run(d, z[d], real, False)[0] for d in "fb"], axis=2)
         return sigmoid(both @ self.p["out"] + self.p["bias"])
 
+    def long_page(self, slices: int, rows) -> np.ndarray:
+        """The probabilities of one page whose vectors ``rows(k)`` come slice by slice."""
+        both = []
+        for d in "fb":
+            begin, found = [np.zeros((1, self.h), np.float32)] * 2, {}
+            for k in range(slices) if d == "f" else range(slices - 1, -1, -1):
+                z = rows(k) @ self.p[f"x{d}"] + self.p[f"c{d}"]
+                found[k] = self._run(d, z[:, None], np.ones((len(z), 1, 1), bool), False, begin)[0][:, 0]
+            both.append(np.concatenate([found[k] for k in range(slices)]))
+        return sigmoid(np.concatenate(both, axis=1) @ self.p["out"] + self.p["bias"])
+
     def slopes(self, x: np.ndarray, real: np.ndarray, y: np.ndarray) -> dict[str, np.ndarray]:
         z = self.project(x)
         runs = {d: self._run(d, z[d], real, True) for d in "fb"}
@@ -499,11 +564,16 @@ class Labeller:
         self.net, self.vectors = net, Vectors()
 
     def main_blocks(self, pages: list[list[Block]], cells: int = 1 << 15) -> list[list[str]]:
-        """The texts of the main blocks of each page."""
+        """The texts of the main blocks of each page. A page of more than ``cells`` blocks is by itself."""
+        short = [k for k, blocks in enumerate(pages) if len(blocks) <= cells]
+        main = dict(zip(short, self._together([pages[k] for k in short], cells), strict=True))
+        return [[b.text for b, yes in zip(blocks, (main[k] if k in main else self._alone(blocks, cells)).tolist(), strict=True) if yes] for k, blocks in enumerate(pages)]
+
+    def _together(self, pages: list[list[Block]], cells: int) -> list[np.ndarray]:
         flat = [b for blocks in pages for b in blocks]
         parts = [self.net.project(self.vectors.rows(flat[k : k + cells])) for k in range(0, len(flat), cells)]
         z = {d: np.concatenate([x[d] for x in parts]) for d in "fb"} if parts else {}
-        sizes = np.array([len(b) for b in pages])
+        sizes = np.array([len(b) for b in pages], np.int64)
         first = np.cumsum(sizes) - sizes
         main = np.zeros(len(flat), bool)
         order = np.argsort(sizes, kind="stable")
@@ -516,15 +586,26 @@ class Labeller:
             real = np.arange(steps)[:, None] < sizes[own]
             chance = self.net.probabilities({d: x[at] for d, x in z.items()}, real[..., None])
             main[at[real]] = chance[real] >= 0.5
-            if len(own) > 1:
-                for j in np.flatnonzero(((np.abs(chance - 0.5) < NEAR_LIMIT) & real).any(axis=0)):
-                    main[first[own[j]] + np.arange(sizes[own[j]])] = self._alone(pages[own[j]])
-        return [[b.text for b, yes in zip(blocks, main[k : k + len(blocks)].tolist(), strict=True) if yes] for blocks, k in zip(pages, first.tolist(), strict=True)]
+            for j in np.flatnonzero(((np.abs(chance - 0.5) < NEAR_LIMIT) & real).any(axis=0)):
+                main[first[own[j]] + np.arange(sizes[own[j]])] = self._alone(pages[own[j]], cells)
+        return np.split(main, first[1:]) if len(pages) else []
+
+    def _alone(self, blocks: list[Block], cells: int) -> np.ndarray:
+        return self.net.long_page(-(-len(blocks) // cells), lambda k: self.vectors.rows(blocks[k * cells : (k + 1) * cells])) >= 0.5
 
 
-    def _alone(self, blocks: list[Block]) -> np.ndarray:
-        z = self.net.project(self.vectors.rows(blocks))
-        return self.net.probabilities({d: x[:, None] for d, x in z.items()}, np.ones((len(blocks), 1, 1), bool))[:, 0] >= 0.5
+def _groups(pages: list[str], most: int, blocks: int = 1 << 16) -> Iterator[list[list[Block]]]:
+    """The blocks of consecutive pages, until there are ``most`` pages or ``blocks`` blocks."""
+    held: list[list[Block]] = []
+    size = 0
+    for page in pages:
+        held.append(blocks_of(page))
+        size += len(held[-1])
+        if len(held) >= most or size >= blocks:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 @functools.lru_cache(1)
@@ -542,8 +623,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
         labeller = _labeller(packed)
         for batch in batches:
             texts = []
-            for k in range(0, len(batch), group):
-                texts += ["\n".join(x) for x in labeller.main_blocks([blocks_of(h) for h in batch["html"].iloc[k : k + group]])]
+            for blocks in _groups(batch["html"].tolist(), group):
+                texts += ["\n".join(x) for x in labeller.main_blocks(blocks)]
             yield pd.DataFrame({"id": batch["id"].array, "url": batch["url"].array, "text": texts, "n_chars": [len(t) for t in texts]})
 
     source = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), text_or_empty(html_col).alias("html"))

@@ -13,7 +13,9 @@ array as the whole.
 
 Defined results: a null text counts as empty; an empty text is one block of spaces;
 constant samples have no peaks and an empty fingerprint; rows are independent, so
-equal texts give equal values and an empty table an empty result.
+equal texts give equal values and an empty table an empty result; very long texts are
+stored and transformed whole; columns other than the id and the text are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@
 4. A bucket whose members are in one component by then is settled: no further link
    there can change a component. Where members are in several, a member of another
    component becomes the pivot once; what is still open is compared block by block, all
-   pairs of different components: sizes and sketches first, and only the members of pairs
+   pairs of different components whose sizes lie in the same or neighbouring classes (no others
+   can be alike): sizes and sketches first, and only the members of pairs
    that these allow go on with their texts. So no bucket is capped.
 
 A bucket or class of any size is met only by joins that adaptive execution can split
@@ -26,12 +27,14 @@ Defined results: a null or blank text has no shingles and links with nothing; fe
 words than ``words`` make one shingle; repeated rows link with each other; rows that share an id
 but not the text each follow their own text's class, and a link of that id holds for
 both; rows without an id take no part (no component, kept); an empty table gives an
-empty result.
+empty result; very long texts are compared whole; columns other than the id and the text
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +43,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import discard, map_batches, materialise, ship, table, text_or_empty
+from .common import discard, discarding, map_batches, materialise, ship, table, text_or_empty
 from .tokens import _Memo
 
 WORDS = 5
@@ -210,51 +213,52 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     ship(spark)
     least = least_agreement(percent, bins, slack)
-    source = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
-    seen = materialise(sketches(source, width, bins, bands), "sketches")
-    # written before they are joined, so that adaptive execution can split a hot class or bucket
-    classes = materialise(seen.filter("id is not null and word_digest is not null").groupBy("word_digest").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n"), "classes")
-    own = lambda c: F.when(F.col("id") == F.col("rep"), F.col(c)).alias(c)
-    rep = F.when(F.col("word_digest").isNotNull(), F.coalesce("rep", "id"))
-    with_rep = seen.join(classes.hint("merge"), "word_digest", "left").withColumn("rep", F.when(F.col("id").isNotNull(), rep))
-    rows = materialise(with_rep.select("id", "n_shingles", "rep", own("keys"), own("marks")), "rows")
-
-    keys = rows.filter("keys is not null").select("id", "n_shingles", F.explode("keys").alias("key"))
-    buckets = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("_first"), F.max("id").alias("_last"), F.count("*").alias("size")).filter("_first.id < _last")
-    buckets = materialise(buckets.select("key", "size", F.col("_first.id").alias("pivot"), F.col("_first.n_shingles").alias("pivot_n")), "buckets")
-    members = materialise(keys.join(buckets.hint("merge"), "key"), "members")
-    ids = members.select("id").distinct()
-    marks = materialise(rows.filter("keys is not null").select("id", "marks", "keys").join(ids, "id", "left_semi"), "marks")
-    # the ids grow with the input, so this is a merge join at every size
-    texts = materialise(source.join(ids.hint("merge"), "id", "left_semi"), "texts")
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        return materialise(confirmed(pairs, texts, width, percent), "links")
-
-    def joining(pairs: DataFrame, components: DataFrame) -> DataFrame:
-        """The pairs whose ends are in different components."""
-        return with_component(with_component(pairs, "a", components, "_ca"), "b", components, "_cb").filter("_ca <> _cb").select("a", "b")
-
-    def grown(components: DataFrame, links: DataFrame) -> DataFrame:
-        if links.isEmpty():
-            return components
-        return materialise(connected_components(links.union(components.select("id", "component"))), "components")
-
-    star = members.filter("id <> pivot").filter(sizes_allow("n_shingles", "pivot_n", percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-    pairs = materialise(plausible(star, marks, least), "pairs")
-    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    components = materialise(connected_components(linked(first)), "components")
-    rest = joining(pairs.join(first, ["a", "b"], "left_anti"), components)
-    components = grown(components, linked(rest))
-
-    left = open_buckets(members.filter("size > 2"), components)
-    if not left.isEmpty():
-        star = left.filter("c <> pivot_c").filter(sizes_allow("n_shingles", "pivot_n", percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
-        components = grown(components, linked(plausible(star, marks, least)))
-        left = open_buckets(left, components)
+    with discarding(spark) as kept:
+        source = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
+        seen = materialise(sketches(source, width, bins, bands), "sketches")
+        # written before they are joined, so that adaptive execution can split a hot class or bucket
+        classes = materialise(seen.filter("id is not null and word_digest is not null").groupBy("word_digest").agg(F.min("id").alias("rep"), F.count("*").alias("n")).filter("n > 1").drop("n"), "classes")
+        own = lambda c: F.when(F.col("id") == F.col("rep"), F.col(c)).alias(c)
+        rep = F.when(F.col("word_digest").isNotNull(), F.coalesce("rep", "id"))
+        with_rep = seen.join(classes.hint("merge"), "word_digest", "left").withColumn("rep", F.when(F.col("id").isNotNull(), rep))
+        rows = materialise(with_rep.select("id", "n_shingles", "rep", own("keys"), own("marks")), "rows")
+
+        keys = rows.filter("keys is not null").select("id", "n_shingles", F.explode("keys").alias("key"))
+        buckets = keys.groupBy("key").agg(F.min(F.struct("id", "n_shingles")).alias("_first"), F.max("id").alias("_last"), F.count("*").alias("size")).filter("_first.id < _last")
+        buckets = materialise(buckets.select("key", "size", F.col("_first.id").alias("pivot"), F.col("_first.n_shingles").alias("pivot_n")), "buckets")
+        members = materialise(keys.join(buckets.hint("merge"), "key"), "members")
+        ids = members.select("id").distinct()
+        marks = materialise(rows.filter("keys is not null").select("id", "marks", "keys").join(ids, "id", "left_semi"), "marks")
+        # the ids grow with the input, so this is a merge join at every size
+        texts = materialise(source.join(ids.hint("merge"), "id", "left_semi"), "texts")
+
+        def linked(pairs: DataFrame) -> DataFrame:
+            return materialise(confirmed(pairs, texts, width, percent), "links")
+
+        def joining(pairs: DataFrame, components: DataFrame) -> DataFrame:
+            """The pairs whose ends are in different components."""
+            return with_component(with_component(pairs, "a", components, "_ca"), "b", components, "_cb").filter("_ca <> _cb").select("a", "b")
+
+        def grown(components: DataFrame, links: DataFrame) -> DataFrame:
+            if links.isEmpty():
+                return components
+            return materialise(connected_components(links.union(components.select("id", "component"))), "components")
+
+        star = members.filter("id <> pivot").filter(sizes_allow("n_shingles", "pivot_n", percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+        pairs = materialise(plausible(star, marks, least), "pairs")
+        first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        components = materialise(connected_components(linked(first)), "components")
+        rest = joining(pairs.join(first, ["a", "b"], "left_anti"), components)
+        components = grown(components, linked(rest))
+
+        left = open_buckets(members.filter("size > 2"), components)
         if not left.isEmpty():
-            components = grown(components, materialise(cross_links(left, marks, texts, width, percent, least), "links"))
-    discard(spark, seen, classes, buckets, members, marks, texts, pairs)
+            star = left.filter("c <> pivot_c").filter(sizes_allow("n_shingles", "pivot_n", percent)).select(F.col("pivot").alias("a"), F.col("id").alias("b")).distinct()
+            components = grown(components, linked(plausible(star, marks, least)))
+            left = open_buckets(left, components)
+            if not left.isEmpty():
+                components = grown(components, materialise(cross_links(left, marks, texts, width, percent, least), "links"))
+        kept += [rows, components]
     out = rows.join(components.withColumnRenamed("id", "rep"), "rep", "left")
     return out.select(
         F.col("id").alias(id_col),
@@ -267,8 +271,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def cross_links(members: DataFrame, marks: DataFrame, texts: DataFrame, width: int, percent: int, least: float, block: int = BLOCK, text_block: int = TEXT_BLOCK) -> DataFrame:
     """The alike ``a, b`` among a bucket's members in different components.
 
-    A bucket of n members is split into n / block blocks, and each pair of blocks is a
-    group of its own, so a group holds about two blocks whatever the bucket's size. Groups
+    The members of a bucket are divided into classes by size, so that alike ones are in the same
+    or neighbouring classes. A class of n members is split into n / block blocks, and each pair of
+    blocks is a group of its own, so a group holds about two blocks whatever the bucket's size. Groups
     hold sizes and sketches; the pairs that these allow make up cells of at most
     two text blocks of ids, to which the texts are then joined. A pair that shares several
     buckets is compared in that of its first common key only."""
@@ -277,23 +282,35 @@ def cross_links(members: DataFrame, marks: DataFrame, texts: DataFrame, width: i
 
 def candidate_cells(members: DataFrame, marks: DataFrame, percent: int, least: float, block: int = BLOCK, text_block: int = TEXT_BLOCK) -> DataFrame:
     """``cell, ids, x, y``: ids of a cell and, as places among them, its pairs that sizes and sketches allow."""
-    own = ["i", "id", "c", "n_shingles", "marks", "keys"]
-    blocks = members.join(marks, "id").withColumn("m", F.ceil(F.col("size") / block).cast("int")).withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
-    cells = blocks.select("key", *own, F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
-    cells = cells.select("key", F.least("i", "j").alias("lo"), F.greatest("i", "j").alias("hi"), *own)
-    grouped = cells.groupBy("key", "lo", "hi").agg(F.collect_list(F.struct(*own)).alias("rows"))
+    own = ["id", "c", "n_shingles", "marks", "keys"]
+    # sizes of alike sets differ by a factor of 100 / percent at most; a little more takes up what rounding does
+    sized = members.withColumn("s", F.floor(F.log("n_shingles") / (max(math.log(100 / percent), 1e-12) * (1 + 1e-9))))
+    count = materialise(sized.groupBy("key", "s").agg(F.ceil(F.count("*") / block).cast("int").alias("m")), "size-classes")
+    beside = lambda step, name: count.select("key", (F.col("s") + step).alias("s"), F.col("m").alias(name))
+    count = count.join(beside(-1, "above"), ["key", "s"], "left").join(beside(1, "below"), ["key", "s"], "left")
+    blocks = sized.join(count, ["key", "s"]).join(marks, "id").withColumn("i", F.pmod(F.xxhash64("id"), F.col("m")).cast("int"))
+    group = lambda s, step, lo, hi, x, y: F.struct(s.alias("s"), F.lit(step).alias("step"), lo.alias("lo"), hi.alias("hi"), x.alias("left"), y.alias("right"))
+    each = lambda n, use: F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), use)).otherwise(F.array())
+    i, yes, no = F.col("i"), F.lit(True), F.lit(False)
+    groups = F.concat(
+        each(F.col("m"), lambda j: group(F.col("s"), 0, F.least(i, j), F.greatest(i, j), i <= j, i >= j)),
+        each(F.col("above"), lambda j: group(F.col("s"), 1, i, j, yes, no)),
+        each(F.col("below"), lambda j: group(F.col("s") - 1, 1, j, i, no, yes)),
+    )
+    cells = blocks.select("key", *own, F.explode(groups).alias("g")).select("key", "g.s", "g.step", "g.lo", "g.hi", "g.left", "g.right", *own)
+    grouped = cells.groupBy("key", "s", "step", "lo", "hi").agg(F.collect_list(F.struct("left", "right", *own)).alias("rows"))
 
     @F.pandas_udf("array<struct<ids: array<long>, x: array<int>, y: array<int>>>")
-    def allowed(key: pd.Series, lo: pd.Series, hi: pd.Series, rows: pd.Series) -> pd.Series:
+    def allowed(key: pd.Series, rows: pd.Series) -> pd.Series:
         out = []
-        for k, l, h, cell in zip(key, lo, hi, rows, strict=True):
-            i, ids, c, n = (np.array([r[f] for r in cell], np.int64) for f in ("i", "id", "c", "n_shingles"))
+        for k, cell in zip(key, rows, strict=True):
+            left, right, ids, c, n = (np.array([r[f] for r in cell], np.int64) for f in ("left", "right", "id", "c", "n_shingles"))
             seen = np.frombuffer(b"".join(r["marks"] for r in cell), np.uint8).reshape(len(cell), -1)
             keys = np.array([r["keys"] for r in cell], np.int64)
             found = [np.empty((0, 2), np.int64)]
-            for x in np.flatnonzero(i == l):
-                ok = (i == h) & (c != c[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
-                y = np.flatnonzero(ok & (ids > ids[x]) if l == h else ok)
+            for x in np.flatnonzero(left):
+                ok = (right == 1) & (c != c[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
+                y = np.flatnonzero(ok & ((ids > ids[x]) | (left == 0)))  # both ways round only once
                 y = y[(seen[y] == seen[x]).mean(axis=1) >= least]
                 same = keys[y] == keys[x]
                 y = y[keys[x][same.argmax(axis=1)] == k]  # the first key that both have
@@ -311,8 +328,8 @@ def candidate_cells(members: DataFrame, marks: DataFrame, percent: int, least: f
             out.append(parts)
         return pd.Series(out)
 
-    found = grouped.select("key", "lo", "hi", F.posexplode(allowed("key", "lo", "hi", "rows")).alias("t", "p"))
-    return materialise(found.select(F.struct("key", "lo", "hi", "t").alias("cell"), "p.ids", "p.x", "p.y"), "cells")
+    found = grouped.select("key", "s", "step", "lo", "hi", F.posexplode(allowed("key", "rows")).alias("t", "p"))
+    return materialise(found.select(F.struct("key", "s", "step", "lo", "hi", "t").alias("cell"), "p.ids", "p.x", "p.y"), "cells")
 
 
 def compared(cells: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:

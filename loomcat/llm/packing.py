@@ -17,8 +17,10 @@ windows over salted lengths, so a length that a third of all pieces share does
 not meet in one task.
 
 Defined results: a null text counts as empty; an empty text is one piece that
-holds only the end id; repeated rows are packed once each; an empty table gives
-an empty result; columns other than the id and the text are ignored.
+holds only the end id; repeated rows are packed once each; pieces of equal length change
+places freely, as the number of sequences depends on lengths only, and their order is that of their
+ranks; very long texts are encoded whole and cut; an empty table gives an empty result; columns
+other than the id and the text are ignored, whatever their names.
 """
 
 from __future__ import annotations

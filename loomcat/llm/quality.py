@@ -14,7 +14,8 @@ scored like any other; repeated rows are scored alike; rows without an id are sc
 never learnt from (``held_out`` false); of several labels of an id the smallest counts,
 and labels other than 0 and 1 are ignored; if one class or all labels are missing, the
 smoothed share of label 1 is every row's score; an empty table gives an empty result;
-columns other than id and text are ignored.
+very long texts are scored whole; columns other than id and text are ignored, whatever
+their names.
 """
 
 from __future__ import annotations

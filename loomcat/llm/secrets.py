@@ -16,7 +16,8 @@ the rows; a token memo of bounded size serves each worker.
 
 Defined results: a null text counts as empty; an empty text has no spans; rows are
 independent, so repeated rows give repeated results and an empty table an empty one;
-columns other than the id and the text are ignored.
+very long texts are scanned whole; columns other than the id and the text are ignored,
+whatever their names.
 """
 
 from __future__ import annotations

@@ -3,8 +3,9 @@
 Each package is a ZIP file in the shared folder whose members are stored (not deflated):
 ``archive/data.warc.gz``, in which every record is a gzip member of its own, and
 ``indexes/index.cdx`` (one line a record: id, offset, length).
-A task writes its packages through ``pyarrow.fs``, so the folder may be any that this
-reaches, under names of their own; the list of packages is a written table, so files of a
+A task writes its packages through ``pyarrow.fs``, under names of their own, so the folder may
+be any in ``STORES`` (``hdfs`` and ``viewfs`` need libhdfs on every machine; object stores take
+their credentials from the machines' environment, not from Hadoop's settings); the list of packages is a written table, so files of a
 task that was lost and run again are simply not listed. The reader opens a package, reads
 its end record, follows the ZIP64 one where the 32-bit fields are full, parses the central
 directory, locates the members through their local headers, and reads only the ranges it
@@ -21,7 +22,8 @@ rows repeat the response (equal id and payload), it names address and date only.
 Defined results: a null html is an empty payload; repeated rows (equal id and payload)
 are records of their own, all responses if their id is the largest; a row without an id
 is a record without one (a revisit if a copy has an id, else a response); an empty table
-gives an empty result.
+gives an empty result; a very long page is one record, whole; columns other than id, url
+and html are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -164,11 +166,23 @@ def urn(name: str) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
+#: What Hadoop calls a store, and what pyarrow does; other stores it does not reach.
+STORES = {"file": "file", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "hdfs": "hdfs", "viewfs": "viewfs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def store_address(folder: str) -> str:
+    """A folder's address as pyarrow takes it."""
+    scheme, sep, rest = folder.partition(":")
+    if folder.startswith("/") or not sep:
+        return folder
+    if scheme not in STORES:
+        raise ValueError(f"packages can't be written to {folder}: no store of {', '.join(STORES)}")
+    return "/" + rest.lstrip("/") if scheme == "file" else f"{STORES[scheme]}:{rest}"
+
+
 def filesystem(folder: str) -> tuple[fs.FileSystem, str]:
     """The file system of a folder's address, and its path there."""
-    if folder.startswith("file:"):
-        folder = "/" + folder.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(folder)
+    return fs.FileSystem.from_uri(store_address(folder))
 
 
 def packages(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES, date: datetime.datetime | None = None) -> DataFrame:
@@ -268,7 +282,10 @@ def with_revisits(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
 
 
 def archive(pages: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES, **columns) -> DataFrame:
-    """Write ``pages`` as packages into ``folder``; their list, ``path, bytes``."""
+    """Write ``pages`` as packages into ``folder``; their list, ``path, bytes``. A folder that can't be
+    reached fails before any work."""
+    store, path = filesystem(folder)
+    store.create_dir(path, recursive=True)
     return materialise(packages(with_revisits(pages, **columns), folder, package_bytes), "packages")
 
 

@@ -99,6 +99,23 @@ def test_block_pairs_lose_nothing(spark, monkeypatch):
     assert len(wanted) > 100 and sorted(map(tuple, found.collect())) == wanted
 
 
+def test_pairs_of_any_sizes(spark):
+    """One bucket of texts of very different lengths: every pair that sizes allow is compared, however classes fall."""
+    import random
+
+    r = random.Random(13)
+    base = prose(r, 400).split(" ")
+    texts = {k: " ".join(base[: 20 + k * 380 // 160] + [f"end{k % 3}"] * (k % 2)) for k in range(160)}
+    docs = spark.createDataFrame(sorted(texts.items()), "id long, text string")
+    first = nd.sketches(docs, bins=60, bands=60).select("id", "n_shingles", "marks", F.expr("array(7L)").alias("keys"))
+    members = first.select(F.lit(7).cast("long").alias("key"), "id", F.col("id").alias("c"), F.lit(160).alias("size"), "n_shingles")
+    sets = {k: shingle_set(t) for k, t in texts.items()}
+    for percent in (85, 60, 100):
+        found = nd.cross_links(members, first.select("id", "marks", "keys"), docs, 5, percent, 0.0, block=9, text_block=4)
+        wanted = sorted((a, b) for a in sets for b in sets if a < b and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]))
+        assert sorted(map(tuple, found.collect())) == wanted and (wanted or percent == 100)
+
+
 def test_recall_just_above_the_threshold(spark):
     """Of pairs between 0.85 and 0.87, at most one in a thousand may be lost; none of these is."""
     import random
@@ -129,6 +146,20 @@ def test_sketch_estimates_similarity_and_fills():
     assert (nd.sketch(a[:1], 324) < np.uint64(2**64 - 1)).all()
 
 
+def test_only_what_the_result_reads_stays(spark):
+    from pathlib import Path
+
+    from loomcat.scratch import discarding, shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    with discarding(spark):
+        out = nd.near_duplicates(documents(spark, seed=5))
+        left = {p.name.rsplit("-", 1)[0] for p in set(folder.iterdir()) - before}
+        assert left == {"rows", "components"} and out.count() == 120
+    assert set(folder.iterdir()) == before
+
+
 def test_keep_one(spark):
     docs = documents(spark, seed=4).unionByName(odd(spark))
     kept = nd.keep_one(docs)

@@ -73,11 +73,26 @@ def test_round_trip_and_revisits(spark, tmp_path):
     assert len(revisits) == 4 and len(known) == 1  # the rows of id 5 repeat, so none of them is "the" response
 
 
-def test_only_ranges_are_read():
-    """A record is found without reading the others."""
-    import tempfile
-    from pathlib import Path
+def test_addresses_of_stores():
+
+    assert warc.store_address("file:/a/b") == warc.store_address("file:///a/b") == warc.store_address("/a/b") == "/a/b"
+    assert warc.store_address("s3a://bucket/a") == "s3://bucket/a" and warc.store_address("hdfs://host:1/a") == "hdfs://host:1/a"
+    with pytest.raises(ValueError, match="no store"):
+        warc.store_address("ftp://host/a")
+
 
+def test_a_very_long_page(spark, tmp_path):
+    noise = "".join(chr(random.Random(k).randrange(32, 50_000)) for k in range(1, 3000))
+    long = noise * 1500
+    pages = spark.createDataFrame([(1, "u", long, "x", 1), (2, "u", long, "y", 2), (3, None, None, "z", 3)], "page_id long, url string, html string, payload string, id long")
+    packed = warc.archive(pages, f"file://{tmp_path}/long", package_bytes=1000)
+    got = sorted(warc.read_packages(packed, f"file://{tmp_path}/long").drop("url").collect())
+    size, digest = len(long.encode()), hashlib.sha1(long.encode()).hexdigest()
+    assert [tuple(r) for r in got[:2]] == [(1, size, digest, "revisit", 2), (2, size, digest, "response", None)]
+
+
+def test_only_ranges_are_read(tmp_path):
+    """A record is found without reading the others."""
     from pyarrow import fs
 
     noise = random.Random(1).randbytes
@@ -87,9 +102,8 @@ def test_only_ranges_are_read():
         lines.append(f"{k} {at} {len(r)}")
         at += len(r)
     raw = warc.zip_stored([(warc.WARC, b"".join(records)), (warc.INDEX, lines[7].encode())], zip64=True)
-    with tempfile.TemporaryDirectory() as folder:
-        (Path(folder) / "a.zip").write_bytes(raw)
-        got = list(warc.read_package(fs.LocalFileSystem(), f"{folder}/a.zip"))
+    (tmp_path / "a.zip").write_bytes(raw)
+    got = list(warc.read_package(fs.LocalFileSystem(), f"{tmp_path}/a.zip"))
     assert [(h["X-Page-Id"], len(b)) for h, b in got] == [("7", 100_000)]
     read = []
     warc.zip_members(lambda a, n: (read.append(n), raw[a : a + n])[1], len(raw))
