@@ -3,7 +3,8 @@
 Each stage takes ``(spark, docs, sf_dir)``. All but the last return the columns of
 ``docs``; what a stage decides, it does: rejected documents and all but one of a group
 go, secrets are masked, and the last stage gives every piece its place in a sequence.
-``run`` writes each stage's rows as Parquet and reads them back as the next one's.
+``run`` writes each stage's rows as Parquet and reads them back as the next one's; what the
+stage has read and written besides is removed then.
 
 ``ORACLE_SQL`` is None: SQL can't express the stages; ``tests/llm`` holds them against
 brute-force versions.
@@ -16,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from loomcat.llm import near_dedup, packing, quality, secrets
-from loomcat.llm.common import materialise, ship, table
+from loomcat.llm.common import discard, discarding, materialise, ship, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -56,5 +57,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with discarding(spark) as kept:
+            done = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            kept.append(done)
+        discard(spark, docs)  # what the stage before has written
+        docs = done
     return docs
