@@ -65,28 +65,58 @@ def retry_at(reason: Column, now: Column, requested: Column) -> Column:
     return F.greatest(F.timestamp_seconds(F.unix_timestamp(now) + minutes * 60), F.coalesce(requested, now))
 
 
-# What the messages of a failed run mean, the most telling first.
-MESSAGES = (
-    (r"robots\.txt (?:fetch|body read) failed", "transient_exhausted"),
-    ("HTTP 403|robots|disallow", "external_block"),
-    ("HTTP (?:404|410)", "endpoint_removed"),
-    (r"timeout|fetch failed|HTTP (?:429|5\d\d)", "transient_exhausted"),
-)
-VAGUE_MESSAGES = (("category|catalog", "config_drift"),)
+# Words of messages, and the cause that they tell.
+CAUSE_WORDS = {
+    "robots_unread": ("robots.txt fetch failed", "robots.txt body read failed"),
+    "barred": ("robots", "disallow"),
+    "exhausted": ("timeout", "fetch failed"),
+    "moved": ("category", "catalog"),
+}
+# The code of each cause, the most telling cause first.
+CAUSE_CODES = {
+    "robots_unread": "transient_exhausted",
+    "barred": "external_block",
+    "gone": "endpoint_removed",
+    "exhausted": "transient_exhausted",
+    "read": "db_read_failed",
+    "write": "db_write_failed",
+    "guard": "coverage_guard",
+    "moved": "config_drift",
+    "unknown": "source_failed",
+}
+
+
+def message_causes(message: Column) -> Column:
+    """What a message tells: by the status numbers that it names after ``http``, and by its words."""
+    low = F.lower(message)
+    numbers = F.transform(F.regexp_extract_all(low, F.lit(r"http ([0-9]{3})"), 1), lambda x: x.cast("int"))
+    named = lambda test: F.exists(numbers, test)
+    by_number = {"barred": named(lambda n: n == 403), "gone": named(lambda n: n.isin(404, 410)), "exhausted": named(lambda n: (n == 429) | n.between(500, 599))}
+    told = lambda cause: functools.reduce(lambda a, w: a | F.contains(low, F.lit(w)), CAUSE_WORDS.get(cause, ()), by_number.get(cause, F.lit(False)))
+    return F.array_compact(F.array(*[F.when(told(cause), cause) for cause in dict.fromkeys([*CAUSE_WORDS, *by_number])]))
 
 
 def exception_code(status: Column, errors: Column, read_failed: Column, write_failed: Column, guarded: Column) -> Column:
-    """Why a run of a source failed; null if it didn't. Clear messages come first, then what
-    the run knows of itself, then vague messages."""
-    meant = lambda table: [F.when(F.exists(errors, lambda e: F.rlike(e, F.lit(f"(?i){pattern}"))), code) for pattern, code in table]
-    flags = [F.when(read_failed, "db_read_failed"), F.when(write_failed, "db_write_failed"), F.when(guarded | (status == "skipped"), "coverage_guard")]
-    return F.when(~status.isin("success", "partial"), F.coalesce(*meant(MESSAGES), *flags, *meant(VAGUE_MESSAGES), F.lit("source_failed")))
+    """Why a run of a source failed; null if it didn't. The causes that its messages tell and
+    those that it knows of itself are one set; the most telling of them decides."""
+    own = {"read": read_failed, "write": write_failed, "guard": guarded | (status == "skipped")}
+    known = F.array_compact(F.array(*[F.when(flag, cause) for cause, flag in own.items()], F.lit("unknown")))
+    causes = F.concat(F.flatten(F.transform(F.array_compact(errors), message_causes)), known)
+    order, codes = (F.array(*map(F.lit, x)) for x in (CAUSE_CODES, CAUSE_CODES.values()))
+    best = F.array_min(F.transform(causes, lambda c: F.array_position(order, c)))
+    return F.when(~status.isin("success", "partial"), F.element_at(codes, best.cast("int")))
+
+
+def pairs(message: Column, name: str) -> Column:
+    """The values of the pairs ``name=value`` in a message, the name in any case, at the beginning of a word."""
+    begins = F.array_remove(F.split(F.regexp_replace(message, f"(?i)(?<![A-Za-z0-9_]){name}=", "\n\u0000"), "[\\s|]"), "")
+    return F.transform(F.filter(begins, lambda w: F.startswith(w, F.lit("\u0000"))), lambda w: F.substring(w, 2, 2**31 - 1))
 
 
 def retry_from(errors: Column) -> Column:
-    """The first usable ``retry_at=`` time of some messages."""
-    times = F.transform(errors, lambda e: F.nullif(F.regexp_extract(e, r"(?i)\bretry_at=([^\s|]+)", 1), F.lit("")).try_cast("timestamp"))
-    return F.get(F.filter(times, lambda t: t.isNotNull()), 0)
+    """The first usable time of the pairs ``retry_at=time`` in some messages."""
+    times = F.transform(F.flatten(F.transform(F.array_compact(errors), lambda e: pairs(e, "retry_at"))), lambda v: v.try_cast("timestamp"))
+    return F.get(F.array_compact(times), 0)
 
 
 def http_class(status: Column) -> Column:

@@ -58,7 +58,12 @@ def strip_html(spark, d):
     return table(spark, d, "pages").select("page_id", F.sha2(text.strip_html(h), 256).alias("text"), text.html_attribute(h, "html", "lang").alias("lang"))
 
 
-@query("x7_safe_message", "SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(text, '(?i)\\b(?:https?|postgres(?:ql)?)://[^\\s<>\"'']+', '[url]', 'g'), '(?i)bearer\\s+[A-Za-z0-9._~+/-]+=*', 'Bearer [hidden]', 'g'), '(?i)([\\w-]*(?:token|password|secret|api[_-]?key))\\s*[=:]\\s*[^\\s,;]+', '\\1=[hidden]', 'g'), 1, 2000) AS message FROM documents")
+@query(
+    "x7_safe_message",
+    r"""SELECT doc_id, substr(regexp_replace(regexp_replace(regexp_replace(text,
+        '(?i)\b(?:https?|postgres|postgresql)://[\p{L}\p{N}\-._~:/?#\[\]@!$&()*+,;=%]+', '[url]', 'g'), '(?i)\b(bearer\s+)[^\s,;]+', '\1[hidden]', 'g'),
+        '(?i)(api[ _-]?key|password|secret|token)([A-Za-z0-9_-]*)\s*[=:]\s*[^,;\s]+', '\1\2=[hidden]', 'g'), 1, 2000) AS message FROM documents""",
+)
 def safe_message(spark, d):
     return table(spark, d, "documents").select("doc_id", text.safe_message(F.col("text")).alias("message"))
 

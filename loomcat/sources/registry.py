@@ -1,20 +1,27 @@
-"""Parsers by key: each turns a frame of raw payloads into a frame of observations."""
+"""Parsers and rules by key, and parsers of payloads."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+import re
+from collections.abc import Iterator
+from json.decoder import scanstring
+from typing import Any
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-Parser = Callable[[DataFrame], DataFrame]
+from ..shipping import ship
 
 
 class ParserRegistry:
+    """What to use for a key: functions of frames, or rules over columns."""
+
     def __init__(self) -> None:
-        self._parsers: dict[str, Parser] = {}
+        self._parsers: dict[str, Any] = {}
 
-    def register(self, key: str, parser: Parser) -> None:
+    def register(self, key: str, parser: Any) -> None:
         if key in self._parsers:
             raise ValueError(f"{key} is registered already")
         self._parsers[key] = parser
@@ -25,7 +32,7 @@ class ParserRegistry:
     def keys(self) -> list[str]:
         return sorted(self._parsers)
 
-    def resolve(self, key: str) -> Parser:
+    def resolve(self, key: str) -> Any:
         if key not in self._parsers:
             raise KeyError(f"no parser {key}; there are {', '.join(self.keys())}")
         return self._parsers[key]
@@ -65,15 +72,75 @@ def rates_per_unit(payload: Column, needed: tuple[str, ...] = ("KRW", "USD", "EU
     return F.when(whole, F.transform_values(rates, lambda _, v: krw / v))
 
 
+_JSON_TOKEN = re.compile(r"[ \t\n\r]*(?:(?P<mark>[{}\[\],:])|(?P<string>\")|(?P<word>-?Infinity|NaN|true|false|null|-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?))")
+
+
+def deep_json(text: str) -> Any:
+    """What a JSON text of any depth holds, read without recursion; ValueError if it is none."""
+    root: list = []
+    stack: list[list | dict] = [root]
+    keys: list[str] = [""]
+    wanted, at = {"value"}, 0
+
+    def put(value: Any) -> None:
+        if isinstance(stack[-1], list):
+            stack[-1].append(value)
+        else:
+            stack[-1][keys[-1]] = value
+
+    def follows() -> set[str]:
+        return {"end"} if len(stack) == 1 else {",", "]" if isinstance(stack[-1], list) else "}"}
+
+    while m := _JSON_TOKEN.match(text, at):
+        at = m.end()
+        mark = m["mark"]
+        if m["string"]:
+            value, at = scanstring(text, at)
+            if "key" in wanted:
+                keys[-1], wanted = value, {":"}
+                continue
+        elif m["word"]:
+            value = json.loads(m["word"])
+        elif mark in ("{", "["):
+            if "value" not in wanted:
+                raise ValueError(f"no JSON at {at}")
+            inner: list | dict = {} if mark == "{" else []
+            put(inner)
+            stack.append(inner)
+            keys.append("")
+            wanted = {"key", "}"} if mark == "{" else {"value", "]"}
+            continue
+        else:
+            if mark not in wanted:
+                raise ValueError(f"no JSON at {at}")
+            if mark in "}]":
+                stack.pop()
+                keys.pop()
+                wanted = follows()
+            else:
+                wanted = {"value"} if mark == ":" or isinstance(stack[-1], list) else {"key"}
+            continue
+        if "value" not in wanted:
+            raise ValueError(f"no JSON at {at}")
+        put(value)
+        wanted = follows()
+    if wanted != {"end"} or text[at:].strip(" \t\n\r"):
+        raise ValueError(f"no JSON at {at}")
+    return root[0]
+
+
+def read_json(text: str) -> Any:
+    try:
+        return json.loads(text)
+    except RecursionError:
+        return deep_json(text)
+
+
 def payload_objects(df: DataFrame, id_: str, payload: str) -> DataFrame:
     """Every object of a JSON payload, however deep, that has id, name and price:
     ``id_, object_id, name, price``. The shape is unknown, so a Pandas function descends. A
-    payload that is no JSON, or nested deeper than a JSON reader can follow, is broken and has no objects."""
-    import json
-    from collections.abc import Iterator
-
-    import pandas as pd
-
+    payload that is no JSON has no objects."""
+    ship(df.sparkSession)
     kind = df.schema[id_].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -92,8 +159,8 @@ def payload_objects(df: DataFrame, id_: str, payload: str) -> DataFrame:
             rows = []
             for i, text in zip(batch["_i"], batch["_p"], strict=True):
                 try:
-                    rows += [(i, *x) for x in found(json.loads(text))] if text else []
-                except (ValueError, RecursionError):
+                    rows += [(i, *x) for x in found(read_json(text))] if text else []
+                except ValueError:
                     continue
             yield pd.DataFrame(rows, columns=[id_, "object_id", "name", "price"])
 
