@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .plans import catalogue, more, page_queries, refresh, scalars  # noqa: F401
+from .plans import catalogue, more, page_queries, refresh, runs, scalars  # noqa: F401
 from .plans.registry import ORACLES, QUERIES
 
 FLAGSHIP = refresh.observed_pricing

@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..functions.text import match_form
-from ..rules import Rule, first_match, unique_match
+from ..rules import Rules, first_match, unique_match
 
 
 @dataclass(frozen=True)
@@ -18,15 +18,18 @@ class Taxonomy:
     """``canonical`` values with their valid subcategories; ``spellings`` of other sources (in
     match form); ``priority`` rules (the first that is met decides) before ``aliases`` (one
     category must be alone); ``subcategories``: ordered rules by category; ``noise``: phrases whose
-    words are no categories; ``foreign``: names of what doesn't belong in the catalogue;
-    ``stronger``: (current, inferred) pairs where the name doesn't count."""
+    words are no categories, though they sound like those in ``noisy``; ``foreign``: names of what doesn't belong in
+    the catalogue; ``stronger``: (current, inferred) pairs where the name doesn't count.
+
+    Rules are a few patterns or a ``Vocabulary`` of any number of words."""
 
     canonical: dict[str, tuple[str, ...]]
     spellings: dict[str, str] = field(default_factory=dict)
-    priority: tuple[Rule, ...] = ()
-    aliases: tuple[Rule, ...] = ()
-    subcategories: dict[str, tuple[Rule, ...]] = field(default_factory=dict)
+    priority: Rules = ()
+    aliases: Rules = ()
+    subcategories: dict[str, Rules] = field(default_factory=dict)
     noise: tuple[str, ...] = ()
+    noisy: tuple[str, ...] = ()
     foreign: str | None = None
     stronger: tuple[tuple[str, str], ...] = ()
 
@@ -69,7 +72,7 @@ def resolve_category(taxonomy: Taxonomy, category: Column, name: Column, trusted
         stronger = stronger | ((current == have) & (inferred == found))
     differs = lambda c: F.coalesce(c != current, F.lit(False))
     with_current = (
-        F.when(noisy & (current == "dresses"), out(F.when(differs(inferred), inferred).otherwise("other"), "category_keyword_noise_override", 0.95))
+        F.when(noisy & current.isin(*taxonomy.noisy), out(F.when(differs(inferred), inferred).otherwise("other"), "category_keyword_noise_override", 0.95))
         .when((current == "other") & named, out(inferred, "category_other_text_fallback", 0.8))
         .when(F.coalesce(stronger, F.lit(False)), kept)
         .when(differs(prior) & ~trusted, out(prior, "category_priority_text_override", 0.9))
@@ -109,7 +112,7 @@ def resolve_subcategory(taxonomy: Taxonomy, category: Column, subcategory: Colum
     )
 
 
-def by_source(rules: tuple[Rule, ...], taxonomy: Taxonomy, kind: Column, tags: Column, title: Column, noise_kinds: tuple[str, ...] = (), broad: dict[str, tuple[Rule, ...]] | None = None, title_rules: tuple[Rule, ...] = ()) -> Column:
+def by_source(rules: Rules, taxonomy: Taxonomy, kind: Column, tags: Column, title: Column, noise_kinds: tuple[str, ...] = (), broad: dict[str, Rules] | None = None, title_rules: Rules = ()) -> Column:
     """The category of a shop's product: by its type unless that says nothing, then its tags,
     then its title (``title_rules`` first). ``broad`` types give way to what their rules find
     in title and tags."""

@@ -11,6 +11,7 @@ from ..functions.text import ascii_word, contains_any, match_form
 from ..functions.urls import path
 
 GENDERS = ("men", "women", "unisex")
+PARTING = "\x1e"
 
 # Words that name an audience; the first of a pair stand as whole words, the
 # second (Korean, which has no word borders here) anywhere in a text.
@@ -110,11 +111,15 @@ def resolve_gender(
        conflict (a stated unisex then stands).
     4. A definite address, then a definite text, then a stated unisex, then either's unisex.
     5. A site default of one gender (unisex only if verified), then a brand's single scope."""
-    both = lambda c: F.concat_ws("\n", c, match_form(c))
     words = F.concat_ws(" ", F.col(name), F.col(category), F.col(subcategory), F.array_join(tags, " "))
     query = F.regexp_extract(F.col(url), r"(\?[^#]*)", 1)
     target = F.when(path(F.col(url)) == "", F.col(url)).otherwise(F.concat(path(F.col(url)), query))
-    formed = df.withColumns({"_words": both(words), "_name": both(F.col(name)), "_tags": both(F.array_join(tags, " ")), "_at": match_form(F.coalesce(F.try_url_decode(target), target)), "_url": both(F.col(url))})
+    texts = {"_words": words, "_name": F.col(name), "_tags": F.array_join(tags, " "), "_url": F.col(url), "_at": F.coalesce(F.try_url_decode(target), target)}
+    # all texts of a row go to the one Python worker that folds them in one piece
+    piece = F.array_join(F.array(*[F.translate(F.coalesce(t, F.lit("")), PARTING, " ") for t in texts.values()]), PARTING)
+    folded = df.withColumns(texts).withColumn("_forms", F.split(match_form(piece), PARTING))
+    form = {t: F.trim(F.get("_forms", k)) for k, t in enumerate(texts)}
+    formed = folded.withColumns({t: form[t] if t == "_at" else F.concat_ws("\n", F.col(t), form[t]) for t in texts})
 
     def without_noise(text: Column) -> Column:
         for pattern in rules.kids_noise:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,27 +19,78 @@ def overlap(a: Column, b: Column) -> Column:
     return F.when(total > 0, both / total).otherwise(F.lit(0.0))
 
 
+SIDES = ("x0", "y0", "x1", "y1")
+
+
+def overlapping(nodes: DataFrame, image: str, limit: float, cell: float = 64.0) -> DataFrame:
+    """``image, a, b``: the pairs ``a < b`` of boxes of an image that overlap by more than ``limit`` (above 0). ``nodes`` has
+    ``image`` and ``node``, a struct with the box's sides that no other box of the image equals.
+
+    Boxes meet by the cell of a grid in which their intersection begins. Grids of cells twice
+    as wide at each level take boxes of any size: one lies in two cells of its level each way at most, and as
+    boxes that overlap by ``limit`` differ by no more than that in width and height, it needs a few levels only."""
+    deep = math.floor(math.log2(1 / limit)) + 1
+
+    def axis(lo: str, hi: str) -> tuple[Column, Column]:
+        """The level of a box along an axis, and its cells there and at the levels above that matter."""
+        low, high = F.col(f"node.{lo}").cast("double"), F.col(f"node.{hi}").cast("double")
+        own = F.greatest(F.ceil(F.log2((high - low) / cell)), F.lit(0)).cast("int")
+        at = lambda level: F.transform(F.sequence(F.floor(low / _width(level, cell)), F.floor(high / _width(level, cell))), lambda c: F.struct(level.alias("level"), c.alias("cell")))
+        return own, F.flatten(F.transform(F.sequence(own, own + deep), at))
+
+    (ox, xs), (oy, ys) = axis("x0", "x1"), axis("y0", "y1")
+    dealt = nodes.select(image, "node", ox.alias("ox"), oy.alias("oy"), F.explode(xs).alias("x"), ys.alias("_ys")).withColumn("y", F.explode("_ys"))
+    side = lambda name: dealt.select(image, "x", "y", F.struct("node", "ox", "oy").alias(name))
+
+    def meets(axis_: str, lo: str) -> Column:
+        level = F.col(f"{axis_}.level")
+        begin = F.greatest(F.col(f"a.node.{lo}"), F.col(f"b.node.{lo}")).cast("double")
+        return (level == F.greatest(F.col(f"a.o{axis_}"), F.col(f"b.o{axis_}"))) & (F.col(f"{axis_}.cell") == F.floor(begin / _width(level, cell)))
+
+    met = side("a").join(side("b"), [image, "x", "y"]).filter((F.col("a.node") < F.col("b.node")) & meets("x", "x0") & meets("y", "y0"))
+    return met.filter(overlap(F.col("a.node"), F.col("b.node")) > limit).select(image, F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+
+
+def _width(level: Column, cell: float) -> Column:
+    return F.lit(cell) * F.pow(F.lit(2.0), level)
+
+
+def _has_area() -> Column:
+    return (F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))
+
+
+def _pair_counts(boxes: DataFrame, key: str, limit: float) -> DataFrame:
+    """``key, k``: how many pairs of rows of a key overlap. Equal boxes are counted, not paired."""
+    nodes = boxes.filter(_has_area()).groupBy(key, *SIDES).agg(F.count("*").alias("n"))
+    nodes = materialise(nodes.select(key, F.struct(*SIDES, "n").alias("node")), "boxes")
+    product = lambda x, y: x.cast("decimal(20,0)") * y
+    among = nodes.select(key, (product(F.col("node.n"), F.col("node.n") - 1) / 2).alias("k"))
+    between = overlapping(nodes, key, limit).select(key, product(F.col("a.n"), F.col("b.n")).alias("k"))
+    return among.union(between).groupBy(key).agg(F.sum("k").alias("k")).filter("k > 0")
+
+
+def overlap_counts(boxes: DataFrame, image: str, limit: float) -> DataFrame:
+    """``image, heavy``: how many pairs of an image's rows with different ``box`` overlap by more than ``limit`` (above 0, below 1):
+    all pairs less those of one ``box``."""
+    all_ = _pair_counts(boxes, image, limit)
+    same = _pair_counts(boxes.withColumn("_one", F.struct(F.col(image).alias("image"), "box")), "_one", limit)
+    same = same.groupBy(F.col("_one.image").alias(image)).agg(F.sum("k").alias("_same"))
+    return all_.join(same, image, "left").select(image, (F.col("k") - F.coalesce("_same", F.lit(0))).cast("long").alias("heavy")).filter("heavy > 0")
+
+
 def suppress(boxes: DataFrame, image: str, limit: float, cell: float = 64.0) -> DataFrame:
     """``image, box`` of greedy suppression: of boxes of an image that overlap by more than
     ``limit`` (above 0) the one with the higher score stays (ties: the first ``box``).
 
-    Of equal boxes the best goes on alone. The others meet by the grid cell in which their
-    intersection begins, so an image of any size is dealt out by its cells. Then rounds: boxes
+    Of equal boxes the best goes on alone. The others meet as in ``overlapping``. Then rounds: boxes
     that no better one overlaps stay, those that they overlap go. Each round settles at
     least the best box that is open, so they end."""
-    side = ["x0", "y0", "x1", "y1"]
     best = F.min(F.struct((-F.col("score")).alias("order"), "box"))
-    has_area = (F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))
-    flat = boxes.filter(~has_area).select(image, "box")  # these overlap nothing, not even equal ones
+    flat = boxes.filter(~_has_area()).select(image, "box")  # these overlap nothing, not even equal ones
     # a node is unique: its place in the order, and the place that no other node of the image has
-    nodes = boxes.filter(has_area).groupBy(image, *side).agg(best.alias("best")).select(image, F.struct("best.order", "best.box", *side).alias("node"))
+    nodes = boxes.filter(_has_area()).groupBy(image, *SIDES).agg(best.alias("best")).select(image, F.struct("best.order", "best.box", *SIDES).alias("node"))
     nodes = materialise(nodes, "boxes")
-    span = lambda lo, hi: F.sequence(F.floor(F.col(f"node.{lo}") / cell), F.floor(F.col(f"node.{hi}") / cell))
-    dealt = nodes.withColumn("cx", F.explode(span("x0", "x1"))).withColumn("cy", F.explode(span("y0", "y1")))
-    a, b = (dealt.withColumnRenamed("node", name) for name in ("win", "lose"))
-    begins = lambda c, lo: F.col(c) == F.floor(F.greatest(F.col(f"win.{lo}"), F.col(f"lose.{lo}")) / cell)
-    over = a.join(b, [image, "cx", "cy"]).filter((F.col("win") < F.col("lose")) & begins("cx", "x0") & begins("cy", "y0") & (overlap(F.col("win"), F.col("lose")) > limit))
-    edges = materialise(over.select(image, "win", "lose"), "overlaps")
+    edges = materialise(overlapping(nodes, image, limit, cell).select(image, F.col("a").alias("win"), F.col("b").alias("lose")), "overlaps")
     out = nodes
     while not edges.isEmpty():
         beaten = edges.select(image, F.col("lose").alias("win")).distinct()

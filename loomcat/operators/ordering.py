@@ -44,6 +44,25 @@ def range_numbers(df: DataFrame, *order: Column, name: str = "range", ranges: in
     return _ranged(df, ranges, *order).withColumnRenamed("_range", name).drop("_row")
 
 
+def placed_in(df: DataFrame, group: list[str], *order: Column, name: str = "place", ranges: int = 64) -> DataFrame:
+    """``df`` with ``name``: each row's place, from 1 on, in its group by ``order``, which has no ties within one. Places
+    among all rows less where the group begins, so a group of any size is many tasks' work."""
+    rows = materialise(placed(df.withColumn("_group", F.struct(*group)), F.asc("_group"), *order, name="_all", ranges=ranges), "placed")
+    first = rows.groupBy("_group").agg(F.min("_all").alias("_first"))
+    return rows.join(first, "_group").withColumn(name, F.col("_all") - F.col("_first") + 1).drop("_group", "_all", "_first")
+
+
+def carried(df: DataFrame, value: Column, name: str, *order: Column, ranges: int = 256) -> DataFrame:
+    """``df`` with ``name``: the last ``value`` that is not null, of this row or those before it by ``order``. Ranges of
+    rows carry it within; between them goes one value a range."""
+    rows = _ranged(df.withColumn("_value", value), ranges, *order)
+    ends = rows.groupBy("_range").agg(F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col("_row"))).alias("_end"))
+    before = F.last("_end", ignorenulls=True).over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    within = F.last("_value", ignorenulls=True).over(Window.partitionBy("_range").orderBy("_row"))
+    joined = rows.join(F.broadcast(ends.select("_range", before.alias("_before"))), "_range")  # at most `ranges` values
+    return joined.withColumn(name, F.coalesce(within, "_before")).drop("_range", "_row", "_value", "_before")
+
+
 def _next_starts(sizes: np.ndarray, budget: int) -> tuple[np.ndarray, np.ndarray]:
     """The sums of sizes up to each row, and for a chunk that starts at a row, where the next one starts."""
     upto = np.cumsum(sizes)

@@ -7,6 +7,8 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ordering import placed_in
+
 # From so many failures in a row on, a source rests for so many hours.
 BACKOFF_HOURS = ((7, 336), (6, 168), (5, 72), (4, 24), (3, 12))
 
@@ -40,8 +42,8 @@ def resting(streaks: DataFrame, now: Column) -> DataFrame:
 
 
 def round_robin(df: DataFrame, group: str, *order: Column) -> DataFrame:
-    """With ``turn``: the row's place in its group; rows of one turn come before the next."""
-    return df.withColumn("turn", F.row_number().over(Window.partitionBy(group).orderBy(*order)))
+    """With ``turn``: the row's place in its group (``order`` has no ties); rows of one turn come before the next."""
+    return placed_in(df, [group], *order, name="turn")
 
 
 def diverse_top(df: DataFrame, brand: str, category: str, k: int, *order: Column) -> DataFrame:

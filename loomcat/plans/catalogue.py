@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import money, text, urls
@@ -13,6 +12,7 @@ from ..operators import listing as L
 from ..operators import matching as M
 from ..operators import quality_gates as G
 from ..operators.category import Taxonomy, resolve_category, resolve_subcategory
+from ..operators.ordering import placed_in
 from ..rules import Rule, first_match, unique_match
 from .frames import LISTING, OFFERS, RUNS, STORED, listing, offers, runs, stored
 from .registry import query, table
@@ -431,11 +431,11 @@ def conflict_check(spark, d):
     return table(spark, d, "part").groupBy("p_name").agg(t.alias("types"), F.count_distinct("p_brand").alias("brands"), (t > 1).alias("conflict"))
 
 
-@query("o5_image_ranking", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, value DESC, event_id)::INT AS place FROM events")
+@query("o5_image_ranking", "SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE event_type WHEN 'purchase' THEN 0 WHEN 'click' THEN 1 ELSE 2 END, value DESC, event_id) AS place FROM events")
 def image_ranking(spark, d):
     tier = F.when(F.col("event_type") == "purchase", 0).when(F.col("event_type") == "click", 1).otherwise(2)
-    w = Window.partitionBy("user_id").orderBy(tier, F.desc("value"), "event_id")
-    return table(spark, d, "events").withColumn("place", F.row_number().over(w)).select("user_id", "event_id", "place")
+    e = table(spark, d, "events").select("user_id", "event_id", "value", tier.alias("tier"))
+    return placed_in(e, ["user_id"], F.asc("tier"), F.desc("value"), F.asc("event_id")).select("user_id", "event_id", "place")
 
 
 # ---- composites ----

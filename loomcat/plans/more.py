@@ -181,9 +181,7 @@ def boxes(spark, d):
 
 @query("x31_image_overlap", f"WITH {BOXES}, o AS (SELECT a.image, {SHARED.format('a', 'b')} AS i FROM b a JOIN b ON a.image = b.image AND a.box < b.box) SELECT image, count(*) AS heavy FROM o WHERE i / (20 - i) > 0.5 GROUP BY 1")
 def image_overlap(spark, d):
-    b = boxes(spark, d).select("image", "box", F.struct("x0", "y0", "x1", "y1").alias("at"))
-    pairs = b.alias("a").join(b.alias("b"), (F.col("a.image") == F.col("b.image")) & (F.col("a.box") < F.col("b.box")))
-    return pairs.filter(images.overlap(F.col("a.at"), F.col("b.at")) > 0.5).groupBy(F.col("a.image").alias("image")).agg(F.count("*").alias("heavy"))
+    return images.overlap_counts(boxes(spark, d), "image", 0.5)
 
 
 @query(

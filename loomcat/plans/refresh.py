@@ -281,7 +281,7 @@ def run_health(spark, d):
     return health(runs(spark, d), "source")
 
 
-@query("o3_round_robin", f"WITH {STORED} SELECT id, row_number() OVER (PARTITION BY brand ORDER BY last_seen_at, id)::INT AS turn FROM stored")
+@query("o3_round_robin", f"WITH {STORED} SELECT id, row_number() OVER (PARTITION BY brand ORDER BY last_seen_at, id) AS turn FROM stored")
 def round_robin(spark, d):
     return schedule.round_robin(stored(spark, d), "brand", F.col("last_seen_at"), F.col("id")).select("id", "turn")
 

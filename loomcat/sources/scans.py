@@ -1,14 +1,10 @@
-"""Listing scans that go on where they stopped, and files that appear whole or not at all."""
+"""Listing scans that go on where they stopped."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..scratch import file_path, remove
-
 
 def scan_slice(pages: DataFrame, cursors: DataFrame, budget: int) -> tuple[DataFrame, DataFrame]:
     """The next ``budget`` pages of every site and the cursors after them.
@@ -36,23 +32,3 @@ def first_places(df: DataFrame, group: str, most: int, *order: Column) -> DataFr
     from pyspark.sql import Window
 
     return df.withColumn("_place", F.row_number().over(Window.partitionBy(group).orderBy(*order))).filter(F.col("_place") <= most)
-
-
-def write_gated(df: DataFrame, path: str, gates: dict[str, Column], file_format: str = "json") -> DataFrame:
-    """Write the rows that pass all ``gates`` as ``path``; ``gate, rejected`` counts those that
-    fail, by the first gate. The folder is renamed when it is whole, so a reader sees the old
-    table or the new one; if no row passes, nothing is written and the old one stays."""
-    spark = df.sparkSession
-    failed = F.get(F.array_compact(F.array(*[F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in gates.items()])), 0)
-    marked = df.withColumn("_gate", failed)
-    good = marked.filter("_gate is null").drop("_gate")
-    if not good.isEmpty():
-        new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
-        good.write.format(file_format).save(new)
-        target = file_path(spark, path)
-        store = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        if store.exists(target):
-            store.rename(target, file_path(spark, old))
-        store.rename(file_path(spark, new), target)
-        remove(spark, old)
-    return marked.filter("_gate is not null").groupBy(F.col("_gate").alias("gate")).agg(F.count("*").alias("rejected"))

@@ -15,6 +15,11 @@ them with the same function, where a lease that ends without a word releases the
 
 A command whose token doesn't hold the claim, or comes after its lease, is ``lost_claim``
 and changes nothing; one of an old revision is ``stale``.
+
+A worker that wants ``n`` candidates reads the queue's own state (``stream_states`` or
+``states``), takes the oldest open ones over all keys (``next_claims``) and sends their claims as commands; of
+two workers that want the same one the queue gives it to the first. What a worker has claimed but not begun
+when its time is up it lets go (``releases``).
 """
 
 from __future__ import annotations
@@ -23,13 +28,14 @@ from collections.abc import Iterator
 from dataclasses import astuple, dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor
 
 # What can be claimed, by status.
 OPEN = ("discovered", "ready", "failed")
 COMMANDS = "id long, at timestamp, seq long, kind string, revision long, token string, outcome string, matched boolean"
+STATE = "status string, revision long, prepared long, token string, lease_until long, attempts int, since long"
 RESULTS = "id long, seq long, outcome string, status string, revision long, attempts int"
 
 
@@ -41,6 +47,7 @@ class Candidate:
     token: str = ""
     lease_until: int = 0  # milliseconds
     attempts: int = 0
+    since: int = 0  # milliseconds, when the newest revision was observed
 
     def open_status(self) -> str:
         return "ready" if self.prepared == self.revision >= 0 else "discovered"
@@ -54,7 +61,7 @@ def apply(c: Candidate, now: int, kind: str, revision: int, token: str, outcome:
     if kind == "observe":
         if revision <= c.revision:
             return "unchanged" if revision == c.revision else "stale"
-        c.revision, c.attempts = revision, 0
+        c.revision, c.attempts, c.since = revision, 0, now
         c.let_go("discovered" if matched else "brand_unmatched")
         return "observed"
     if c.revision < 0:
@@ -122,8 +129,60 @@ def replay(commands: DataFrame, lease_seconds: int = 14_400, most: int = 3) -> D
                 out.append((i, seq, said, c.status, c.revision, c.attempts))
             yield pd.DataFrame(out, columns=["id", "seq", "outcome", "status", "revision", "attempts"])
 
+    return _by_candidate(commands).mapInPandas(run, RESULTS)
+
+
+def _by_candidate(commands: DataFrame) -> DataFrame:
     known = commands.filter("id is not null and at is not null").select(*[x.split()[0] for x in COMMANDS.split(", ")])
-    return known.repartition("id").sortWithinPartitions("id", "at", "seq").mapInPandas(run, RESULTS)
+    return known.repartition("id").sortWithinPartitions("id", "at", "seq")
+
+
+def states(commands: DataFrame, lease_seconds: int = 14_400, most: int = 3) -> DataFrame:
+    """``id`` and ``STATE`` of every candidate after all commands."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["id", *[x.split()[0] for x in STATE.split(", ")]]
+        last, c = None, Candidate()
+        for batch in batches:
+            out = []
+            for i, _, *command in _columns(batch):
+                if i != last:
+                    out += [(last, *astuple(c))] if last is not None else []
+                    last, c = i, Candidate()
+                apply(c, *command, lease_seconds * 1000, most)
+            yield pd.DataFrame(out, columns=names)
+        if last is not None:
+            yield pd.DataFrame([(last, *astuple(c))], columns=names)
+
+    return _by_candidate(commands).mapInPandas(run, f"id long, {STATE}")
+
+
+def stream_states(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``id`` and ``STATE`` of every candidate of a stream of ``serve``, as of its last batch, read from its state store."""
+    read = spark.read.format("statestore").option("stateVarName", "candidate").load(checkpoint)
+    return read.select("key.id", "value.*")
+
+
+def next_claims(held: DataFrame, n: int, now: Column, most: int = 3) -> DataFrame:
+    """The ``n`` candidates that were observed first (ties: by id) of those that can be claimed at
+    ``now``: open, or with a lease that has ended, and not tried ``most`` times yet. The best of every
+    task meet in one, ``n`` a task."""
+    at = F.unix_millis(now)
+    free = F.col("status").isin(*OPEN) | ((F.col("token") != "") & (F.col("lease_until") <= at))
+    return held.filter(free & (F.col("attempts") < most)).orderBy("since", "id").limit(n).select("id", "revision", "since")
+
+
+def claim_commands(chosen: DataFrame, token: str, now: Column, first_seq: int) -> DataFrame:
+    """The commands by which a worker claims ``chosen``."""
+    none = F.lit(None).cast("string")
+    order = F.row_number().over(Window.orderBy("since", "id")) - 1  # as few rows as a worker asks for
+    return chosen.select("id", now.alias("at"), (order + first_seq).cast("long").alias("seq"), F.lit("claim").alias("kind"), F.col("revision").cast("long"), F.lit(token).alias("token"), none.alias("outcome"), F.lit(None).cast("boolean").alias("matched"))
+
+
+def releases(held: DataFrame, token: str, begun: DataFrame, now: Column, first_seq: int) -> DataFrame:
+    """The commands by which a worker lets go what it holds and has not begun (``begun`` has ``id``)."""
+    mine = held.filter((F.col("token") == token) & (F.col("lease_until") > F.unix_millis(now))).join(begun.select("id"), "id", "left_anti")
+    return claim_commands(mine, token, now, first_seq).withColumns({"kind": F.lit("finish"), "outcome": F.lit("release")})
 
 
 class QueueProcessor(StatefulProcessor):
@@ -134,7 +193,7 @@ class QueueProcessor(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.state = handle.getValueState("candidate", "status string, revision long, prepared long, token string, lease_until long, attempts int")
+        self.state = handle.getValueState("candidate", STATE)
 
     def _row(self, key: tuple, seq: int, said: str, c: Candidate) -> pd.DataFrame:
         return pd.DataFrame({"id": [key[0]], "seq": [seq], "outcome": [said], "status": [c.status], "revision": [c.revision], "attempts": [c.attempts]})

@@ -1,12 +1,15 @@
 """Ladders and price texts against cases worked out by hand."""
 
 import json
+import random
 
 import pytest
+from loomcat.functions.text import ascii_word
 from loomcat.operators.category import Taxonomy, by_source, resolve_category, resolve_subcategory
 from loomcat.operators.gender import SiteRules, clean_genders, resolve_gender
-from loomcat.rules import Rule
+from loomcat.rules import Rule, all_matches, first_match, unique_match
 from loomcat.sources import price_text, shopify
+from loomcat.vocabulary import Entry, Vocabulary
 from pyspark.sql import functions as F
 
 KINDS = "k long, gender array<string>, gender_source string, name string, category string, subcategory string, tags array<string>, product_url string, scope array<string>"
@@ -133,6 +136,7 @@ TAXONOMY = Taxonomy(
     aliases=(Rule("tops", WORD("shirt", "tee")), Rule("dresses", WORD("dress", "dresses")), Rule("underwear", WORD("brief")), Rule("jewelry", WORD("ring"))),
     subcategories={"tops": (Rule("t-shirt", WORD("tee", "t shirt")), Rule("shirt", WORD("shirt"))), "jewelry": (Rule("ring", WORD("ring")),)},
     noise=(r"\bdress[\s_-]+blues?\b",),
+    noisy=("dresses",),
     foreign="(?i)shipping",
     stronger=(("swimwear", "underwear"),),
 )
@@ -158,3 +162,38 @@ def test_subcategories_and_sources(spark):
     df = spark.createDataFrame([(k, *c[:3]) for k, c in enumerate(sources)], "k long, kind string, tags array<string>, title string")
     column = by_source(TAXONOMY.aliases, TAXONOMY, F.col("kind"), F.col("tags"), F.col("title"), ("all",), {"dresses": (Rule("tops", "shirt"),)}, (Rule("jewelry", "chain$"),))
     assert [r.c for r in df.select("k", column.alias("c")).orderBy("k").collect()] == [c[3] for c in sources]
+
+
+def test_a_vocabulary_finds_what_rules_find(spark):
+    """A table of 1,000 words against the compiled rules of the same words, on random texts."""
+    r = random.Random(3)
+    syllables = ["ta", "no", "ri", "coat", "be", "lu", "ne", "shirt", "so", "ka"]
+    words = sorted({"".join(r.choice(syllables) for _ in range(r.randint(1, 4))) for _ in range(1400)} | {f"{a} {b}" for a in syllables for b in syllables[:3]})[:1000]
+    labels = [f"l{k % 12}" for k in range(12)]
+    entries = [Entry(label, tuple(w for k, w in enumerate(words) if k % 12 == j)) for j, label in enumerate(labels)]
+    rules = [Rule(e.label, "(?i)" + ascii_word("|".join(sorted(e.words, key=len, reverse=True)))) for e in entries]
+    bits = [*words[:300], "x", "COAT", "coats", "é", "9", ".", "漢字", "tano1"]
+    texts = [r.choice(["", " ", "."]).join(r.choice(bits) + r.choice([" ", " ", "-", ""]) for _ in range(r.randint(0, 5))) for _ in range(300)] + ["", None]
+    v, plain = Vocabulary(entries), lambda t: F.regexp_replace(F.translate(t, "_-", "  "), r"\s+", " ")
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    got = df.select(first_match(v, F.col("t")), first_match(rules, plain(F.col("t"))), unique_match(v, F.col("t")), unique_match(rules, plain(F.col("t"))), all_matches(v, F.col("t")), all_matches(rules, plain(F.col("t")))).collect()
+    assert sum(r[0] is not None for r in got) > 100 and sum(r[2] is not None for r in got) > 20
+    assert [(r[0], r[2], r[4]) for r in got] == [(r[1], r[3], r[5]) for r in got]
+
+
+def test_entries_of_a_vocabulary(spark):
+    v = Vocabulary([Entry("bottoms", ("short", "shorts", "cargo"), ("바지",), ("sleeve", "-sleeves")), Entry("tops", ("t-shirt", "tank top")), Entry("accessories", ("tie",), (), ("dye",))])
+    cases = {"Short Sleeve T_SHIRT": ["tops"], "Short-sleeve shorts": ["bottoms"], "shortsleeve": [], "면바지 tank  top": ["bottoms", "tops"], "Tie dye cargo": ["bottoms"], "tie-dye": [], "TIE": ["accessories"], "necktie": [], "": [], None: []}
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert [r[0] for r in df.select(v.labels(F.col("t"))).collect()] == list(cases.values())
+    assert df.select(first_match(Vocabulary([]), F.col("t"), F.lit("none"))).first()[0] == "none"
+    with pytest.raises(ValueError):
+        Vocabulary([Entry("x", (" ",))])
+
+
+def test_a_taxonomy_takes_vocabularies(spark):
+    nouns = Vocabulary([Entry("tops", ("shirt", "shirts", "tee")), Entry("jewelry", ("ring",)), Entry("underwear", ("brief",)), Entry("dresses", ("dress",))])
+    taxonomy = Taxonomy(canonical=TAXONOMY.canonical, spellings=TAXONOMY.spellings, aliases=nouns, subcategories={"tops": Vocabulary([Entry("t-shirt", ("tee",)), Entry("shirt", ("shirt",))])})
+    df = spark.createDataFrame([("", "Blue shirt", "x"), ("SALE", "Ring shirt", "x"), ("other", "Ring", "x"), ("tops", "Ring", "tee shirt")], "category string, name string, t string")
+    got = df.select(resolve_category(taxonomy, F.col("category"), F.col("name")).alias("c"), resolve_subcategory(taxonomy, F.lit("tops"), F.lit(""), F.col("t")).alias("s")).collect()
+    assert [(r.c.value, r.c.reason, r.s.value) for r in got] == [("tops", "category_missing_text_fallback", None), ("other", "category_unresolved_other_fallback", None), ("jewelry", "category_other_text_fallback", None), ("jewelry", "category_text_conflict", "t-shirt")]

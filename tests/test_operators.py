@@ -6,7 +6,7 @@ from loomcat.functions import money, numbers, text, urls
 from loomcat.operators import images, matching, ordering, quality_gates, repair, schedule
 from loomcat.operators import listing as L
 from loomcat.rules import Rule, all_matches, first_match, unique_match
-from loomcat.sources import payloads, registry, scans
+from loomcat.sources import gated, payloads, registry, scans
 from pyspark.sql import functions as F
 
 
@@ -299,16 +299,69 @@ def test_scans_go_on_where_they_stopped(spark):
         assert sorted((c, p) for t, c, p in own if t < 2) == every and sorted((c, p) for t, c, p in own if t == 2) == every[:4]
 
 
-def test_gated_files_appear_whole(spark, tmp_path):
-    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "k long, price double")
+def test_boxes_of_any_size(spark):
+    """Sizes from a thousandth to ten millions, two axes apart, copies: counts and pairs as over all pairs, few rows a box."""
+    r = random.Random(9)
+    rows = []
+    for k in range(220):
+        w, h = (10 ** r.uniform(-3, 7) for _ in "xy")
+        x, y = r.uniform(-w, w), r.uniform(-h, h)
+        rows.append((k % 2, k, r.random(), x, y, x + w, y + h))
+        for _ in range(r.randrange(3)):
+            dx, dy, sx, sy = (r.uniform(0, 0.4) for _ in range(4))
+            rows.append((k % 2, 1000 + len(rows), r.random(), x + dx * w, y + dy * h, x + dx * w + w * (1 + sx), y + dy * h + h * (1 - sy)))
+    rows += [(0, 5000 + k, 0.5, *rows[3][3:]) for k in range(40)] + [(0, 6000, 0.5, 1.0, 1.0, 1.0, 5.0)]
+
+    def iou(a, b):
+        w, h = (max(0.0, min(a[k + 2], b[k + 2]) - max(a[k], b[k])) for k in (3, 4))
+        area = [(c[5] - c[3]) * (c[6] - c[4]) for c in (a, b)]
+        return w * h / (sum(area) - w * h) if sum(area) > w * h else 0.0
+
+    df = spark.createDataFrame(rows, "image long, box long, score double, x0 double, y0 double, x1 double, y1 double")
+    for limit in (0.5, 0.12):
+        heavy = {i: sum(iou(a, b) > limit for a in rows for b in rows if a[0] == b[0] == i and a[1] < b[1]) for i in (0, 1)}
+        assert min(heavy.values()) > 20 and {x.image: x.heavy for x in images.overlap_counts(df, "image", limit).collect()} == heavy
+    kept = []
+    for b in sorted(rows, key=lambda b: (-b[2], b[1])):
+        if all(k[0] != b[0] or iou(k, b) <= 0.5 for k in kept):
+            kept.append(b)
+    assert sorted(map(tuple, images.suppress(df, "image", 0.5).collect())) == sorted(b[:2] for b in kept)
+    assert images.overlap_counts(df.limit(0), "image", 0.5).count() == 0
+
+
+def test_places_in_groups(spark):
+    r = random.Random(1)
+    rows = [(k, r.choice(["a", "a", "a", "b", None]), r.randrange(50)) for k in range(1500)]
+    df = spark.createDataFrame(rows, "k long, g string, v long").repartition(5)
+    wanted = {}
+    for group in ("a", "b", None):
+        for place, row in enumerate(sorted((x for x in rows if x[1] == group), key=lambda x: (-x[2], x[0])), 1):
+            wanted[row[0]] = place
+    assert {x.k: x.place for x in ordering.placed_in(df, ["g"], F.desc("v"), F.asc("k"), ranges=16).collect()} == wanted
+
+
+def test_gated_tables_appear_whole(spark, tmp_path):
+    df = spark.createDataFrame([(1, 5.0), (2, -1.0), (3, None)], "k long, price double").repartition(3)
     gates = {"price": F.col("price") > 0, "key": F.col("k") < 3}
     path = f"file://{tmp_path}/out"
-    assert [tuple(r) for r in scans.write_gated(df, path, gates).collect()] == [("price", 2)]
-    assert [r.k for r in spark.read.json(path).collect()] == [1]
-    scans.write_gated(df.withColumn("price", F.lit(-1.0)), path, gates)
-    assert [r.k for r in spark.read.json(path).collect()] == [1]  # nothing passed, so the old file stays
-    scans.write_gated(df.withColumn("k", F.col("k") + 1), path, {"price": F.col("price") > 0})
-    assert [r.k for r in spark.read.json(path).collect()] == [2] and [p.name for p in tmp_path.iterdir() if not p.name.startswith(".")] == ["out"]
+    now = lambda: sorted(r.k for r in gated.published(spark, path).collect())
+    with pytest.raises(FileNotFoundError):
+        gated.published(spark, path)
+    assert [tuple(r) for r in gated.write_gated(df, path, gates).collect()] == [("price", 2)]
+    assert now() == [1]
+    assert [tuple(r) for r in gated.write_gated(df.withColumn("price", F.lit(-1.0)), path, gates).collect()] == [("price", 3)]
+    assert now() == [1]  # nothing passed, so the old table stays
+    before = gated.published(spark, path)
+    gated.write_gated(df.withColumn("k", F.col("k") + 1), path, {"price": F.col("price") > 0})
+    assert now() == [2] and [r.k for r in before.collect()] == [1]  # who reads the old table goes on reading it
+    with pytest.raises(Exception, match="DIVIDE_BY_ZERO|raise_error|broken"):
+        gated.write_gated(df.withColumn("price", F.when(F.col("k") == 3, F.raise_error(F.lit("broken")).cast("double")).otherwise(F.lit(1.0))), path, {"price": F.col("price") > 0})
+    assert now() == [2]  # a write that failed has published nothing
+    gated.forget(path, keep=1)
+    assert now() == [2] and len(list((tmp_path / "out" / "data").glob("*.parquet"))) == 1
+    assert gated.write_gated(df.limit(0), path, gates).count() == 0 and now() == [2]
+    with pytest.raises(ValueError, match="no store"):
+        gated.write_gated(df, "ftp://host/x", gates)
 
 
 def test_partners_without_pairs(spark):

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from loomcat.streaming import candidates, queue
+from loomcat.streaming import candidates, listing_source, queue
 from pyspark.sql import functions as F
 
 SCHEMA = "user_id long, ts timestamp, event_id long, event_type string"
@@ -110,3 +110,85 @@ def test_queue_stream_agrees_and_releases(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
     assert sorted(r[:3] for r in out if 0 <= r[0] < 90) == [(k, c[7], c[8]) for k, c in enumerate(COMMANDS)]
     assert (-1, "expired", "discovered", 8) in out
+
+
+def test_claims_over_all_keys(spark, tmp_path):
+    """Two workers that ask at once, from the stream's own state, against a plain simulation."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    folder, out = f"file://{tmp_path}", []
+    observed = [(k, at((7 * k) % 13), k, "observe", 1, None, None, k % 5 != 0) for k in range(30)]
+    early = [(3, at(14), 100, "claim", None, "z", None, None), (4, at(14), 101, "claim", None, "z", None, None), (4, at(15), 102, "finish", None, "z", "retry", None)]
+    now, lease = F.lit(at(20)).cast("timestamp"), 3600
+
+    def put(name, rows):
+        (rows if hasattr(rows, "write") else spark.createDataFrame(rows, queue.COMMANDS)).select(*[x.split()[0] for x in queue.COMMANDS.split(", ")]).coalesce(1).write.parquet(f"{folder}/in/{name}")
+
+    def serve():
+        stream = spark.readStream.schema(queue.COMMANDS).option("recursiveFileLookup", "true").parquet(f"{folder}/in")
+        run(queue.serve(stream, lease, most=2), folder, "update", lambda df, _: out.extend((r.seq, r.id, r.outcome) for r in df.collect() if r.seq >= 0))
+
+    try:
+        put("0", observed + early)
+        serve()
+        held = queue.stream_states(spark, f"{folder}/checkpoint")
+        wanted = sorted((at((7 * k) % 13), k) for k in range(30) if k % 5)  # the lease of 3 has ended, 4 has failed once
+        batch = {r.id: tuple(r) for r in queue.states(spark.createDataFrame(observed + early, queue.COMMANDS), lease, most=2).collect()}
+        assert {r.id: tuple(r) for r in held.select("id", *[x.split()[0] for x in queue.STATE.split(", ")]).collect()} == batch
+        ask = lambda n: queue.next_claims(held, n, now, most=2)
+        assert [r.id for r in ask(10).collect()] == [k for _, k in wanted[:10]]
+        a, b = (queue.claim_commands(ask(n), token, now, seq) for n, token, seq in ((6, "a", 200), (9, "b", 300)))
+        put("1", a.unionByName(b))
+        out.clear()
+        serve()
+        assert sorted((i, said) for seq, i, said in out if seq < 300) == sorted((k, "claimed") for _, k in wanted[:6])
+        assert sorted((i, said) for seq, i, said in out if seq >= 300) == sorted([(k, "not_open") for _, k in wanted[:6]] + [(k, "claimed") for _, k in wanted[6:9]])
+        held = queue.stream_states(spark, f"{folder}/checkpoint")
+        begun = spark.createDataFrame([(k,) for _, k in wanted[:2]], "id long")
+        put("2", queue.releases(held, "a", begun, F.lit(at(20) + dt.timedelta(minutes=5)).cast("timestamp"), 400))
+        out.clear()
+        serve()
+        assert sorted((i, said) for _, i, said in out) == sorted((k, "release") for _, k in wanted[2:6])
+        held = queue.stream_states(spark, f"{folder}/checkpoint")
+        assert [r.id for r in queue.next_claims(held, 5, now, most=2).collect()] == [k for _, k in wanted[2:6] + wanted[9:10]]
+    finally:
+        spark.conf.unset("spark.sql.streaming.stateStore.providerClass")
+
+
+def test_a_listing_as_a_stream(spark, tmp_path):
+    """Stopped and started again after every slice: no page is lost or repeated; changed categories start over; a degraded cycle is not final."""
+    folder = f"file://{tmp_path}"
+
+    def plan(name, **sites):
+        spark.createDataFrame([(s, c, n) for s, categories in sites.items() for c, n in enumerate(categories)], "site string, category_index int, pages int").coalesce(1).write.mode("overwrite").parquet(f"{folder}/plan")
+
+    missing = {("b", 1, 2)}
+    pages = [(s, c, p, f"{s}{c}-{p}") for s in "abc" for c in range(4) for p in range(1, 8) if (s, c, p) not in missing]
+    spark.createDataFrame(pages, "site string, category_index int, page int, payload string").repartition(3).write.parquet(f"{folder}/pages")
+    rows, states = [], {}
+
+    def run_slice():
+        stream = listing_source.listing_stream(spark, f"{folder}/plan", f"{folder}/pages", budget=4)
+        q = stream.writeStream.foreachBatch(lambda df, _: rows.extend(map(tuple, df.collect()))).option("checkpointLocation", f"{folder}/rows-checkpoint").trigger(availableNow=True).start()
+        q.awaitTermination(300)
+        q = listing_source.cycles(listing_source.listing_stream(spark, f"{folder}/plan", f"{folder}/pages", budget=4)).writeStream.outputMode("update").foreachBatch(lambda df, _: states.update({(r.site, r.cycle): (r.pages, r.failed, r.state) for r in df.collect()})).option("checkpointLocation", f"{folder}/cycle-checkpoint").trigger(availableNow=True).start()
+        q.awaitTermination(300)
+
+    plan("first", a=[3, 2], b=[2, 3], c=[1])
+    run_slice()
+    assert states == {("a", 0): (4, 0, "open"), ("b", 0): (4, 1, "open"), ("c", 0): (1, 0, "final")}
+    run_slice()
+    assert states == {("a", 0): (5, 0, "final"), ("b", 0): (5, 1, "degraded"), ("c", 0): (1, 0, "final"), ("c", 1): (1, 0, "final")}
+    plan("second", a=[3, 2], b=[2, 3, 7], c=[1])
+    run_slice()
+    assert states[("a", 1)] == (4, 0, "open") and states[("b", 1)] == (4, 1, "open")
+    plan("third", a=[6], b=[2, 3, 7])
+    run_slice()
+    assert states[("a", 1)] == (4, 0, "open") and states[("a", 2)] == (4, 0, "open") and states[("b", 1)] == (8, 1, "open") and ("c", 3) not in states
+    by_cycle = {}
+    for site, cycle, category, page, payload, failed, _ in rows:
+        by_cycle.setdefault((site, cycle), []).append((category, page))
+        assert payload == (None if failed else f"{site}{category}-{page}") and failed == ((site, category, page) in missing)
+    assert {k: sorted(v) for k, v in by_cycle.items()} == {
+        ("a", 0): [(0, 1), (0, 2), (0, 3), (1, 1), (1, 2)], ("b", 0): [(0, 1), (0, 2), (1, 1), (1, 2), (1, 3)], ("c", 0): [(0, 1)], ("c", 1): [(0, 1)], ("c", 2): [(0, 1)],
+        ("a", 1): [(0, 1), (0, 2), (0, 3), (1, 1)], ("a", 2): [(0, 1), (0, 2), (0, 3), (0, 4)], ("b", 1): [(0, 1), (0, 2), (1, 1), (1, 2), (1, 3), (2, 1), (2, 2), (2, 3)],
+    }
