@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from ..sources import listings
 from ..sources.details import page_details
 from ..sources.page_tree import Page, page_tree, select
 from ..sources.reviews import board_reviews, first_useful, inline_reviews
@@ -133,3 +134,81 @@ def structured_products(spark, d):
     ]
     df = part.select("p_partkey", url.alias("url"), page_tree(F.get(F.array(*pages), kind.cast("int"))).alias("tree"))
     return with_structured_product(df, "tree", "url").select("p_partkey", "product.name", "product.brand", "product.price", "product.in_stock", "product.source")
+
+
+@query(
+    "s7_catalogue_entries",
+    """SELECT p_partkey, 'https://shop.example/kr/products/E' || p_partkey AS url, CASE WHEN p_size % 4 = 0 THEN NULL WHEN p_size % 4 = 1 THEN round(p_retailprice - p_size, 2) ELSE round(p_retailprice, 2) END AS price,
+        CASE WHEN p_size % 4 = 1 THEN round(p_retailprice - p_size, 2) END AS sale_price, CASE p_size % 4 WHEN 0 THEN 'unknown' WHEN 1 THEN 'sale' ELSE 'regular' END AS state, p_size % 3 > 0 AS in_stock,
+        'https://image.shop.example/' || p_partkey || CASE WHEN p_size % 2 = 0 THEN '/b' ELSE '/a' END AS image, 3 AS images, 'S, M' AS sizes FROM part""",
+)
+def catalogue_entries(spark, d):
+    p = table(spark, d, "part")
+    price, n = F.round("p_retailprice", 2), F.col("p_size") % 4
+    image = lambda name: F.concat(F.lit("https://image.shop.example/"), "p_partkey", F.lit(f"/{name}"))
+    picture = lambda name: F.struct(image(name).alias("image"))
+    item = F.struct(
+        F.concat(F.lit("E"), "p_partkey").alias("productId"), F.col("p_name").alias("name"), F.lit("WOMEN").alias("genderName"), F.struct(F.when(n > 0, F.struct(price.alias("value"))).alias("base"), F.when(n == 1, F.struct(F.round(price - F.col("p_size"), 2).alias("value"))).when(n == 2, F.struct(price.alias("value"))).alias("promo")).alias("prices"),
+        F.struct((F.col("p_size") % 3 > 0).alias("sales"), F.struct(F.when(F.col("p_size") % 2 == 0, "09").otherwise("30").alias("displayCode")).alias("color")).alias("representative"), F.array(F.struct(F.lit("S").alias("name")), F.struct(F.lit("M").alias("name"))).alias("sizes"),
+        F.struct(F.create_map(F.lit("30"), picture("a"), F.lit("09"), picture("b")).alias("main"), F.array(picture("a"), picture("c"), F.struct(F.lit("https://other.example/x").alias("image"))).alias("sub")).alias("images"),
+    )
+    payload = F.to_json(F.struct(F.struct(F.array(item).alias("items")).alias("result")))
+    e = p.select("p_partkey", F.explode(listings.catalogue_items(payload, "https://shop.example/kr", "House", "KRW", ("image.shop.example",))).alias("e"))
+    return e.select("p_partkey", F.col("e.product_url").alias("url"), "e.price", "e.sale_price", "e.state", "e.in_stock", F.get("e.images", 0).alias("image"), F.size("e.images").alias("images"), F.col("e.size_info").alias("sizes"))
+
+
+@query(
+    "s9_card_entries",
+    """SELECT p_brand, 'https://www.mall.example/kr/x-item-' || p_partkey || '.aspx' AS url, p_name AS name, floor(p_retailprice * 100) AS price, CASE WHEN p_size % 3 = 0 THEN floor(p_retailprice * 100) + 5000 ELSE floor(p_retailprice * 100) END AS original,
+        CASE WHEN p_size % 3 = 0 THEN 'sale' ELSE 'regular' END AS state FROM part WHERE p_size % 7 > 0 AND p_size % 5 > 0""",
+)
+def card_entries(spark, d):
+    """Pages of a listing's cards, some of another shop and some without a plausible price, ten products a page."""
+    ship(spark)
+    p = table(spark, d, "part")
+    price = F.floor(F.col("p_retailprice") * 100).cast("long")
+    shown = F.when(F.col("p_size") % 5 == 0, F.lit("₩12")).otherwise(F.concat(F.when(F.col("p_size") % 3 == 0, F.concat(F.lit("₩"), F.format_number(price + 5000, 0), F.lit(" "))).otherwise(F.lit("")), F.lit("₩"), F.format_number(price, 0)))
+    where = F.when(F.col("p_size") % 7 == 0, "https://evil.example").otherwise("https://www.mall.example")
+    card = F.concat(F.lit('<li data-card><a href="'), where, F.lit("/kr/x-item-"), "p_partkey", F.lit('.aspx"><b class="brand">'), "p_brand", F.lit('</b><span class="name">'), "p_name", F.lit('</span></a><p class="price">'), shown, F.lit('</p><img src="https://cdn.mall.example/'), "p_partkey", F.lit('.jpg"></li>'))
+    # ten products of a page
+    pages = p.groupBy(F.floor(F.col("p_partkey") / 10).alias("page")).agg(F.array_join(F.array_sort(F.collect_list(card)), "").alias("cards"))
+    trees = pages.select(page_tree(F.concat(F.lit("<nav><a href=/>Home</a></nav><ul>"), "cards", F.lit("</ul>"))).alias("tree"))
+    page = Page(F.col("tree"))
+
+    def one(i):
+        li = page.node(i)
+        return F.struct(page.attribute(page.first("a", li), "href").alias("href"), page.text_of(".brand", li).alias("brand"), page.text_of(".name", li).alias("name"), page.text_of(".price", li).alias("price_text"), page.attribute(page.first("img", li), "src").alias("image_url"))
+
+    cards = trees.select(F.explode(F.transform(page.repeated(), one)).alias("card"))
+    e = cards.select(listings.card_entry(F.col("card"), "KRW", ("mall.example",), ("cdn.mall.example",)).alias("e")).filter("e is not null")
+    return e.select(F.col("e.brand").alias("p_brand"), F.col("e.product_url").alias("url"), "e.name", "e.price", F.col("e.original_price").alias("original"), "e.state")
+
+
+@query(
+    "s10_widget_entries",
+    """SELECT p_partkey, 'https://s.example/' || p_partkey AS url, p_name AS name, CASE WHEN p_size % 2 = 0 THEN floor(p_retailprice - 10 + 0.5) ELSE floor(p_retailprice + 0.5) END AS price, floor(p_retailprice + 0.5) AS original, p_size % 4 > 0 AS in_stock FROM part WHERE p_size % 9 > 0""",
+)
+def widget_entries(spark, d):
+    p = table(spark, d, "part")
+    amount = F.col("p_retailprice")
+    properties = F.to_json(F.struct(F.when(F.col("p_size") % 9 > 0, F.concat(F.lit(" "), "p_name")).alias("name"), F.when(F.col("p_size") % 2 == 0, amount - 10).alias("price"), F.concat(F.lit("KRW "), F.format_number(amount, 2)).alias("original_price")))
+    e = p.select("p_partkey", listings.widget_entry(properties, F.concat(F.lit("https://s.example/"), "p_partkey"), F.col("p_size") % 4 == 0).alias("e")).filter("e is not null")
+    return e.select("p_partkey", F.col("e.product_url").alias("url"), "e.name", "e.price", F.col("e.original_price").alias("original"), "e.in_stock")
+
+
+@query(
+    "s11_shop_entries",
+    """SELECT p_partkey, 'https://s.example/product/a' || p_partkey AS url, CASE p_size % 3 WHEN 0 THEN p_size * 80 WHEN 1 THEN p_size * 90 ELSE p_size * 100 END::DOUBLE AS price, (p_size * 100)::DOUBLE AS original, CASE WHEN p_size % 2 = 0 THEN 'USD' ELSE 'KRW' END AS currency, p_size % 4 > 0 AS in_stock,
+        'https://contents.sixshop.com/uploadedFiles/' || p_partkey || '.jpg' AS image, 1 AS version FROM part
+    UNION ALL SELECT p_partkey, 'https://s.example/products/a' || p_partkey, CASE WHEN p_size % 3 = 0 THEN p_size * 80 ELSE p_size * 100 END::DOUBLE, (p_size * 100)::DOUBLE, 'KRW', p_size % 4 > 0, 'https://i.example/' || p_partkey, 2 FROM part""",
+)
+def shop_entries(spark, d):
+    p = table(spark, d, "part")
+    n, slug = F.col("p_size"), F.concat(F.lit("a"), "p_partkey")
+    of = lambda v: F.struct(v.cast("double").alias("salesPrice"))
+    grades = F.create_map(F.when(n % 3 == 0, "-2").otherwise("-9"), of(n * 80), F.when(n % 3 == 1, "-1").otherwise("-8"), of(n * 90))
+    first = F.to_json(F.struct(F.col("p_partkey").alias("id"), F.col("p_name").alias("name"), slug.alias("address"), (n % 4 == 0).alias("soldOut"), F.array(F.concat(F.lit("/uploadedFiles/"), "p_partkey", F.lit(".jpg"))).alias("thumbnails"), F.struct((n * 100).alias("regularPrice"), F.when(n % 2 == 0, "USD").otherwise("?").alias("currency"), grades.alias("groupByGradeId")).alias("price")))
+    second = F.to_json(F.struct(F.col("p_name").alias("name"), slug.alias("slug"), F.when(n % 4 == 0, "out-of-stock").alias("availability"), F.struct((n * 100).alias("original"), F.when(n % 3 == 0, n * 80).alias("sale")).alias("price"), F.array(F.struct(F.concat(F.lit("https://i.example/"), "p_partkey").alias("url"))).alias("images")))
+    entries = F.array(F.struct(listings.graded_entry(first, "https://s.example", "House").alias("e"), F.lit(1).alias("version")), F.struct(listings.slugged_entry(second, "https://s.example", "House").alias("e"), F.lit(2).alias("version")))
+    e = p.select("p_partkey", F.explode(entries).alias("x")).select("p_partkey", "x.e", "x.version")
+    return e.select("p_partkey", F.col("e.product_url").alias("url"), "e.price", F.col("e.original_price").alias("original"), "e.currency", "e.in_stock", F.get("e.images", 0).alias("image"), "version")
