@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import market, policies
 from ..shipping import ship
 from ..sources import listings
 from ..sources.details import page_details
@@ -212,3 +213,40 @@ def shop_entries(spark, d):
     entries = F.array(F.struct(listings.graded_entry(first, "https://s.example", "House").alias("e"), F.lit(1).alias("version")), F.struct(listings.slugged_entry(second, "https://s.example", "House").alias("e"), F.lit(2).alias("version")))
     e = p.select("p_partkey", F.explode(entries).alias("x")).select("p_partkey", "x.e", "x.version")
     return e.select("p_partkey", F.col("e.product_url").alias("url"), "e.price", F.col("e.original_price").alias("original"), "e.currency", "e.in_stock", F.get("e.images", 0).alias("image"), "version")
+
+
+@query(
+    "a16_market_probes",
+    """SELECT s_suppkey, CASE WHEN s_suppkey % 7 = 0 THEN 'eligible_origin' WHEN s_suppkey % 3 = 0 THEN CASE s_suppkey % 4 WHEN 0 THEN 'eligible_storefront' WHEN 1 THEN 'price_only' WHEN 2 THEN 'eligible_storefront' ELSE 'price_only' END
+        WHEN s_suppkey % 3 = 1 THEN CASE WHEN s_suppkey % 4 = 3 THEN 'unsupported' ELSE 'inconclusive' END ELSE 'retryable_error' END AS status,
+        CASE WHEN s_suppkey % 7 = 0 THEN NULL WHEN s_suppkey % 3 = 0 THEN 'KRW' WHEN s_suppkey % 3 = 1 THEN 'USD' END AS currency FROM supplier""",
+)
+def market_probes(spark, d):
+    """Shops of several kinds: prices in the market's currency with and without a sign that they are for it, others, unreachable ones."""
+    k = F.col("s_suppkey")
+    probe = lambda context, url, currency, n, countries, status: F.struct(*[(x if hasattr(x, "alias") else F.lit(x)).alias(c) for c, x in zip(("context", "storefront_url", "currency", "variant_price_count", "country_codes", "status"), (context, url, currency, n, countries, status), strict=True)]).cast(market.PROBE)
+    none = F.array().cast("array<string>")
+    listed = F.when(k % 4 == 3, F.array(F.lit("US"), F.lit("JP"))).when(k % 4 == 1, F.array(F.lit("US"))).otherwise(none)
+    default = probe("default", "https://s.example/", "USD", 2, none, F.when(k % 3 == 2, "network_error").otherwise("ok"))
+    local = probe(F.when(k % 4 == 2, "shopify_market").otherwise("localized_url"), F.when(k % 4 == 0, "https://s.example/en-kr/").otherwise("https://s.example/shop"), F.when(k % 3 == 0, "KRW").otherwise("USD"), 3, listed, F.when(k % 3 == 2, "network_error").otherwise("ok"))
+    a = market.assess_market(F.array(default, local), F.when(k % 7 == 0, "kr").otherwise("US"))
+    return table(spark, d, "supplier").select("s_suppkey", a.alias("a")).select("s_suppkey", "a.status", "a.currency")
+
+
+@query(
+    "f7_option_stock",
+    """SELECT p_partkey, CASE WHEN p_size % 10 = 0 THEN NULL WHEN p_size % 5 = 0 THEN true WHEN p_size % 3 = 0 THEN p_size % 2 = 0 WHEN p_size % 7 = 0 THEN NULL ELSE p_size % 2 = 0 END AS in_stock FROM part""",
+)
+def option_stock(spark, d):
+    """Products whose options count stock, count none, or don't say; where they don't, pages with a buy button or a mark of sold out."""
+    ship(spark)
+    n = F.col("p_size")
+    option = lambda use, number, display="T": F.struct(F.lit(display).alias("is_display"), F.lit("T").alias("is_selling"), use.alias("use_stock"), number.cast("string").alias("stock_number"))
+    hidden = F.struct(option(F.lit("T"), F.lit(9), "F").alias("x"))
+    counted = F.to_json(F.struct(option(F.lit("T"), F.lit(0)).alias("a"), option(F.lit("T"), F.when(n % 2 == 0, n).otherwise(0)).alias("b"), hidden["x"].alias("c")))
+    unknown = F.to_json(F.struct(option(F.lit("T"), F.lit("")).alias("a")))
+    free = F.to_json(F.struct(option(F.lit("F"), F.lit("")).alias("a")))
+    options = F.when(n % 10 == 0, unknown).when(n % 5 == 0, free).when(n % 3 == 0, counted).otherwise(unknown)
+    html = F.when((n % 5 > 0) & (n % 7 > 0), F.when(n % 2 == 0, "<a class='x btn_buy_now'>Buy</a>").otherwise("<div class='soldout'>gone</div>")).otherwise("<p>nothing</p>")
+    p = table(spark, d, "part").select("p_partkey", options.alias("o"), page_tree(html).alias("tree"))
+    return p.select("p_partkey", policies.detail_stock(F.col("o"), Page(F.col("tree"))).alias("in_stock"))

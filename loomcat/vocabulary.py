@@ -29,8 +29,8 @@ def word_form(text: str) -> str:
 
 @dataclass(frozen=True)
 class Entry:
-    """A label and its words: ``words`` stand between characters that are no ASCII letters or digits,
-    ``parts`` anywhere. What stands before one of ``not_before`` doesn't count."""
+    """A label and its words: ``words`` stand between characters that are no ASCII letters or digits (words of other
+    scripts between those that are no letters or digits at all), ``parts`` anywhere. What stands before one of ``not_before`` doesn't count."""
 
     label: str
     words: tuple[str, ...] = ()
@@ -54,7 +54,7 @@ class Matcher:
             raise ValueError("a word of a vocabulary must not be empty")
         self.automaton = ahocorasick.Automaton()
         for word, where in uses.items():
-            self.automaton.add_word(word, (len(word), tuple(where)))
+            self.automaton.add_word(word, (len(word), word.isascii(), tuple(where)))
         if uses:
             self.automaton.make_automaton()
         self.stops = [tuple(word_form(w).strip() for w in e.not_before) for e in entries]
@@ -65,9 +65,9 @@ class Matcher:
             return []
         text = word_form(text)
         out: set[int] = set()
-        for last, (size, where) in self.automaton.iter(text):
+        for last, (size, plain, where) in self.automaton.iter(text):
             begin, end = last + 1 - size, last + 1
-            free = (begin == 0 or text[begin - 1] not in _WORD_CHARACTERS) and (end == len(text) or text[end] not in _WORD_CHARACTERS)
+            free = not any(c in _WORD_CHARACTERS or not plain and c.isalnum() for c in text[max(0, begin - 1) : begin] + text[end : end + 1])
             for k, whole in where:
                 if k in out or whole and not free:
                     continue
