@@ -40,7 +40,9 @@ def prepare(df: DataFrame, rate: Column, converted: Column) -> DataFrame:
     detail_pricing`` (as ``observed_pricing`` gives), ``needs_detail, in_scope, brand,
     resolution`` (``status, brand, node_id``), ``valid_category, normalisation``
     (``status, code, retryable``), ``genders`` and ``image_url``."""
-    sure = df.withColumn("_pricing", F.when(~is_confirmed(F.col("pricing")) & F.col("needs_detail"), F.col("detail_pricing")).otherwise(F.col("pricing")))
+    # one row each comes out of the array: a border for the optimiser, which else writes the prices out anew at every use
+    sure = df.withColumn("_row", F.explode(F.array(F.struct(F.col("pricing"), F.col("detail_pricing"))))).withColumns({c: F.col("_row")[c] for c in ("pricing", "detail_pricing")}).drop("_row")
+    sure = sure.withColumn("_pricing", F.when(~is_confirmed(F.col("pricing")) & F.col("needs_detail"), F.col("detail_pricing")).otherwise(F.col("pricing")))
     sure = sure.withColumn("fields", stored_price(F.col("_pricing"), rate, converted))
     r, n = F.col("resolution"), F.col("normalisation")
     known = r["status"] == "existing"
@@ -64,10 +66,12 @@ def prepare(df: DataFrame, rate: Column, converted: Column) -> DataFrame:
         (F.col("fields").isNull(), failed("pricing", "pricing_invalid", False)),
         (~known, settled("would_create")),
     ]
-    outcome = settled("prepared")
-    for met, result in reversed(stages):
-        outcome = F.when(F.coalesce(met, F.lit(True)), result).otherwise(outcome)
-    return sure.withColumn("prepared", outcome).drop("_pricing")
+    rung = F.lit(len(stages))
+    for k, (met, _) in reversed(list(enumerate(stages))):
+        rung = F.when(F.coalesce(met, F.lit(True)), k).otherwise(rung)
+    numbered = sure.withColumn("_rung", rung)
+    outcome = F.get(F.array(*[result.cast(OUTCOME) for _, result in stages], settled("prepared").cast(OUTCOME)), F.col("_rung"))
+    return numbered.withColumn("prepared", outcome).drop("_pricing", "_rung")
 
 
 def run_import(df: DataFrame, stored: DataFrame) -> DataFrame:

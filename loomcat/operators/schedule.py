@@ -41,6 +41,13 @@ def resting(streaks: DataFrame, now: Column) -> DataFrame:
     return out.withColumn("rest_seconds", F.greatest(F.col("wait_hours") * 3600 - waited, F.lit(0)).cast("long"))
 
 
+def breaker(streaks: DataFrame, now: Column, least: int = 3) -> DataFrame:
+    """With ``breaker``: ``closed`` while a source fails less than ``least`` times in a row, ``open`` while it rests, then
+    ``half_open``: its next run decides, a failure lengthens the streak and the rest, a success ends both."""
+    state = F.when(F.col("failures") < least, "closed").when(F.col("rest_seconds") > 0, "open").otherwise("half_open")
+    return resting(streaks, now).withColumn("breaker", state)
+
+
 def round_robin(df: DataFrame, group: str, *order: Column) -> DataFrame:
     """With ``turn``: the row's place in its group (``order`` has no ties); rows of one turn come before the next."""
     return placed_in(df, [group], *order, name="turn")

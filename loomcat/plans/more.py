@@ -16,7 +16,7 @@ from ..sources import registry
 from ..sources.scans import scan_slice
 from .catalogue import IMPORTS, RECOVERED, audit_manifest, later_products, prepared
 from .frames import LISTING, OFFERS, STORED, listing, offers, runs, stored
-from .refresh import MATCHED, STREAKS
+from .refresh import LADDER, MATCHED, STREAKS
 from .registry import query, table
 
 
@@ -231,11 +231,16 @@ def circuit_breaker(spark, d):
     return schedule.failure_streaks(runs(spark, d)).select("source", "failures", (schedule.backoff_hours(F.col("failures")) > 0).alias("open"))
 
 
-@query("t8_generation_queue", "WITH g AS (SELECT user_id, max(event_id) AS generation FROM events GROUP BY 1) SELECT e.event_id, CASE WHEN e.event_id = g.generation THEN 'completed' ELSE 'superseded' END AS outcome FROM events e JOIN g USING (user_id) WHERE event_type = 'purchase'")
+@query("t7_breaker_states", f"WITH {STREAKS}, r AS (SELECT source, failures, {LADDER} * 3600 - (epoch(TIMESTAMP '2024-01-31 00:00:00')::BIGINT - floor(epoch(last_failed_at))::BIGINT) AS rest FROM streaks) SELECT source, CASE WHEN failures < 3 THEN 'closed' WHEN rest > 0 THEN 'open' ELSE 'half_open' END AS breaker FROM r")
+def breaker_states(spark, d):
+    return schedule.breaker(schedule.failure_streaks(runs(spark, d)), F.lit("2024-01-31 00:00:00").cast("timestamp")).select("source", "breaker")
+
+
+@query("t8_generation_queue", "WITH g AS (SELECT user_id, max(event_id) AS generation FROM events GROUP BY 1) SELECT e.event_id, CASE WHEN e.event_id = g.generation THEN 'completed' ELSE 'superseded' END AS outcome FROM events e JOIN g USING (user_id)")
 def generation_queue(spark, d):
     e = table(spark, d, "events")
     g = e.groupBy("user_id").agg(F.max("event_id").alias("generation"))
-    return e.filter("event_type = 'purchase'").join(g, "user_id").select("event_id", F.when(F.col("event_id") == F.col("generation"), "completed").otherwise("superseded").alias("outcome"))
+    return e.join(g, "user_id").select("event_id", F.when(F.col("event_id") == F.col("generation"), "completed").otherwise("superseded").alias("outcome"))
 
 
 @query(
