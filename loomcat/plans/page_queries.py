@@ -226,7 +226,7 @@ def market_probes(spark, d):
     k = F.col("s_suppkey")
     probe = lambda context, url, currency, n, countries, status: F.struct(*[(x if hasattr(x, "alias") else F.lit(x)).alias(c) for c, x in zip(("context", "storefront_url", "currency", "variant_price_count", "country_codes", "status"), (context, url, currency, n, countries, status), strict=True)]).cast(market.PROBE)
     none = F.array().cast("array<string>")
-    listed = F.when(k % 4 == 3, F.array(F.lit("US"), F.lit("JP"))).when(k % 4 == 1, F.array(F.lit("US"))).otherwise(none)
+    listed = F.when(k % 3 == 2, none).when(k % 4 == 3, F.array(F.lit("US"), F.lit("JP")))  # what can't be reached tells no countries.when(k % 4 == 1, F.array(F.lit("US"))).otherwise(none)
     default = probe("default", "https://s.example/", "USD", 2, none, F.when(k % 3 == 2, "network_error").otherwise("ok"))
     local = probe(F.when(k % 4 == 2, "shopify_market").otherwise("localized_url"), F.when(k % 4 == 0, "https://s.example/en-kr/").otherwise("https://s.example/shop"), F.when(k % 3 == 0, "KRW").otherwise("USD"), 3, listed, F.when(k % 3 == 2, "network_error").otherwise("ok"))
     a = market.assess_market(F.array(default, local), F.when(k % 7 == 0, "kr").otherwise("US"))
