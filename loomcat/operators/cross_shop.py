@@ -22,15 +22,21 @@ from ..scratch import materialise
 
 EXACT = 0.01
 SAME = ["brand", "name", "category"]
-# A source number: five digits or more, or eight letters, digits, - and _ with at least a letter and a digit.
-NUMBER = r"^(?:[0-9]{5,}|(?=.*[A-Z])(?=.*[0-9])[A-Z0-9_-]{8,})$"
+# How long a product number is at least, of digits alone, and of capitals, digits, - and _ with both a capital and a digit.
+LEAST_DIGITS, LEAST_MIXED = 5, 8
+
+
+def _is_number(part: Column) -> Column:
+    made_of = lambda kinds: F.rlike(part, F.lit(f"^[{kinds}]+$"))
+    holds = lambda kind: F.rlike(part, F.lit(f"[{kind}]"))
+    return (made_of("0-9") & (F.length(part) >= LEAST_DIGITS)) | (made_of("A-Z0-9_-") & (F.length(part) >= LEAST_MIXED) & holds("A-Z") & holds("0-9"))
 
 
 def source_numbers(url: Column) -> Column:
     """The product numbers of an address, from its query and the parts of its path."""
     query = F.regexp_extract(url, r"^[^?#]*\?([^#]*)", 1)
     parts = F.concat(values_of(query, "product_no"), values_of(query, "productNo"), F.split(path(url), "/"))
-    return F.array_distinct(F.filter(F.transform(parts, lambda p: F.upper(F.trim(p))), lambda p: F.rlike(p, F.lit(NUMBER))))
+    return F.array_distinct(F.filter(F.transform(parts, lambda p: F.upper(F.trim(p))), _is_number))
 
 
 def cross_shop_decision(same_brand: Column, platforms: tuple[Column, Column], hosts: tuple[Column, Column], colours: tuple[Column, Column], ready: tuple[Column, Column], same_name: Column, same_category: Column, shared: Column, distance: Column) -> Column:

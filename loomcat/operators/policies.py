@@ -12,6 +12,7 @@ from ..vocabulary import Entry, Vocabulary
 
 # ---- stock ----
 
+# Fields of an option, words for sold out, and how pages mark a button to buy and what is sold out.
 OPTION = "struct<is_display string, is_selling string, use_stock string, stock_number string>"
 SOLD_OUT_WORDS = ("sold out", "soldout", "out of stock", "outof stock", "out ofstock", "outofstock")
 SOLD_OUT_PARTS = ("품절",)
