@@ -33,6 +33,12 @@ def finding(rows: DataFrame, entity: str, issue: str, certainty: Column | str, a
     )
 
 
+def _grown(rows: DataFrame) -> DataFrame:
+    """``rows`` to be joined by sorting both sides: a row or more a product, with texts longer than Spark's
+    estimate of them, so a broadcast would take the driver's memory."""
+    return rows.hint("merge")
+
+
 def expected_product() -> Column:
     return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in GUARDS]))
 
@@ -48,9 +54,9 @@ def product_findings(products: DataFrame, embeddings: DataFrame, brands: DataFra
     price, original, sale = F.col("price"), F.col("original_price"), F.col("sale_price")
     odd = ~F.coalesce(price > 0, F.lit(False)) | F.coalesce(original < price, F.lit(False)) | (sale.isNotNull() & ~F.coalesce((sale == price) & (sale < original), F.lit(False)))
     found.append(finding(products.filter(odd), "product", "product_price_invalid", "confirmed", "manual_review", {}, expected))
-    counted = products.join(review_counts.select(F.col("product_id").alias("id"), F.col("n").alias("_n")), "id", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    counted = products.join(_grown(review_counts.select(F.col("product_id").alias("id"), F.col("n").alias("_n"))), "id", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     found.append(finding(counted.filter(F.col("_n") != F.coalesce("review_count", F.lit(0))), "product", "review_count_mismatch", "confirmed", "repair_review_count", {"review_count": F.col("_n")}, expected))
-    pictured = products.join(embeddings.select(F.col("product_id").alias("id"), "source_image_url", "source_image_revision"), "id")
+    pictured = products.join(_grown(embeddings.select(F.col("product_id").alias("id"), "source_image_url", "source_image_revision")), "id")
     renew = F.when(F.col("in_stock") & F.col("image_url").isNotNull(), "regenerate_embedding").otherwise("manual_review")
     unknown = F.col("source_image_url").isNull() | F.col("source_image_revision").isNull()
     differs = ~(F.col("source_image_url").eqNullSafe(F.col("image_url")) & F.col("source_image_revision").eqNullSafe(F.col("image_revision")))
@@ -82,22 +88,27 @@ def candidate_findings(candidates: DataFrame, now: Column, most_hours: int) -> D
     return functools.reduce(DataFrame.unionByName, found)
 
 
+def _judged(findings: DataFrame, products: DataFrame) -> DataFrame:
+    """The findings of products that count, each once, with their ``outcome``."""
+    own = first_by(findings.filter("entity <> 'candidate'"), ["id", "action"], F.col("finding_id"))
+    now = products.select("id", expected_product().alias("_now"))
+    outcome = F.when(~F.col("action").isin(*APPLICABLE), "deferred").when(F.col("_now").eqNullSafe(F.col("expected")), "applied").otherwise("conflicted")
+    return own.join(_grown(now), "id", "left").withColumn("outcome", outcome)
+
+
 def recover(findings: DataFrame, products: DataFrame) -> DataFrame:
     """``finding_id, id, action, outcome`` of product findings against the current rows:
     ``applied``, ``conflicted`` (the row has changed or is gone), ``deferred`` (another
     service's or a person's work). Of several findings for an action on a row, the first counts."""
-    own = first_by(findings.filter("entity <> 'candidate'"), ["id", "action"], F.col("finding_id"))
-    now = products.select("id", expected_product().alias("_now"))
-    outcome = F.when(~F.col("action").isin(*APPLICABLE), "deferred").when(F.col("_now").eqNullSafe(F.col("expected")), "applied").otherwise("conflicted")
-    return own.join(now, "id", "left").select("finding_id", "id", "action", outcome.alias("outcome"))
+    return _judged(findings, products).select("finding_id", "id", "action", "outcome")
 
 
 def recovered(findings: DataFrame, products: DataFrame) -> DataFrame:
     """``products`` with the applied findings' new values. Both actions of a row were
     checked against the same expected row, so they are applied together."""
-    done = recover(findings, products).filter("outcome = 'applied'").join(findings.select("finding_id", "proposed"), "finding_id")
+    done = _judged(findings, products).filter("outcome = 'applied'")
     new = done.groupBy("id").agg(*[F.max(F.when(F.col("action") == a, F.get_json_object("proposed", f"$.{c}"))).alias(f"_{c}") for a, c in APPLICABLE.items()])
-    out = products.join(new, "id", "left")
+    out = products.join(_grown(new), "id", "left")
     for c in APPLICABLE.values():
         out = out.withColumn(c, F.coalesce(F.col(f"_{c}").cast(products.schema[c].dataType), F.col(c)))
     return out.select(*products.columns)
