@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.numbers import first_apart
 from ..functions.text import trigrams
 from ..scratch import materialise
-from .ordering import placed
+from ..shipping import ship
+from .ordering import placed, summed_to
 
 
 def unique_lookup(rows: DataFrame, dimension: DataFrame, row_keys: list[Column], dim_keys: list[Column], row_id: str, dim_id: str) -> DataFrame:
@@ -65,6 +67,50 @@ def candidate_partners(df: DataFrame, keys: list[str], id_: str, host: str) -> D
     return j.select(F.col("_id").alias("left_id"), partners.alias("partners"), last.alias("last")).filter("partners > 0")
 
 
+def _laws(host: str, brand: str | None) -> Column:
+    """Groups with a sign each, whose pairs add up to those of different ``host`` and, with ``brand``, of no two different
+    brands: all pairs less those of one host, of the rows with brands only those of one brand."""
+    law = lambda number, sign, where=None, b=None, h=None: F.when(F.lit(True) if where is None else where, F.struct(F.lit(number).alias("law"), F.lit(sign).alias("sign"), (F.lit(None).cast("string") if b is None else F.col(b).cast("string")).alias("b"), (F.lit(None).cast("string") if h is None else F.col(h).cast("string")).alias("h")))
+    out = [law(0, 1), law(1, -1, h=host)]
+    if brand:
+        known = F.col(brand).isNotNull()
+        out += [law(2, -1, known), law(3, 1, known, h=host), law(4, 1, known, brand), law(5, -1, known, brand, host)]
+    return F.explode(F.array_compact(F.array(*out)))
+
+
+def _whole(n: Column) -> Column:
+    return n.cast("decimal(19,0)")
+
+
+def count_pairs(nodes: DataFrame, keys: list[str], host: str, n: str, name: str, brand: str | None = None) -> DataFrame:
+    """``name``, one row: how many pairs of rows agree on ``keys``, differ in ``host`` and, with ``brand``, do not differ in
+    that (a missing one differs from none). ``nodes`` stands for ``n`` rows each. Counted from groups, not from pairs."""
+    known = nodes.filter(" and ".join(f"{k} is not null" for k in [*keys, host]))
+    groups = known.select(*keys, n, _laws(host, brand).alias("_law")).groupBy(*keys, "_law").agg(F.sum(n).alias("_n"))
+    pairs = F.floor(_whole(F.col("_n")) * _whole(F.col("_n") - 1) / 2) * F.col("_law.sign")
+    return groups.agg(F.coalesce(F.sum(pairs.cast("decimal(38,0)")), F.lit(0)).cast("long").alias(name))
+
+
+def count_near(nodes: DataFrame, keys: list[str], host: str, n: str, name: str, value: str, gap: float, brand: str | None = None) -> DataFrame:
+    """As ``count_pairs``, of those pairs only that are less than ``gap`` (above 0) apart in ``value``, a finite double.
+
+    A row is near all rows from it on up to the first value that is ``gap`` apart. Each value and each such
+    end are rows of one order, in which sums count the rows before an end; so no group meets in one task."""
+    ship(nodes.sparkSession)
+    known = nodes.filter(" and ".join(f"{k} is not null" for k in [*keys, host]))
+    dealt = known.select(*keys, F.col(value).alias("_value"), n, _laws(host, brand).alias("_law")).groupBy(*keys, "_law", "_value").agg(F.sum(n).alias("_n"))
+    end = F.struct(first_apart(F.col("_value"), gap).alias("at"), F.lit(0).alias("kind"), F.lit(0).cast("long").alias("rows"), F.col("_n").alias("ends"))
+    row = F.struct(F.col("_value").alias("at"), F.lit(1).alias("kind"), F.col("_n").alias("rows"), F.lit(0).cast("long").alias("ends"))
+    places = dealt.select(*keys, "_law", F.explode(F.array(end, row)).alias("_e")).select(*keys, "_law", "_e.*")
+    order = [F.asc(k) for k in [*keys, "_law", "at", "kind"]]
+    placed_ = summed_to(places, F.col("rows"), "_upto", *order)
+    before = F.sum(_whole(F.col("ends")) * _whole(F.col("_upto"))).cast("decimal(38,0)")
+    groups = placed_.groupBy(*keys, "_law").agg(before.alias("_ends"), F.min(F.col("_upto") - F.col("rows")).alias("_begin"), F.sum("rows").alias("_n"))
+    m = _whole(F.col("_n"))
+    own = groups.select(F.col("_law.sign").alias("_sign"), (F.col("_ends") - m * _whole(F.col("_begin"))).cast("decimal(38,0)").alias("_met"), F.floor(m * _whole(F.col("_n") + 1) / 2).cast("decimal(38,0)").alias("_self"))
+    return own.agg(F.coalesce(F.sum(((F.col("_met") - F.col("_self")) * F.col("_sign")).cast("decimal(38,0)")), F.lit(0)).cast("long").alias(name))
+
+
 def match_decision(same_identifier: Column, similarity: Column, same_category: Column) -> Column:
     return F.when(same_identifier, F.struct(F.lit("auto").alias("status"), F.lit(1.0).alias("confidence"), F.lit("identifier").alias("reason"))).when((similarity >= 0.8) & same_category, F.struct(F.lit("review").alias("status"), similarity.alias("confidence"), F.lit("similar-name").alias("reason"))).otherwise(F.struct(F.lit("reject").alias("status"), similarity.alias("confidence"), F.lit("different").alias("reason")))
 

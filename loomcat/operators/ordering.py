@@ -27,9 +27,7 @@ def _sums_before(rows: DataFrame, value: Column) -> DataFrame:
 
 def running_total(df: DataFrame, key: str, value: Column, name: str, ranges: int = 256) -> DataFrame:
     """``df`` with ``name``: the sum of ``value`` over all rows up to this one by ``key``, which is unique."""
-    rows = _ranged(df.withColumn("_value", value.cast("long")), ranges, F.col(key).asc())
-    within = F.sum("_value").over(Window.partitionBy("_range").orderBy("_row"))
-    return rows.join(F.broadcast(_sums_before(rows, F.sum("_value"))), "_range").withColumn(name, F.col("_before") + within).drop("_range", "_row", "_value", "_before")  # at most `ranges` sums
+    return summed_to(df, value, name, F.col(key).asc(), ranges=ranges)
 
 
 def placed(df: DataFrame, *order: Column, name: str = "place", ranges: int = 64) -> DataFrame:
@@ -38,6 +36,13 @@ def placed(df: DataFrame, *order: Column, name: str = "place", ranges: int = 64)
     return rows.join(F.broadcast(_sums_before(rows, F.count("*"))), "_range").withColumn(name, F.col("_before") + F.col("_row") + 1).drop("_range", "_row", "_before")  # at most `ranges` counts
 
 
+def summed_to(df: DataFrame, value: Column, name: str, *order: Column, ranges: int = 64) -> DataFrame:
+    """``df`` with ``name``: the sum of ``value`` over all rows up to this one by ``order``, which has no ties."""
+    rows = _ranged(df.withColumn("_value", value.cast("long")), ranges, *order)
+    within = F.sum("_value").over(Window.partitionBy("_range").orderBy("_row"))
+    return rows.join(F.broadcast(_sums_before(rows, F.sum("_value"))), "_range").withColumn(name, F.col("_before") + within).drop("_range", "_row", "_value", "_before")  # at most `ranges` sums
+
+
 def range_numbers(df: DataFrame, *order: Column, name: str = "range", ranges: int = 64) -> DataFrame:
     """``df`` with ``name``: the number of the range by ``order`` in which a row lies. Ranges are about
     even, rows that ``order`` does not tell apart lie in one."""

@@ -1,6 +1,14 @@
 """Steps that must grow no faster than their input, and hold no more than a bounded part of it at once."""
 
-from loomcat.catalogue_queries import QUERIES
+import math
+import random
+
+import duckdb
+import numpy as np
+import pytest
+
+from loomcat.catalogue_queries import ORACLES, QUERIES
+from loomcat.functions.numbers import least_above
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -13,3 +21,28 @@ def test_recovery_broadcasts_no_products(spark):
     for name in ("c11_recovery_actions", "c4_recovery", "c3_audit_manifest"):
         assert "BroadcastHashJoin [id" not in plan(QUERIES[name](spark, SMALL)), name
         assert "BroadcastHashJoin [product_id" not in plan(QUERIES[name](spark, SMALL)), name
+
+
+PART = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+
+
+@pytest.fixture(scope="module")
+def odd_parts(spark, tmp_path_factory):
+    """Many parts of few names, some without brand, name, size or price, prices at the very distance and next to it."""
+    folder, at = tmp_path_factory.mktemp("parts"), random.Random(3)
+    prices = [900.1, 950.1, math.nextafter(950.1, 0), math.nextafter(950.1, 999), -0.0, 0.0, 50.0, -49.99, 0.01, 1e18, math.nan, None]
+    rows = [(k, at.choice(["a", "b", None]), at.choice(["x", "y", None]), at.choice(["s", "t"]), at.choice([1, 2, 6, 7, 8, 9, None]), at.choice(prices)) for k in range(600)]
+    spark.createDataFrame(rows, PART).write.parquet(f"file://{folder}/part.parquet")
+    return folder
+
+
+def by_sql(folder, name):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM '{folder}/part.parquet/*.parquet'")
+    return sorted(con.execute(ORACLES[name]).fetchall())
+
+
+def test_cross_shop_job_makes_no_pairs(spark, odd_parts):
+    df = QUERIES["c6_cross_shop_job"](spark, f"file://{odd_parts}")
+    assert sorted(map(tuple, df.collect())) == by_sql(odd_parts, "c6_cross_shop_job")
+    assert "MergeJoin" not in plan(df) and "HashJoin" not in plan(df)
