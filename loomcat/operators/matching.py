@@ -16,7 +16,9 @@ def unique_lookup(rows: DataFrame, dimension: DataFrame, row_keys: list[Column],
     """``row_id, dim_id``: the one dimension row that shares a key, null if none or several do."""
     left = rows.select(F.col(row_id).alias("_row"), F.explode(F.array_distinct(F.array_compact(F.array(*row_keys)))).alias("_key"))
     right = dimension.select(F.col(dim_id).alias("_dim"), F.explode(F.array_distinct(F.array_compact(F.array(*dim_keys)))).alias("_key"))
-    found = left.join(right, "_key").groupBy("_row").agg(F.min("_dim").alias("_low"), F.max("_dim").alias("_high"))
+    # one row a key is enough: that which is the only one over all keys is the first and the last of each
+    right = right.groupBy("_key").agg(F.min("_dim").alias("_low"), F.max("_dim").alias("_high"))
+    found = left.join(right, "_key").groupBy("_row").agg(F.min("_low").alias("_low"), F.max("_high").alias("_high"))
     one = found.filter("_low = _high").select(F.col("_row").alias(row_id), F.col("_low").alias(dim_id))
     return rows.select(row_id).join(one, row_id, "left")
 

@@ -58,3 +58,8 @@ def test_least_above_is_exact():
     values = np.array([900.1, 0.1, -49.99, -50.0, -0.0, 1e15, 1e300, *np.random.default_rng(5).uniform(-100, 1000, 2000)])
     ends = least_above(values, 50.0)
     assert (ends - values >= 50).all() and not (np.nextafter(ends, -np.inf) - values >= 50).any()
+
+
+def test_lookup_meets_a_key_once(spark):
+    found = plan(QUERIES["j8_unique_match"](spark, SMALL))
+    assert "HashAggregate(keys=[_key" in found
