@@ -258,13 +258,13 @@ def enum_membership(spark, d):
 @query("x33_locale", f"SELECT page_id, nullif(regexp_extract({PATH_}, '^/([a-z]{{2}})/', 1), '') AS locale, CASE page_id % 3 WHEN 0 THEN 'US,KR,JP' WHEN 1 THEN 'DE' ELSE '' END AS countries FROM pages")
 def locale(spark, d):
     from ..operators.market import market_countries
-    from ..shipping import ship
+    from ..shipping import ship, spread
     from ..sources.page_tree import Page, page_tree
 
     ship(spark)
     k = F.col("page_id")
     form = F.when(k % 3 == 0, '<form class="localization"><option value="US"><option selected value="KR"><option value="xx"><input name="country_code" value="jp"></form>').when(k % 3 == 1, '{"country_code": "DE", "iso_code": \'DE\'}').otherwise('<option value="FR">')
-    p = table(spark, d, "pages").select("page_id", "url", form.alias("form"), page_tree(form).alias("tree"))
+    p = spread(table(spark, d, "pages").select("page_id", "url")).select("page_id", "url", form.alias("form"), page_tree(form).alias("tree"))
     return p.select("page_id", F.nullif(F.regexp_extract(urls.path(F.col("url")), "^/([a-z]{2})/", 1), F.lit("")).alias("locale"), F.array_join(market_countries(Page(F.col("tree")), F.col("form")), ",").alias("countries"))
 
 

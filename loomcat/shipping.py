@@ -8,7 +8,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 
@@ -28,3 +28,10 @@ def ship(spark: SparkSession) -> None:
             archive.write(source, source.relative_to(package.parent))
     context.addPyFile(path)
     _shipped.add(context.applicationId)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many tasks as a shuffle makes, at least two a core: before work that takes long for a row, as
+    a file of few bytes, or of one row group, is a single task's however many rows it has."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))

@@ -10,11 +10,12 @@ from __future__ import annotations
 import functools
 import re
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
+from itertools import accumulate
 from typing import NamedTuple
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -85,7 +86,7 @@ class _Reader(HTMLParser):
         self.children[-1] += 1
         parent = self.stack[-1].index if self.stack else -1
         index = len(self.nodes)
-        self.nodes.append([index, parent, index, self.children[-1], tag, first.get("id", ""), first.get("class", "").split(), [{"name": k, "value": v} for k, v in first.items()], self.length, self.length, 0])
+        self.nodes.append([index, parent, index, self.children[-1], tag, first.get("id", ""), first.get("class", "").split(), list(first.items()), self.length, self.length, 0])
         if tag in VOID:
             self._shape(index, ())
             return
@@ -132,23 +133,77 @@ class _Reader(HTMLParser):
 NAMES = ("index", "parent", "last", "place", "tag", "id", "classes", "attributes", "begin", "end", "shape")
 
 
-def read_tree(html: str | None) -> tuple[str, list[dict], list[str]]:
+#: An ampersand that begins no character reference with its semicolon; comments, scripts and styles, where there are none, as group 1.
+_OPEN_REFERENCE = re.compile(r"(<!--(?:[^-]|-(?!->))*|<(script|style)\b(?:[^<]|<(?!/\2\b))*)|&(?!#[0-9]+;|#[xX][0-9a-fA-F]+;|[A-Za-z][A-Za-z0-9]*;)", re.I)
+
+#: As much html as a task holds the elements of at once.
+SLICE = 1 << 18
+
+
+def _read(html: str | None, closed: bool = False) -> _Reader:
     reader = _Reader()
-    reader.feed(html or "")
+    reader.feed(_OPEN_REFERENCE.sub(lambda m: m[1] or "&amp;", html or "") if closed else html or "")
     reader.close()
     while reader.stack:
         reader._pop()
-    return "".join(reader.parts), [dict(zip(NAMES, n, strict=True)) for n in reader.nodes], reader.data
+    return reader
+
+
+def read_tree(html: str | None) -> tuple[str, list[dict], list[str]]:
+    reader = _read(html)
+    nodes = [dict(zip(NAMES, n, strict=True)) for n in reader.nodes]
+    for n in nodes:
+        n["attributes"] = [{"name": k, "value": v} for k, v in n["attributes"]]
+    return "".join(reader.parts), nodes, reader.data
+
+
+def _lists(lists: list, values: Callable[[list], pa.Array]) -> pa.Array:
+    offsets = pa.array([0, *accumulate(map(len, lists))], pa.int32())
+    return pa.ListArray.from_arrays(offsets, values([x for held in lists for x in held]))
+
+
+def _strings(values: list[str]) -> pa.Array:
+    return pa.array(values, pa.string())
+
+
+def _pairs(values: list[tuple[str, str]]) -> pa.Array:
+    return pa.StructArray.from_arrays([_strings([k for k, _ in values]), _strings([v for _, v in values])], ["name", "value"])
+
+
+def _nodes(values: list[list]) -> pa.Array:
+    kinds = {"tag": _strings, "id": _strings, "classes": lambda x: _lists(x, _strings), "attributes": lambda x: _lists(x, _pairs), "shape": lambda x: pa.array(x, pa.int64())}
+    return pa.StructArray.from_arrays([kinds.get(name, lambda x: pa.array(x, pa.int32()))([n[k] for n in values]) for k, name in enumerate(NAMES)], list(NAMES))
+
+
+def _trees(held: list[_Reader]) -> pa.Array:
+    texts = _strings(["".join(r.parts) for r in held])
+    return pa.StructArray.from_arrays([texts, _lists([r.nodes for r in held], _nodes), _lists([r.data for r in held], _strings)], ["text", "nodes", "data"])
+
+
+def read_slices(pages: pa.Array, closed: bool = False) -> Iterator[pa.Array]:
+    """The trees of a batch, of about ``SLICE`` characters of html at a time."""
+    held, length = [], 0
+    for page in pages:
+        html = page.as_py() or ""
+        held.append(_read(html, closed))
+        length += len(html)
+        if length >= SLICE:
+            yield _trees(held)
+            held, length = [], 0
+    if held:
+        yield _trees(held)
 
 
-def page_tree(html: Column) -> Column:
+def page_tree(html: Column, closed: bool = False) -> Column:
     """``text, nodes, data`` of a page: the text as it is shown, a line an element that begins one, white
     space inside a line as single spaces, table cells parted by a tab; the elements as ``NODE``; the
-    linked data of its scripts. A missing page is an empty one. The session's workers need the package: call ``shipping.ship``."""
+    linked data of its scripts. A missing page is an empty one. With ``closed`` a character
+    reference without its semicolon is text, as where a text was escaped and cut; else it counts as in browsers. The session's workers need the package: call ``shipping.ship``."""
 
-    @F.pandas_udf(TREE)
-    def read(pages: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([read_tree(x) for x in pages], columns=["text", "nodes", "data"])
+    @F.arrow_udf(TREE)
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for pages in batches:
+            yield from read_slices(pages, closed)
 
     return read(html)
 

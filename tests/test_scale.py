@@ -6,9 +6,12 @@ import random
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomcat.catalogue_queries import ORACLES, QUERIES
 from loomcat.functions.numbers import least_above
+from loomcat.shipping import ship
+from loomcat.sources import page_tree as T
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -63,3 +66,12 @@ def test_least_above_is_exact():
 def test_lookup_meets_a_key_once(spark):
     found = plan(QUERIES["j8_unique_match"](spark, SMALL))
     assert "HashAggregate(keys=[_key" in found
+
+
+def test_references_that_are_cut_off(spark):
+    ship(spark)
+    html = '<!-- <script>&amp --><h1 title="a&copy=1&lt;">x &amp;&#65; y&amp</h1><script type="application/ld+json">{"a": "&amp"}</script> & &nbsp'
+    df = spark.createDataFrame([(html,), (None,)], "html string")
+    cut, browsers = (df.select(T.page_tree(F.col("html"), closed=closed).alias("t")).first()["t"] for closed in (True, False))
+    assert (cut["text"], browsers["text"].split("\n")[0]) == ("x &A y&amp\n& &nbsp", "x &A y&")
+    assert cut["nodes"][0]["attributes"][0]["value"] == "a&copy=1<" and cut["data"] == browsers["data"] == ['{"a": "&amp"}']
