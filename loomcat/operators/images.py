@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import functools
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +24,16 @@ def overlap(a: Column, b: Column) -> Column:
 SIDES = ("x0", "y0", "x1", "y1")
 
 
+#: An image with at most so many boxes is settled by itself; the boxes of those with more meet by cells.
+FEW = 64
+
+
+def _by_size(boxes: DataFrame, image: str) -> tuple[DataFrame, DataFrame]:
+    """The boxes of images with at most ``FEW``, and of those with more."""
+    large = boxes.groupBy(image).agg(F.count("*").alias("_n")).filter(F.col("_n") > FEW).select(image)
+    return boxes.join(large, image, "left_anti"), boxes.join(large, image, "left_semi")
+
+
 def overlapping(nodes: DataFrame, image: str, limit: float, cell: float = 64.0) -> DataFrame:
     """``image, a, b``: the pairs ``a < b`` of boxes of an image that overlap by more than ``limit`` (above 0). ``nodes`` has
     ``image`` and ``node``, a struct with the box's sides that no other box of the image equals.
@@ -70,36 +82,55 @@ def _pair_counts(boxes: DataFrame, key: str, limit: float) -> DataFrame:
 
 
 def overlap_counts(boxes: DataFrame, image: str, limit: float) -> DataFrame:
-    """``image, heavy``: how many pairs of an image's rows with different ``box`` overlap by more than ``limit`` (above 0, below 1):
-    all pairs less those of one ``box``."""
-    all_ = _pair_counts(boxes, image, limit)
-    same = _pair_counts(boxes.withColumn("_one", F.struct(F.col(image).alias("image"), "box")), "_one", limit)
+    """``image, heavy``: how many pairs of an image's rows with different ``box`` overlap by more than ``limit`` (above 0, below 1).
+
+    The rows of a small image meet each other; of a large one all pairs are counted less those of one ``box``."""
+    few, many = _by_size(boxes.filter(_has_area()).filter(F.col(image).isNotNull() & F.col("box").isNotNull()).select(image, "box", *SIDES), image)
+    side = lambda name: few.select(image, F.struct("box", *SIDES).alias(name))
+    met = side("a").join(side("b"), image).filter((F.col("a.box") < F.col("b.box")) & (overlap(F.col("a"), F.col("b")) > limit))
+    small = met.groupBy(image).agg(F.count("*").alias("heavy"))
+    many = materialise(many, "large-images")
+    all_ = _pair_counts(many, image, limit)
+    same = _pair_counts(many.withColumn("_one", F.struct(F.col(image).alias("image"), "box")), "_one", limit)
     same = same.groupBy(F.col("_one.image").alias(image)).agg(F.sum("k").alias("_same"))
-    return all_.join(same, image, "left").select(image, (F.col("k") - F.coalesce("_same", F.lit(0))).cast("long").alias("heavy")).filter("heavy > 0")
+    return small.unionByName(all_.join(same, image, "left").select(image, (F.col("k") - F.coalesce("_same", F.lit(0))).cast("long").alias("heavy")).filter("heavy > 0"))
+
+
+def _greedy(order: Column, beaten: Callable[[Column, Column], Column]) -> Column:
+    """Those of an array, in order, that none kept before beats."""
+    return F.aggregate(order, F.slice(order, 1, 0), lambda kept, x: F.when(beaten(kept, x), kept).otherwise(F.concat(kept, F.array(x))))
 
 
 def suppress(boxes: DataFrame, image: str, limit: float, cell: float = 64.0) -> DataFrame:
     """``image, box`` of greedy suppression: of boxes of an image that overlap by more than
     ``limit`` (above 0) the one with the higher score stays (ties: the first ``box``).
 
-    Of equal boxes the best goes on alone. The others meet as in ``overlapping``. Then rounds: boxes
+    A small image is gone through in the order of its boxes. Of a large one, of equal boxes the best goes on alone. The others meet as in ``overlapping``. Then rounds: boxes
     that no better one overlaps stay, those that they overlap go. Each round settles at
     least the best box that is open, so they end."""
     best = F.min(F.struct((-F.col("score")).alias("order"), "box"))
-    flat = boxes.filter(~_has_area()).select(image, "box")  # these overlap nothing, not even equal ones
+    flat = boxes.filter(~F.coalesce(_has_area(), F.lit(False))).select(image, "box")  # these overlap nothing, not even equal ones
+    few, many = _by_size(boxes.filter(_has_area()).select(image, "box", "score", *SIDES), image)
+    order = F.struct((-F.col("score")).alias("order"), "box", *SIDES)
+    # at most FEW boxes of an image
+    beaten = lambda kept, box: F.exists(kept, lambda k: overlap(k, box) > limit)
+    settled = few.groupBy(image).agg(F.array_sort(F.collect_list(order)).alias("_all")).select(image, F.explode(_greedy(F.col("_all"), beaten)).alias("_kept"))
+    flat = flat.union(settled.select(image, "_kept.box"))
+    many = materialise(many, "large-images")
     # a node is unique: its place in the order, and the place that no other node of the image has
-    nodes = boxes.filter(_has_area()).groupBy(image, *SIDES).agg(best.alias("best")).select(image, F.struct("best.order", "best.box", *SIDES).alias("node"))
+    nodes = many.groupBy(image, *SIDES).agg(best.alias("best")).select(image, F.struct("best.order", "best.box", *SIDES).alias("node"))
     nodes = materialise(nodes, "boxes")
     edges = materialise(overlapping(nodes, image, limit, cell).select(image, F.col("a").alias("win"), F.col("b").alias("lose")), "overlaps")
-    out = nodes
+    losers = []
     while not edges.isEmpty():
         beaten = edges.select(image, F.col("lose").alias("win")).distinct()
         gone = materialise(edges.join(beaten, [image, "win"], "left_anti").select(image, F.col("lose").alias("node")).distinct(), "suppressed")
-        out = out.join(gone, [image, "node"], "left_anti")
+        losers.append(gone)
         # a box that is gone beats none, and needs no further judgement
         left = edges.join(gone.withColumnRenamed("node", "win"), [image, "win"], "left_anti").join(gone.withColumnRenamed("node", "lose"), [image, "lose"], "left_anti")
         last, edges = edges, materialise(left, "overlaps")
         discard(boxes.sparkSession, last)
+    out = nodes.join(functools.reduce(DataFrame.union, losers), [image, "node"], "left_anti") if losers else nodes
     return out.select(image, F.col("node.box").alias("box")).union(flat)
 
 
