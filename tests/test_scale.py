@@ -75,3 +75,16 @@ def test_references_that_are_cut_off(spark):
     cut, browsers = (df.select(T.page_tree(F.col("html"), closed=closed).alias("t")).first()["t"] for closed in (True, False))
     assert (cut["text"], browsers["text"].split("\n")[0]) == ("x &A y&amp\n& &nbsp", "x &A y&")
     assert cut["nodes"][0]["attributes"][0]["value"] == "a&copy=1<" and cut["data"] == browsers["data"] == ['{"a": "&amp"}']
+
+
+def test_boxes_of_small_and_large_images(spark, monkeypatch):
+    from loomcat.operators import images
+
+    at = random.Random(7)
+    rows = [(k % 3 + 3 * (k % 29 > 0), at.choice([*range(40), None]), at.random(), x := at.choice([0.0, 5.0, *range(20)]) * 1.0, 0.0, x + at.choice([0.0, 7.0, 10.0]), 10.0) for k in range(400)]
+    df = spark.createDataFrame(rows, "image long, box long, score double, x0 double, y0 double, x1 double, y1 double").filter("box is not null")
+    found = []
+    for few in (0, 64, 1000):
+        monkeypatch.setattr(images, "FEW", few)
+        found.append([sorted(map(tuple, f(df, "image", 0.5).collect())) for f in (images.overlap_counts, images.suppress)])
+    assert found[0] == found[1] == found[2] and found[0][0]
