@@ -88,3 +88,13 @@ def test_boxes_of_small_and_large_images(spark, monkeypatch):
         monkeypatch.setattr(images, "FEW", few)
         found.append([sorted(map(tuple, f(df, "image", 0.5).collect())) for f in (images.overlap_counts, images.suppress)])
     assert found[0] == found[1] == found[2] and found[0][0]
+
+
+def test_pages_are_read_in_slices():
+    import pyarrow as pa
+
+    page = "<ul>" + "<li class='a b' id=x>y</li>" * 1000 + "</ul>"
+    slices = list(T.read_slices(pa.array([page, None, ""] * 40)))
+    assert len(slices) > 4 and sum(map(len, slices)) == 120 and max(map(len, slices)) <= 3 * (T.SLICE // len(page) + 2)
+    text, nodes, data = T.read_tree(page)
+    assert pa.concat_arrays(slices).to_pylist() == [{"text": text, "nodes": nodes, "data": data}, *[{"text": "", "nodes": [], "data": []}] * 2] * 40
