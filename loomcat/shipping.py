@@ -31,7 +31,6 @@ def ship(spark: SparkSession) -> None:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over as many tasks as a shuffle makes, at least two a core: before work that takes long for a row, as
-    a file of few bytes, or of one row group, is a single task's however many rows it has."""
-    spark = df.sparkSession
-    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism))
+    """``df`` over two tasks a core: before work that takes long for a row, as a file of few bytes, or of one row
+    group, is a single task's however many rows it has. More tasks would each read rules and selectors anew."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
