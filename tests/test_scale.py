@@ -98,3 +98,18 @@ def test_pages_are_read_in_slices():
     assert len(slices) > 4 and sum(map(len, slices)) == 120 and max(map(len, slices)) <= 3 * (T.SLICE // len(page) + 2)
     text, nodes, data = T.read_tree(page)
     assert pa.concat_arrays(slices).to_pylist() == [{"text": text, "nodes": nodes, "data": data}, *[{"text": "", "nodes": [], "data": []}] * 2] * 40
+
+
+def test_reviews_read_only_pages_that_are_asked_for(spark, monkeypatch):
+    from loomcat.sources import reviews as R
+
+    refuse = lambda html: F.when(F.contains(html, F.lit("unasked")), F.raise_error(F.lit("read"))).otherwise(html)
+    monkeypatch.setattr(R, "page_tree", lambda html: T.page_tree(refuse(html)))
+    at = "https://shop.example/"
+    board = '<table><tr><td>1</td><td class="writer"><span class="name">u</span></td><td><div class="comment"><a href="/article/1">a word</a></div></td></tr></table>'
+    html = {"p": '<a href="/board/product/list.html?link_product_no=1">Review (1)</a><a href="/article/review/2">x</a>', "board/product/list.html?link_product_no=1": board, "article/1": '<div class="board_content">many more words</div>', "article/review/2": '<div class="board_content">inline</div>', "q": "unasked"}
+    pages = spark.createDataFrame([(at + k, v) for k, v in html.items()], "url string, html string")
+    products = spark.createDataFrame([(f"{at}p",), (f"{at}gone",)], "url string")
+    board, inline = R.board_reviews(products, pages, 9), R.inline_reviews(products, pages, 9)
+    assert [r.text for r in board.reviews.collect()] == ["many more words"] and [r.text for r in inline.reviews.collect()] == ["inline"]
+    assert sorted(r.status for r in board.collections.collect()) == ["failed", "succeeded"]
