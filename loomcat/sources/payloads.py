@@ -5,24 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import materialise
+
 VARIANTS = "struct<variants: array<struct<compare_at_price: double, price: double, available: boolean>>>"
 
 
+#: A product with at most so many variants has one payload.
+FEW = 1024
+
+
 def shopify_payloads(variants: DataFrame, id_: str, order: str, line: str, variant: Column) -> DataFrame:
     """``id_, payload``: payloads of at most 1024 variants, however many a product has.
 
-    A payload holds 64 whole numbers of ``order`` and 16 of ``line``, which are together the
-    key of ``variants``."""
-    cut = [F.floor(F.col(order) / 64).alias("_orders"), F.floor(F.col(line) / 16).alias("_lines")]
-    return variants.groupBy(id_, *cut).agg(F.to_json(F.struct(F.collect_list(variant).alias("variants"))).alias("payload")).drop("_orders", "_lines")
+    A product with at most ``FEW`` has one. Of those with more a payload holds 64 whole numbers
+    of ``order`` and 16 of ``line``, which are together the key of ``variants``."""
+    large = materialise(variants.groupBy(id_).agg(F.count("*").alias("_n")).filter(F.col("_n") > FEW).select(id_, F.lit(True).alias("_large")), "large-products")
+    cut = lambda name, width: F.when(F.col("_large") | F.col(id_).isNull(), F.floor(F.col(name) / width))
+    dealt = variants.join(large, id_, "left").withColumns({"_orders": cut(order, 64), "_lines": cut(line, 16)})
+    return dealt.groupBy(id_, "_orders", "_lines").agg(F.to_json(F.struct(F.collect_list(variant).alias("variants"))).alias("payload")).drop("_orders", "_lines")
 
 
 def shopify_variants(df: DataFrame, id_: str, payload: str) -> DataFrame:
     """One row a product, of all its payloads: price of the cheapest variant on sale, else of the cheapest."""
-    v = F.from_json(payload, VARIANTS)["variants"]
+    v = F.col("_variants")
     least = lambda a: F.array_min(F.transform(a, lambda x: x["price"]))
     on_sale = F.filter(v, lambda x: x["price"] < x["compare_at_price"])
-    parsed = df.select(id_, least(on_sale).alias("sale"), least(v).alias("price"), F.size(v).cast("long").alias("variants"), F.exists(v, lambda x: x["available"]).alias("in_stock"))
+    read = df.select(id_, F.from_json(payload, VARIANTS)["variants"].alias("_variants"))  # a step of its own, so that a payload is parsed once
+    parsed = read.select(id_, least(on_sale).alias("sale"), least(v).alias("price"), F.size(v).cast("long").alias("variants"), F.exists(v, lambda x: x["available"]).alias("in_stock"))
     return parsed.groupBy(id_).agg(F.coalesce(F.min("sale"), F.min("price")).alias("price"), F.sum("variants").alias("variants"), F.bool_or("in_stock").alias("in_stock"))
 
 

@@ -113,3 +113,17 @@ def test_reviews_read_only_pages_that_are_asked_for(spark, monkeypatch):
     board, inline = R.board_reviews(products, pages, 9), R.inline_reviews(products, pages, 9)
     assert [r.text for r in board.reviews.collect()] == ["many more words"] and [r.text for r in inline.reviews.collect()] == ["inline"]
     assert sorted(r.status for r in board.collections.collect()) == ["failed", "succeeded"]
+
+
+def test_payloads_of_small_and_large_products(spark):
+    from loomcat.sources import payloads
+
+    rows = [(1, 64 * k, 1, 5.0 + k) for k in range(1024)] + [(2, 40 * k, 16 * (k % 3), 9.0) for k in range(1025)] + [(None, 64 * k, 1, 3.0) for k in range(40)]
+    df = spark.createDataFrame(rows, "p long, o long, l int, price double")
+    variant = F.struct(F.lit(10.0).alias("compare_at_price"), "price", F.lit(True).alias("available"))
+    raw = payloads.shopify_payloads(df, "p", "o", "l", variant)
+    held = {(r.p, r.n) for r in raw.select("p", F.size(F.from_json("payload", payloads.VARIANTS)["variants"]).alias("n")).collect()}
+    assert raw.filter("p = 1").count() == 1 and (1, 1024) in held and raw.filter("p = 2").count() > 600 and max(n for _, n in held) == 1024
+    found = payloads.shopify_variants(raw, "p", "payload")
+    assert set(map(tuple, found.collect())) == {(1, 5.0, 1024, True), (2, 9.0, 1025, True), (None, 3.0, 40, True)}
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
