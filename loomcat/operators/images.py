@@ -29,8 +29,9 @@ FEW = 64
 
 
 def _by_size(boxes: DataFrame, image: str) -> tuple[DataFrame, DataFrame]:
-    """The boxes of images with at most ``FEW``, and of those with more."""
-    large = boxes.groupBy(image).agg(F.count("*").alias("_n")).filter(F.col("_n") > FEW).select(image)
+    """The boxes of images with at most ``FEW``, and of those with more. The large ones are written, so that they are
+    counted once and, where they are not many, all boxes meet them without a shuffle."""
+    large = materialise(boxes.groupBy(image).agg(F.count("*").alias("_n")).filter(F.col("_n") > FEW).select(image), "large")
     return boxes.join(large, image, "left_anti"), boxes.join(large, image, "left_semi")
 
 

@@ -127,3 +127,11 @@ def test_payloads_of_small_and_large_products(spark):
     found = payloads.shopify_variants(raw, "p", "payload")
     assert set(map(tuple, found.collect())) == {(1, 5.0, 1024, True), (2, 9.0, 1025, True), (None, 3.0, 40, True)}
     assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_small_images_are_shuffled_once(spark):
+    from loomcat.operators import images
+
+    df = spark.range(200).select(F.floor(F.col("id") / 3).alias("image"), F.col("id").alias("box"), F.rand(1).alias("score"), *[F.lit(v).alias(k) for k, v in (("x0", 0.0), ("y0", 0.0), ("x1", 9.0), ("y1", 9.0))])
+    found = images.suppress(df, "image", 0.5)
+    assert plan(found).count("Exchange hashpartitioning(image") == 1 and found.count() == 67
